@@ -9,77 +9,142 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PROFILE_COLUMNS = (
-    "column_name",
-    "data_type",
-    "rows",
-    "non_null",
-    "null_ratio",
-    "distinct_count",
-    "min_value",
-    "max_value",
-    "numeric_count",
-    "inferred_type",
-)
-
-# Types a text column is tested for, most specific first. Each has the text form it must show besides
-# converting, so that '1.5' is no integer and '20240101' no date.
-_TEXT_TYPES = (
-    ("bigint", r"\A\s*[+-]?[0-9]+\s*\z"),
-    ("double", r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"),
-    ("boolean", r"(?i)\A\s*(true|false)\s*\z"),
-    ("date", r"\A\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*\z"),
-    ("timestamp", r"\A\s*[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?\s*\z"),
+# Types a text is tested for, in this order, with the form the text must show besides converting, so
+# that '1.5' is no integer and '20240101' no date. A wall-clock text must not fail in a DST gap of the
+# session zone, hence the zone-less timestamp.
+_KINDS = (
+    ("bigint", "bigint", r"\A\s*[+-]?[0-9]+\s*\z"),
+    ("double", "double", r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"),
+    ("boolean", "boolean", r"(?i)\A\s*(true|false)\s*\z"),
+    ("date", "date", r"\A\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*\z"),
+    (
+        "timestamp",
+        "timestamp_ntz",
+        r"\A\s*[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?\s*\z",
+    ),
 )
 
 _ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
+# The expressions below are generated per column. They are SQL texts because a wide table needs
+# thousands of them, and each Column object costs calls to the JVM.
 
-def _of_type(value: Column, type_name: str, form: str) -> Column:
-    # Zone-less timestamps: a wall-clock text must not fail in the session zone's DST gap.
-    target = "timestamp_ntz" if type_name == "timestamp" else type_name
-    return value.rlike(form) & value.try_cast(target).isNotNull()
-
-
-def _profile_one(i: int, field: T.StructField, exact_distinct: bool) -> tuple[list[Column], Column]:
-    """Aggregates for one column, and the struct of its profile row built from them."""
-    value, name = F.col(f"`{field.name}`"), lambda suffix: f"_{i}_{suffix}"
-    ordered = isinstance(field.dataType, _ORDERED)
-    text = isinstance(field.dataType, T.StringType)
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
-    aggregates = [F.count(value).alias(name("non_null"))]
-    none, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
-    if ordered:
-        aggregates += [
-            distinct(value).alias(name("distinct")),
-            F.min(value).alias(name("min")),
-            F.max(value).alias(name("max")),
-        ]
-    inferred = F.lit(field.dataType.simpleString())
-    numeric = zero
-    non_null = F.col(name("non_null"))
-    if text:
-        inferred = F.lit("string")
-        for type_name, form in reversed(_TEXT_TYPES):
-            hits = name(type_name)
-            aggregates.append(F.count_if(_of_type(value, type_name, form)).alias(hits))
-            inferred = F.when((non_null > 0) & (F.col(hits) == non_null), type_name).otherwise(inferred)
-        numeric = F.col(name("double"))
-    elif isinstance(field.dataType, T.NumericType):
-        numeric = non_null
-    row = F.struct(
-        F.lit(field.name).alias("column_name"),
-        F.lit(field.dataType.simpleString()).alias("data_type"),
-        F.col("_rows").alias("rows"),
-        non_null.alias("non_null"),
-        F.when(F.col("_rows") > 0, 1 - non_null / F.col("_rows")).alias("null_ratio"),
-        (F.col(name("distinct")) if ordered else F.lit(None).cast("bigint")).alias("distinct_count"),
-        (F.col(name("min")).cast("string") if ordered else none).alias("min_value"),
-        (F.col(name("max")).cast("string") if ordered else none).alias("max_value"),
-        numeric.alias("numeric_count"),
-        inferred.alias("inferred_type"),
+
+def _kind(text: str) -> str:
+    """Position in ``_KINDS`` of the first type the text reads as, else NULL."""
+    tests = [
+        f"WHEN {text} RLIKE r'{form}' AND try_cast({text} AS {target}) IS NOT NULL THEN {i}"
+        for i, (_, target, form) in enumerate(_KINDS)
+    ]
+    return f"CASE {' '.join(tests)} END"
+
+
+def _is_ordered(field: T.StructField) -> bool:
+    return isinstance(field.dataType, _ORDERED)
+
+
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _value(field: T.StructField) -> str:
+    # Adding zero makes -0.0 the value it equals.
+    plus = " + 0" if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else ""
+    return _quoted(field.name) + plus
+
+
+def _struct(**members: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in members.items()) + ")"
+
+
+def _inline(structs: Sequence[str]) -> Column:
+    return F.expr(f"inline(array({', '.join(structs)}))")
+
+
+def _sketched(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Figures per column from one aggregation, distinct values estimated by a mergeable sketch."""
+    inputs, aggregates, rows = [], ["count(*) AS rows"], []
+    for i, field in enumerate(fields):
+        inputs.append(f"{_value(field)} AS v{i}")
+        aggregates.append(f"count(v{i}) AS non_null{i}")
+        row = {"position": str(i), "rows": "rows", "non_null": f"non_null{i}"}
+        if _is_ordered(field):
+            aggregates += [
+                f"approx_count_distinct(v{i}) AS distinct{i}",
+                f"CAST(min(v{i}) AS string) AS min{i}",
+                f"CAST(max(v{i}) AS string) AS max{i}",
+            ]
+            row |= {"distinct_count": f"distinct{i}", "min_value": f"min{i}", "max_value": f"max{i}"}
+        else:
+            row |= {"distinct_count": "CAST(NULL AS bigint)"}
+            row |= {bound: "CAST(NULL AS string)" for bound in ("min_value", "max_value")}
+        if _is_text(field):
+            inputs.append(f"{_kind(_quoted(field.name))} AS kind{i}")
+            aggregates += [f"count_if(kind{i} = {k}) AS {n}{i}" for k, (n, _, _) in enumerate(_KINDS)]
+        row |= {n: f"{n}{i}" if _is_text(field) else "0L" for n, _, _ in _KINDS}
+        rows.append(_struct(**row))
+    return df.selectExpr(*inputs).agg(*map(F.expr, aggregates)).select(_inline(rows))
+
+
+def _exact(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Figures per column from its distinct values.
+
+    Equal values are merged in each task before the shuffle, so a value that fills a third of the rows
+    costs one row per task, and texts are tested for their type once per distinct value. Built-in
+    ``count_distinct`` of several columns would carry all aggregates through each copy of a row.
+    """
+    cells = [
+        _struct(
+            position=str(i),
+            value=f"CAST({_value(f)} AS string)" if _is_ordered(f) else "CAST(NULL AS string)",
+            present=f"{_quoted(f.name)} IS NOT NULL",
+        )
+        for i, f in enumerate(fields)
+    ]
+    values = (
+        df.select(_inline(cells)).groupBy("position", "value", "present").agg(F.expr("count(*) AS n"))
+    )
+    texts = [str(i) for i, f in enumerate(fields) if _is_text(f)]
+    kind = f"CASE WHEN position IN ({', '.join(texts)}) THEN {_kind('value')} END"
+    figures = (
+        values.withColumn("kind", F.expr(kind) if texts else F.lit(None).cast("int"))
+        .groupBy("position")
+        .agg(
+            F.expr("sum(n) AS rows"),
+            F.expr("sum(if(present, n, 0L)) AS non_null"),
+            F.expr("count(value) AS distinct_count"),
+            F.expr("min(value) AS min_value"),
+            F.expr("max(value) AS max_value"),
+            *[F.expr(f"sum(if(kind = {k}, n, 0L)) AS {n}") for k, (n, _, _) in enumerate(_KINDS)],
+        )
+    )
+    # Those are the least and greatest in text order; other types have their own.
+    typed = [(i, f) for i, f in enumerate(fields) if _is_ordered(f) and not _is_text(f)]
+    if not typed:
+        return figures
+    bounds = [
+        f"CAST({bound}({_value(f)}) AS string) AS {bound}{i}" for i, f in typed for bound in ("min", "max")
+    ]
+    ranges = df.agg(*map(F.expr, bounds)).select(
+        _inline([_struct(position=str(i), low=f"min{i}", high=f"max{i}") for i, _ in typed])
     )
-    return aggregates, row
+    is_text = F.col("position").isin([int(i) for i in texts])
+    return (
+        figures.join(ranges, "position", "left")
+        .withColumn("min_value", F.when(is_text, F.col("min_value")).otherwise(F.col("low")))
+        .withColumn("max_value", F.when(is_text, F.col("max_value")).otherwise(F.col("high")))
+        .drop("low", "high")
+    )
+
+
+def _literal(value: str | bool) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def column_profile(
@@ -87,14 +152,48 @@ def column_profile(
 ) -> DataFrame:
     """One row per column: counts, range, distinct values and the type its texts would convert to.
 
-    The default counts distinct values with a mergeable sketch: one scan, and one small row per task
-    to shuffle. ``exact_distinct`` repeats every row once per column and shuffles all distinct values,
-    after merging equal ones in each task; meant for small tables.
+    The default estimates distinct values in a single scan, with one small row per task to shuffle.
+    ``exact_distinct`` shuffles the distinct values of every column.
     """
     fields = [f for f in df.schema if columns is None or f.name in columns]
-    parts = [_profile_one(i, f, exact_distinct) for i, f in enumerate(fields)]
-    totals = df.agg(F.count("*").alias("_rows"), *[a for aggregates, _ in parts for a in aggregates])
-    return totals.select(F.inline(F.array(*[row for _, row in parts])))
+    described = [
+        _struct(
+            position=str(i),
+            column_name=_literal(f.name),
+            data_type=_literal(f.dataType.simpleString()),
+            ordered=_literal(_is_ordered(f)),
+            text=_literal(_is_text(f)),
+            numeric=_literal(isinstance(f.dataType, T.NumericType)),
+        )
+        for i, f in enumerate(fields)
+    ]
+    figures = _exact(df, fields) if exact_distinct else _sketched(df, fields)
+    counts = ["rows", "non_null", "distinct_count", *[name for name, _, _ in _KINDS]]
+    return (
+        df.sparkSession.range(1)
+        .select(_inline(described))
+        .join(figures, "position", "left")
+        .na.fill(0, counts)
+        .selectExpr(
+            "column_name",
+            "data_type",
+            "rows",
+            "non_null",
+            "CASE WHEN rows > 0 THEN 1 - non_null / rows END AS null_ratio",
+            "CASE WHEN ordered THEN distinct_count END AS distinct_count",
+            "min_value",
+            "max_value",
+            "CASE WHEN text THEN bigint + double WHEN numeric THEN non_null ELSE 0L END AS numeric_count",
+            """CASE WHEN NOT text THEN data_type
+                    WHEN non_null = 0 THEN 'string'
+                    WHEN bigint = non_null THEN 'bigint'
+                    WHEN bigint + double = non_null THEN 'double'
+                    WHEN boolean = non_null THEN 'boolean'
+                    WHEN date = non_null THEN 'date'
+                    WHEN date + timestamp = non_null THEN 'timestamp'
+                    ELSE 'string' END AS inferred_type""",
+        )
+    )
 
 
 def profile_findings(profile: DataFrame) -> DataFrame:
