@@ -36,7 +36,9 @@ def _kind(text: str) -> str:
         f"WHEN {text} RLIKE r'{form}' AND try_cast({text} AS {target}) IS NOT NULL THEN {i}"
         for i, (_, target, form) in enumerate(_KINDS)
     ]
-    return f"CASE {' '.join(tests)} END"
+    # Most plain texts are settled by their first character.
+    plain = f"WHEN NOT {text} RLIKE r'\\A\\s*[-+.0-9tTfF]' THEN NULL"
+    return f"CASE {plain} {' '.join(tests)} END"
 
 
 def _is_ordered(field: T.StructField) -> bool:
