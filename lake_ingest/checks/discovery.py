@@ -52,7 +52,9 @@ def etags(spark, sf_dir):
     given = F.when(F.endswith("url", F.lit("/")), None).when(
         F.startswith("url", F.lit("https")), F.concat(F.lit('"'), plain, F.lit('"'))
     ).otherwise(plain)
-    return table(spark, sf_dir, "pages").select("page_id", normalize_etag(given).alias("etag"))
+    return table(spark, sf_dir, "pages").select("page_id", given.alias("etag")).select(
+        "page_id", normalize_etag("etag").alias("etag")
+    )
 
 
 @query(
@@ -64,7 +66,7 @@ def etags(spark, sf_dir):
 )
 def iso_times(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
-        "event_id", iso_utc(F.col("ts")).alias("last_modified")
+        "event_id", iso_utc("ts").alias("last_modified")
     )
 
 

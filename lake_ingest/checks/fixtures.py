@@ -6,11 +6,13 @@ that went; ``pages`` serve where bodies of many bytes and awkward keys are wante
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lake_ingest.checks.registry import table
 from lake_ingest.operators.listing import table_listing
+from lake_ingest.sources.store import join, open_store
 
 DOCUMENT_KEY = "concat(source, '/', lang, '/', doc_id, '.txt')"
 
@@ -74,3 +76,20 @@ objects AS (
   SELECT url AS key, 'incoming' AS bucket, CAST(octet_length(encode(html)) AS BIGINT) AS size,
          md5(html) AS etag, page_id
   FROM pages)"""
+
+
+def write_objects(objects: DataFrame, root: str) -> None:
+    """Write rows ``(key, content)`` as files below a folder the executors share."""
+
+    def write(batches):
+        store, base = open_store(root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                path = join(base, row["key"])
+                store.create_dir(path.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(path) as file:
+                    file.write(row["content"])
+            yield pa.RecordBatch.from_pydict({"written": [batch.num_rows]})
+
+    rows = objects.select("key", F.col("content").cast("binary").alias("content"))
+    rows.mapInArrow(write, "written bigint").agg(F.sum("written")).collect()

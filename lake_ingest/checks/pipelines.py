@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from lake_ingest import schemas
 from lake_ingest.checks.conforming import LINEITEM
-from lake_ingest.checks.fixtures import DOCUMENT_KEY, SQL_DOCUMENT_LISTING, document_listing
+from lake_ingest.checks.fixtures import (
+    DOCUMENT_KEY,
+    SQL_DOCUMENT_LISTING,
+    document_listing,
+    write_objects,
+)
 from lake_ingest.checks.registry import query, scratch, table
 from lake_ingest.checks.validation import SQL_DESTINATIONS, page_saves
 from lake_ingest.operators import artifacts
@@ -74,49 +79,55 @@ def load_text(spark, sf_dir):
 
 
 def _page_files(spark, sf_dir):
-    """Pages as files of their own, one folder each; the text writer ends each with a line feed."""
+    """Pages as files of their own, in a folder per language, and the listing of these files."""
     root = scratch(spark)
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(root)
-    listing = list_objects(spark, root)
-    return root, listing.where(F.endswith("key", F.lit(".txt"))).withColumn(
-        "page_id", F.regexp_extract("key", r"\Apage_id=(\d+)/", 1).cast("bigint")
-    )
+    language = F.regexp_extract("url", r"\Ahttps?://[^/]+/(\w+)", 1)
+    key = F.concat(language, F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    pages = table(spark, sf_dir, "pages").select(key.alias("key"), F.col("html").alias("content"))
+    write_objects(pages, root)
+    return root, list_objects(spark, root)
+
+
+SQL_PAGE_FILES = r"""
+files AS (
+  SELECT regexp_extract(url, '^https?://[^/]+/(\w+)', 1) || '/' || page_id || '.html' AS key, encode(html) AS raw
+  FROM pages)"""
 
 
 @query(
     "list_files",
-    "SELECT page_id, 'incoming' AS bucket, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS size FROM pages",
+    f"""WITH {SQL_PAGE_FILES}
+    SELECT key, 'incoming' AS bucket, CAST(octet_length(raw) AS BIGINT) AS size FROM files""",
 )
 def list_files(spark, sf_dir):
     _, listing = _page_files(spark, sf_dir)
-    return listing.select("page_id", "bucket", "size")
+    return listing.select("key", "bucket", "size")
 
 
 @query(
     "fingerprint_files",
-    """WITH files AS (SELECT page_id, encode(html || chr(10)) AS raw FROM pages),
+    f"""WITH {SQL_PAGE_FILES},
     parts AS (
-      SELECT page_id, octet_length(raw) AS size, i, md5(array_slice(raw, i * 4096 + 1, (i + 1) * 4096)) AS digest
-      FROM (SELECT *, unnest(range(0, CAST(ceil(octet_length(raw) / 4096.0) AS BIGINT))) AS i FROM files))
-    SELECT page_id, CAST(max(size) AS BIGINT) AS size,
+      SELECT key, octet_length(raw) AS size, i, md5(array_slice(raw, i * 4096 + 1, (i + 1) * 4096)) AS digest
+      FROM (SELECT *, unnest(range(0, greatest(1, CAST(ceil(octet_length(raw) / 4096.0) AS BIGINT)))) AS i FROM files))
+    SELECT key, CAST(max(size) AS BIGINT) AS size,
            CASE WHEN count(*) = 1 THEN max(digest)
                 ELSE md5(unhex(string_agg(digest, '' ORDER BY i))) || '-' || count(*) END AS etag
-    FROM parts GROUP BY page_id""",
+    FROM parts GROUP BY key""",
 )
 def fingerprint_files(spark, sf_dir):
     """Files hashed in parts of 4 KiB, each part by whichever task gets it."""
     root, listing = _page_files(spark, sf_dir)
-    return fingerprint(listing, root, smallest=4096).select("page_id", "size", "etag")
+    return fingerprint(listing, root, smallest=4096).select("key", "size", "etag")
 
 
 @query(
     "sample_files",
-    """WITH files AS (SELECT page_id, encode(html || chr(10)) AS raw FROM pages),
+    f"""WITH {SQL_PAGE_FILES},
     chunks AS (
-      SELECT page_id, octet_length(raw) AS size, i, array_slice(raw, i * 8192 + 1, (i + 1) * 8192) AS piece
-      FROM (SELECT *, unnest(range(0, least(5, CAST(ceil(octet_length(raw) / 8192.0) AS BIGINT)))) AS i FROM files))
-    SELECT page_id, CAST(i AS INTEGER) AS read_count, CAST(size AS BIGINT) AS file_size_bytes,
+      SELECT key, octet_length(raw) AS size, i, array_slice(raw, i * 8192 + 1, (i + 1) * 8192) AS piece
+      FROM (SELECT *, unnest(range(0, greatest(1, least(5, CAST(ceil(octet_length(raw) / 8192.0) AS BIGINT))))) AS i FROM files))
+    SELECT key, CAST(i AS INTEGER) AS read_count, CAST(size AS BIGINT) AS file_size_bytes,
            CAST(octet_length(piece) AS BIGINT) AS bytes_read,
            CAST(i * 8192 + octet_length(piece) AS BIGINT) AS next_start_byte,
            i * 8192 + octet_length(piece) >= size AS eof, md5(piece) AS content_md5
@@ -126,7 +137,7 @@ def sample_page_files(spark, sf_dir):
     """First chunks of files, by seek and read."""
     root, listing = _page_files(spark, sf_dir)
     return sample_files(listing, root, chunk_bytes=8192).select(
-        "page_id",
+        "key",
         "read_count",
         "file_size_bytes",
         "bytes_read",

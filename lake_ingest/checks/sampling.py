@@ -87,7 +87,7 @@ def sample_documents(spark, sf_dir):
 def decode_sample(spark, sf_dir):
     """Chunks cut characters in two; both halves show the replacement character."""
     chunks = _chunks(spark, sf_dir, "pages", "url", "html")
-    return chunks.select("key", "read_count", decode_lossy(F.col("content")).alias("text"))
+    return chunks.select("key", "read_count", decode_lossy("content").alias("text"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lake_ingest.checks.fixtures import DOCUMENT_KEY, page_listing
 from lake_ingest.checks.registry import query, table
 from lake_ingest.functions import documents as docs
+from lake_ingest.functions.text import has_text
 from lake_ingest.operators import artifacts, validate
 
 # Profile texts by document; %s stands for the document's key.
@@ -112,9 +113,8 @@ def dependency_check(spark, sf_dir):
         .when(lang == "fr", F.array(F.concat(source, F.lit(">=1"))))
         .otherwise(F.array(F.concat(F.lit("_"), lang), source))
     )
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", validate.package_verdict(names).alias("verdict")
-    )
+    listed = table(spark, sf_dir, "documents").select("doc_id", names.alias("names"))
+    return listed.select("doc_id", validate.package_verdict("names").alias("verdict"))
 
 
 @query(
@@ -141,7 +141,7 @@ def required_text(spark, sf_dir):
         F.when(F.length(text) > 1500, None).when(F.length(text) < 30, "").otherwise("x").alias("metadata"),
     )
     return artifact.select(
-        "conv_id", "turn", validate.required_text("prompt", "proposal", "metadata").alias("complete")
+        "conv_id", "turn", has_text("prompt", "proposal", "metadata").alias("complete")
     )
 
 
@@ -246,7 +246,7 @@ def tool_status(spark, sf_dir):
     outputs = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", forms[(F.col("turn") % 8).cast("int")].alias("output")
     )
-    return outputs.select("conv_id", "turn", docs.tool_status(F.col("output")).alias("status"))
+    return docs.with_tool_status(outputs, "output").drop("output")
 
 
 @query(
@@ -273,8 +273,6 @@ def shorten_args(spark, sf_dir):
         )
     )
     arguments = table(spark, sf_dir, "conversations").select("conv_id", "turn", body.alias("body"))
-    return arguments.select(
-        "conv_id",
-        "turn",
-        F.explode(docs.shorten_arguments(F.col("body"))).alias("name", "value"),
+    return docs.with_short_arguments(arguments, "body").select(
+        "conv_id", "turn", F.explode("short_arguments").alias("name", "value")
     )

@@ -1,15 +1,20 @@
-"""Column expressions over JSON documents: parsing, tool results, tool arguments."""
+"""JSON documents in text columns: parsing, tool results, tool arguments.
+
+``try_parse_json`` alone stops after the first value, so it accepts ``{} trailing``, and it refuses
+repeated keys and NaN, which are common in generated documents. ``with_document`` settles both.
+"""
 
 from __future__ import annotations
 
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lake_ingest.constants import FAILURE_PREFIXES, SHORTEN_ABOVE, SHORTENED_VALUE
+from lake_ingest.functions.keys import text_literal
 
 
 @F.pandas_udf(T.StringType())
@@ -25,73 +30,79 @@ def _relaxed_json(texts: pd.Series) -> pd.Series:
     return texts.map(rewrite)
 
 
-def parse_document(text: Column) -> Column:
-    """Variant value of a JSON text, NULL when the text is not one JSON document.
+def with_document(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Rows with the variant value of a JSON text, NULL when the text is not one JSON document.
 
-    ``try_parse_json`` alone stops after the first value and so accepts ``{} trailing``. The text is
-    therefore parsed as the first element of an array whose second element is the text's own hash:
+    The text is parsed as the first element of an array whose second element is the text's own hash:
     anything left over either breaks the array or displaces that element. Only texts that fail this
-    test and start like an object or array reach the Arrow helper, which knows repeated keys and NaN.
+    test and start like an object or array reach the Arrow helper. The steps are columns of their own,
+    so that no text is parsed twice.
     """
-    mark = F.md5(text)
-    strict = _first_if_alone(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), mark)
-    doubtful = F.when(strict.isNull() & text.rlike(r"\A[ \t\r\n]*[\[{]"), text)
-    return F.coalesce(strict, F.try_parse_json(_relaxed_json(doubtful)))
-
-
-def _first_if_alone(pair_text: Column, mark: Column) -> Column:
-    pair = F.try_parse_json(pair_text)
-    return F.when(
-        F.try_variant_get(pair, "$[1]", "string") == mark,
-        F.try_variant_get(pair, "$[0]", "variant"),
+    pair, strict = f"{name}__pair", f"{name}__strict"
+    alone = f"try_variant_get({pair}, '$[1]', 'string') = md5({text})"
+    doubtful = rf"CASE WHEN {strict} IS NULL AND {text} RLIKE r'\A[ \t\r\n]*[\[{{]' THEN {text} END"
+    return (
+        df.withColumn(
+            pair, F.expr(f"""try_parse_json(concat('[', {text}, ',"', md5({text}), '"]'))""")
+        )
+        .withColumn(
+            strict, F.expr(f"CASE WHEN {alone} THEN try_variant_get({pair}, '$[0]', 'variant') END")
+        )
+        .withColumn(
+            name, F.coalesce(strict, F.try_parse_json(_relaxed_json(F.expr(doubtful))))
+        )
+        .drop(pair, strict)
     )
 
 
-def is_object(document: Column) -> Column:
-    return F.try_variant_get(document, "$", "map<string,variant>").isNotNull()
-
+def is_object(document: str) -> Column:
+    return F.expr(f"try_variant_get({document}, '$', 'map<string,variant>') IS NOT NULL")
 
-def _is_json_false(document: Column, field: str) -> Column:
-    """Exactly the JSON value false: 0, "false" and null do not count."""
-    text = F.to_json(F.try_variant_get(document, f"$.{field}", "variant"))
-    return F.coalesce(text == "false", F.lit(False))
 
+def with_tool_status(df: DataFrame, output: str, name: str = "status") -> DataFrame:
+    """Rows with SUCCESS or FAILED for a tool's result.
 
-def tool_status(output: Column) -> Column:
-    """SUCCESS or FAILED for one tool result.
-
-    An object fails by ``ok`` or ``success`` being exactly false, any other text by its first word;
-    an object's text starts with ``{``, so the two tests never overlap. NULL is SUCCESS.
+    An object fails by ``ok`` or ``success`` being exactly false (0, "false" and null do not count), any
+    other text by its first word; an object's text starts with ``{``, so the two tests never overlap.
     """
-    document = parse_document(F.when(output.rlike(r"\A[ \t\r\n]*\{"), output))
-    failed_text = output.rlike(
-        r"\A(?U:[\s\x1c-\x1f]*)(?i:" + "|".join(FAILURE_PREFIXES) + ")"
+    candidate = f"{name}__object"
+    parsed = with_document(
+        df.withColumn(candidate, F.expr(rf"CASE WHEN {output} RLIKE r'\A[ \t\r\n]*\{{' THEN {output} END")),
+        candidate,
+        f"{name}__document",
     )
-    failed = (
-        _is_json_false(document, "ok")
-        | _is_json_false(document, "success")
-        | F.coalesce(failed_text, F.lit(False))
+    failing = [
+        f"to_json(try_variant_get({name}__document, '$.{field}', 'variant')) = 'false'"
+        for field in ("ok", "success")
+    ]
+    # White space as Python strips it; only ASCII letters match in either case.
+    words = "|".join(FAILURE_PREFIXES)
+    failing.append(rf"{output} RLIKE r'\A(?U:[\s\x1c-\x1f]*)(?i:{words})'")
+    failed = " OR ".join(f"coalesce({test}, false)" for test in failing)
+    return parsed.withColumn(name, F.expr(f"if({failed}, 'FAILED', 'SUCCESS')")).drop(
+        candidate, f"{name}__document"
     )
-    return F.when(failed, "FAILED").otherwise("SUCCESS")
 
 
-def spaced_json_length(compact: Column) -> Column:
-    """Length of a compact JSON text when written with a space after every ``,`` and ``:``."""
-    outside_strings = F.regexp_replace(F.regexp_replace(compact, r"\\.", ""), r'"[^"]*"', "")
-    separators = F.length(outside_strings) - F.length(F.translate(outside_strings, ",:", ""))
-    return F.length(compact) + separators
+def spaced_json_length(compact: str) -> str:
+    """SQL for the length of a compact JSON text when written with a space after every ``,`` and ``:``."""
+    outside = rf"""regexp_replace(regexp_replace({compact}, r'\\.', ''), r'"[^"]*"', '')"""
+    return f"(length({compact}) + length({outside}) - length(translate({outside}, ',:', '')))"
 
 
-def shorten_arguments(arguments: Column, above: int = SHORTEN_ABOVE) -> Column:
-    """Map of argument name to JSON text; long texts, lists and objects become a placeholder.
+def with_short_arguments(
+    df: DataFrame, arguments: str, name: str = "short_arguments", above: int = SHORTEN_ABOVE
+) -> DataFrame:
+    """Rows with a map of argument name to JSON text; long texts, lists and objects are replaced.
 
     NULL when the arguments are not a JSON object.
     """
-
-    def shorten(_, value):
-        text = F.to_json(value)
-        long = text.rlike(r'\A["\[{]') & (spaced_json_length(text) > above)
-        return F.when(long, F.lit(json.dumps(SHORTENED_VALUE))).otherwise(text)
-
-    entries = F.try_variant_get(parse_document(arguments), "$", "map<string,variant>")
-    return F.transform_values(entries, shorten)
+    document = f"{name}__document"
+    value = "to_json(v)"
+    long = rf"""{value} RLIKE r'\A["\[{{]' AND {spaced_json_length(value)} > {above}"""
+    short = text_literal(json.dumps(SHORTENED_VALUE))
+    entries = f"try_variant_get({document}, '$', 'map<string,variant>')"
+    shortened = f"transform_values({entries}, (k, v) -> if({long}, {short}, {value}))"
+    return (
+        with_document(df, arguments, document).withColumn(name, F.expr(shortened)).drop(document)
+    )

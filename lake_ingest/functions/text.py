@@ -1,19 +1,20 @@
-"""Column expressions over raw bytes and text."""
+"""Column expressions over raw bytes and text. Arguments are column names or SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character Python's str.strip() takes as white space: Unicode space plus U+001C-U+001F.
-_NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
 
-
-def decode_lossy(raw: Column) -> Column:
+def decode_lossy(raw: str) -> Column:
     """UTF-8 text of a binary column, each malformed sequence replaced by U+FFFD."""
-    return F.make_valid_utf8(raw.cast("string"))
+    return F.expr(f"make_valid_utf8(CAST({raw} AS string))")
+
 
+def has_text(*values: str) -> Column:
+    """True when every text holds more than white space; NULL counts as no text.
 
-def has_text(value: Column) -> Column:
-    """True when the text holds anything but white space; NULL counts as no text."""
-    return F.coalesce(value.rlike(_NON_SPACE), F.lit(False))
+    White space is what Python's ``str.strip`` takes: Unicode space plus U+001C to U+001F.
+    """
+    tests = [rf"coalesce({v} RLIKE r'(?U)[^\s\x1c-\x1f]', false)" for v in values]
+    return F.expr(" AND ".join(tests))

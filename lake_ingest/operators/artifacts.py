@@ -17,7 +17,7 @@ from lake_ingest.constants import (
     PART_BYTES,
     RAW_PREFIX,
 )
-from lake_ingest.functions.keys import destination_keys, raw_prefix
+from lake_ingest.functions.keys import destination_keys, raw_prefix, text_literal
 from lake_ingest.operators.listing import split_into_parts, spread
 from lake_ingest.sources.store import join, open_store, read_range
 
@@ -25,16 +25,17 @@ from lake_ingest.sources.store import join, open_store, read_range
 _BATCH_BYTES = 32 * 1024 * 1024
 
 
-def ingestion_id(*parts: Column) -> Column:
+def ingestion_id(*parts: str) -> Column:
     """Identifier in UUID form that depends on its parts only, so a retry finds the same one."""
-    digest = F.md5(F.concat_ws("\x1f", *parts))
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts])
+    digest = f"md5(concat_ws('\\u001f', {', '.join(parts)}))"
+    return F.expr(
+        rf"regexp_replace({digest}, r'\A(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '$1-$2-$3-$4-')"
+    )
 
 
 def expected_keys(saves: DataFrame, prefix: str = RAW_PREFIX) -> DataFrame:
-    """Seven rows ``(ingestion_id, kind, key, content_type)`` per save."""
-    keys = destination_keys(F.col("source_key"), F.col("ingestion_id"), prefix)
+    """Seven rows ``(ingestion_id, source_key, kind, key, content_type)`` per save."""
+    keys = destination_keys("source_key", "ingestion_id", prefix)
     return saves.select("ingestion_id", "source_key", F.inline(keys))
 
 
@@ -56,48 +57,35 @@ def artifact_rows(saves: DataFrame, prefix: str = RAW_PREFIX) -> DataFrame:
     ``saves`` has ``ingestion_id``, ``source_key`` and a text column per artifact kind but the
     execution log, which states that nothing was run.
     """
-    texts = {kind: F.col(kind) for kind, _, _ in ARTIFACT_FILES if kind != "execution_log"}
-    texts["profile"] = _profile_body(F.col("profile"))
-    texts["execution_log"] = F.lit(NOT_EXECUTED_LOG)
-    bodies = F.struct(*[text.alias(kind) for kind, text in texts.items()])
-    folder = raw_prefix(F.col("source_key"), F.col("ingestion_id"), prefix)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(kind).alias("kind"),
-                F.concat("_folder", F.lit(name)).alias("key"),
-                F.lit(mime).alias("content_type"),
-                F.col("_bodies")[kind].alias("body"),
-            )
-            for kind, name, mime in ARTIFACT_FILES
-        ]
-    )
-    return saves.select("ingestion_id", folder.alias("_folder"), bodies.alias("_bodies")).select(
-        "ingestion_id", F.inline(rows)
-    )
+    structs = [
+        f"named_struct('kind', {text_literal(kind)}, 'key', concat(_folder, {text_literal(name)}), "
+        f"'content_type', {text_literal(mime)}, 'body', {kind})"
+        for kind, name, mime in ARTIFACT_FILES
+    ]
+    return saves.withColumns(
+        {
+            "profile": _profile_body(F.col("profile")),
+            "execution_log": F.lit(NOT_EXECUTED_LOG),
+            "_folder": raw_prefix("source_key", "ingestion_id", prefix),
+        }
+    ).select("ingestion_id", F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 def table_parts(contents: DataFrame, part_bytes: int = PART_BYTES):
     """Reader of raw parts for objects whose whole content is a column: ``contents(key, content)``."""
 
     def read_parts(saves: DataFrame) -> DataFrame:
-        raw = F.col("content").cast("binary")
-        size = F.octet_length("_raw").cast("bigint")
-        last = F.greatest(F.lit(0), F.ceil(size / part_bytes) - 1)
-        parts = F.transform(
-            F.sequence(F.lit(0).cast("bigint"), last),
-            lambda i: F.struct(
-                i.alias("part"),
-                (i * part_bytes).alias("start_byte"),
-                F.col("_raw").substr((i * part_bytes + 1).cast("int"), F.lit(part_bytes)).alias("content"),
-            ),
-        )
-        wanted = saves.select("ingestion_id", "source_key", "raw_location")
+        kept = ("ingestion_id", "source_key", "raw_location")
+        parts = f"""transform(
+            sequence(0L, greatest(0, (octet_length(_raw) - 1) DIV {part_bytes})),
+            i -> named_struct(
+                'part', i,
+                'start_byte', i * {part_bytes},
+                'content', substring(_raw, CAST(i * {part_bytes} + 1 AS int), {part_bytes})))"""
         return (
-            contents.select(F.col("key").alias("source_key"), raw.alias("_raw"))
-            .join(wanted, "source_key")
-            .select("ingestion_id", "source_key", "raw_location", parts.alias("_parts"))
-            .select("ingestion_id", "source_key", "raw_location", F.inline_outer("_parts"))
+            contents.selectExpr("key AS source_key", "CAST(content AS binary) AS _raw")
+            .join(saves.select(*kept), "source_key")
+            .select(*kept, F.expr(f"inline_outer({parts})"))
             .withColumn("part_md5", F.md5("content"))
         )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lake_ingest.constants import DONE_STATUSES
-from lake_ingest.functions.keys import normalize_etag
+from lake_ingest.functions.keys import normalize_etag, text_literal
 
 
 def discover(listing: DataFrame, state: DataFrame) -> DataFrame:
@@ -22,13 +22,13 @@ def discover(listing: DataFrame, state: DataFrame) -> DataFrame:
         F.col("status").alias("previous_status"),
         F.col("etag").alias("_previous_etag"),
     )
-    done = F.col("previous_status").isin(*DONE_STATUSES)
-    same = F.col("_previous_etag") == F.col("etag")
+    statuses = ", ".join(text_literal(s) for s in DONE_STATUSES)
+    unchanged = f"coalesce(previous_status IN ({statuses}) AND _previous_etag = etag, false)"
     return (
-        listing.withColumn("etag", normalize_etag(F.col("etag")))
+        listing.withColumn("etag", normalize_etag("etag"))
         .join(prior, "key", "left")
-        .where(~F.coalesce(done & same, F.lit(False)))
-        .withColumn("previously_seen", F.coalesce("_seen", F.lit(False)))
+        .where(f"NOT {unchanged}")
+        .withColumn("previously_seen", F.expr("_seen IS NOT NULL"))
         .select(*listing.columns, "previously_seen", "previous_status")
     )
 

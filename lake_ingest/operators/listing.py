@@ -17,9 +17,10 @@ def list_objects(
 ) -> DataFrame:
     """Files below a folder, listed by the executors."""
     register_sources(spark)
+    tasks = str(spark.sparkContext.defaultParallelism)
     return (
         spark.read.format("object_listing")
-        .options(path=root, bucket=bucket, prefix=prefix, depth=str(depth))
+        .options(path=root, bucket=bucket, prefix=prefix, depth=str(depth), tasks=tasks)
         .load()
     )
 
@@ -28,11 +29,11 @@ def table_listing(
     objects: DataFrame, key: str, body: str, bucket: str = "incoming", last_modified: Column | None = None
 ) -> DataFrame:
     """Listing of objects kept as rows of a table: size and content hash of ``body``."""
-    content = F.col(body).cast("binary")
+    content = f"CAST({body} AS binary)"
     return objects.select(
         F.col(key).alias("key"),
         F.lit(bucket).alias("bucket"),
-        F.octet_length(content).cast("bigint").alias("size"),
+        F.expr(f"CAST(octet_length({content}) AS bigint) AS size"),
         content_etag(content).alias("etag"),
         (F.lit(None).cast("timestamp_ntz") if last_modified is None else last_modified).alias(
             "last_modified"
@@ -51,20 +52,17 @@ def drop_markers(listing: DataFrame) -> DataFrame:
     return listing.where(~F.endswith("key", F.lit("/")))
 
 
-def part_bytes(size: Column, smallest: int = PART_BYTES) -> Column:
-    """Part length for an object: fixed, longer only where it would give more than 10,000 parts."""
-    return F.greatest(F.lit(smallest).cast("bigint"), F.ceil(size / MAX_PARTS))
-
-
 def split_into_parts(objects: DataFrame, smallest: int = PART_BYTES) -> DataFrame:
-    """One row ``(…, part, start_byte, length)`` per part; an empty object has one empty part."""
-    step = part_bytes(F.col("size"), smallest)
-    last = F.greatest(F.lit(0), F.ceil(F.col("size") / step) - 1)
+    """One row ``(…, part, start_byte, length)`` per part; an empty object has one empty part.
+
+    Parts have a fixed length, and a longer one only where that would give more than 10,000 parts.
+    """
+    step = f"greatest({smallest}L, CAST(ceil(size / {MAX_PARTS}) AS bigint))"
     return (
-        objects.withColumn("_step", step)
-        .select("*", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), last)).alias("part"))
-        .withColumn("start_byte", F.col("part") * F.col("_step"))
-        .withColumn("length", F.least(F.col("_step"), F.col("size") - F.col("start_byte")))
+        objects.withColumn("_step", F.expr(step))
+        .select("*", F.expr("explode_outer(sequence(0L, greatest(0L, (size - 1) DIV _step))) AS part"))
+        .withColumn("start_byte", F.expr("part * _step"))
+        .withColumn("length", F.expr("least(_step, size - start_byte)"))
         .drop("_step")
     )
 
@@ -82,36 +80,31 @@ def spread(rows: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     return rows.repartition(tasks, *keys)
 
 
-def multipart_etag(digests: Column) -> Column:
-    """Fingerprint from the MD5s of an object's parts, in the multipart ETag form.
+def _multipart_etag(digests: str) -> str:
+    return f"""if(size({digests}) = 1, {digests}[0],
+        concat(md5(unhex(array_join({digests}, ''))), '-', size({digests})))"""
 
-    One part: its MD5. Several: the MD5 of the concatenated binary MD5s, ``-``, their number.
-    """
-    combined = F.md5(F.unhex(F.array_join(digests, "")))
-    return F.when(F.size(digests) == 1, digests[0]).otherwise(
-        F.concat(combined, F.lit("-"), F.size(digests).cast("string"))
-    )
 
+def content_etag(content: str, smallest: int = PART_BYTES) -> Column:
+    """Fingerprint of a binary column, the same as that of a file with this content.
 
-def content_etag(content: Column, smallest: int = PART_BYTES) -> Column:
-    """Fingerprint of a binary column, the same as that of a file with this content."""
-    last = F.floor((F.octet_length(content) - 1) / smallest).cast("int")
-    digests = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.md5(content.substr(i * smallest + 1, F.lit(smallest)))
-    )
-    return F.when(F.octet_length(content) <= smallest, F.md5(content)).otherwise(
-        multipart_etag(digests)
+    Multipart ETag form. One part: its MD5. Several: the MD5 of the concatenated binary MD5s of the
+    parts, ``-``, their number.
+    """
+    digests = f"""transform(sequence(0, (octet_length({content}) - 1) DIV {smallest}),
+        i -> md5(substring({content}, CAST(i * {smallest} + 1 AS int), {smallest})))"""
+    return F.expr(
+        f"if(octet_length({content}) <= {smallest}, md5({content}), {_multipart_etag(digests)})"
     )
 
 
 def combine_part_hashes(parts: DataFrame, *keys: str) -> DataFrame:
     """Fingerprint per object from ``(part, part_md5)`` rows; 10,000 parts bound each group."""
-    ordered = F.array_sort(F.collect_list(F.struct("part", "part_md5")))
-    digests = F.transform(ordered, lambda p: p["part_md5"])
+    ordered = "array_sort(collect_list(named_struct('part', part, 'md5', part_md5)))"
     return (
         parts.groupBy(*keys)
-        .agg(digests.alias("_digests"))
-        .select(*keys, multipart_etag(F.col("_digests")).alias("etag"))
+        .agg(F.expr(f"transform({ordered}, p -> p.md5) AS _digests"))
+        .select(*keys, F.expr(f"{_multipart_etag('_digests')} AS etag"))
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lake_ingest.functions.keys import text_literal
+
 # Types a text is tested for, in this order, with the form the text must show besides converting, so
 # that '1.5' is no integer and '20240101' no date. A wall-clock text must not fail in a DST gap of the
 # session zone, hence the zone-less timestamp.
@@ -143,12 +145,6 @@ def _exact(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     )
 
 
-def _literal(value: str | bool) -> str:
-    if isinstance(value, bool):
-        return str(value).lower()
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def column_profile(
     df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = False
 ) -> DataFrame:
@@ -161,11 +157,11 @@ def column_profile(
     described = [
         _struct(
             position=str(i),
-            column_name=_literal(f.name),
-            data_type=_literal(f.dataType.simpleString()),
-            ordered=_literal(_is_ordered(f)),
-            text=_literal(_is_text(f)),
-            numeric=_literal(isinstance(f.dataType, T.NumericType)),
+            column_name=text_literal(f.name),
+            data_type=text_literal(f.dataType.simpleString()),
+            ordered=str(_is_ordered(f)),
+            text=str(_is_text(f)),
+            numeric=str(isinstance(f.dataType, T.NumericType)),
         )
         for i, f in enumerate(fields)
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from lake_ingest.constants import (
     MAX_READ_BYTES,
     MAX_READS,
 )
+from lake_ingest.functions.keys import text_literal
 from lake_ingest.functions.text import decode_lossy
 from lake_ingest.operators.listing import spread
 from lake_ingest.sources.store import join, open_store, read_range
@@ -27,55 +28,49 @@ from lake_ingest.sources.store import join, open_store, read_range
 _SLICE_ROWS = 256
 
 
-def clamp(max_bytes: Column) -> Column:
-    return F.greatest(F.lit(1), F.least(max_bytes, F.lit(MAX_READ_BYTES))).cast("bigint")
-
-
 def validate_reads(requests: DataFrame, buckets: Sequence[str], default_bucket: str) -> DataFrame:
     """Requests ``(bucket, key, start_byte, max_bytes, read_count)`` with ``error`` and defaults set.
 
     The first failing test names the error; ``max_bytes`` is clamped, never an error.
     """
-    bucket = F.when(F.coalesce("bucket", F.lit("")) == "", default_bucket).otherwise(F.col("bucket"))
-    key = F.coalesce("key", F.lit(""))
-    error = (
-        F.when((key == "") | F.startswith(key, F.lit("/")), ERR_KEY)
-        .when(F.col("start_byte") < 0, ERR_START)
-        .when(F.col("read_count") > MAX_READS, ERR_READS)
-        .when(~F.col("bucket").isin(*buckets), ERR_BUCKET)
-    )
-    return (
-        requests.withColumn("bucket", bucket)
-        .withColumn("max_bytes", clamp(F.col("max_bytes")))
-        .withColumn("error", error)
+    allowed = ", ".join(text_literal(b) for b in buckets)
+    error = f"""CASE
+        WHEN coalesce(key, '') = '' OR startswith(key, '/') THEN {text_literal(ERR_KEY)}
+        WHEN start_byte < 0 THEN {text_literal(ERR_START)}
+        WHEN read_count > {MAX_READS} THEN {text_literal(ERR_READS)}
+        WHEN bucket NOT IN ({allowed}) THEN {text_literal(ERR_BUCKET)} END"""
+    default = f"coalesce(nullif(bucket, ''), {text_literal(default_bucket)})"
+    clamped = f"CAST(greatest(1, least(max_bytes, {MAX_READ_BYTES})) AS bigint)"
+    return requests.withColumns({"bucket": F.expr(default), "max_bytes": F.expr(clamped)}).withColumn(
+        "error", F.expr(error)
     )
 
 
-def read_columns(size: Column, start: Column, length: Column) -> dict[str, Column]:
-    """Offsets of one read, given how many bytes it returned."""
-    end = F.when(start >= size, size).otherwise(start + length)
-    return {"bytes_read": length, "next_start_byte": end, "eof": end >= size}
+def with_offsets(reads: DataFrame) -> DataFrame:
+    """Reads with ``bytes_read, next_start_byte, eof``, NULL where nothing could be read."""
+    return (
+        reads.withColumn("bytes_read", F.expr("CAST(octet_length(content) AS bigint)"))
+        .withColumn(
+            "next_start_byte",
+            F.expr("if(start_byte >= file_size_bytes, file_size_bytes, start_byte + bytes_read)"),
+        )
+        .withColumn("eof", F.expr("next_start_byte >= file_size_bytes"))
+    )
 
 
 def read_table_ranges(requests: DataFrame, body: str) -> DataFrame:
     """Serve valid read requests from a ``body`` column that holds each object's content."""
-    content = F.col(body).cast("binary")
-    size = F.octet_length(content).cast("bigint")
-    ok = F.col("error").isNull()
-    piece = F.when(
-        ok,
-        F.substring(
-            content, (F.least("start_byte", size) + 1).cast("int"), F.col("max_bytes").cast("int")
-        ),
-    )
+    raw = f"CAST({body} AS binary)"
+    size = f"CAST(octet_length({raw}) AS bigint)"
+    piece = f"substring({raw}, CAST(least(start_byte, {size}) + 1 AS int), CAST(max_bytes AS int))"
     read = requests.withColumns(
-        {"file_size_bytes": F.when(ok, size), "content": piece}
+        {
+            "file_size_bytes": F.expr(f"CASE WHEN error IS NULL THEN {size} END"),
+            "content": F.expr(f"CASE WHEN error IS NULL THEN {piece} END"),
+        }
     ).drop(body)
-    offsets = read_columns(
-        F.col("file_size_bytes"), F.col("start_byte"), F.octet_length("content").cast("bigint")
-    )
-    return read.withColumns({name: F.when(ok, value) for name, value in offsets.items()}).withColumn(
-        "next_read_count", F.when(F.col("bytes_read") > 0, F.col("read_count") + 1)
+    return with_offsets(read).withColumn(
+        "next_read_count", F.expr("CASE WHEN bytes_read > 0 THEN read_count + 1 END")
     )
 
 
@@ -127,31 +122,22 @@ def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> Dat
         ]
     )
     served = spread(requests, tasks, "key", "start_byte").mapInArrow(serve, schema)
-    return served.withColumns(
-        read_columns(
-            F.col("file_size_bytes"), F.col("start_byte"), F.octet_length("content").cast("bigint")
-        )
-    )
+    return with_offsets(served)
 
 
-def chunk_count(size: Column, chunk_bytes: int, max_reads: int = MAX_READS) -> Column:
-    """Chunks sampled of an object: at least one, so that an empty object gives its eof row."""
-    needed = F.ceil(size / F.lit(chunk_bytes))
-    return F.greatest(F.lit(1), F.least(F.lit(max_reads), needed)).cast("int")
+def _read_counts(size: str, chunk_bytes: int, max_reads: int) -> str:
+    """SQL array 0, 1, … of the chunks sampled; at least one, so an empty object gives its eof row."""
+    needed = f"({size} + {chunk_bytes - 1}) DIV {chunk_bytes}"
+    return f"sequence(0, CAST(greatest(1, least({max_reads}, {needed})) - 1 AS int))"
 
 
 def sample_requests(
     listing: DataFrame, chunk_bytes: int = FIRST_READ_BYTES, max_reads: int = MAX_READS
 ) -> DataFrame:
     """Read requests for the first chunks of every listed file."""
-    counts = F.sequence(F.lit(0), chunk_count(F.col("size"), chunk_bytes, max_reads) - 1)
-    return listing.select(
-        *listing.columns, F.explode_outer(counts).alias("read_count")
-    ).withColumns(
-        {
-            "start_byte": F.col("read_count").cast("bigint") * chunk_bytes,
-            "max_bytes": F.lit(chunk_bytes).cast("bigint"),
-        }
+    counts = _read_counts("size", chunk_bytes, max_reads)
+    return listing.selectExpr("*", f"explode_outer({counts}) AS read_count").selectExpr(
+        "*", f"read_count * {chunk_bytes}L AS start_byte", f"{chunk_bytes}L AS max_bytes"
     )
 
 
@@ -164,7 +150,7 @@ def sample_files(
 ) -> DataFrame:
     """First chunks of every listed file, as bytes and as lossily decoded text."""
     chunks = read_ranges(sample_requests(listing, chunk_bytes, max_reads), root, tasks)
-    return chunks.withColumn("text", decode_lossy(F.col("content")))
+    return chunks.withColumn("text", decode_lossy("content"))
 
 
 def sample_chunks(
@@ -175,22 +161,15 @@ def sample_chunks(
     The chunks are cut before they are exploded, so a row carries its own chunk only and the whole
     body is not copied once per chunk.
     """
-    raw = objects.select(F.col(key).alias("key"), F.col(body).cast("binary").alias("_raw"))
-    size = F.octet_length("_raw").cast("bigint")
-    chunks = F.transform(
-        F.sequence(F.lit(0), chunk_count(size, chunk_bytes, max_reads) - 1),
-        lambda i: F.struct(
-            i.alias("read_count"),
-            (i.cast("bigint") * chunk_bytes).alias("start_byte"),
-            F.col("_raw").substr(i * chunk_bytes + 1, F.lit(chunk_bytes)).alias("content"),
-        ),
-    )
+    raw = objects.selectExpr(f"{key} AS key", f"CAST({body} AS binary) AS _raw")
+    chunks = f"""transform(
+        {_read_counts('octet_length(_raw)', chunk_bytes, max_reads)},
+        i -> named_struct(
+            'read_count', i,
+            'start_byte', i * {chunk_bytes}L,
+            'content', substring(_raw, i * {chunk_bytes} + 1, {chunk_bytes})))"""
     # inline_outer: the plain form would add a filter that cuts every chunk a second time.
-    sampled = raw.select("key", size.alias("file_size_bytes"), chunks.alias("_chunks")).select(
-        "key", "file_size_bytes", F.inline_outer("_chunks")
-    )
-    return sampled.withColumns(
-        read_columns(
-            F.col("file_size_bytes"), F.col("start_byte"), F.octet_length("content").cast("bigint")
-        )
-    )
+    sampled = raw.selectExpr(
+        "key", "CAST(octet_length(_raw) AS bigint) AS file_size_bytes", f"{chunks} AS _chunks"
+    ).select("key", "file_size_bytes", F.inline_outer("_chunks"))
+    return with_offsets(sampled)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lake_ingest import schemas
 from lake_ingest.constants import DONE_STATUSES
-from lake_ingest.functions.documents import is_object, parse_document
+from lake_ingest.functions.documents import with_document
 from lake_ingest.operators.tables import BATCH, read_table
 
 
@@ -43,20 +43,20 @@ def status_groups(state: DataFrame) -> DataFrame:
 
 def check_documents(documents: DataFrame, body: str) -> DataFrame:
     """State documents with ``version`` and ``error``: each must be an object whose ``processed`` is one."""
-    parsed = documents.withColumn("_state", parse_document(F.col(body)))
-    processed = F.try_variant_get("_state", "$.processed", "variant")
-    error = (
-        F.when(F.col("_state").isNull(), "Ingestion state is not valid JSON")
-        .when(~is_object(F.col("_state")), "Ingestion state must be a JSON object")
-        .when(
-            processed.isNotNull() & ~is_object(processed),
-            "Ingestion state 'processed' must be a JSON object",
-        )
-    )
-    version = F.coalesce(F.try_variant_get("_state", "$.version", "bigint"), F.lit(1))
-    return parsed.withColumns({"error": error, "version": F.when(error.isNull(), version)}).drop(
-        "_state"
-    )
+    return _parse_documents(documents, body).drop("_state")
+
+
+def _parse_documents(documents: DataFrame, body: str) -> DataFrame:
+    parsed = with_document(documents, body, "_state")
+    processed = "try_variant_get(_state, '$.processed', 'variant')"
+    entries = "map<string,variant>"
+    error = f"""CASE
+        WHEN _state IS NULL THEN 'Ingestion state is not valid JSON'
+        WHEN try_variant_get(_state, '$', '{entries}') IS NULL THEN 'Ingestion state must be a JSON object'
+        WHEN {processed} IS NOT NULL AND try_variant_get(_state, '$.processed', '{entries}') IS NULL
+          THEN "Ingestion state 'processed' must be a JSON object" END"""
+    version = "if(error IS NULL, coalesce(try_variant_get(_state, '$.version', 'bigint'), 1L), NULL)"
+    return parsed.withColumn("error", F.expr(error)).withColumn("version", F.expr(version))
 
 
 def import_documents(documents: DataFrame, body: str) -> DataFrame:
@@ -65,15 +65,15 @@ def import_documents(documents: DataFrame, body: str) -> DataFrame:
     Missing ``processed`` gives no rows, null records are dropped and empty ones kept. A malformed
     document fails the query rather than passing for an empty state.
     """
-    checked = check_documents(documents, body)
-    parsed = parse_document(F.when(F.col("error").isNull(), F.col(body)).otherwise(
-        F.raise_error(F.col("error")).cast("string")
-    ))
-    entries = F.try_variant_get(parsed, "$.processed", "map<string,variant>")
-    record = F.try_variant_get("value", "$", schemas.STATE_RECORD)
+    entries = """map_filter(
+        if(error IS NULL, try_variant_get(_state, '$.processed', 'map<string,variant>'),
+           CAST(raise_error(error) AS map<string,variant>)),
+        (k, v) -> NOT is_variant_null(v))"""
+    record = f"try_variant_get(value, '$', '{schemas.STATE_RECORD}') AS r"
     return (
-        checked.select("version", F.explode(F.map_filter(entries, lambda _, v: ~F.is_variant_null(v))))
-        .select("version", F.col("key").alias("source_key"), record.alias("r"))
+        _parse_documents(documents, body)
+        .selectExpr("version", f"explode({entries})")
+        .selectExpr("version", "key AS source_key", record)
         .select(
             "source_key",
             "version",

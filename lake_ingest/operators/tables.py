@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -37,9 +36,7 @@ def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
     Only a missing folder counts as empty, every other failure is raised.
     """
     full = T.StructType.fromDDL(f"{schema}, {BATCH} string")
-    try:
-        return spark.read.schema(full).parquet(table)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(table)

@@ -6,26 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lake_ingest.constants import PACKAGE_NAME
-from lake_ingest.functions.documents import is_object, parse_document
-from lake_ingest.functions.text import has_text
+from lake_ingest.functions.documents import with_document
 
 
-def package_verdict(names: Column) -> Column:
+def package_verdict(names: str) -> Column:
     """INVALID_PACKAGE, DUPLICATE_DEPENDENCY or OK for an array of package names.
 
     A NULL name is invalid. Names repeat regardless of case; ``a-b`` and ``a_b`` are two names.
     """
-    invalid = F.exists(names, lambda n: ~F.coalesce(n.rlike(PACKAGE_NAME), F.lit(False)))
-    distinct = F.array_distinct(F.transform(names, F.lower))
-    return (
-        F.when(invalid, "INVALID_PACKAGE")
-        .when(F.size(distinct) < F.size(names), "DUPLICATE_DEPENDENCY")
-        .otherwise("OK")
-    )
+    return F.expr(_package_verdict(names))
 
 
-def _is_string(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
+def _package_verdict(names: str) -> str:
+    return f"""CASE
+        WHEN exists({names}, n -> NOT coalesce(n RLIKE r'{PACKAGE_NAME}', false)) THEN 'INVALID_PACKAGE'
+        WHEN size(array_distinct(transform({names}, n -> lower(n)))) < size({names})
+          THEN 'DUPLICATE_DEPENDENCY'
+        ELSE 'OK' END"""
 
 
 def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame:
@@ -34,45 +31,33 @@ def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame
     Types count: a number is neither a source key nor a package name, and ``dependencies: null`` is
     not a list, while a missing ``dependencies`` is an empty one.
     """
-    steps = df.withColumn("_document", parse_document(F.col(profile)))
-    steps = steps.withColumns(
+    is_text = "schema_of_variant({0}) = 'STRING'".format
+    text = "try_variant_get({0}, '$', 'string')".format
+    parsed = with_document(df, profile, "_document")
+    fields = parsed.withColumns(
         {
-            "_key": F.try_variant_get("_document", "$.source_key", "variant"),
-            "_value": F.try_variant_get("_document", "$.dependencies", "variant"),
+            "_key": F.expr("try_variant_get(_document, '$.source_key', 'variant')"),
+            "_value": F.expr("try_variant_get(_document, '$.dependencies', 'variant')"),
         }
-    )
-    steps = steps.withColumn("_list", F.try_variant_get("_value", "$", "array<variant>"))
-    # A name that is not a JSON string becomes NULL, which package_verdict rejects.
-    names = F.transform(
-        F.coalesce("_list", F.array().cast("array<variant>")),
-        lambda v: F.when(_is_string(v), F.try_variant_get(v, "$", "string")),
-    )
-    steps = steps.withColumn("_names", names)
-    same_key = _is_string(F.col("_key")) & (
-        F.try_variant_get("_key", "$", "string") == F.col(source_key)
-    )
-    verdict = (
-        F.when(F.col("_document").isNull(), "INVALID_JSON")
-        .when(~is_object(F.col("_document")), "NOT_OBJECT")
-        .when(~F.coalesce(same_key, F.lit(False)), "SOURCE_KEY_MISMATCH")
-        .when(F.col("_value").isNotNull() & F.col("_list").isNull(), "DEPENDENCIES_NOT_LIST")
-        .otherwise(package_verdict(F.col("_names")))
-    )
+    ).withColumn("_list", F.expr("try_variant_get(_value, '$', 'array<variant>')"))
+    # A name that is not a JSON string becomes NULL, which counts as invalid.
+    names = f"""transform(coalesce(_list, CAST(array() AS array<variant>)),
+                          v -> CASE WHEN {is_text('v')} THEN {text('v')} END)"""
+    verdict = f"""CASE
+        WHEN _document IS NULL THEN 'INVALID_JSON'
+        WHEN try_variant_get(_document, '$', 'map<string,variant>') IS NULL THEN 'NOT_OBJECT'
+        WHEN NOT coalesce({is_text('_key')} AND {text('_key')} = {source_key}, false)
+          THEN 'SOURCE_KEY_MISMATCH'
+        WHEN _value IS NOT NULL AND _list IS NULL THEN 'DEPENDENCIES_NOT_LIST'
+        ELSE {_package_verdict('_names')} END"""
     return (
-        steps.withColumn("verdict", verdict)
-        .withColumn("dependencies", F.when(F.col("verdict") == "OK", F.col("_names")))
+        fields.withColumn("_names", F.expr(names))
+        .withColumn("verdict", F.expr(verdict))
+        .withColumn("dependencies", F.expr("CASE WHEN verdict = 'OK' THEN _names END"))
         .drop("_document", "_key", "_value", "_list", "_names")
     )
 
 
-def required_text(*columns: str) -> Column:
-    """True when every column holds more than white space."""
-    test = F.lit(True)
-    for column in columns:
-        test = test & has_text(F.col(column))
-    return test
-
-
 def check_dataset(df) -> DataFrame:
     """The DataFrame itself, if it is one and has a column. Runs nothing; no rows is fine."""
     if not isinstance(df, DataFrame):

@@ -145,8 +145,8 @@ def _succeeded(state: DataFrame, finished: datetime) -> DataFrame:
     )
 
 
-def _parse_json_object(content: Column, fields: T.StructType) -> Column:
-    """Struct of the fields as text, so that a value that does not convert is set aside, not lost.
+def _parse_json_object(fields: T.StructType) -> Column:
+    """Struct of the ``content``'s fields as text, so that a value that does not convert is set aside, not lost.
 
     An object that is no JSON at all leaves its text in ``_corrupt_record``.
     """
@@ -155,7 +155,7 @@ def _parse_json_object(content: Column, fields: T.StructType) -> Column:
         for f in fields
     ]
     schema = T.StructType([*texts, T.StructField(CORRUPT_RECORD, T.StringType())])
-    return F.from_json(decode_lossy(content), schema)
+    return F.from_json(decode_lossy("content"), schema)
 
 
 def ingest_objects(
@@ -189,7 +189,7 @@ def ingest_objects(
 
     rows = contents.join(found.select("key"), "key", "left_semi").select(
         F.col("key").alias("_source_key"),
-        F.inline_outer(F.array(_parse_json_object(F.col("content"), fields))),
+        F.inline_outer(F.array(_parse_json_object(fields))),
     )
     counts = write_conformed(
         lake, rows, target_table, batch, fields, null_tokens, key="_source_key", **options

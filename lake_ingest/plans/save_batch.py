@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lake_ingest import schemas
-from lake_ingest.constants import RAW_PREFIX, SAVED_STATUS, SOURCE_COPY_KIND
-from lake_ingest.functions.keys import destination_keys, object_name, raw_prefix
+from lake_ingest.constants import RAW_PREFIX, SAVED_STATUS
+from lake_ingest.functions.keys import artifact_map, object_name, raw_location, text_literal
+from lake_ingest.functions.text import has_text
 from lake_ingest.operators.artifacts import artifact_rows, expected_keys, ingestion_id
 from lake_ingest.operators.listing import combine_part_hashes
 from lake_ingest.operators.runlog import not_executed_rows
 from lake_ingest.operators.tables import read_batch, write_batch
-from lake_ingest.operators.validate import missing_keys, required_text, validate_profiles
+from lake_ingest.operators.validate import missing_keys, validate_profiles
 from lake_ingest.plans.lake import Lake
 
 # Columns of a proposal; all but the key must hold text.
@@ -46,10 +47,11 @@ def check_proposals(
     The identifier depends on the run and the proposal's content: repeating a run finds the same
     ones, and the same proposal given twice in a run is one save.
     """
-    texts = F.md5(F.to_json(F.struct(*REQUIRED)))
+    texts = f"md5(to_json(struct({', '.join(REQUIRED)})))"
+    identity = ingestion_id(text_literal(run_id), "source_key", texts)
     identified = (
         proposals.select(*PROPOSAL_COLUMNS)
-        .withColumn("ingestion_id", ingestion_id(F.lit(run_id), F.col("source_key"), texts))
+        .withColumn("ingestion_id", identity)
         .dropDuplicates(["source_key", "ingestion_id"])
     )
     sources = listing.select(
@@ -61,22 +63,25 @@ def check_proposals(
     checked = validate_profiles(identified, "profile", "source_key").join(
         sources, "source_key", "left"
     )
-    name = object_name(F.col("source_key"))
-    error = (
-        F.when(F.col("verdict") != "OK", F.col("verdict"))
-        .when(~required_text(*REQUIRED), "MISSING_TEXT")
-        .when(F.col("etag").isNull(), "SOURCE_MISSING")
-        .when(name == "", "NO_FILE_NAME")
+    error = """CASE
+        WHEN verdict <> 'OK' THEN verdict
+        WHEN NOT _complete THEN 'MISSING_TEXT'
+        WHEN etag IS NULL THEN 'SOURCE_MISSING'
+        WHEN _name = '' THEN 'NO_FILE_NAME' END"""
+    return (
+        checked.withColumns({"_complete": has_text(*REQUIRED), "_name": object_name("source_key")})
+        .withColumns(
+            {
+                "error": F.expr(error),
+                "raw_location": raw_location("source_key", "ingestion_id", prefix),
+            }
+        )
+        .drop("verdict", "_complete", "_name")
     )
-    location = F.concat(raw_prefix(F.col("source_key"), F.col("ingestion_id"), prefix), name)
-    return checked.withColumn("error", error).withColumn("raw_location", location).drop("verdict")
 
 
 def state_records(saves: DataFrame, lake: Lake, processed_at: datetime) -> DataFrame:
     """State log rows of verified saves."""
-    keys = destination_keys(F.col("source_key"), F.col("ingestion_id"), lake.raw_prefix)
-    artifacts = F.filter(keys, lambda k: k["kind"] != SOURCE_COPY_KIND)
-    artifacts = F.map_from_entries(F.transform(artifacts, lambda k: F.struct(k["kind"], k["key"])))
     return saves.select(
         "source_key",
         F.lit(SAVED_STATUS).alias("status"),
@@ -88,7 +93,7 @@ def state_records(saves: DataFrame, lake: Lake, processed_at: datetime) -> DataF
         F.lit(processed_at).cast("timestamp").alias("processed_at"),
         F.lit(lake.data_bucket).alias("raw_bucket"),
         "raw_location",
-        artifacts.alias("artifacts"),
+        artifact_map("source_key", "ingestion_id", lake.raw_prefix).alias("artifacts"),
         "target_table",
         "dependencies",
         F.lit(False).alias("execution_performed"),

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Noting the source line of every expression costs more than planning the queries here.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

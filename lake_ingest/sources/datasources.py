@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -19,10 +21,12 @@ _BATCH_ROWS = 10_000
 
 
 class FolderPartition(InputPartition):
-    def __init__(self, folder: str, recursive: bool):
-        super().__init__(folder)
-        self.folder = folder
-        self.recursive = recursive
+    """Folders for one task: ``whole`` ones with all below them, ``flat`` ones without subfolders."""
+
+    def __init__(self, number: int, flat: list[str], whole: list[str]):
+        super().__init__(number)
+        self.flat = flat
+        self.whole = whole
 
 
 class ObjectListing(DataSource):
@@ -30,7 +34,8 @@ class ObjectListing(DataSource):
 
     Every file below the root, with zero-byte and hidden ones, which ``binaryFile`` leaves out.
     Options: ``prefix`` restricts the listing to one folder, ``bucket`` labels the rows, ``depth``
-    (default 1) says how many folder levels are split into partitions of their own.
+    (default 1) says how many levels of folders are dealt out to tasks, ``tasks`` how many tasks share
+    them at most.
     """
 
     @classmethod
@@ -50,27 +55,33 @@ class ObjectListingReader(DataSourceReader):
         self.prefix = options.get("prefix", "").strip("/")
         self.bucket = options.get("bucket", "incoming")
         self.depth = int(options.get("depth", "1"))
+        self.tasks = int(options.get("tasks", "32"))
 
     def partitions(self):
         store, base = open_store(self.root)
         if store.get_file_info(base).type != fs.FileType.Directory:
             raise FileNotFoundError(f"no such folder: {self.root}")
-        level, found = [join(base, self.prefix) if self.prefix else base], []
+        level, flat = [join(base, self.prefix) if self.prefix else base], []
         for _ in range(self.depth):
-            found += [FolderPartition(folder, recursive=False) for folder in level]
+            flat += level
             level = [
                 info.path
                 for folder in level
                 for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
                 if info.type == fs.FileType.Directory
             ]
-        return found + [FolderPartition(folder, recursive=True) for folder in level]
+        tasks = max(1, min(self.tasks, len(flat) + len(level)))
+        return [FolderPartition(i, flat[i::tasks], level[i::tasks]) for i in range(tasks)]
 
     def read(self, partition):
         store, base = open_store(self.root)
         strip = len(base.rstrip("/")) + 1
         rows = []
-        for info in walk(store, partition.folder, partition.recursive):
+        files = chain(
+            *(walk(store, folder, recursive=False) for folder in partition.flat),
+            *(walk(store, folder) for folder in partition.whole),
+        )
+        for info in files:
             rows.append((info.path[strip:], self.bucket, info.size, info.mtime_ns // 1000))
             if len(rows) == _BATCH_ROWS:
                 yield self._batch(rows)
