@@ -313,26 +313,28 @@ def _event_objects(spark, sf_dir):
     "run_ingestion",
     """WITH typed AS (
       SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type = 'click' AND value < 1 AS bad FROM events)
-    SELECT 'first' AS run, count(*) AS rows_in, count(*) FILTER (WHERE NOT bad) AS rows_written,
-           count(*) FILTER (WHERE bad) AS rows_rejected,
-           count(*) FILTER (WHERE NOT bad) AS table_rows, CAST(sum(k) FILTER (WHERE NOT bad) AS BIGINT) AS table_k
+    SELECT 'first run' AS step, count(*) AS rows_in, count(*) FILTER (WHERE NOT bad) AS rows_written,
+           count(*) FILTER (WHERE bad) AS rows_rejected, CAST(NULL AS BIGINT) AS sum_k
     FROM typed
-    UNION ALL
-    SELECT 'second', 0, 0, 0, count(*) FILTER (WHERE NOT bad), CAST(sum(k) FILTER (WHERE NOT bad) AS BIGINT) FROM typed""",
+    UNION ALL SELECT 'second run', 0, 0, 0, NULL
+    UNION ALL SELECT 'table', NULL, count(*) FILTER (WHERE NOT bad), NULL,
+                     CAST(sum(k) FILTER (WHERE NOT bad) AS BIGINT) FROM typed""",
 )
 def ingest_twice(spark, sf_dir):
     """Every event object is new to the first run; the second finds nothing to do."""
     lake, name = Lake(scratch(spark)), _table_name("events")
     objects = _event_objects(spark, sf_dir)
     listing = table_listing(objects, "key", "content")
-    outcomes = []
-    for run in ("first", "second"):
-        log = ingest_objects(
+    first, second = (
+        ingest_objects(
             spark, lake, listing, objects, name, run, EVENT_OBJECT, path=f"{lake.root}/{name}"
-        )
-        outcomes.append(log.select(F.lit(run).alias("run"), "rows_in", "rows_written", "rows_rejected"))
-    written = spark.table(name).agg(F.count("*").alias("table_rows"), F.sum("k").alias("table_k"))
-    return outcomes[0].unionByName(outcomes[1]).crossJoin(F.broadcast(written))
+        ).select(F.lit(f"{run} run").alias("step"), "rows_in", "rows_written", "rows_rejected")
+        for run in ("first", "second")
+    )
+    written = spark.table(name).agg(F.count("*").alias("rows_written"), F.sum("k").alias("sum_k"))
+    return first.unionByName(second).unionByName(
+        written.withColumn("step", F.lit("table")), allowMissingColumns=True
+    )
 
 
 @query(

@@ -98,11 +98,13 @@ def with_short_arguments(
     NULL when the arguments are not a JSON object.
     """
     document = f"{name}__document"
-    value = "to_json(v)"
-    long = rf"""{value} RLIKE r'\A["\[{{]' AND {spaced_json_length(value)} > {above}"""
     short = text_literal(json.dumps(SHORTENED_VALUE))
     entries = f"try_variant_get({document}, '$', 'map<string,variant>')"
-    shortened = f"transform_values({entries}, (k, v) -> if({long}, {short}, {value}))"
+    texts = f"transform_values({entries}, (k, v) -> to_json(v))"
+    # Spacing at most doubles a text, so short ones need no closer look.
+    long = f"""2 * length(v) > {above} AND substring(v, 1, 1) IN ('"', '[', '{{')
+        AND {spaced_json_length('v')} > {above}"""
+    shortened = f"transform_values({texts}, (k, v) -> if({long}, {short}, v))"
     return (
         with_document(df, arguments, document).withColumn(name, F.expr(shortened)).drop(document)
     )

@@ -17,6 +17,11 @@ from lake_ingest.constants import (
 )
 
 
+def quoted(name: str) -> str:
+    """SQL identifier of a column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_literal(text: str) -> str:
     """SQL literal of a text."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lake_ingest.functions.keys import quoted, text_literal
 from lake_ingest.sources.loaders import CORRUPT_RECORD
 
 # Own choice: texts that mean "no value" when a loader names no others.
@@ -20,10 +21,42 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+# What a text must look like for Spark's cast to have a chance. The cast is the judge; the forms only
+# keep it from building an exception for each plainly unfit value, which takes some 50 times as long as
+# a conversion.
+_BLANKS = r"[\x00-\x20\x7f]*"
+_INTEGER = rf"\A{_BLANKS}[+-]?[0-9]+{_BLANKS}\z"
+_DECIMAL = rf"\A{_BLANKS}[+-]?\.?[0-9]"
+_FLOAT = rf"(?i)\A{_BLANKS}[+-]?(\.?[0-9]|inf|nan)"
+_BOOLEAN = rf"(?i)\A{_BLANKS}(t|true|f|false|y|yes|n|no|1|0){_BLANKS}\z"
+_FORMS = (
+    (T.IntegralType, _INTEGER),
+    (T.DecimalType, _DECIMAL),
+    ((T.FloatType, T.DoubleType), _FLOAT),
+    (T.BooleanType, _BOOLEAN),
+)
+
+
+def _conversion(column: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL that converts a column, giving NULL where that fails."""
+    if source == target:
+        return column
+    cast = f"try_cast({column} AS {target.simpleString()})"
+    forms = [form for kinds, form in _FORMS if isinstance(target, kinds)]
+    if isinstance(source, T.StringType) and forms:
+        return f"CASE WHEN {column} RLIKE r'{forms[0]}' THEN {cast} END"
+    return cast
+
+
 def convert_types(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Exactly the columns of ``schema``; a value that does not convert becomes NULL."""
     return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name, metadata=f.metadata) for f in _struct(schema)]
+        *[
+            F.expr(_conversion(quoted(f.name), df.schema[f.name].dataType, f.dataType)).alias(
+                f.name, metadata=f.metadata
+            )
+            for f in _struct(schema)
+        ]
     )
 
 
@@ -53,9 +86,54 @@ def missing_values(
     return df.withColumns(cleaned)
 
 
-def _unparsable(field: T.StructField) -> Column:
-    value = F.col(field.name)
-    return value.isNotNull() & value.try_cast(field.dataType).isNull()
+class Conformed:
+    """Rows with their converted values beside them, and the names of the columns that failed.
+
+    Each value is converted once, for the test and for the result alike.
+    """
+
+    def __init__(self, df: DataFrame, schema: T.StructType | str):
+        self.columns, self.fields = df.columns, _struct(schema).fields
+        converted = {
+            self._hidden(f): F.expr(_conversion(quoted(f.name), df.schema[f.name].dataType, f.dataType))
+            for f in self.fields
+        }
+        failed = [
+            f"CASE WHEN {quoted(f.name)} IS NOT NULL AND {quoted(self._hidden(f))} IS NULL "
+            f"THEN {text_literal(f.name)} END"
+            for f in self.fields
+        ]
+        if CORRUPT_RECORD in df.columns:
+            failed.append(f"CASE WHEN {CORRUPT_RECORD} IS NOT NULL THEN '{CORRUPT_RECORD}' END")
+        rejected = F.expr(f"array_compact(array({', '.join(failed)}))")
+        self.rows = df.withColumns(converted).withColumn(REJECTED, rejected)
+
+    @staticmethod
+    def _hidden(field: T.StructField) -> str:
+        return f"_converted_{field.name}"
+
+    def observe(self, observation: Observation) -> Conformed:
+        """The same rows, counted as they pass: ``rows`` and, among them, ``rejected``."""
+        self.rows = self.rows.observe(
+            observation,
+            F.expr("count(*) AS rows"),
+            F.expr(f"count_if(size({REJECTED}) > 0) AS rejected"),
+        )
+        return self
+
+    def good(self) -> DataFrame:
+        """Converted rows without a failure, in the columns of the schema."""
+        return self.rows.where(f"size({REJECTED}) = 0").select(
+            *[F.col(quoted(self._hidden(f))).alias(f.name, metadata=f.metadata) for f in self.fields]
+        )
+
+    def flagged(self) -> DataFrame:
+        """All rows as they came, with ``rejected_columns``."""
+        return self.rows.select(*map(quoted, self.columns), REJECTED)
+
+    def rejected(self) -> DataFrame:
+        """Rows with a failure, as they came, with ``rejected_columns``."""
+        return self.flagged().where(f"size({REJECTED}) > 0")
 
 
 def flag_rejects(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -63,14 +141,10 @@ def flag_rejects(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 
     A record the reader could not parse at all counts by its ``_corrupt_record`` column.
     """
-    names = [F.when(_unparsable(f), F.lit(f.name)) for f in _struct(schema)]
-    if CORRUPT_RECORD in df.columns:
-        names.append(F.when(F.col(CORRUPT_RECORD).isNotNull(), F.lit(CORRUPT_RECORD)))
-    return df.withColumn(REJECTED, F.array_compact(F.array(*names)))
+    return Conformed(df, schema).flagged()
 
 
 def quarantine(df: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
     """Converted good rows, and the rejected rows unconverted with ``rejected_columns``."""
-    flagged = flag_rejects(df, schema)
-    good = convert_types(flagged.where(F.size(REJECTED) == 0), schema)
-    return good, flagged.where(F.size(REJECTED) > 0)
+    conformed = Conformed(df, schema)
+    return conformed.good(), conformed.rejected()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lake_ingest.functions.keys import text_literal
+from lake_ingest.functions.keys import quoted, text_literal
 
 # Types a text is tested for, in this order, with the form the text must show besides converting, so
 # that '1.5' is no integer and '20240101' no date. A wall-clock text must not fail in a DST gap of the
@@ -51,14 +51,10 @@ def _is_text(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.StringType)
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _value(field: T.StructField) -> str:
     # Adding zero makes -0.0 the value it equals.
     plus = " + 0" if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else ""
-    return _quoted(field.name) + plus
+    return quoted(field.name) + plus
 
 
 def _struct(**members: str) -> str:
@@ -87,7 +83,7 @@ def _sketched(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
             row |= {"distinct_count": "CAST(NULL AS bigint)"}
             row |= {bound: "CAST(NULL AS string)" for bound in ("min_value", "max_value")}
         if _is_text(field):
-            inputs.append(f"{_kind(_quoted(field.name))} AS kind{i}")
+            inputs.append(f"{_kind(quoted(field.name))} AS kind{i}")
             aggregates += [f"count_if(kind{i} = {k}) AS {n}{i}" for k, (n, _, _) in enumerate(_KINDS)]
         row |= {n: f"{n}{i}" if _is_text(field) else "0L" for n, _, _ in _KINDS}
         rows.append(_struct(**row))
@@ -105,7 +101,7 @@ def _exact(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
         _struct(
             position=str(i),
             value=f"CAST({_value(f)} AS string)" if _is_ordered(f) else "CAST(NULL AS string)",
-            present=f"{_quoted(f.name)} IS NOT NULL",
+            present=f"{quoted(f.name)} IS NOT NULL",
         )
         for i, f in enumerate(fields)
     ]

@@ -44,16 +44,15 @@ def run_row(
     return spark.createDataFrame([row], schemas.RUN_LOG)
 
 
-def not_executed_rows(state: DataFrame) -> DataFrame:
-    """One row per saved but not executed ingestion."""
-    unknown = {"rows_in": "bigint", "rows_written": "bigint", "rows_rejected": "bigint"}
-    return state.where("NOT execution_performed").select(
-        F.col("proposal_id").alias("run_id"),
+def not_executed_rows(saves: DataFrame, saved_at: datetime) -> DataFrame:
+    """One row per save ``(ingestion_id, source_key, target_table)``, which nobody has executed yet."""
+    return saves.select(
+        F.col("ingestion_id").alias("run_id"),
         "source_key",
         "target_table",
         F.lit(NOT_EXECUTED).alias("status"),
-        *[F.lit(None).cast(t).alias(c) for c, t in unknown.items()],
-        F.lit(None).cast("timestamp").alias("started_at"),
-        F.col("processed_at").alias("finished_at"),
+        *[F.expr(f"CAST(NULL AS bigint) AS {c}") for c in ("rows_in", "rows_written", "rows_rejected")],
+        F.expr("CAST(NULL AS timestamp) AS started_at"),
+        F.lit(saved_at).alias("finished_at"),
         F.lit("The source loader was generated and saved for review.").alias("message"),
     )

@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 
 from lake_ingest import schemas
 from lake_ingest.constants import SUCCESS_STATUS
+from lake_ingest.functions.keys import quoted
 from lake_ingest.functions.text import decode_lossy
 from lake_ingest.operators import runlog
 from lake_ingest.operators.conform import (
     NULL_TOKENS,
     REJECTED,
-    convert_types,
-    flag_rejects,
+    Conformed,
     missing_values,
 )
 from lake_ingest.operators.discovery import discover
@@ -71,19 +71,17 @@ def write_conformed(
         return {"rows_in": n, "rows_written": n, "rows_rejected": 0}
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    flagged = flag_rejects(missing_values(rows, null_tokens, columns=schema.names), schema)
-    bad = F.size(REJECTED) > 0
-    passing = flagged.observe(counts, F.count("*").alias("rows"), F.count_if(bad).alias("bad"))
-    create_or_append(convert_types(passing.where(~bad), schema), target_table, **options)
-    total, rejected = counts.get["rows"], counts.get["bad"]
+    cleaned = missing_values(rows, null_tokens, columns=schema.names)
+    passing = Conformed(cleaned, schema).observe(counts).good()
+    create_or_append(passing, target_table, **options)
+    total, rejected = counts.get["rows"], counts.get["rejected"]
     if rejected:
-        source = F.lit(None).cast("string") if key is None else F.col(key)
+        source = "CAST(NULL AS string)" if key is None else quoted(key)
+        record = f"to_json(struct({', '.join(map(quoted, rows.columns))})) AS record"
         write_batch(
-            flagged.where(bad).select(
-                source.alias("source_key"),
-                REJECTED,
-                F.to_json(F.struct(*rows.columns)).alias("record"),
-            ),
+            Conformed(cleaned, schema)
+            .rejected()
+            .selectExpr(f"{source} AS source_key", REJECTED, record),
             lake.rejects,
             batch,
         )

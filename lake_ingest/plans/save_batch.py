@@ -142,12 +142,11 @@ def save_batch(
         batch,
     )
     write_batch(artifact_rows(saves, lake.raw_prefix), lake.artifacts, batch)
+    write_batch(not_executed_rows(saves, processed_at), lake.runs, batch)
 
     keys_only = saves.drop(*[c for c in REQUIRED if c != "target_table"])
     verified = verified_saves(spark, lake, batch, keys_only)
-    records = state_records(verified, lake, processed_at)
-    write_batch(not_executed_rows(records), lake.runs, batch)
-    write_batch(records, lake.state, batch)
+    write_batch(state_records(verified, lake, processed_at), lake.state, batch)
 
     accepted = read_batch(spark, lake.state, batch, schemas.STATE)
     unverified = saves.join(

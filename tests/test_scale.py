@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lake_ingest.operators import discovery, profiling, sampling, state, validate
+from lake_ingest.operators.tables import write_batch
 from lake_ingest.session import DEFAULTS, build_session, rest_catalog_conf, shared_dir
 from tests.conftest import SF_DIR, rows
 
@@ -45,6 +46,16 @@ def test_discovery_of_a_hot_key_without_broadcast(spark, hot, no_broadcast):
     assert found.count() == 30_000 and found.where("previously_seen").count() == 10_000 + hot.where("key = 'k1'").count()
 
 
+def test_state_is_partitioned_once_for_reading_and_joining(spark, hot, no_broadcast, tmp_path):
+    records = hot.selectExpr(
+        "key AS source_key", "'success' AS status", "etag", "timestamp_seconds(at) AS processed_at", "'x' AS proposal_id"
+    )
+    write_batch(records, str(tmp_path / "state"), "one")
+    listing = hot.selectExpr("key", "'in' AS bucket", "at AS size", "etag", "CAST(NULL AS timestamp) AS last_modified")
+    plan = _plan(discovery.discover(listing, state.load_state(spark, str(tmp_path / "state"))))
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
 def test_semi_and_anti_joins_partition_hot_proposals(spark, hot, no_broadcast):
     proposals = hot.withColumnRenamed("key", "source_key")
     present, gone = validate.split_by_source(proposals, spark.createDataFrame([("hot",)] * 3, "key string"))
@@ -87,7 +98,7 @@ def test_no_hidden_driver_or_machine_local_steps():
 
     for file in pathlib.Path(lake_ingest.__file__).parent.rglob("*.py"):
         source = file.read_text()
-        for banned in ("localCheckpoint", ".rdd", "toPandas", ".collect()"):
+        for banned in ("localCheckpoint", ".rdd", "toPandas", "crossJoin", "broadcast(", ".collect()"):
             if banned == ".collect()" and file.name == "fixtures.py":
                 continue
             assert banned not in source, (file, banned)
