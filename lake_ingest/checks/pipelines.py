@@ -215,13 +215,15 @@ def artifact_rows(spark, sf_dir):
 
 
 def _proposals(spark, sf_dir):
-    """A proposal per document; some name another source, some lack a text."""
+    """A proposal per document; some name another source, some have no loader or lack a text."""
     documents = table(spark, sf_dir, "documents").withColumn("source_key", F.expr(DOCUMENT_KEY))
     named = F.when(F.col("source") == "src5", "elsewhere").otherwise(F.col("source_key"))
     return documents.select(
         "source_key",
         F.when(F.col("n_chars") < 300, " \n").otherwise(F.concat(F.lit("Inspect "), "source_key")).alias("prompt"),
-        F.lit("def load_data(spark, source_path):\n    return spark.read.text(source_path)\n").alias("source_loader"),
+        F.when(F.col("source") == "src7", "def load_data(path):\n    pass\n")
+        .otherwise("def load_data(spark, source_path):\n    return spark.read.text(source_path)\n")
+        .alias("source_loader"),
         F.format_string('{"source_key": "%s", "dependencies": ["numpy"]}', named).alias("profile"),
         F.concat(F.lit("Language: "), "lang").alias("semantic_metadata"),
         F.lit("Load as text.").alias("proposal"),
@@ -232,7 +234,7 @@ def _proposals(spark, sf_dir):
 SQL_OUTCOMES = f"""{SQL_DOCUMENT_LISTING},
 outcomes AS (
   SELECT o.key AS source_key, CASE WHEN d.source = 'src5' THEN 'SOURCE_KEY_MISMATCH'
-         WHEN d.n_chars < 300 THEN 'MISSING_TEXT' WHEN d.lang = 'es' THEN 'SOURCE_MISSING'
+         WHEN d.source = 'src7' THEN 'INVALID_LOADER' WHEN d.n_chars < 300 THEN 'MISSING_TEXT' WHEN d.lang = 'es' THEN 'SOURCE_MISSING'
          ELSE 'artifacts_saved' END AS outcome, o.etag, 'texts.' || d.lang AS target_table
   FROM objects o JOIN documents d ON d.doc_id = o.doc_id)"""
 

@@ -92,6 +92,11 @@ def import_documents(documents: DataFrame, body: str) -> DataFrame:
     )
 
 
+def record_lines(state: DataFrame) -> DataFrame:
+    """One JSON text per record, for export with ``write.text``. No single document is built."""
+    return state.selectExpr("to_json(struct(*)) AS value")
+
+
 def import_state_file(spark: SparkSession, path: str) -> DataFrame:
     """State rows of one JSON state file, such as an earlier system left behind."""
     return import_documents(spark.read.text(path, wholetext=True), "value")

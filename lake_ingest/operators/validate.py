@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ast
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lake_ingest.constants import PACKAGE_NAME
 from lake_ingest.functions.documents import with_document
@@ -58,6 +62,34 @@ def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame
     )
 
 
+@F.pandas_udf(T.BooleanType())
+def _is_loader(scripts: pd.Series) -> pd.Series:
+    def accepted(script):
+        try:
+            body = ast.parse(script or "").body
+        except (SyntaxError, ValueError, RecursionError):
+            return False
+        signatures = []
+        for node in body:
+            if isinstance(node, ast.FunctionDef) and node.name == "load_data":
+                # Annotations and defaults are free.
+                for argument in node.args.args:
+                    argument.annotation = None
+                node.args.defaults = []
+                signatures.append(ast.unparse(node.args))
+        return signatures == ["spark, source_path"]
+
+    return scripts.map(accepted)
+
+
+def is_loader_script(script: str) -> Column:
+    """True when a Python text parses and defines one top-level ``load_data(spark, source_path)``.
+
+    The text is looked at, never run.
+    """
+    return _is_loader(F.col(script))
+
+
 def check_dataset(df) -> DataFrame:
     """The DataFrame itself, if it is one and has a column. Runs nothing; no rows is fine."""
     if not isinstance(df, DataFrame):

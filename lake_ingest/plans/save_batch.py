@@ -17,7 +17,7 @@ from lake_ingest.operators.artifacts import artifact_rows, expected_keys, ingest
 from lake_ingest.operators.listing import combine_part_hashes
 from lake_ingest.operators.runlog import not_executed_rows
 from lake_ingest.operators.tables import read_batch, write_batch
-from lake_ingest.operators.validate import missing_keys, validate_profiles
+from lake_ingest.operators.validate import is_loader_script, missing_keys, validate_profiles
 from lake_ingest.plans.lake import Lake
 
 # Columns of a proposal; all but the key must hold text.
@@ -60,11 +60,14 @@ def check_proposals(
         "size",
         F.col("last_modified").cast("timestamp").alias("last_modified"),
     )
-    checked = validate_profiles(identified, "profile", "source_key").join(
-        sources, "source_key", "left"
+    checked = (
+        validate_profiles(identified, "profile", "source_key")
+        .withColumn("_loader", is_loader_script("source_loader"))
+        .join(sources, "source_key", "left")
     )
     error = """CASE
         WHEN verdict <> 'OK' THEN verdict
+        WHEN NOT _loader THEN 'INVALID_LOADER'
         WHEN NOT _complete THEN 'MISSING_TEXT'
         WHEN etag IS NULL THEN 'SOURCE_MISSING'
         WHEN _name = '' THEN 'NO_FILE_NAME' END"""
@@ -76,7 +79,7 @@ def check_proposals(
                 "raw_location": raw_location("source_key", "ingestion_id", prefix),
             }
         )
-        .drop("verdict", "_complete", "_name")
+        .drop("verdict", "_loader", "_complete", "_name")
     )
 
 

@@ -102,6 +102,7 @@ def test_rejects_name_the_first_failing_check(spark, put, tmp_path):
             _proposal("b.json", prompt="  \n"),
             _proposal("c.json", profile="[1]", prompt=""),
             _proposal("gone.json"),
+            ("d.json", "p", "def load(): pass", json.dumps({"source_key": "d.json"}), "m", " ", "t"),
         ),
         listing,
         file_parts(root),
@@ -110,7 +111,8 @@ def test_rejects_name_the_first_failing_check(spark, put, tmp_path):
     )
     assert rows(result.accepted, "source_key") == [("a.json",)]
     assert rows(result.rejected) == [
-        ("b.json", "MISSING_TEXT"), ("c.json", "NOT_OBJECT"), ("gone.json", "SOURCE_MISSING"),
+        ("b.json", "MISSING_TEXT"), ("c.json", "NOT_OBJECT"), ("d.json", "INVALID_LOADER"),
+        ("gone.json", "SOURCE_MISSING"),
     ]
     assert rows(read_table(spark, lake.runs, schemas.RUN_LOG), "source_key", "status") == [
         ("a.json", "NOT EXECUTED")

@@ -39,6 +39,11 @@ def test_latest_record_wins_across_batches(spark, tmp_path):
     ]
 
 
+def test_record_lines(spark):
+    (line,) = state.record_lines(_records(spark, ("a", "success", "1", 1))).collect()
+    assert '"source_key":"a"' in line.value and '"status":"success"' in line.value
+
+
 def test_repeated_batch_replaces_itself_only(spark, tmp_path):
     table = str(tmp_path / "state")
     for _ in range(2):

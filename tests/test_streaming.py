@@ -43,6 +43,7 @@ def test_proposals_are_saved_as_they_arrive(spark, put, tmp_path):
     for key in ("a.json", "b.json"):
         profile = json.dumps({"source_key": key})
         texts = dict.fromkeys(("prompt", "source_loader", "semantic_metadata", "proposal", "target_table"), "x")
+        texts["source_loader"] = "def load_data(spark, source_path): pass"
         (inbox / f"{key}l").write_text(json.dumps({"source_key": key, "profile": profile, **texts}))
         save_new_proposals(
             spark,

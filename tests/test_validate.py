@@ -44,6 +44,30 @@ def test_profile_verdicts(spark):
     assert found[1].dependencies == [] and found[4].dependencies is None
 
 
+LOADERS = [
+    ("def load_data(spark, source_path):\n    return 1", True),
+    ("import x\ndef load_data(spark: object, source_path='p') -> int:\n    return 1\ndef other(): pass", True),
+    ("", False),
+    (None, False),
+    ("def load_data(spark, source_path)", False),
+    ("def load_data(spark, path): pass", False),
+    ("def load_data(spark, source_path, /): pass", False),
+    ("def load_data(spark, source_path, *rest): pass", False),
+    ("def load_data(spark, source_path, *, more=1): pass", False),
+    ("def load_data(spark, source_path, **more): pass", False),
+    ("async def load_data(spark, source_path): pass", False),
+    ("class A:\n    def load_data(spark, source_path): pass", False),
+    ("def load_data(spark, source_path): pass\n" * 2, False),
+    ("load_data = lambda spark, source_path: 1", False),
+]
+
+
+def test_loader_scripts(spark):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(LOADERS)], "i int, script string")
+    found = df.select("i", validate.is_loader_script("script").alias("ok")).orderBy("i").collect()
+    assert [r.ok for r in found] == [ok for _, ok in LOADERS]
+
+
 def test_split_by_source_keeps_every_proposal_once(spark):
     proposals = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "source_key string, n int")
     listing = spark.createDataFrame([("a",), ("a",), ("c",)], "key string")
