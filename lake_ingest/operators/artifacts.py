@@ -71,6 +71,11 @@ def artifact_rows(saves: DataFrame, prefix: str = RAW_PREFIX) -> DataFrame:
     ).select("ingestion_id", F.expr(f"inline(array({', '.join(structs)}))"))
 
 
+def _measures() -> dict[str, Column]:
+    """Length and hash of a part, noted beside it so that checks need not read the content again."""
+    return {"bytes": F.expr("CAST(octet_length(content) AS bigint)"), "part_md5": F.md5("content")}
+
+
 def table_parts(contents: DataFrame, part_bytes: int = PART_BYTES):
     """Reader of raw parts for objects whose whole content is a column: ``contents(key, content)``."""
 
@@ -86,7 +91,7 @@ def table_parts(contents: DataFrame, part_bytes: int = PART_BYTES):
             contents.selectExpr("key AS source_key", "CAST(content AS binary) AS _raw")
             .join(saves.select(*kept), "source_key")
             .select(*kept, F.expr(f"inline_outer({parts})"))
-            .withColumn("part_md5", F.md5("content"))
+            .withColumns(_measures())
         )
 
     return read_parts
@@ -125,7 +130,7 @@ def file_parts(root: str, part_bytes: int = PART_BYTES, tasks: int | None = None
             ]
         )
         work = spread(split_into_parts(wanted, part_bytes), tasks, "ingestion_id", "part")
-        fields = schemas.RAW_PARTS.removesuffix(", part_md5 string")
-        return work.mapInArrow(copy, fields).withColumn("part_md5", F.md5("content"))
+        fields = schemas.RAW_PARTS.removesuffix(", bytes bigint, part_md5 string")
+        return work.mapInArrow(copy, fields).withColumns(_measures())
 
     return read_parts

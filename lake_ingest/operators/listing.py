@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,13 +100,17 @@ def content_etag(content: str, smallest: int = PART_BYTES) -> Column:
     )
 
 
-def combine_part_hashes(parts: DataFrame, *keys: str) -> DataFrame:
-    """Fingerprint per object from ``(part, part_md5)`` rows; 10,000 parts bound each group."""
+def combine_part_hashes(parts: DataFrame, keys: Sequence[str], *figures: Column) -> DataFrame:
+    """Fingerprint per object from ``(part, part_md5)`` rows; 10,000 parts bound each group.
+
+    ``figures`` are further aggregates to take along.
+    """
     ordered = "array_sort(collect_list(named_struct('part', part, 'md5', part_md5)))"
     return (
         parts.groupBy(*keys)
-        .agg(F.expr(f"transform({ordered}, p -> p.md5) AS _digests"))
-        .select(*keys, F.expr(f"{_multipart_etag('_digests')} AS etag"))
+        .agg(F.expr(f"transform({ordered}, p -> p.md5) AS _digests"), *figures)
+        .withColumn("etag", F.expr(_multipart_etag("_digests")))
+        .drop("_digests")
     )
 
 
@@ -135,7 +141,7 @@ def fingerprint(
         [*parts.select(*carried).schema.fields, T.StructField("part_md5", T.StringType())]
     )
     hashes = spread(parts, tasks, "key", "part").mapInArrow(hash_parts, hashed_schema)
-    return combine_part_hashes(hashes, *listing.columns)
+    return combine_part_hashes(hashes, listing.columns)
 
 
 def fingerprint_changed(

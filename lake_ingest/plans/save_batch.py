@@ -104,17 +104,19 @@ def state_records(saves: DataFrame, lake: Lake, processed_at: datetime) -> DataF
 
 
 def verified_saves(spark: SparkSession, lake: Lake, batch: str, saves: DataFrame) -> DataFrame:
-    """Saves whose seven keys are all stored, with the ``etag`` of the bytes actually stored."""
+    """Saves whose seven keys and all bytes are stored, with the ``etag`` of the bytes stored."""
     raw = read_batch(spark, lake.raw, batch, schemas.RAW_PARTS)
     artifacts = read_batch(spark, lake.artifacts, batch, schemas.ARTIFACTS)
     stored = raw.where("part = 0").select(F.col("raw_location").alias("key")).unionByName(
         artifacts.select("key")
     )
     incomplete = missing_keys(expected_keys(saves, lake.raw_prefix), stored)
-    hashes = combine_part_hashes(raw.select("ingestion_id", "part", "part_md5"), "ingestion_id")
+    copies = combine_part_hashes(raw, ["ingestion_id"], F.sum("bytes").alias("_stored"))
     return (
         saves.drop("etag")
-        .join(hashes, "ingestion_id")
+        .join(copies, "ingestion_id")
+        .where("size = _stored")
+        .drop("_stored")
         .join(incomplete.select("ingestion_id"), "ingestion_id", "left_anti")
     )
 

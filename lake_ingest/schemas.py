@@ -18,7 +18,7 @@ STATE_RECORD = (
 
 RAW_PARTS = (
     "ingestion_id string, source_key string, raw_location string, part bigint, start_byte bigint, "
-    "content binary, part_md5 string"
+    "content binary, bytes bigint, part_md5 string"
 )
 
 ARTIFACTS = "ingestion_id string, kind string, key string, content_type string, body string"

@@ -164,6 +164,25 @@ def test_lost_bytes_are_not_committed(spark, put, tmp_path):
     assert rows(result.rejected) == [("b", "NOT_VERIFIED")]
 
 
+def test_a_lost_part_is_not_committed(spark, put, tmp_path):
+    for key in ("a", "b"):
+        root = put(key, key * 40)
+    lake = Lake(str(tmp_path / "lake"))
+    listing = fingerprint(list_objects(spark, root), root, smallest=16)
+    reader = file_parts(root, 16)
+    result = save_batch(
+        spark,
+        lake,
+        _proposals(spark, _proposal("a"), _proposal("b")),
+        listing,
+        lambda saves: reader(saves).where("source_key <> 'b' OR part <> 1"),
+        "r1",
+        _at(1),
+    )
+    assert rows(result.accepted, "source_key", "etag") == rows(listing.where("key = 'a'"), "key", "etag")
+    assert rows(result.rejected) == [("b", "NOT_VERIFIED")]
+
+
 def test_failed_run_is_logged_and_raised(spark, put, tmp_path, table_name):
     root = put("bad.json", '{"a": 1}')
     lake = Lake(str(tmp_path / "lake"))
