@@ -274,5 +274,5 @@ def shorten_args(spark, sf_dir):
     )
     arguments = table(spark, sf_dir, "conversations").select("conv_id", "turn", body.alias("body"))
     return docs.with_short_arguments(arguments, "body").select(
-        "conv_id", "turn", F.explode("short_arguments").alias("name", "value")
+        "conv_id", "turn", F.explode_outer("short_arguments").alias("name", "value")
     )

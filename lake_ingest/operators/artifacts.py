@@ -35,8 +35,11 @@ def ingestion_id(*parts: str) -> Column:
 
 def expected_keys(saves: DataFrame, prefix: str = RAW_PREFIX) -> DataFrame:
     """Seven rows ``(ingestion_id, source_key, kind, key, content_type)`` per save."""
+    # A column first: inside a generator, parts the seven keys share would be computed seven times.
     keys = destination_keys("source_key", "ingestion_id", prefix)
-    return saves.select("ingestion_id", "source_key", F.inline(keys))
+    return saves.select("ingestion_id", "source_key", keys.alias("_keys")).select(
+        "ingestion_id", "source_key", F.inline_outer("_keys")
+    )
 
 
 @F.pandas_udf(T.StringType())

@@ -114,17 +114,22 @@ def combine_part_hashes(parts: DataFrame, keys: Sequence[str], *figures: Column)
     )
 
 
-def fingerprint(
-    listing: DataFrame, root: str, smallest: int = PART_BYTES, tasks: int | None = None
+def _fingerprint(
+    listing: DataFrame, root: str, smallest: int, tasks: int | None
 ) -> DataFrame:
-    """Listing with the ``etag`` of each file's content, hashed in parts by many tasks."""
+    """Listing, with ``_known`` fingerprints where there is nothing to read, to listing with ``etag``.
+
+    The listing is used once, so that it is one and the same for all files.
+    """
+    carried = [*(c for c in listing.columns if c != "_known"), "part"]
 
     def hash_parts(batches):
         store, base = open_store(root)
         for batch in batches:
             digests = [
-                hash_range(store, join(base, key), start, length)
-                for key, start, length in zip(
+                known or hash_range(store, join(base, key), start, length)
+                for known, key, start, length in zip(
+                    batch["_known"].to_pylist(),
                     batch["key"].to_pylist(),
                     batch["start_byte"].to_pylist(),
                     batch["length"].to_pylist(),
@@ -135,13 +140,24 @@ def fingerprint(
                 [*kept, pa.array(digests, pa.string())], names=[*carried, "part_md5"]
             )
 
-    parts = split_into_parts(listing, smallest)
-    carried = [*listing.columns, "part"]
+    # A known file counts as empty: it gets a single part, and the hash of that is what is known.
+    work = listing.withColumns(
+        {"_size": F.col("size"), "size": F.expr("if(_known IS NULL, size, 0L)")}
+    )
+    parts = split_into_parts(work, smallest).withColumn("size", F.col("_size")).drop("_size")
     hashed_schema = T.StructType(
         [*parts.select(*carried).schema.fields, T.StructField("part_md5", T.StringType())]
     )
     hashes = spread(parts, tasks, "key", "part").mapInArrow(hash_parts, hashed_schema)
-    return combine_part_hashes(hashes, listing.columns)
+    return combine_part_hashes(hashes, carried[:-1])
+
+
+def fingerprint(
+    listing: DataFrame, root: str, smallest: int = PART_BYTES, tasks: int | None = None
+) -> DataFrame:
+    """Listing with the ``etag`` of each file's content, hashed in parts by many tasks."""
+    unknown = F.lit(None).cast("string")
+    return _fingerprint(listing.withColumn("_known", unknown), root, smallest, tasks)
 
 
 def fingerprint_changed(
@@ -160,9 +176,7 @@ def fingerprint_changed(
         F.col("source_key").alias("key"),
         F.col("source_size").alias("size"),
         F.col("source_modified").alias("last_modified"),
-        "etag",
+        F.col("etag").alias("_known"),
     )
-    same = ["key", "size", "last_modified"]
-    untouched = listing.join(known, same)
-    suspects = listing.join(known, same, "left_anti")
-    return untouched.unionByName(fingerprint(suspects, root, smallest, tasks))
+    marked = listing.join(known, ["key", "size", "last_modified"], "left")
+    return _fingerprint(marked, root, smallest, tasks).select(*listing.columns, "etag")

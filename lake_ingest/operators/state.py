@@ -70,9 +70,11 @@ def import_documents(documents: DataFrame, body: str) -> DataFrame:
            CAST(raise_error(error) AS map<string,variant>)),
         (k, v) -> NOT is_variant_null(v))"""
     record = f"try_variant_get(value, '$', '{schemas.STATE_RECORD}') AS r"
+    # explode would add a filter that computes the map a second time.
     return (
         _parse_documents(documents, body)
-        .selectExpr("version", f"explode({entries})")
+        .selectExpr("version", f"explode_outer({entries})")
+        .where("key IS NOT NULL")
         .selectExpr("version", "key AS source_key", record)
         .select(
             "source_key",

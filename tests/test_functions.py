@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lake_ingest.functions import documents, keys, text
+from lake_ingest.operators.artifacts import ingestion_id
 
 
 def _apply(spark, values, type_name, expression):
@@ -38,6 +39,14 @@ def test_destination_keys(spark):
     ]
 
 
+def test_ingestion_id_is_a_uuid_text_of_its_parts(spark):
+    import uuid
+
+    df = spark.createDataFrame([("a", "b"), ("ab", "")], "x string, y string")
+    first, second = [r[0] for r in df.select(ingestion_id("x", "y")).collect()]
+    assert str(uuid.UUID(first)) == first and first != second
+
+
 def test_normalize_etag(spark):
     assert _apply(spark, ['"abc"', "abc", None, '""'], "string", keys.normalize_etag("v")) == [
         "abc", "abc", "", "",
