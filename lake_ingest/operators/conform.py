@@ -26,7 +26,7 @@ def _struct(schema: T.StructType | str) -> T.StructType:
 # a conversion.
 _BLANKS = r"[\x00-\x20\x7f]*"
 _INTEGER = rf"\A{_BLANKS}[+-]?[0-9]+{_BLANKS}\z"
-_DECIMAL = rf"\A{_BLANKS}[+-]?\.?[0-9]"
+_DECIMAL = rf"\A{_BLANKS}[+-]?\.?\p{{Nd}}"
 _FLOAT = rf"(?i)\A{_BLANKS}[+-]?(\.?[0-9]|inf|nan)"
 _BOOLEAN = rf"(?i)\A{_BLANKS}(t|true|f|false|y|yes|n|no|1|0){_BLANKS}\z"
 _FORMS = (

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from lake_ingest import schemas
 from lake_ingest.constants import DONE_STATUSES
 from lake_ingest.functions.documents import with_document
-from lake_ingest.operators.tables import BATCH, read_table
+from lake_ingest.operators.tables import (
+    BATCH,
+    batch_folders,
+    drop_folders,
+    read_table,
+    write_batch,
+)
 
 
 def latest(log: DataFrame, key: str, *newest_first: str | Column) -> DataFrame:
@@ -34,6 +40,19 @@ def load_state(spark: SparkSession, table: str, without_batch: str | None = None
     return latest(log, "source_key", "processed_at", "proposal_id").drop(BATCH)
 
 
+def compact_state(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Replace all batches of the log by one with the latest record per key.
+
+    The old folders go only after the new one is complete, and until then both say the same, so it may
+    be interrupted. It is not to run while an ingestion reads the log.
+    """
+    old = batch_folders(spark, table)
+    if any(folder.endswith(f"={batch_id}") for folder in old):
+        raise ValueError(f"batch exists: {batch_id}")
+    write_batch(load_state(spark, table), table, batch_id)
+    drop_folders(spark, old)
+
+
 def status_groups(state: DataFrame) -> DataFrame:
     """Number of records per status, marked as done or pending."""
     done = F.col("status").isin(*DONE_STATUSES)

@@ -36,7 +36,27 @@ def read_table(spark: SparkSession, table: str, schema: str) -> DataFrame:
     Only a missing folder counts as empty, every other failure is raised.
     """
     full = T.StructType.fromDDL(f"{schema}, {BATCH} string")
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not batch_folders(spark, table):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(table)
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as it names it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def batch_folders(spark: SparkSession, table: str) -> list[str]:
+    """Folders of the batches written so far, none when there is no table."""
+    files, path = _files(spark, table)
+    if not files.exists(path):
+        return []
+    found = [status.getPath() for status in files.listStatus(path)]
+    return [str(p.toString()) for p in found if p.getName().startswith(f"{BATCH}=")]
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        files, path = _files(spark, folder)
+        files.delete(path, True)

@@ -26,7 +26,8 @@ def stream_files(
     """Hand all files not seen before to ``sink(rows, batch_id)``, then stop.
 
     Spark knows a file by its path: one whose content changed is not read again. Such files are found
-    by ``operators.discovery.discover`` over a fingerprinted listing.
+    by ``operators.discovery.discover`` over a fingerprinted listing. The option ``maxFilesPerTrigger``
+    cuts a long backlog into several batches.
     """
     return (
         spark.readStream.format(fmt)

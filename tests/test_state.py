@@ -44,6 +44,20 @@ def test_record_lines(spark):
     assert '"source_key":"a"' in line.value and '"status":"success"' in line.value
 
 
+def test_compacted_log_says_the_same(spark, tmp_path):
+    table = str(tmp_path / "state")
+    write_batch(_records(spark, ("a", "failed", "1", 1), ("b", "failed", "1", 1)), table, "one")
+    write_batch(_records(spark, ("a", "success", "2", 2)), table, "two")
+    before = rows(state.load_state(spark, table), "source_key", "status", "etag")
+    state.compact_state(spark, table, "compact")
+    assert rows(state.load_state(spark, table), "source_key", "status", "etag") == before
+    assert [p.name for p in (tmp_path / "state").iterdir()] == ["batch_id=compact"]
+    with pytest.raises(ValueError):
+        state.compact_state(spark, table, "compact")
+    write_batch(_records(spark, ("b", "success", "2", 3)), table, "three")
+    assert rows(state.load_state(spark, table), "source_key", "status") == [("a", "success"), ("b", "success")]
+
+
 def test_repeated_batch_replaces_itself_only(spark, tmp_path):
     table = str(tmp_path / "state")
     for _ in range(2):
