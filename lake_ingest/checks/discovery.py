@@ -16,7 +16,12 @@ from lake_ingest.checks.fixtures import (
 )
 from lake_ingest.checks.registry import query, table
 from lake_ingest.functions.keys import iso_utc, normalize_etag
-from lake_ingest.operators.discovery import discover, discovery_summary, pick_pending
+from lake_ingest.operators.discovery import (
+    discover,
+    discovery_envelope,
+    discovery_summary,
+    pick_pending,
+)
 from lake_ingest.operators.listing import drop_markers, under_prefix
 from lake_ingest.operators.state import import_documents, latest, status_groups
 
@@ -94,6 +99,18 @@ def summary(spark, sf_dir):
     return discovery_summary(discovered_documents(spark, sf_dir))
 
 
+@query(
+    "discovery_envelope",
+    f"""WITH {SQL_DISCOVERED}
+    SELECT 'incoming' AS bucket, 'src3/en' AS prefix, 'lake' AS state_bucket, 'ingestion_state' AS state_key,
+           count(*) AS "count" FROM discovered WHERE starts_with(key, 'src3/en/')""",
+)
+def envelope(spark, sf_dir):
+    """Discovery below one folder."""
+    found = under_prefix(discovered_documents(spark, sf_dir), "src3/en")
+    return discovery_envelope(found, "incoming", "src3/en", "lake", "ingestion_state")
+
+
 @query(
     "pick_pending",
     f"""WITH {SQL_DISCOVERED}

@@ -19,7 +19,12 @@ from lake_ingest.checks.registry import query, scratch, table
 from lake_ingest.checks.validation import SQL_DESTINATIONS, page_saves
 from lake_ingest.operators import artifacts
 from lake_ingest.operators.conform import convert_types
-from lake_ingest.operators.listing import fingerprint, list_objects, table_listing
+from lake_ingest.operators.listing import (
+    fingerprint,
+    fingerprint_changed,
+    list_objects,
+    table_listing,
+)
 from lake_ingest.operators.sampling import sample_files
 from lake_ingest.operators.sink import create_or_append, register_views
 from lake_ingest.operators.tables import read_batch, read_table, write_batch
@@ -121,6 +126,24 @@ def fingerprint_files(spark, sf_dir):
     return fingerprint(listing, root, smallest=4096).select("key", "size", "etag")
 
 
+@query(
+    "fingerprint_changed",
+    f"""WITH {SQL_PAGE_FILES}
+    SELECT key, CAST(octet_length(raw) AS BIGINT) AS size,
+           CASE WHEN starts_with(key, 'en/') THEN 'kept ' || key ELSE md5(raw) END AS etag FROM files""",
+)
+def fingerprint_edited(spark, sf_dir):
+    """The state knows size and time of the English pages' files, so only the others are read."""
+    root, listing = _page_files(spark, sf_dir)
+    known = listing.where("key LIKE 'en/%'").select(
+        F.col("key").alias("source_key"),
+        F.concat(F.lit("kept "), "key").alias("etag"),
+        F.col("size").alias("source_size"),
+        F.col("last_modified").alias("source_modified"),
+    )
+    return fingerprint_changed(listing, known, root).select("key", "size", "etag")
+
+
 @query(
     "sample_files",
     f"""WITH {SQL_PAGE_FILES},

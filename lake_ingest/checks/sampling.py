@@ -25,7 +25,8 @@ CHUNK = 8192
            CAST(n AS BIGINT) AS bytes_read,
            CASE WHEN start_byte >= size THEN size ELSE start_byte + n END AS next_start_byte,
            start_byte + n >= size AS eof,
-           md5(array_slice(raw, start_byte + 1, start_byte + max_bytes)) AS content_md5
+           md5(array_slice(raw, start_byte + 1, start_byte + max_bytes)) AS content_md5,
+           CASE WHEN n > 0 THEN 1 END AS next_read_count
     FROM read""",
 )
 def read_range(spark, sf_dir):
@@ -49,6 +50,7 @@ def read_range(spark, sf_dir):
         "next_start_byte",
         "eof",
         F.md5("content").alias("content_md5"),
+        "next_read_count",
     )
 
 

@@ -9,6 +9,7 @@ from lake_ingest.checks.registry import query, table
 from lake_ingest.functions import documents as docs
 from lake_ingest.functions.text import has_text
 from lake_ingest.operators import artifacts, validate
+from lake_ingest.plans.save_batch import orphaned_artifacts
 
 # Profile texts by document; %s stands for the document's key.
 PROFILES = (
@@ -210,6 +211,48 @@ def verify_saved(spark, sf_dir):
     return validate.missing_keys(expected, stored).select("source_key", "kind", "key")
 
 
+@query(
+    "orphaned_artifacts",
+    f"""WITH {SQL_DESTINATIONS}
+    SELECT d.ingestion_id, d.kind, d.key FROM destinations d JOIN pages p ON p.page_id = d.page_id
+    WHERE d.kind <> 'source' AND octet_length(encode(p.html)) < 4000""",
+)
+def orphaned(spark, sf_dir):
+    """Artifacts of all pages, of which the small ones' saves never reached the state."""
+    saves = page_saves(spark, sf_dir)
+    large = table(spark, sf_dir, "pages").where(F.octet_length("html") >= 4000)
+    state = saves.join(large.select(F.col("url").alias("source_key")), "source_key", "left_semi")
+    stored = artifacts.expected_keys(saves).where("kind <> 'source'").select("ingestion_id", "kind", "key")
+    return orphaned_artifacts(stored, state.withColumnRenamed("ingestion_id", "proposal_id"))
+
+
+# Loader texts by document, and whether they have the interface; %s stands for the document's source.
+LOADERS = (
+    ("def load_data(spark, source_path):\n    return spark.read.text(source_path)  # %s\n", True),
+    ('"""%s"""\nimport json\n\ndef load_data(spark, source_path: str = ""):\n    pass\n', True),
+    ("def load_data(spark, path):\n    return '%s'\n", False),
+    ("def load_data(spark, source_path)  # %s", False),
+    ("def load_%s(spark, source_path): pass\n", False),
+    ("def load_data(spark, source_path, *, name='%s'): pass\n", False),
+    ("# %s\n", False),
+)
+
+
+@query(
+    "loader_scripts",
+    f"""SELECT doc_id, list_extract([{', '.join(str(ok).upper() for _, ok in LOADERS)}],
+                                    doc_id % {len(LOADERS)} + 1) AS accepted FROM documents""",
+)
+def loader_scripts(spark, sf_dir):
+    """A loader text per document; the SQL knows the forms and not the language."""
+    texts = F.array(*[F.lit(text) for text, _ in LOADERS])
+    form = texts[(F.col("doc_id") % len(LOADERS)).cast("int")]
+    scripts = table(spark, sf_dir, "documents").select(
+        "doc_id", F.replace(form, F.lit("%s"), F.col("source")).alias("script")
+    )
+    return scripts.select("doc_id", validate.is_loader_script("script").alias("accepted"))
+
+
 @query(
     "tool_status",
     """WITH outputs AS (

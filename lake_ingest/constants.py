@@ -47,6 +47,13 @@ ERR_READS = (
 ERR_BUCKET = "Bucket is not permitted"
 ERR_UNREADABLE = "Unable to read object"
 
+# Goes with every read that returned bytes.
+READ_NOTE = (
+    "Content is a raw byte-range sample decoded as UTF-8. "
+    "A range may begin or end partway through a line or multibyte character. "
+    "Use the returned byte offset to continue reading."
+)
+
 # Own choices, not given values: objects are hashed and preserved in parts so that one large object
 # is spread over many tasks. At most 10,000 parts per object bound every per-object group.
 PART_BYTES = 8 * 1024 * 1024

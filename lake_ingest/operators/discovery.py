@@ -40,6 +40,19 @@ def discovery_summary(discovered: DataFrame) -> DataFrame:
     )
 
 
+def discovery_envelope(
+    discovered: DataFrame, bucket: str, prefix: str, state_bucket: str, state_key: str
+) -> DataFrame:
+    """One row that says what was searched, against which state, and how much was found.
+
+    The files themselves stay rows of ``discovered``; no array of all of them is built.
+    """
+    labels = {"bucket": bucket, "prefix": prefix, "state_bucket": state_bucket, "state_key": state_key}
+    return discovered.agg(F.count("*").alias("count")).select(
+        *[F.lit(value).alias(name) for name, value in labels.items()], "count"
+    )
+
+
 def pick_pending(discovered: DataFrame, n: int | None = None) -> DataFrame:
     """The ``n`` objects waiting longest, ties by key; all of them when ``n`` is None."""
     if n is None:

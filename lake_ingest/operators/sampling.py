@@ -18,6 +18,7 @@ from lake_ingest.constants import (
     FIRST_READ_BYTES,
     MAX_READ_BYTES,
     MAX_READS,
+    READ_NOTE,
 )
 from lake_ingest.functions.keys import text_literal
 from lake_ingest.functions.text import decode_lossy
@@ -58,6 +59,14 @@ def with_offsets(reads: DataFrame) -> DataFrame:
     )
 
 
+def _with_continuation(reads: DataFrame) -> DataFrame:
+    """Answers to requests also say how to go on, unless there was nothing left to read."""
+    answers = {"note": F.expr(f"CASE WHEN bytes_read > 0 THEN {text_literal(READ_NOTE)} END")}
+    if "read_count" in reads.columns:
+        answers["next_read_count"] = F.expr("CASE WHEN bytes_read > 0 THEN read_count + 1 END")
+    return reads.withColumns(answers)
+
+
 def read_table_ranges(requests: DataFrame, body: str) -> DataFrame:
     """Serve valid read requests from a ``body`` column that holds each object's content."""
     raw = f"CAST({body} AS binary)"
@@ -69,16 +78,14 @@ def read_table_ranges(requests: DataFrame, body: str) -> DataFrame:
             "content": F.expr(f"CASE WHEN error IS NULL THEN {piece} END"),
         }
     ).drop(body)
-    return with_offsets(read).withColumn(
-        "next_read_count", F.expr("CASE WHEN bytes_read > 0 THEN read_count + 1 END")
-    )
+    return _with_continuation(with_offsets(read))
 
 
 def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
     """Serve requests ``(key, start_byte, max_bytes, …)`` from files, by seek and read in the tasks.
 
-    Adds ``file_size_bytes, content, bytes_read, next_start_byte, eof``; a file that cannot be read
-    gives a row with ``error``. Requests are spread evenly however the files lie in folders: each
+    Adds ``file_size_bytes, content, bytes_read, next_start_byte, eof, note`` and, where requests are
+    numbered, ``next_read_count``; a file that cannot be read gives a row with ``error``. Requests are spread evenly however the files lie in folders: each
     read is bounded, so equal numbers of requests are equal work.
     """
     requests = requests if "error" in requests.columns else requests.withColumn(
@@ -122,7 +129,7 @@ def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> Dat
         ]
     )
     served = spread(requests, tasks, "key", "start_byte").mapInArrow(serve, schema)
-    return with_offsets(served)
+    return _with_continuation(with_offsets(served))
 
 
 def _read_counts(size: str, chunk_bytes: int, max_reads: int) -> str:
