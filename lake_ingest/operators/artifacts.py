@@ -80,7 +80,10 @@ def _measures() -> dict[str, Column]:
 
 
 def table_parts(contents: DataFrame, part_bytes: int = PART_BYTES):
-    """Reader of raw parts for objects whose whole content is a column: ``contents(key, content)``."""
+    """Reader of raw parts for objects whose whole content is a column: ``contents(key, content)``.
+
+    The part length is that of the listing's fingerprints, or the state's would not equal them.
+    """
 
     def read_parts(saves: DataFrame) -> DataFrame:
         kept = ("ingestion_id", "source_key", "raw_location")
@@ -101,7 +104,10 @@ def table_parts(contents: DataFrame, part_bytes: int = PART_BYTES):
 
 
 def file_parts(root: str, part_bytes: int = PART_BYTES, tasks: int | None = None):
-    """Reader of raw parts for files: each part is one row of work, so a large file uses many tasks."""
+    """Reader of raw parts for files: each part is one row of work, so a large file uses many tasks.
+
+    The part length is that of the listing's fingerprints, or the state's would not equal them.
+    """
 
     def read_parts(saves: DataFrame) -> DataFrame:
         wanted = saves.select("ingestion_id", "source_key", "raw_location", "size")

@@ -1,10 +1,15 @@
 """Plans and hot keys: what must hold when one key has a third of all rows."""
 
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
-from lake_ingest.operators import discovery, profiling, sampling, state, validate
-from lake_ingest.operators.tables import write_batch
+from lake_ingest import schemas
+from lake_ingest.operators import artifacts, discovery, listing, profiling, sampling, state, validate
+from lake_ingest.operators.tables import read_table, write_batch
+from lake_ingest.plans.lake import Lake
+from lake_ingest.plans.save_batch import save_batch
 from lake_ingest.session import DEFAULTS, build_session, rest_catalog_conf, shared_dir
 from tests.conftest import SF_DIR, rows
 
@@ -37,11 +42,11 @@ def test_latest_is_cut_before_the_shuffle(spark, hot):
 
 
 def test_discovery_of_a_hot_key_without_broadcast(spark, hot, no_broadcast):
-    listing = hot.selectExpr("key", "'in' AS bucket", "at AS size", "etag", "CAST(NULL AS timestamp) AS last_modified")
+    listed = hot.selectExpr("key", "'in' AS bucket", "at AS size", "etag", "CAST(NULL AS timestamp) AS last_modified")
     known = spark.createDataFrame(
         [("hot", "success", "stale"), ("k1", "success", None)], "source_key string, status string, etag string"
     )
-    found = discovery.discover(listing, known)
+    found = discovery.discover(listed, known)
     assert "BroadcastHashJoin" not in _plan(found) and "Nested" not in _plan(found)
     assert found.count() == 30_000 and found.where("previously_seen").count() == 10_000 + hot.where("key = 'k1'").count()
 
@@ -51,8 +56,8 @@ def test_state_is_partitioned_once_for_reading_and_joining(spark, hot, no_broadc
         "key AS source_key", "'success' AS status", "etag", "timestamp_seconds(at) AS processed_at", "'x' AS proposal_id"
     )
     write_batch(records, str(tmp_path / "state"), "one")
-    listing = hot.selectExpr("key", "'in' AS bucket", "at AS size", "etag", "CAST(NULL AS timestamp) AS last_modified")
-    plan = _plan(discovery.discover(listing, state.load_state(spark, str(tmp_path / "state"))))
+    listed = hot.selectExpr("key", "'in' AS bucket", "at AS size", "etag", "CAST(NULL AS timestamp) AS last_modified")
+    plan = _plan(discovery.discover(listed, state.load_state(spark, str(tmp_path / "state"))))
     assert plan.count("Exchange hashpartitioning") == 2, plan
 
 
@@ -81,8 +86,8 @@ def test_scan_reads_only_what_the_operator_needs(spark):
 
 
 def test_pending_is_a_top_k(spark, hot):
-    listing = hot.selectExpr("key", "timestamp_seconds(at) AS last_modified")
-    assert "TakeOrderedAndProject" in _plan(discovery.pick_pending(listing, 3))
+    listed = hot.selectExpr("key", "timestamp_seconds(at) AS last_modified")
+    assert "TakeOrderedAndProject" in _plan(discovery.pick_pending(listed, 3))
 
 
 def test_reads_are_spread_by_number_not_by_bytes(spark, put):
@@ -120,3 +125,33 @@ def test_session_settings(spark, monkeypatch):
     assert conf["spark.sql.catalog.lakehouse.credential"] == "<CATALOG_CLIENT_ID>:<CATALOG_CLIENT_SECRET>"
     assert conf["spark.sql.catalog.lakehouse.oauth2-server-uri"] == "http://host/api/v1/oauth/tokens"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def test_hot_source_and_large_object_are_saved_whole(spark, tmp_path, no_broadcast):
+    """A third of the proposals name one source, and that source has most of the bytes."""
+    name = F.when(F.col("id") % 3 == 0, "hot.json").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+    proposals = spark.range(300).select(
+        name.alias("source_key"),
+        F.concat(F.lit("prompt "), F.col("id").cast("string")).alias("prompt"),
+        F.lit("def load_data(spark, source_path): pass").alias("source_loader"),
+        F.format_string('{"source_key": "%s"}', name).alias("profile"),
+        *[F.lit("x").alias(c) for c in ("semantic_metadata", "proposal", "target_table")],
+    )
+    contents = proposals.select(F.col("source_key").alias("key")).distinct().withColumn(
+        "content", F.expr("if(key = 'hot.json', repeat('0123456789', 5000), key)")
+    )
+    lake = Lake(str(tmp_path / "lake"))
+    result = save_batch(
+        spark,
+        lake,
+        proposals.unionByName(proposals),
+        listing.table_listing(contents, "key", "content"),
+        artifacts.table_parts(contents, 1000),
+        "r1",
+        datetime(2024, 1, 1, tzinfo=timezone.utc),
+    )
+    assert result.accepted.count() == 300 and result.rejected.count() == 0
+    raw = read_table(spark, lake.raw, schemas.RAW_PARTS)
+    assert raw.where("source_key = 'hot.json'").count() == 100 * 50
+    assert raw.where("source_key = 'hot.json'").groupBy("ingestion_id").agg(F.sum("bytes").alias("n")).where("n <> 50000").isEmpty()
+    assert read_table(spark, lake.artifacts, schemas.ARTIFACTS).count() == 300 * 6
