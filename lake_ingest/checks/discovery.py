@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lake_ingest.checks.fixtures import (
-    DOCUMENT_KEY,
     SQL_DISCOVERED,
     SQL_DOCUMENT_LISTING,
     SQL_DOCUMENT_STATE,

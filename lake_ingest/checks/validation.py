@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lake_ingest.checks.fixtures import DOCUMENT_KEY, page_listing
+from lake_ingest.checks.fixtures import DOCUMENT_KEY
 from lake_ingest.checks.registry import query, table
 from lake_ingest.functions import documents as docs
 from lake_ingest.functions.text import has_text

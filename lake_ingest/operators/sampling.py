@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lake_ingest.constants import (
+    DEFAULT_READ_BYTES,
     ERR_BUCKET,
     ERR_KEY,
     ERR_READS,
@@ -40,11 +41,15 @@ def validate_reads(requests: DataFrame, buckets: Sequence[str], default_bucket:
         WHEN start_byte < 0 THEN {text_literal(ERR_START)}
         WHEN read_count > {MAX_READS} THEN {text_literal(ERR_READS)}
         WHEN bucket NOT IN ({allowed}) THEN {text_literal(ERR_BUCKET)} END"""
-    default = f"coalesce(nullif(bucket, ''), {text_literal(default_bucket)})"
-    clamped = f"CAST(greatest(1, least(max_bytes, {MAX_READ_BYTES})) AS bigint)"
-    return requests.withColumns({"bucket": F.expr(default), "max_bytes": F.expr(clamped)}).withColumn(
-        "error", F.expr(error)
-    )
+    wanted = f"coalesce(max_bytes, {DEFAULT_READ_BYTES})"
+    return requests.withColumns(
+        {
+            "bucket": F.expr(f"coalesce(nullif(bucket, ''), {text_literal(default_bucket)})"),
+            "start_byte": F.expr("coalesce(start_byte, 0)"),
+            "max_bytes": F.expr(f"CAST(greatest(1, least({wanted}, {MAX_READ_BYTES})) AS bigint)"),
+            "read_count": F.expr("coalesce(read_count, 0)"),
+        }
+    ).withColumn("error", F.expr(error))
 
 
 def with_offsets(reads: DataFrame) -> DataFrame:
@@ -85,8 +90,9 @@ def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> Dat
     """Serve requests ``(key, start_byte, max_bytes, …)`` from files, by seek and read in the tasks.
 
     Adds ``file_size_bytes, content, bytes_read, next_start_byte, eof, note`` and, where requests are
-    numbered, ``next_read_count``; a file that cannot be read gives a row with ``error``. Requests are spread evenly however the files lie in folders: each
-    read is bounded, so equal numbers of requests are equal work.
+    numbered, ``next_read_count``; a file that cannot be read gives a row with ``error``. Requests are
+    spread evenly however the files lie in folders: each read is bounded, so equal numbers of requests
+    are equal work.
     """
     requests = requests if "error" in requests.columns else requests.withColumn(
         "error", F.lit(None).cast("string")

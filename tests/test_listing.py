@@ -87,6 +87,7 @@ REQUESTS = [
     ((None, "k", 0, 0, 0), None),
     (("", "k", 0, -5, 0), None),
     (("data", "k", 0, 1_000_000, 0), None),
+    (("data", "k", None, None, None), None),
 ]
 
 
@@ -96,8 +97,9 @@ def test_read_requests(spark):
     found = sampling.validate_reads(df, ["in", "data"], "in").collect()
     for row, (_, error) in zip(found, REQUESTS):
         assert (row.error is None) if error is None else row.error.startswith(error)
-    assert [r.max_bytes for r in found[-3:]] == [1, 1, 65536]
-    assert [r.bucket for r in found[-3:]] == ["in", "in", "data"]
+    assert [r.max_bytes for r in found[-4:]] == [1, 1, 65536, 65536]
+    assert [r.bucket for r in found[-4:]] == ["in", "in", "data", "data"]
+    assert (found[-1].start_byte, found[-1].read_count) == (0, 0)
 
 
 def test_reads_from_files(spark, put):
