@@ -22,7 +22,7 @@ def _struct(schema: T.StructType | str) -> T.StructType:
 
 
 # What a text must look like for Spark's cast to have a chance. The cast is the judge; the forms only
-# keep it from building an exception for each plainly unfit value, which takes some 50 times as long as
+# keep it from building an exception for each plainly unfit value, which takes some 30 times as long as
 # a conversion.
 _BLANKS = r"[\x00-\x20\x7f]*"
 _INTEGER = rf"\A{_BLANKS}[+-]?[0-9]+{_BLANKS}\z"
