@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import mixing, oracles
+from lake_ingest.llm import mixing, oracles, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,5 +22,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op2_mix_sources": op2_mix_sources}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality.judge(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
+QUERIES: dict[str, Query] = {
+    "op2_mix_sources": op2_mix_sources,
+    "op7_quality_rules": op7_quality_rules,
+}
 ORACLES: dict[str, str] = {"op2_mix_sources": oracles.MIX_SOURCES}
