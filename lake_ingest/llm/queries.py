@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import mixing, oracles, quality
+from lake_ingest.llm import mixing, oracles, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts of the base spans, their digest, and all spans."""
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op7_quality_rules": op7_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": oracles.MIX_SOURCES}
