@@ -1,5 +1,23 @@
 """SQL texts that give the rows of the queries that SQL can express."""
 
+# Each group of five bytes of the digest is a number below 2 ** 40, written as eight base32 digits.
+WARC = r"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+    FROM pages
+), r AS (
+    SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((('0x' || substr(h, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT + 1, 1)
+            FOR i IN range(32)], '') AS payload_digest,
+        max(page_id) OVER (PARTITION BY h) AS top
+    FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> top THEN top END AS refers_to
+FROM r
+"""
+
 # Targets by the closed form of the capped shares, then every quotient of every block listed and the
 # highest taken, then the blocks laid over the documents in their seeded order.
 MIX_SOURCES = r"""

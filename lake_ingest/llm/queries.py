@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import mixing, oracles, quality, secrets
+from lake_ingest.llm import mixing, oracles, quality, secrets, warc
+from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    root = scratch_path(spark, "warc")
+    warc.write_archives(warc.records(_table(spark, sf_dir, "pages")), root)
+    return warc.read_archives(spark, root).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, source size, target and words taken of every document of the mix."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
@@ -33,8 +43,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
     "op7_quality_rules": op7_quality_rules,
     "op9_secret_scan": op9_secret_scan,
 }
-ORACLES: dict[str, str] = {"op2_mix_sources": oracles.MIX_SOURCES}
+ORACLES: dict[str, str] = {"op1_warc": oracles.WARC, "op2_mix_sources": oracles.MIX_SOURCES}
