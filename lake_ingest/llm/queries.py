@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import mixing, oracles, quality, secrets, warc
+from lake_ingest.llm import bpe, mixing, oracles, quality, secrets, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and the text they decode to, as digests."""
+    decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"]))
+    return decoded.select("doc_id", *(c.alias(n) for n, c in bpe.digest(decoded).items()))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
@@ -45,6 +51,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
+    "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op9_secret_scan": op9_secret_scan,
 }
