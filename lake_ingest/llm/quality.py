@@ -35,7 +35,7 @@ CLASSES = 6
 MIN_CHARS = 200
 MIN_COMMON = 30
 MAX_CHAR_DISTANCE = 0.28
-MAX_WORD_DISTANCE = 0.62
+MAX_WORD_DISTANCE = 0.64
 # Slots of the table in which a word's code is looked up; tried until no two common words share one.
 SLOTS = 2048
 SEEDS = 128
@@ -65,39 +65,57 @@ def measured(docs: DataFrame, text: str, *carried: Column) -> DataFrame:
     split = docs.select(*carried, body.alias("_body"), F.split(body, "\n", -1).alias("_lines")).withColumns(
         {"_w": words("_body"), "_lines": F.expr(r"filter(_lines, l -> l RLIKE '[^\\x20\\x09-\\x0D]')")}
     )
-    windows = split.withColumns(
+    prints = split.withColumns(
         {
             "n_words": F.size("_w").cast("long"),
             "_compact": F.array_join("_w", ""),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_sorted": F.expr(
-                """if(size(_w) < 3, array(), array_sort(transform(sequence(0, size(_w) - 3),
-                    i -> named_struct('h', xxhash64(_w[i], _w[i + 1], _w[i + 2]), 'i', i))))"""
+            "_prints": F.expr(
+                """if(size(_w) < 3, CAST(array() AS array<bigint>),
+                    transform(sequence(0, size(_w) - 3), i -> xxhash64(_w[i], _w[i + 1], _w[i + 2])))"""
             ),
         }
     )
-    repeated = windows.withColumn(
-        "_again",
+    # Window and place in one number, the place in the low bits: sorted, equal windows are neighbours.
+    placed = prints.withColumns(
+        {
+            "_again": F.size(F.array_distinct("_prints")) < F.size("_prints"),
+            "_low": F.expr("shiftleft(1L, CAST(ceil(log2(size(_prints) + 2)) AS int)) - 1"),
+        }
+    ).withColumn(
+        "_sorted",
         F.expr(
-            """array_sort(transform(filter(
-                if(size(_sorted) < 2, CAST(array() AS array<int>), sequence(0, size(_sorted) - 1)),
-                j -> (j > 0 AND _sorted[j].h = _sorted[greatest(j - 1, 0)].h)
-                    OR (j < size(_sorted) - 1
-                        AND _sorted[j].h = _sorted[least(j + 1, size(_sorted) - 1)].h)),
-                j -> _sorted[j].i))"""
+            """if(_again, sort_array(transform(_prints, (h, i) -> (h & ~_low) | i)),
+                CAST(array() AS array<bigint>))"""
         ),
     )
-    return repeated.withColumns(
-        {
-            "word_chars": F.length("_compact").cast("long"),
-            "n_symbols": _count("_compact", r"[^#*$%&|<>]+"),
-            "n_repeat_words": F.expr(repeat_words("_again")),
-            "_upper": _count("_compact", r"[^\p{Lu}]+"),
-            "_digits": _count("_compact", r"[^0-9]+"),
-            "_marks": _count("_compact", r"[^!-/:-@\[-`{-~]+"),
-            "_spaces": (F.length("_body") - F.length("_compact")).cast("long"),
-        }
-    ).drop("_sorted", "_again", "_lines")
+    # A run of equal high bits holds a repeated window if a neighbour's whole fingerprint is equal.
+    repeated = placed.withColumn(
+        "_places",
+        F.expr(
+            """array_sort(flatten(transform(filter(
+                zip_with(_sorted, slice(_sorted, 2, greatest(size(_sorted) - 1, 0)), (a, b) ->
+                    if((a & ~_low) = (b & ~_low), struct(CAST(a & _low AS int) AS a, CAST(b & _low AS int) AS b),
+                        NULL)),
+                x -> x IS NOT NULL AND _prints[x.a] = _prints[x.b]), x -> array(x.a, x.b))))"""
+        ),
+    ).withColumn("_places", F.array_distinct("_places"))
+    rest = F.regexp_replace("_compact", r"[a-zß-ÿ]+", "")
+    return (
+        repeated.withColumn("_rest", rest)
+        .withColumns(
+            {
+                "word_chars": F.length("_compact").cast("long"),
+                "n_symbols": _count("_rest", r"[^#*$%&|<>]+"),
+                "n_repeat_words": F.expr(repeat_words("_places")),
+                "_upper": _count("_rest", r"[^\p{Lu}]+"),
+                "_digits": _count("_rest", r"[^0-9]+"),
+                "_marks": _count("_rest", r"[^!-/:-@\[-`{-~]+"),
+                "_spaces": (F.length("_body") - F.length("_compact")).cast("long"),
+            }
+        )
+        .drop("_prints", "_sorted", "_again", "_low", "_places", "_lines", "_rest")
+    )
 
 
 def char_classes() -> Column:
@@ -112,7 +130,7 @@ def language_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, word, n)`` over all texts that have a language."""
     return (
         docs.where(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(words(F.lower(text))).alias("word"))
+        .select(F.col(lang).alias("lang"), F.explode(words(text)).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
@@ -165,20 +183,23 @@ def code_counts(codes: str) -> Column:
     """Histogram of the common words from the text of their codes."""
     return F.array(
         *(
-            F.length(codes) - F.length(F.replace(F.col(codes), F.lit(chr(FIRST_CODE + i)), F.lit("")))
+            (F.length(codes) - F.length(F.replace(F.col(codes), F.lit(chr(FIRST_CODE + i)), F.lit("")))).cast("long")
             for i in range(COMMON_WORDS)
         )
     )
 
 
-def distance(counts: str, reference: str) -> str:
-    """SQL of the Jensen-Shannon distance (base 2) of two count arrays of equal length."""
-    share = "aggregate({0}, 0D, (s, x) -> s + x)"
-    p, q = share.format(counts), share.format(reference)
-    return f"""sqrt(greatest(0D, aggregate(zip_with({counts}, {reference},
-        (x, y) -> named_struct('p', x / {p}, 'q', y / {q})), 0D,
-        (s, z) -> s + if(z.p > 0, z.p * log2(2 * z.p / (z.p + z.q)), 0D) / 2
-            + if(z.q > 0, z.q * log2(2 * z.q / (z.p + z.q)), 0D) / 2)))"""
+def distance(share: str, reference: str) -> str:
+    """SQL of the Jensen-Shannon distance (base 2) of two arrays of shares of equal length."""
+    return f"""sqrt(greatest(0D, aggregate(zip_with({share}, {reference}, (p, q) ->
+        if(p > 0, p * log2(2 * p / (p + q)), 0D) + if(q > 0, q * log2(2 * q / (p + q)), 0D)),
+        0D, (s, x) -> s + x) / 2))"""
+
+
+def shares(counts: str) -> Column:
+    """The counts as shares of their sum; zeros without any."""
+    total = F.expr(f"greatest(1L, aggregate({counts}, 0L, (s, x) -> s + x))")
+    return F.transform(counts, lambda x: x / total)
 
 
 def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> list[tuple[str, list, list]]:
@@ -202,7 +223,9 @@ def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> lis
 
 def _nearest(counts: str, histograms: list[list[float]]) -> Column:
     """Least distance of a histogram to the references; null without any."""
-    literal = ", ".join(f"array({', '.join(f'{x!r}D' for x in h)})" for h in histograms if sum(h))
+    literal = ", ".join(
+        f"array({', '.join(f'{x / sum(h)!r}D' for x in h)})" for h in histograms if sum(h)
+    )
     if not literal:
         return F.lit(None).cast("double")
     return F.expr(f"array_min(transform(array({literal}), r -> {distance(counts, 'r')}))")
@@ -220,33 +243,30 @@ def judge(
     known = F.col(lang).cast("string").alias("lang")
     features = saved(
         measured(docs, text, F.col(doc_id).alias("doc_id"), known)
-        .withColumn("_lw", F.transform("_w", lambda w: F.lower(w)))
         .select(
             "doc_id",
             "lang",
             "n_words",
             *COUNTS,
             char_classes().alias("_classes"),
-            word_codes(common, "_lw").alias("_codes"),
+            word_codes(common, "_w").alias("_codes"),
         ),
         "features",
     )
     known_languages = references(features, counts, common)
     languages = [name for name, _, _ in known_languages]
     compared = F.col("lang").isNull() | F.col("lang").isin(languages) if languages else F.lit(False)
-    measured_rows = features.withColumns(
-        {
-            "_counts": F.transform(code_counts("_codes"), lambda x: x.cast("double")),
-            "_classes": F.transform("_classes", lambda x: x.cast("double")),
-            "_chars": F.expr("aggregate(_classes, 0L, (s, x) -> s + x)"),
-        }
+    measured_rows = (
+        features.withColumn("_chars", F.expr("aggregate(_classes, 0L, (s, x) -> s + x)"))
+        .withColumn("_counts", code_counts("_codes"))
+        .withColumns({"_words": shares("_counts"), "_classes": shares("_classes")})
     )
     compare = lambda enough, name, histograms: F.when(compared & enough, _nearest(name, histograms))
     distances = measured_rows.withColumns(
         {
             "char_distance": compare(F.col("_chars") >= MIN_CHARS, "_classes", [c for _, c, _ in known_languages]),
             "word_distance": compare(
-                F.length("_codes") >= MIN_COMMON, "_counts", [w for _, _, w in known_languages]
+                F.length("_codes") >= MIN_COMMON, "_words", [w for _, _, w in known_languages]
             ),
         }
     )
