@@ -96,16 +96,18 @@ def pieces(data: np.ndarray, starts: np.ndarray) -> pa.LargeBinaryArray:
 
 
 class Rolling:
-    """Fingerprints of all slices of a byte array in a few vector steps.
+    """Fingerprints of slices of a byte array in a few vector steps.
 
     A slice's fingerprint is a polynomial in an odd base modulo 2 ** 64 with a random word per byte
-    value, finally mixed; two of them, of different seeds, are independent.
+    value, finally mixed; fingerprints of different seeds are independent.
     """
 
+    SPAN = 1 << 20
+
     def __init__(self, seed: int):
         random = np.random.default_rng(seed)
         self.words = random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(random.integers(1, 2**62)) * 4 + 1 | 1
+        self.base = int(random.integers(1, 2**62)) * 4 + 1
         self.powers = self.inverse = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -113,15 +115,21 @@ class Rolling:
             self.powers = _geometric(self.base, n)
             self.inverse = _geometric(pow(self.base, -1, 2**64), n)
 
-    def prefix(self, data: np.ndarray) -> np.ndarray:
-        """Sums over the bytes before each place, for ``slices``."""
-        self._grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.words[data] * self.powers[: len(data)], out=sums[1:])
-        return sums
-
-    def slices(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((sums[ends] - sums[starts]) * self.inverse[starts])
+    def of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Fingerprints of the slices, both bounds ascending; a span of the bytes in work at a time."""
+        out = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            low = starts[at]
+            stop = max(at + 1, int(np.searchsorted(ends, low + self.SPAN, "right")))
+            part = data[low : ends[stop - 1]]
+            self._grow(len(part) + 1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(self.words[part] * self.powers[: len(part)], out=sums[1:])
+            first, last = starts[at:stop] - low, ends[at:stop] - low
+            out[at:stop] = (sums[last] - sums[first]) * self.inverse[first]
+            at = stop
+        return mixed(out)
 
 
 def _geometric(base: int, n: int) -> np.ndarray:
@@ -137,3 +145,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def slices_of(rows: pa.RecordBatch, text_column: str, size: int = 4 << 20):
+    """Slices of a batch with about ``size`` bytes of text each, one row at least."""
+    lengths = np.asarray(pa.compute.binary_length(rows[text_column]).cast(pa.int64()).fill_null(0))
+    ends, start = np.cumsum(lengths), 0
+    while start < len(lengths):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield rows.slice(start, stop - start)
+        start = stop

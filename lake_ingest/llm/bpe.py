@@ -78,7 +78,7 @@ def _dealt(words: pa.LargeBinaryArray, buckets: int, rolling: Rolling) -> list[n
     """Places of the words in each bucket; a word's bucket depends on nothing but its bytes."""
     ends = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
     data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.zeros(0, np.uint8)
-    prints = rolling.slices(rolling.prefix(data), ends[:-1], ends[1:])
+    prints = rolling.of(data, ends[:-1], ends[1:])
     bucket = (prints >> np.uint64(20)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))

@@ -65,3 +65,26 @@ SELECT doc_id, size, s AS source_size, target,
         ELSE (taken // s) * size + greatest(0, least(size, taken % s - start)) END::BIGINT AS taken
 FROM placed JOIN got USING (k)
 """
+
+EMBEDDING_DEDUP = r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS u, b.vec_id AS v
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93
+), reach AS (
+    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    UNION
+    SELECT reach.u, link.v FROM reach JOIN link ON link.u = reach.v
+), least AS (
+    SELECT u, min(v) AS component_id FROM reach GROUP BY u
+), degree AS (
+    SELECT u, count(*) AS n FROM link GROUP BY u
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON least.u = vec_id LEFT JOIN degree ON degree.u = vec_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import bpe, mixing, oracles, quality, secrets, warc
+from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text they decode to, as digests."""
     decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"]))
@@ -43,6 +48,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of every document, the links of its text, and whether it stays."""
+    return near.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts of the base spans, their digest, and all spans."""
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
@@ -51,8 +61,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
 }
-ORACLES: dict[str, str] = {"op1_warc": oracles.WARC, "op2_mix_sources": oracles.MIX_SOURCES}
+ORACLES: dict[str, str] = {
+    "op1_warc": oracles.WARC,
+    "op2_mix_sources": oracles.MIX_SOURCES,
+    "op3_embedding_dedup": oracles.EMBEDDING_DEDUP,
+}
