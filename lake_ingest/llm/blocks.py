@@ -12,9 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from lake_ingest.llm.shared import scratch_path
+from lake_ingest.llm.shared import released, scratch_path
 
 BLOCK_BYTES = 16 << 20
 BLOCKS = "block long, payload binary"
@@ -64,16 +64,22 @@ def _packed(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
 
 
 def as_blocks(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(block, payload)`` of rows with a string column ``text``, written once.
+    """``(block, payload)`` of rows with a string column ``text``, in a table bucketed by block."""
+    packed = rows.mapInArrow(lambda batches: _packed(batches, block_bytes), BLOCKS)
+    return bucketed(packed, "block", name)
+
 
-    The number of buckets is the session's number of shuffle partitions, so that what is shuffled to
-    the blocks meets them without moving them.
+def bucketed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows written once to shared storage in a table bucketed by ``key``.
+
+    The number of buckets is the session's number of shuffle partitions, so that what is shuffled by
+    the key meets the rows without moving them.
     """
-    spark: SparkSession = rows.sparkSession
+    spark = rows.sparkSession
     table = f"llm_{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = rows.mapInArrow(lambda batches: _packed(batches, block_bytes), BLOCKS)
-    packed.write.bucketBy(buckets, "block").option("path", scratch_path(spark, name)).saveAsTable(table)
+    with released(spark):
+        rows.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table)
     return spark.table(table)
 
 

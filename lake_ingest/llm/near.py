@@ -20,16 +20,15 @@ copies; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lake_ingest.llm.blocks import Rolling, batch, mixed, slices_of, text_bytes
+from lake_ingest.llm.blocks import Rolling, batch, bucketed, mixed, slices_of, text_bytes
 from lake_ingest.llm.components import components
-from lake_ingest.llm.shared import saved, scratch_path
+from lake_ingest.llm.shared import saved
 
 WINDOW = 5
 SIMILARITY = 0.8
@@ -257,13 +256,8 @@ def groups(
 
 def _windows_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``(key, windows)`` of the given classes, in a table bucketed by key."""
-    spark = rows.sparkSession
     wanted = rows.select("key", "text").join(keys, "key", "left_semi").dropDuplicates(["key"])
-    table = f"llm_windows_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = wanted.mapInArrow(_window_rows, "key binary, windows binary")
-    cut.write.bucketBy(buckets, "key").option("path", scratch_path(spark, "windows")).saveAsTable(table)
-    return spark.table(table)
+    return bucketed(wanted.mapInArrow(_window_rows, "key binary, windows binary"), "key", "windows")
 
 
 def _representatives(rooted: DataFrame) -> DataFrame:

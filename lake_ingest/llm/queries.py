@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, warc
+from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, suffixes, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 400-byte strings."""
+    docs = _table(spark, sf_dir, "documents")
+    return suffixes.digest(docs, suffixes.repeated_spans(docs))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text they decode to, as digests."""
     decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"]))
@@ -62,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_bpe": op5_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,

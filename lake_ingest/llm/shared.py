@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +14,30 @@ from lake_ingest.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder on the storage that all executors share."""
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released(spark: SparkSession):
+    """Shuffle files of the actions within are removed as soon as an action has ended."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def saved(rows: DataFrame, name: str) -> DataFrame:
     """The rows written once to shared storage and read back: a lost executor loses none of them."""
     path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    with released(rows.sparkSession):
+        rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
