@@ -6,8 +6,9 @@ ordinary identifiers. A token whose log-likelihood ratio per character is high e
 span, of kind ``markov``, unless it touches a base span.
 
 Both chains are counted from labelled samples of the corpus itself: what the patterns found is random,
-other tokens of its length class are ordinary. The samples are the ``SAMPLE_TEXTS`` and
-``SAMPLE_RANDOM`` first in a hash order, a bound on the fit alone; every text is scanned whole. The
+other tokens of its length class are ordinary. The samples are the rows
+with the least hashes, about ``SAMPLE_TEXTS`` and ``SAMPLE_RANDOM`` of them, a bound on the fit alone;
+every text is scanned whole. The
 table of log ratios has a fixed size and travels as a literal.
 
 Positions are counted in code points, the end exclusive. Defined results: a null or empty text has no
@@ -22,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lake_ingest.llm.shared import saved
+from lake_ingest.llm.shared import sampled, saved
 
 # The base patterns, each with the group that is measured and its least length.
 ASSIGN = (
@@ -139,17 +140,14 @@ def log_ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float]:
 
 
 def fit(docs: DataFrame, based: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[float]:
-    """The table of log ratios, from bounded labelled samples.
+    """The table of log ratios, from labelled samples of bounded size.
 
     Random are the values of base spans, ordinary the other tokens of sampled texts.
     """
-    random = (
-        based.select(F.explode("_base.value").alias("token"))
-        .orderBy(F.xxhash64("token"), "token")
-        .limit(SAMPLE_RANDOM)
-    )
-    sample = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
-    sample = sample.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_TEXTS)
+    values = based.select(F.explode("_base.value").alias("token"))
+    random = sampled(values, ["token"], values.count(), SAMPLE_RANDOM)
+    texts = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    sample = sampled(texts.where("text IS NOT NULL"), ["doc_id", "text"], docs.count(), SAMPLE_TEXTS)
     rest = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|[0-9a-f]{{{LEAST['hex']},}}", " ")
     ordinary = sample.select(F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("token"))
     return log_ratios(_pair_counts(random), _pair_counts(ordinary))

@@ -33,13 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lake_ingest.llm.shared import saved
+from lake_ingest.llm.shared import sampled, saved
 from lake_ingest.sources.store import join, open_store
 
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 256 << 20
-# Rows from which the shards' bounds are taken, whatever the size of the table.
-BOUND_ROWS = 100_000
+# About so many rows give the shards' bounds, whatever the size of the table.
+BOUND_ROWS = 20_000
 LEVEL = 6
 # Fixed values of the WARC 1.1 format.
 VERSION = b"WARC/1.1\r\n"
@@ -102,8 +102,9 @@ def _order(page: int | None, digest: str) -> tuple:
 
 
 def shard_bounds(rows: DataFrame, shards: int) -> list[tuple]:
-    """Where the shards end: quantiles of the ``BOUND_ROWS`` rows with the smallest hashes."""
-    sample = rows.select("page_id", "digest").orderBy(F.xxhash64("page_id", "digest")).limit(BOUND_ROWS)
+    """Where the shards end: quantiles of the about ``BOUND_ROWS`` rows with the smallest hashes."""
+    light = rows.select("page_id", "digest")
+    sample = sampled(light, ["page_id", "digest"], light.count(), BOUND_ROWS)
     keys = sorted(_order(r.page_id, r.digest) for r in sample.collect())
     return [keys[len(keys) * i // shards] for i in range(1, shards)] if keys else []
 
