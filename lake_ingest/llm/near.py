@@ -6,11 +6,11 @@ candidates. A pair is a link if the longest chain of common windows in the order
 the band that the threshold leaves, is at least ``SIMILARITY`` of all windows of the two.
 
 Equal texts form a class, and all work is done on classes. In each bucket of a sketch the class that
-shares the most buckets leads, and all others are compared with it. Classes are then joined into
-components; only buckets that still hold several components are looked at again, and there every
-pair of classes from different components that agrees in ``AGREE`` sketches is verified: by a join in
-small buckets, and tile by tile in large ones. Pairs within a component are left out, for they cannot
-change the groups.
+shares the most buckets leads, and all others are compared with it. Texts connected by buckets form a
+cluster; where links have not joined a cluster into one component, all its pairs from different
+components that share a bucket are compared, tile by tile. Pairs that share too few windows to be a
+link are ruled out by a matrix product of window counts, the others are aligned. Only links leave a
+task, and only those that join components, so that a large group costs rows in proportion to its size.
 
 Defined results: a null text is alone in its group; texts without words are grouped only with equal
 texts; a text of fewer than five words has one window; a null document orders last; repeated rows are
@@ -33,9 +33,9 @@ from lake_ingest.llm.shared import saved
 WINDOW = 5
 SIMILARITY = 0.8
 SKETCHES = 12
-AGREE = 3
-SMALL_BUCKET = 64
 TILE = 512
+# Hash slots whose counts are multiplied at a time.
+SLOTS = 4096
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 # One odd word per sketch.
@@ -174,60 +174,95 @@ def _ordered(u: str, v: str) -> list[Column]:
     return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
 
 
-def _tile_pairs(rows: pa.Table) -> pa.Table:
-    """Pairs of a pair of tiles: of different components, and agreeing in enough sketches."""
-    tile = np.asarray(rows["tile"])
-    keys, roots = rows["key"].to_pylist(), rows["root"].combine_chunks().dictionary_encode()
-    root = np.asarray(roots.indices)
-    values = np.asarray(rows["sketches"].combine_chunks().flatten()).reshape(len(rows), SKETCHES)
-    i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-    ones, twos = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-    agree = np.zeros((len(ones), len(twos)), np.int8)
-    for r in range(SKETCHES):
-        agree += values[ones, r][:, None] == values[twos, r][None, :]
-    found = (agree >= AGREE) & (root[ones][:, None] != root[twos][None, :])
-    a, b = np.nonzero(found)
-    a, b = ones[a], twos[b]
-    if i == j:
-        a, b = a[a < b], b[a < b]
-    return pa.table({"a": pa.array([keys[x] for x in a], pa.binary()), "b": pa.array([keys[x] for x in b], pa.binary())})
-
-
-def _rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components in the buckets that hold several, that agree in enough sketches."""
-    rooted = members.join(roots.withColumnRenamed("u", "key"), "key", "left").withColumn(
+def _common_at_most(windows: list[np.ndarray], ones: np.ndarray, twos: np.ndarray) -> np.ndarray:
+    """Upper bounds of the numbers of common windows of all pairs of two sets of texts.
+
+    Windows are counted in hash slots; the product of two texts' counts is no less than what they share.
+    """
+    slots = 1 << int(8 * max(map(len, windows)) - 1).bit_length()
+    rows = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
+    slot = np.concatenate(windows).astype(np.int64) % slots
+    bound = np.zeros((len(ones), len(twos)), np.float32)
+    for low in range(0, slots, SLOTS):
+        here = (slot >= low) & (slot < low + SLOTS)
+        counts = np.bincount(rows[here] * SLOTS + slot[here] - low, minlength=len(windows) * SLOTS)
+        counts = counts.reshape(len(windows), SLOTS).astype(np.float32)
+        bound += counts[ones] @ counts[twos].T
+    return bound
+
+
+def _tile_links(similarity: float):
+    """Links of a pair of tiles that join different components, one at most for each two of them."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        keys = rows["key"].to_pylist()
+        windows = [np.frombuffer(w, np.uint32) for w in rows["windows"].to_pylist()]
+        tile, i, j = np.asarray(rows["tile"]), rows["i"][0].as_py(), rows["j"][0].as_py()
+        root = np.asarray(rows["root"].combine_chunks().dictionary_encode().indices)
+        values = np.asarray(rows["sketches"].combine_chunks().flatten()).reshape(len(rows), SKETCHES)
+        sizes = np.array([len(w) for w in windows])
+        ones, twos = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+        agree = np.zeros((len(ones), len(twos)), bool)
+        for r in range(SKETCHES):
+            agree |= values[ones, r][:, None] == values[twos, r][None, :]
+        agree &= root[ones][:, None] != root[twos][None, :]
+        if i == j:
+            agree &= ones[:, None] < twos[None, :]
+        if agree.any():
+            needed = similarity * (sizes[ones][:, None] + sizes[twos][None, :]) / (1 + similarity)
+            agree &= _common_at_most(windows, ones, twos) >= needed - 0.5
+        joined = list(range(len(rows) + 1))
+
+        def find(x: int) -> int:
+            while joined[x] != x:
+                joined[x] = x = joined[joined[x]]
+            return x
+
+        found = []
+        for a, b in zip(*(side[at].tolist() for side, at in zip((ones, twos), np.nonzero(agree)))):
+            ra, rb = find(root[a]), find(root[b])
+            if ra != rb and chain(windows[a], windows[b], similarity):
+                joined[rb] = ra
+                found.append((keys[a], keys[b]))
+        u, v = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(u, pa.binary()), "b": pa.array(v, pa.binary())})
+
+    return links
+
+
+def _rest_links(
+    members: DataFrame, stars: DataFrame, roots: DataFrame, windows: DataFrame, similarity: float
+) -> DataFrame:
+    """Links between different components among texts that buckets connect.
+
+    Each text is in one cluster of texts connected by buckets. A cluster of several components is cut
+    into tiles, and each pair of tiles is one task's work.
+    """
+    clusters = components(stars).select(F.col("u").alias("key"), F.col("root").alias("cluster"))
+    rooted = clusters.join(roots.withColumnRenamed("u", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")
     )
-    several = rooted.groupBy("sketch").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    open_ = saved(
-        rooted.join(several.select("sketch"), "sketch").select("sketch", "key", "root", "n", "sketches"), "open"
+    sizes = (
+        rooted.groupBy("cluster")
+        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
+        .where("r0 <> r1")
+        .select("cluster", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     )
-    small = open_.where(F.col("n") <= SMALL_BUCKET)
-    a = small.select("sketch", *(F.col(c).alias(f"{c}_a") for c in ("key", "root", "sketches")))
-    b = small.select("sketch", *(F.col(c).alias(f"{c}_b") for c in ("key", "root", "sketches")))
-    joined = a.join(b, "sketch").where(
-        (F.col("key_a") < F.col("key_b"))
-        & (F.col("root_a") != F.col("root_b"))
-        & (F.size(F.array_intersect("sketches_a", "sketches_b")) >= AGREE)
-    )
-    large = (
-        open_.where(F.col("n") > SMALL_BUCKET)
-        .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+    tiled = (
+        rooted.join(sizes, "cluster")
+        .join(members.select("key", "sketches").dropDuplicates(["key"]), "key")
+        .join(windows, "key")
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
         .withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
-        .select("sketch", "i", "j", "tile", "key", "root", "sketches")
-    )
-    tiled = large.groupBy("sketch", "i", "j").applyInArrow(_tile_pairs, "a binary, b binary")
-    return (
-        joined.select(*_ordered("key_a", "key_b")).unionByName(tiled.select(*_ordered("a", "b"))).distinct()
+        .select("cluster", "i", "j", "tile", "key", "root", "sketches", "windows")
     )
+    found = tiled.groupBy("cluster", "i", "j").applyInArrow(_tile_links(similarity), "a binary, b binary")
+    return found.select(*_ordered("a", "b"))
 
 
-def groups(
-    docs: DataFrame, text: str = "text", similarity: float = SIMILARITY
-) -> tuple[DataFrame, DataFrame]:
-    """The classes of equal texts ``(key, sketches)``, and the links ``(u, v)`` found between them."""
+def groups(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal texts ``(key, sketches)``, and links ``(u, v)`` that connect all similar ones."""
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), text_key(text).alias("key"))
     sketched = rows.mapInArrow(_sketch_rows, "key binary, sketches array<long>")
     classes = saved(sketched.groupBy("key").agg(F.any_value("sketches").alias("sketches")), "classes")
@@ -244,14 +279,17 @@ def groups(
         .agg(F.max(F.struct("shared", "key"))["key"].alias("lead"))
     )
     stars = (
-        members.select("sketch", "key").join(leads, "sketch").where("key <> lead").select(*_ordered("key", "lead")).distinct()
+        members.select("sketch", "key")
+        .join(leads, "sketch")
+        .where("key <> lead")
+        .select(*_ordered("key", "lead"))
+        .distinct()
     )
+    stars = saved(stars, "stars")
     windows = _windows_of(rows, members.select("key").distinct())
     first = saved(verify(stars, windows, similarity), "links")
-    roots = components(first)
-    second = saved(verify(_rest_pairs(members, roots), windows, similarity), "links")
-    links = first.unionByName(second)
-    return classes, links
+    rest = saved(_rest_links(members, stars, components(first), windows, similarity), "links")
+    return classes, first.unionByName(rest)
 
 
 def _windows_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -269,15 +307,12 @@ def _representatives(rooted: DataFrame) -> DataFrame:
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
-    """``(doc_id, key, root, n_links)`` per row with a text."""
+    """``(doc_id, key, root)`` per row with a text."""
     classes, links = groups(docs, text, similarity)
-    ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
-    degree = ends.groupBy(F.col("u").alias("key")).agg(F.count("*").alias("n_links"))
     found = saved(
         classes.select("key")
         .join(components(links).withColumnRenamed("u", "key"), "key", "left")
-        .join(degree, "key", "left")
-        .select("key", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        .select("key", F.coalesce("root", "key").alias("root")),
         "groups",
     )
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), text_key(text).alias("key"))
@@ -287,11 +322,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataF
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """``(doc_id, group_id, n_links, kept)`` per row.
-
-    ``group_id`` is the least document of the group, ``n_links`` the number of links found of the row's
-    text to other texts, ``kept`` true for one row of each group.
-    """
+    """``(doc_id, group_id, kept)`` per row: the least document of its group, and true for one row of each."""
     rooted = saved(_rooted(docs, doc_id, text, similarity), "rooted")
     marked = rooted.join(_representatives(rooted), "root").withColumn(
         "_first", F.col("doc_id").eqNullSafe(F.col("group_id")) & (F.col("key") == F.col("rep_key"))
@@ -302,10 +333,9 @@ def near_duplicates(
     alone = docs.where(F.col(text).isNull()).select(
         F.col(doc_id).alias("doc_id"),
         F.col(doc_id).alias("group_id"),
-        F.lit(0).cast("long").alias("n_links"),
         F.lit(True).alias("kept"),
     )
-    columns = ["doc_id", "group_id", "n_links", "kept"]
+    columns = ["doc_id", "group_id", "kept"]
     others = marked.where("NOT _first").withColumn("kept", F.lit(False))
     return firsts.select(columns).unionByName(others.select(columns)).unionByName(alone)
 

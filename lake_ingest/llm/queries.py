@@ -45,7 +45,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text they decode to, as digests."""
-    decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"]))
+    decoded = bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"], decoded=True)
     return decoded.select("doc_id", *(c.alias(n) for n, c in bpe.digest(decoded).items()))
 
 
@@ -55,7 +55,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Group of every document, the links of its text, and whether it stays."""
+    """Group of every document, and whether it stays."""
     return near.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
