@@ -30,7 +30,7 @@ SYMBOLS = "#*$%&|<>"
 
 COMMON_WORDS = 64
 # First of the code points that stand for the common words in a text's summary.
-FIRST_CODE = 0x4E00
+FIRST_CODE = 0x30
 CLASSES = 6
 MIN_CHARS = 200
 MIN_COMMON = 30
@@ -236,7 +236,8 @@ def judge(
 ) -> DataFrame:
     """``(doc_id, n_words, base counts, base_failed, char_distance, word_distance, kept)``.
 
-    The distances are null where they were not measured.
+    The distances are null where they were not measured: for texts that fail the base rules, are too short
+    or have a language without references.
     """
     counts = saved(language_words(docs, text, lang), "words")
     common = saved(common_words(counts), "common")
@@ -261,7 +262,11 @@ def judge(
         .withColumn("_counts", code_counts("_codes"))
         .withColumns({"_words": shares("_counts"), "_classes": shares("_classes")})
     )
-    compare = lambda enough, name, histograms: F.when(compared & enough, _nearest(name, histograms))
+    failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
+
+    def compare(enough: Column, name: str, histograms: list[list[float]]) -> Column:
+        return F.when(compared & ~failed & enough, _nearest(name, histograms))
+
     distances = measured_rows.withColumns(
         {
             "char_distance": compare(F.col("_chars") >= MIN_CHARS, "_classes", [c for _, c, _ in known_languages]),
@@ -270,7 +275,6 @@ def judge(
             ),
         }
     )
-    failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
     near = F.expr(
         f"""coalesce(char_distance <= {MAX_CHAR_DISTANCE}, true)
             AND coalesce(word_distance <= {MAX_WORD_DISTANCE}, true)"""
