@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, suffixes, warc
+from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, suffixes, toxicity, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", *(c.alias(n) for n, c in bpe.digest(decoded).items()))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
