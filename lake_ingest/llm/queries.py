@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, quality, secrets, suffixes, toxicity, warc
+from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, pii, quality, secrets, suffixes, toxicity, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document with its personal data replaced."""
+    return pii.surrogates(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
+    "op10_surrogates": op10_surrogates,
 }
 ORACLES: dict[str, str] = {
     "op1_warc": oracles.WARC,
