@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lake_ingest.llm.shared import released, scratch_path
+from lake_ingest.llm.shared import frugal, scratch_path
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 BLOCKS = "block long, payload binary"
 
 
@@ -78,7 +78,7 @@ def bucketed(rows: DataFrame, key: str, name: str) -> DataFrame:
     spark = rows.sparkSession
     table = f"llm_{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with released(spark):
+    with frugal(spark):
         rows.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table)
     return spark.table(table)
 

@@ -14,24 +14,26 @@ encoded alike; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from lake_ingest.llm.blocks import Rolling, as_blocks, batch, pack, pieces, text_bytes, unpack
+from lake_ingest.llm.blocks import Rolling, as_blocks, batch, pieces, text_bytes, unpack
+from lake_ingest.llm.shared import saved
 
 DEFAULT = public_tokenizers.path("byte_bpe_50k.json")
 # Distinct words encoded at a time.
-CHUNK = 50_000
-# Word buckets per shuffle partition.
-BUCKETS_PER_TASK = 2
+CHUNK = 4096
 
 
 def load(path: str) -> str:
@@ -45,6 +47,16 @@ def load(path: str) -> str:
     return text
 
 
+@lru_cache(1)
+def _tokenizer(definition: str) -> Tokenizer:
+    """The tokenizer of a worker; it uses one thread, for Spark runs a task per core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_str(definition)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the words of all texts start.
 
@@ -74,88 +86,120 @@ def _distinct(rows: pa.Table) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarr
     return coded.dictionary, np.asarray(coded.indices), np.searchsorted(starts, offsets)
 
 
-def _dealt(words: pa.LargeBinaryArray, buckets: int, rolling: Rolling) -> list[np.ndarray]:
-    """Places of the words in each bucket; a word's bucket depends on nothing but its bytes."""
-    ends = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
-    data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.zeros(0, np.uint8)
-    prints = rolling.of(data, ends[:-1], ends[1:])
+def _dealt(words: pa.LargeBinaryArray, buckets: int) -> list[np.ndarray]:
+    """Places of the words in each bucket, in the words' order; a bucket depends on a word's bytes alone."""
+    lengths, data = _spread(words)
+    ends = np.cumsum(lengths)
+    prints = Rolling(5).of(data, ends - lengths, ends)
     bucket = (prints >> np.uint64(20)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
+    ordered = np.asarray(pc.sort_indices(words), np.int64)
+    order = ordered[np.argsort(bucket[ordered], kind="stable")]
     return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
 
 
+def _spread(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of an array's values, and their bytes on end."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    _, offsets, data = words.buffers()
+    places = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    return np.diff(places), np.frombuffer(data, np.uint8)[places[0] : places[-1]]
+
+
+def _squeezed(lengths: np.ndarray, values: np.ndarray) -> bytes:
+    """Compressed lists: their number, their lengths, their values on end."""
+    head = np.array([len(lengths)], np.int64).tobytes() + lengths.astype(np.uint32).tobytes()
+    return zstandard.compress(head + values.tobytes(), 3)
+
+
+def _lists(payload: bytes, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and values of compressed lists."""
+    content = zstandard.decompress(payload)
+    n = int(np.frombuffer(content, np.int64, 1)[0])
+    return np.frombuffer(content, np.uint32, n, 8).astype(np.int64), np.frombuffer(content, kind, offset=8 + 4 * n)
+
+
 def encode(
-    docs: DataFrame, keys: list[str], text: str = "text", path: str = DEFAULT
+    docs: DataFrame, keys: list[str], text: str = "text", path: str = DEFAULT, *, decoded: bool = False
 ) -> DataFrame:
-    """The columns ``keys`` and ``ids``, the token ids of each row's text."""
-    definition = load(path)
+    """The columns ``keys`` and ``ids``, the token ids of each row's text; with ``decoded`` also their text."""
+    definition, table = load(path), piece_table(path)
     spark = docs.sparkSession
-    buckets = BUCKETS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = np.uint16 if len(table) <= 1 << 16 else np.uint32
     carried = [F.col(k).alias(f"key{i}") for i, k in enumerate(keys)]
+    names = [f"key{i}" for i in range(len(keys))]
     blocks = as_blocks(docs.select(*carried, F.col(text).cast("string").alias("text")), "texts")
 
     def words_of(batches):
-        rolling = Rolling(5)
         for rows in batches:
             for block, payload in zip(rows["block"].to_pylist(), rows["payload"]):
                 words, _, _ = _distinct(unpack(payload.as_buffer()))
-                for bucket, places in enumerate(_dealt(words, buckets, rolling)):
-                    if len(places):
-                        held = pack(batch(word=words.take(pa.array(places))))
-                        yield batch(
-                            bucket=pa.array([bucket], pa.int32()),
-                            block=pa.array([block], pa.int64()),
-                            payload=pa.array([held], pa.binary()),
-                        )
+                dealt = [(b, places) for b, places in enumerate(_dealt(words, buckets)) if len(places)]
+                yield batch(
+                    bucket=pa.array([b for b, _ in dealt], pa.int32()),
+                    block=pa.array([block] * len(dealt), pa.int64()),
+                    payload=pa.array([_squeezed(*_spread(words.take(pa.array(p)))) for _, p in dealt], pa.binary()),
+                )
+                pa.default_memory_pool().release_unused()
 
     def encode_bucket(rows: pa.Table) -> pa.Table:
-        tokenizer = Tokenizer.from_str(definition)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        parts = [unpack(p.as_buffer())["word"].combine_chunks() for p in rows["payload"]]
+        tokenizer = _tokenizer(definition)
+        parts = []
+        for payload in rows["payload"].to_pylist():
+            lengths, data = _lists(payload, np.uint8)
+            parts.append(pieces(data, np.cumsum(lengths) - lengths))
         coded = pa.concat_arrays(parts).dictionary_encode()
         distinct, lengths, values = coded.dictionary, [], []
         for at in range(0, len(distinct), CHUNK):
             some = [w.decode() for w in distinct.slice(at, CHUNK).to_pylist()]
             found = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
-            values.append(np.fromiter((i for ids in found for i in ids), np.int32))
+            values.append(np.fromiter((i for ids in found for i in ids), kind))
         ends = np.cumsum(np.concatenate([[0], *lengths]))
         ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
         at, out = 0, []
         for part in parts:
-            out.append(pack(batch(ids=ids.take(coded.indices.slice(at, len(part))))))
+            taken = ids.take(coded.indices.slice(at, len(part)))
+            out.append(_squeezed(np.diff(np.asarray(taken.offsets)), np.asarray(taken.flatten())))
             at += len(part)
+        pa.default_memory_pool().release_unused()
         return pa.table({"bucket": rows["bucket"], "block": rows["block"], "payload": pa.array(out, pa.binary())})
 
     def join_back(block: pa.Table, encoded: pa.Table) -> pa.Table:
         rows = unpack(block["payload"][0].as_buffer())
         words, at, firsts = _distinct(rows)
-        lists = {b: p for b, p in zip(encoded["bucket"].to_pylist(), encoded["payload"])}
-        order, parts = [], []
-        for bucket, places in enumerate(_dealt(words, buckets, Rolling(5))):
-            if len(places):
-                order.append(places)
-                parts.append(unpack(lists[bucket].as_buffer())["ids"].combine_chunks())
-        if parts:
+        told = dict(zip(encoded["bucket"].to_pylist(), encoded["payload"].to_pylist()))
+        dealt = [(b, places) for b, places in enumerate(_dealt(words, buckets)) if len(places)]
+        lists = [_lists(told[b], kind) for b, _ in dealt]
+        if lists:
             place = np.empty(len(words), np.int64)
-            place[np.concatenate(order)] = np.arange(len(words))
-            by_position = pa.concat_arrays(parts).take(pa.array(place[at]))
-            ends, ids = np.asarray(by_position.offsets)[firsts], by_position.flatten()
+            place[np.concatenate([p for _, p in dealt])] = np.arange(len(words))
+            ends = np.cumsum(np.concatenate([[0], *(n for n, _ in lists)]))
+            ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([v for _, v in lists])))
+            by_position = ids.take(pa.array(place[at]))
+            ends, ids = np.asarray(by_position.offsets)[firsts], by_position.flatten().cast(pa.int32())
         else:
             ends, ids = np.zeros(len(firsts), np.int64), pa.array([], pa.int32())
-        listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
-        return pa.table([*(rows[f"key{i}"] for i in range(len(keys))), listed], names=[*names, "ids"])
+        columns = {n: rows[n] for n in names}
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
+        if decoded:
+            columns["decoded"] = _texts(ids, ends, pa.array(table, pa.large_binary()))
+        pa.default_memory_pool().release_unused()
+        return pa.table(columns)
 
-    names = [f"key{i}" for i in range(len(keys))]
     words = blocks.mapInArrow(words_of, "bucket int, block long, payload binary")
-    encoded = words.groupBy("bucket").applyInArrow(encode_bucket, "bucket int, block long, payload binary")
+    encoded = saved(
+        words.groupBy("bucket").applyInArrow(encode_bucket, "bucket int, block long, payload binary"), "ids"
+    )
     types = {f.name: f.dataType for f in docs.select(*carried).schema.fields}
     schema = T.StructType(
         [*(T.StructField(n, types[n]) for n in names), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     )
+    if decoded:
+        schema = schema.add("decoded", T.StringType())
     joined = blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(join_back, schema)
-    return joined.select(*(F.col(n).alias(k) for n, k in zip(names, keys)), "ids")
+    return joined.select(*(F.col(n).alias(k) for n, k in zip(names, keys)), *schema.names[len(names) :])
 
 
 def _byte_signs() -> dict[str, int]:
@@ -174,6 +218,17 @@ def piece_table(path: str = DEFAULT) -> list[bytes]:
     return [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
 
 
+def _texts(ids: pa.Array, ends: np.ndarray, table: pa.Array) -> pa.Array:
+    """Texts of the ids between two ends each: the ids joined with the pieces, their bytes on end."""
+    found = table.take(ids.cast(pa.int64()))
+    if not len(found):
+        return pa.array([""] * (len(ends) - 1), pa.string())
+    places = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+    content = memoryview(found.buffers()[2] or b"")
+    at = places[ends]
+    return pa.array([str(content[a:b], "utf-8", "replace") for a, b in zip(at[:-1], at[1:])], pa.string())
+
+
 def decode(encoded: DataFrame, ids: str = "ids", path: str = DEFAULT) -> DataFrame:
     """The rows with ``decoded``, the text of their ids; bytes that are no UTF-8 become U+FFFD."""
     table = piece_table(path)
@@ -181,18 +236,9 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str = DEFAULT) -> DataFra
     def to_text(batches):
         held = pa.array(table, pa.large_binary())
         for rows in batches:
-            lists = rows[ids]
-            found = held.take(lists.flatten().cast(pa.int64()))
-            ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset :]
-            at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists).fill_null(0)))])
-            content = found.buffers()[2]
-            content = memoryview(content) if content is not None else memoryview(b"")
-            texts = [
-                str(content[ends[a] : ends[b]], "utf-8", "replace") for a, b in zip(at[:-1], at[1:])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(texts, pa.string())], names=[*rows.schema.names, "decoded"]
-            )
+            lengths = np.asarray(pc.list_value_length(rows[ids]).fill_null(0))
+            texts = _texts(rows[ids].flatten(), np.concatenate([[0], np.cumsum(lengths)]), held)
+            yield pa.RecordBatch.from_arrays([*rows.columns, texts], names=[*rows.schema.names, "decoded"])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
     return encoded.mapInArrow(to_text, schema)
