@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lake_ingest.functions.keys import quoted
 from lake_ingest.llm.shared import saved, words
 
 MIN_WORDS = 50
@@ -189,19 +190,14 @@ def code_counts(codes: str) -> Column:
     )
 
 
-def distance(share: str, reference: str) -> str:
-    """SQL of the Jensen-Shannon distance (base 2) of two arrays of shares of equal length."""
-    return f"""sqrt(greatest(0D, aggregate(zip_with({share}, {reference}, (p, q) ->
-        if(p > 0, p * log2(2 * p / (p + q)), 0D) + if(q > 0, q * log2(2 * q / (p + q)), 0D)),
+def distance(counts: str, total: str, reference: str) -> str:
+    """SQL of the Jensen-Shannon distance (base 2) of counts with a given sum to an array of shares."""
+    return f"""sqrt(greatest(0D, aggregate(zip_with({counts}, {reference}, (x, q) ->
+        if(x > 0, x / {total} * log2(2 * x / (x + q * {total})), 0D)
+            + if(q > 0, q * log2(2 * q * {total} / (x + q * {total})), 0D)),
         0D, (s, x) -> s + x) / 2))"""
 
 
-def shares(counts: str) -> Column:
-    """The counts as shares of their sum; zeros without any."""
-    total = F.expr(f"greatest(1L, aggregate({counts}, 0L, (s, x) -> s + x))")
-    return F.transform(counts, lambda x: x / total)
-
-
 def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> list[tuple[str, list, list]]:
     """Per language its histograms of character classes and common words."""
     classes = features.where("lang IS NOT NULL").groupBy("lang").agg(
@@ -221,20 +217,18 @@ def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> lis
     ]
 
 
-def _nearest(counts: str, histograms: list[list[float]]) -> Column:
+def _nearest(counts: str, total: str, histograms: list[list[float]]) -> Column:
     """Least distance of a histogram to the references; null without any."""
     literal = ", ".join(
         f"array({', '.join(f'{x / sum(h)!r}D' for x in h)})" for h in histograms if sum(h)
     )
     if not literal:
         return F.lit(None).cast("double")
-    return F.expr(f"array_min(transform(array({literal}), r -> {distance(counts, 'r')}))")
+    return F.expr(f"array_min(transform(array({literal}), r -> {distance(counts, total, 'r')}))")
 
 
-def judge(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
-) -> DataFrame:
-    """``(doc_id, n_words, base counts, base_failed, char_distance, word_distance, kept)``.
+def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> DataFrame:
+    """``carried`` with the counts, distances and verdict of each row.
 
     The distances are null where they were not measured: for texts that fail the base rules, are too short
     or have a language without references.
@@ -243,35 +237,33 @@ def judge(
     common = saved(common_words(counts), "common")
     known = F.col(lang).cast("string").alias("lang")
     features = saved(
-        measured(docs, text, F.col(doc_id).alias("doc_id"), known)
+        measured(docs, text, F.struct(*carried).alias("_row"), known)
         .select(
-            "doc_id",
+            "_row",
             "lang",
             "n_words",
             *COUNTS,
             char_classes().alias("_classes"),
+            F.expr("word_chars + _spaces").alias("_chars"),
             word_codes(common, "_w").alias("_codes"),
-        ),
+        ).select("*", F.length("_codes").cast("long").alias("_common"), code_counts("_codes").alias("_counts")).drop("_codes"),
         "features",
     )
     known_languages = references(features, counts, common)
     languages = [name for name, _, _ in known_languages]
     compared = F.col("lang").isNull() | F.col("lang").isin(languages) if languages else F.lit(False)
-    measured_rows = (
-        features.withColumn("_chars", F.expr("aggregate(_classes, 0L, (s, x) -> s + x)"))
-        .withColumn("_counts", code_counts("_codes"))
-        .withColumns({"_words": shares("_counts"), "_classes": shares("_classes")})
-    )
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
 
-    def compare(enough: Column, name: str, histograms: list[list[float]]) -> Column:
-        return F.when(compared & ~failed & enough, _nearest(name, histograms))
+    def compare(enough: Column, counts: str, total: str, histograms: list[list[float]]) -> Column:
+        return F.when(compared & ~failed & enough, _nearest(counts, total, histograms))
 
-    distances = measured_rows.withColumns(
+    distances = features.withColumns(
         {
-            "char_distance": compare(F.col("_chars") >= MIN_CHARS, "_classes", [c for _, c, _ in known_languages]),
+            "char_distance": compare(
+                F.col("_chars") >= MIN_CHARS, "_classes", "_chars", [c for _, c, _ in known_languages]
+            ),
             "word_distance": compare(
-                F.length("_codes") >= MIN_COMMON, "_words", [w for _, _, w in known_languages]
+                F.col("_common") >= MIN_COMMON, "_counts", "_common", [w for _, _, w in known_languages]
             ),
         }
     )
@@ -280,6 +272,20 @@ def judge(
             AND coalesce(word_distance <= {MAX_WORD_DISTANCE}, true)"""
     )
     return distances.withColumn("base_failed", failed).select(
-        "doc_id", "n_words", *COUNTS, "base_failed", "char_distance", "word_distance",
+        "_row", "n_words", *COUNTS, "base_failed", "char_distance", "word_distance",
         (~F.col("base_failed") & near).alias("kept"),
     )
+
+
+def judge(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """``(doc_id, n_words, base counts, base_failed, char_distance, word_distance, kept)`` of every row."""
+    judged = _judged(docs, [F.col(doc_id).alias("doc_id")], text, lang)
+    return judged.select(F.col("_row.doc_id").alias("doc_id"), *(c for c in judged.columns if c != "_row"))
+
+
+def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    judged = _judged(docs, [F.col(quoted(c)) for c in docs.columns], text, lang)
+    return judged.where("kept").select(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))
