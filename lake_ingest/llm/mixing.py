@@ -133,6 +133,7 @@ def shard_quotas(
             {
                 "block_tokens": block.cast("long"),
                 "_total": total,
+                "_votes": F.sum("target").over(everything),
                 "_slack": F.count("*").over(everything) / 2 + 1,
                 "_shards": shards.cast("long"),
             }
@@ -142,9 +143,9 @@ def shard_quotas(
         .withColumns(
             {
                 "_sure": F.expr(
-                    "CAST(greatest(0, floor(target * greatest(0, _house - _slack) / _total + 0.5)) AS bigint)"
+                    "CAST(greatest(0, floor(target * greatest(0, _house - _slack) / _votes + 0.5)) AS bigint)"
                 ),
-                "_most": F.expr("CAST(floor(target * (_house + _slack) / _total + 0.5) AS bigint)"),
+                "_most": F.expr("CAST(floor(target * (_house + _slack) / _votes + 0.5) AS bigint)"),
             }
         )
     )

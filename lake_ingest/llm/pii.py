@@ -63,7 +63,9 @@ PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w)"
+    r"|(?P<phone>(?<![\w+])\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)"
+    r"|(?<![\w+])\+[0-9]{8,15}(?!\w)"
+    r"|(?<![\w+])\+[0-9]{1,3}(?P<mark>[ .-])[0-9]{1,4}(?:(?P=mark)[0-9]{2,4}){1,3}(?!\w)"
     r"|(?<![\w+])\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)"
     r"|(?<![\w.+-])[0-9]{3}(?P<dash>[.-])[0-9]{3,4}(?P=dash)[0-9]{4}(?![\w-]))"
     rf"|\b(?P<title>{_TITLE})\b\.?[ \t]+(?P<one>{_NAME})(?:[ \t]+(?P<two>{_NAME}))?"
@@ -110,7 +112,7 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             if 15 <= len(value) <= 34 and _iban_rest(value) == 1:
                 yield (*match.span(), kind, value)
         elif kind == "card":
-            if _luhn(digits) and digits.strip("0"):
+            if digits[0] in "23456" and _luhn(digits):
                 yield (*match.span(), kind, digits)
         elif kind != "phone" or 8 <= len(digits) <= 15:
             yield (*match.span(), kind, ("+" if surface[0] == "+" else "") + digits)

@@ -40,7 +40,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = r"[A-Za-z0-9+/_=-]{8,}"
 SAMPLE_TEXTS = 2000
 SAMPLE_RANDOM = 20000
-MIN_RATIO = 1.0
+MIN_RATIO = 0.5
 
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
