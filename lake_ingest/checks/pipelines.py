@@ -19,19 +19,24 @@ from lake_ingest.checks.registry import query, scratch, table
 from lake_ingest.checks.validation import SQL_DESTINATIONS, page_saves
 from lake_ingest.operators import artifacts
 from lake_ingest.operators.conform import convert_types
+from lake_ingest.operators.discovery import discover
 from lake_ingest.operators.listing import (
+    combine_part_hashes,
+    content_etag,
     fingerprint,
     fingerprint_changed,
     list_objects,
     table_listing,
 )
-from lake_ingest.operators.sampling import sample_files
+from lake_ingest.operators.sampling import read_ranges, sample_files, validate_reads
 from lake_ingest.operators.sink import create_or_append, register_views
+from lake_ingest.operators.state import load_state
 from lake_ingest.operators.tables import read_batch, read_table, write_batch
+from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
 from lake_ingest.plans.run_ingestion import ingest_objects, run_ingestion
 from lake_ingest.plans.save_batch import save_batch
-from lake_ingest.sources.loaders import load_source
+from lake_ingest.sources.loaders import load_source, register_loader
 from lake_ingest.streaming.incremental import ingest_new_files
 
 WHEN = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -126,6 +131,73 @@ def fingerprint_files(spark, sf_dir):
     return fingerprint(listing, root, smallest=4096).select("key", "size", "etag")
 
 
+@query(
+    "fingerprint_blocks",
+    f"""WITH {SQL_PAGE_FILES},
+    parts AS (
+      SELECT key, i, md5(array_slice(raw, i * 512 + 1, (i + 1) * 512)) AS digest
+      FROM (SELECT *, unnest(range(0, greatest(1, CAST(ceil(octet_length(raw) / 512.0) AS BIGINT)))) AS i FROM files)),
+    blocks AS (
+      SELECT key, i // 4 AS b, count(*) AS n,
+             CASE WHEN count(*) = 1 THEN max(digest) ELSE md5(unhex(string_agg(digest, '' ORDER BY i))) END AS digest
+      FROM parts GROUP BY ALL),
+    whole AS (
+      SELECT key, CASE WHEN sum(n) = 1 THEN max(digest) WHEN count(*) = 1 THEN max(digest) || '-' || sum(n)
+             ELSE md5(unhex(string_agg(digest, '' ORDER BY b))) || '-' || sum(n) END AS etag
+      FROM blocks GROUP BY key)
+    SELECT key, etag, TRUE AS same_as_column, TRUE AS same_as_copy FROM whole""",
+)
+def fingerprint_blocks(spark, sf_dir):
+    """Files of more parts than one block of digests holds: as file, as column and as stored copy."""
+    root, listing = _page_files(spark, sf_dir)
+    files = fingerprint(listing, root, smallest=512, block_parts=4).select("key", "etag")
+    language = F.regexp_extract("url", r"\Ahttps?://[^/]+/(\w+)", 1)
+    name = F.concat(language, F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    contents = table(spark, sf_dir, "pages").select(name.alias("key"), F.col("html").cast("binary").alias("content"))
+    columns = contents.select("key", content_etag("content", 512, 4).alias("of_column"))
+    saves = listing.select(
+        F.col("key").alias("ingestion_id"), F.col("key").alias("source_key"), F.lit("raw/").alias("raw_location"), "size"
+    )
+    copies = combine_part_hashes(artifacts.file_parts(root, 512)(saves), ["ingestion_id"], block_parts=4).select(
+        F.col("ingestion_id").alias("key"), F.col("etag").alias("of_copy")
+    )
+    return files.join(columns, "key").join(copies, "key").select(
+        "key", "etag",
+        (F.col("of_column") == F.col("etag")).alias("same_as_column"),
+        (F.col("of_copy") == F.col("etag")).alias("same_as_copy"),
+    )
+
+
+@query(
+    "read_buckets",
+    f"""WITH {SQL_PAGE_FILES},
+    stored AS (SELECT key, 'incoming' AS bucket, raw FROM files
+               UNION ALL SELECT key, 'lake', encode('copy of ' || key) FROM files),
+    requests AS (SELECT * FROM stored UNION ALL SELECT key, 'other', NULL FROM files
+                 UNION ALL SELECT '../' || key, 'lake', NULL FROM files)
+    SELECT key, bucket, CAST(octet_length(raw) AS BIGINT) AS file_size_bytes,
+           md5(array_slice(raw, 1, 2048)) AS content_md5,
+           CASE WHEN bucket = 'other' THEN 'Bucket is not permitted'
+                WHEN starts_with(key, '..') THEN 'source_key must be a relative object key' END AS error,
+           CASE WHEN bucket = 'other' THEN 'incoming,lake' END AS allowed_buckets
+    FROM requests""",
+)
+def read_buckets(spark, sf_dir):
+    """The same key in two buckets, in a bucket that is not served, and one that climbs out of its bucket."""
+    root, listing = _page_files(spark, sf_dir)
+    other = scratch(spark)
+    keys = listing.select("key")
+    write_objects(keys.withColumn("content", F.concat(F.lit("copy of "), "key")), other)
+    requests = keys.select("key", F.explode(F.array(*map(F.lit, ("incoming", "lake", "other")))).alias("bucket"))
+    requests = requests.unionByName(keys.select(F.concat(F.lit("../"), "key").alias("key"), F.lit("lake").alias("bucket")))
+    requests = requests.select("*", F.lit(0).alias("start_byte"), F.lit(2048).alias("max_bytes"), F.lit(0).alias("read_count"))
+    checked = validate_reads(requests, ["lake", "incoming"], "incoming")
+    return read_ranges(checked, {"incoming": root, "lake": other}).select(
+        "key", "bucket", "file_size_bytes", F.md5("content").alias("content_md5"), "error",
+        F.array_join("allowed_buckets", ",").alias("allowed_buckets"),
+    )
+
+
 @query(
     "fingerprint_changed",
     f"""WITH {SQL_PAGE_FILES}
@@ -362,6 +434,134 @@ def ingest_twice(spark, sf_dir):
     )
 
 
+@query(
+    "ingest_outcomes",
+    """WITH objects AS (
+      SELECT *, event_type || '/' || event_id || '.json' AS key, event_id % 7 AS form FROM events)
+    SELECT key, CASE WHEN form IN (0, 1, 2, 6) THEN 'success' ELSE 'failed' END AS status,
+           CAST(CASE form WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS BIGINT) AS rows_written,
+           CAST(CASE WHEN form IN (3, 4, 6) THEN 1 ELSE 0 END AS BIGINT) AS rows_rejected, form IN (3, 4, 5) AS pending
+    FROM objects""",
+)
+def ingest_outcomes(spark, sf_dir):
+    """Objects of every kind: one document, an array, an empty one, two documents, no JSON, unread, unfit value."""
+    lake, name = Lake(scratch(spark)), _table_name("events")
+    form = F.col("event_id") % 7
+    one = F.to_json(F.struct("event_id", "user_id", "event_type", "value", F.lit(1).alias("k")))
+    body = (
+        F.when(form == 0, one)
+        .when(form == 1, F.concat(F.lit("["), one, F.lit(", "), one, F.lit("]")))
+        .when(form == 2, F.lit("[ ]"))
+        .when(form == 3, F.concat(one, F.lit("\n"), one))
+        .when(form == 4, F.concat(one, F.lit(" and more")))
+        .when(form == 6, F.replace(one, F.lit('"k":1'), F.lit('"k":"many"')))
+        .otherwise(one)
+    )
+    key = F.concat("event_type", F.lit("/"), F.col("event_id").cast("string"), F.lit(".json"))
+    objects = table(spark, sf_dir, "events").select(key.alias("key"), body.alias("content"), form.alias("form"))
+    listing = table_listing(objects, "key", "content")
+    ingest_objects(
+        spark, lake, listing, objects.where("form <> 5"), name, "r", EVENT_OBJECT, path=f"{lake.root}/{name}"
+    )
+    state = load_state(spark, lake.state)
+    number = F.regexp_extract("source_key", r"/(\d+)\.json\z", 1).cast("bigint")
+    written = spark.table(name).groupBy("event_id").agg(F.count("*").alias("rows_written"))
+    rejects = read_table(spark, lake.rejects, "source_key string, rejected_columns array<string>, record string")
+    rejected = rejects.groupBy("source_key").agg(F.count("*").alias("rows_rejected"))
+    pending = discover(listing, state).select(F.col("key").alias("source_key"), F.lit(True).alias("pending"))
+    none = F.lit(0).cast("bigint")
+    return (
+        state.withColumn("event_id", number)
+        .join(written, "event_id", "left")
+        .join(rejected, "source_key", "left")
+        .join(pending, "source_key", "left")
+        .select(
+            F.col("source_key").alias("key"), "status",
+            F.coalesce("rows_written", none).alias("rows_written"),
+            F.coalesce("rows_rejected", none).alias("rows_rejected"),
+            F.coalesce("pending", F.lit(False)).alias("pending"),
+        )
+    )
+
+
+@query(
+    "quarantine_files",
+    """WITH lines AS (SELECT *, o_orderkey % 10 AS form FROM orders)
+    SELECT CASE form WHEN 0 THEN 'too many' WHEN 1 THEN 'too few' WHEN 2 THEN 'open quote' WHEN 3 THEN 'no number' ELSE 'good' END AS form,
+           count(*) AS lines, count(*) FILTER (WHERE form > 3) AS rows_written, count(*) FILTER (WHERE form < 3) AS corrupt,
+           CAST(sum(o_custkey) FILTER (WHERE form > 3) AS BIGINT) AS sum_custkey
+    FROM lines GROUP BY 1""",
+)
+def quarantine_files(spark, sf_dir):
+    """CSV files with lines of too many and too few fields, open quotes and unfit values: good rows and rejects."""
+    lake, name = Lake(scratch(spark)), _table_name("orders")
+    form = F.col("o_orderkey") % 10
+    said = F.when(form == 2, F.concat(F.lit('"'), "o_orderpriority")).otherwise(F.col("o_orderpriority"))
+    fields = ["o_orderkey", F.when(form == 3, F.lit("lost")).otherwise(F.col("o_custkey").cast("string")), said]
+    line = F.concat_ws(",", *(F.col(f) if isinstance(f, str) else f for f in fields))
+    line = F.when(form == 0, F.concat(line, F.lit(",more"))).when(form == 1, F.col("o_orderkey").cast("string")).otherwise(line)
+    lines = table(spark, sf_dir, "orders").select(F.concat(F.lit("part"), F.col("o_orderkey") % 8, F.lit(".csv")).alias("key"), line.alias("line"))
+    files = lines.groupBy("key").agg(
+        F.concat_ws("\n", F.lit("o_orderkey,o_custkey,o_orderpriority"), F.collect_list("line")).alias("content")
+    )
+    write_objects(files, f"{lake.root}/incoming/orders.csv")
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderpriority string"
+    run_ingestion(
+        spark, lake, f"{lake.root}/incoming/orders.csv", name, "r", schema=schema, path=f"{lake.root}/{name}"
+    )
+    rejects = read_table(spark, lake.rejects, "source_key string, rejected_columns array<string>, record string")
+    corrupt = F.get_json_object("record", "$._corrupt_record")
+    first = F.coalesce(F.split(corrupt, ",")[0], F.get_json_object("record", "$.o_orderkey")).cast("bigint")
+    every = spark.table(name).select("o_orderkey", "o_custkey", F.lit(False).alias("corrupt")).unionByName(
+        rejects.select(first.alias("o_orderkey"), F.lit(None).cast("bigint").alias("o_custkey"), corrupt.isNotNull().alias("corrupt"))
+    )
+    kind = F.col("o_orderkey") % 10
+    label = F.when(kind == 0, "too many").when(kind == 1, "too few").when(kind == 2, "open quote").when(kind == 3, "no number")
+    return every.groupBy(label.otherwise("good").alias("form")).agg(
+        F.count("*").alias("lines"), F.count("o_custkey").alias("rows_written"),
+        F.count_if("corrupt").alias("corrupt"), F.sum("o_custkey").alias("sum_custkey"),
+    )
+
+
+@query(
+    "custom_loader",
+    """SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS price FROM orders""",
+)
+def custom_loader(spark, sf_dir):
+    """A loader of one's own, registered by name and checked like the built-in ones."""
+
+    def load_data(spark, source_path):
+        parts = F.split("value", ";")
+        return spark.read.text(source_path).select(
+            parts[0].alias("o_orderkey"), parts[1].alias("o_custkey"), parts[2].alias("price")
+        )
+
+    register_loader("semicolons", load_data)
+    path = f"{scratch(spark)}/orders.dat"
+    orders = table(spark, sf_dir, "orders")
+    orders.select(F.concat_ws(";", "o_orderkey", "o_custkey", "o_totalprice")).write.text(path)
+    rows = check_dataset(load_source(spark, path, "semicolons"))
+    return convert_types(rows, "o_orderkey bigint, o_custkey bigint, price double")
+
+
+@query(
+    "incremental_streams",
+    """SELECT 'a' AS stream, event_id FROM events UNION ALL SELECT 'b', event_id FROM events""",
+)
+def incremental_streams(spark, sf_dir):
+    """Two streams with checkpoints of their own write into one target, neither over the other's rows."""
+    root = scratch(spark)
+    schema = table(spark, sf_dir, "events").schema
+    for stream in "ab":
+        ingest_new_files(
+            spark, sf_dir, "parquet", schema, f"{root}/target", f"{root}/progress-{stream}",
+            lambda rows: rows.select("event_id"), {"pathGlobFilter": "events.parquet"}, stream,
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/target").select(
+        F.split("batch_id", "-")[0].alias("stream"), "event_id"
+    )
+
+
 @query(
     "run_source",
     """SELECT count(*) AS rows_in, count(*) FILTER (WHERE l_returnflag <> 'R') AS rows_written,
@@ -401,7 +601,7 @@ def sql_over_lake(spark, sf_dir):
         FROM {names["state"]} s
         JOIN (SELECT ingestion_id, count(*) AS n FROM {names["artifacts"]} GROUP BY ingestion_id) a
           ON a.ingestion_id = s.proposal_id
-        JOIN (SELECT ingestion_id, sum(octet_length(content)) AS bytes FROM {names["raw"]}
+        JOIN (SELECT ingestion_id, sum(bytes) AS bytes FROM {names["raw"]}
               GROUP BY ingestion_id) r ON r.ingestion_id = s.proposal_id
         GROUP BY s.target_table"""
     )

@@ -85,7 +85,29 @@ def sample_documents(spark, sf_dir):
     return _chunk_rows(_chunks(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@query("decode_sample")
+# A piece of valid UTF-8 is broken at its two ends only: up to three bytes that continue a character
+# before it, and up to three that begin one whose rest is missing. Each of the former is one replacement
+# character, and the latter together are one.
+DECODE_SQL = f"""
+WITH objects AS (SELECT url AS key, encode(html) AS raw FROM pages),
+pieces AS (
+  SELECT key, CAST(i AS INTEGER) AS read_count, array_slice(raw, i * {CHUNK} + 1, (i + 1) * {CHUNK}) AS piece
+  FROM (SELECT *, unnest(range(0, greatest(1, least(5, CAST(ceil(octet_length(raw) / {CHUNK}.0) AS BIGINT))))) AS i
+        FROM objects)),
+digits AS (SELECT *, hex(piece) AS h, octet_length(piece) AS n FROM pieces),
+ends AS (
+  SELECT *, CASE WHEN NOT regexp_matches(h, '^[89AB]') THEN 0 WHEN NOT regexp_matches(h, '^[89AB].[89AB]') THEN 1
+                 WHEN NOT regexp_matches(h, '^[89AB].[89AB].[89AB]') THEN 2 ELSE 3 END AS lead,
+         CASE WHEN regexp_matches(h, '[CDEF].$') AND n > 0 THEN 1 WHEN regexp_matches(h, '[EF].[89AB].$') THEN 2
+              WHEN regexp_matches(h, 'F.[89AB].[89AB].$') THEN 3 ELSE 0 END AS trail
+  FROM digits)
+SELECT key, read_count,
+       repeat(chr(65533), lead) || decode(unhex(substr(h, 2 * lead + 1, 2 * (n - lead - trail))))
+         || CASE WHEN trail > 0 THEN chr(65533) ELSE '' END AS text
+FROM ends"""
+
+
+@query("decode_sample", DECODE_SQL)
 def decode_sample(spark, sf_dir):
     """Chunks cut characters in two; both halves show the replacement character."""
     chunks = _chunks(spark, sf_dir, "pages", "url", "html")

@@ -4,6 +4,8 @@
 DONE_STATUSES = ("success", "artifacts_saved")
 SAVED_STATUS = "artifacts_saved"
 SUCCESS_STATUS = "success"
+# Not among the done ones: such an object is offered again.
+FAILED_STATUS = "failed"
 
 # Sampling limits.
 MAX_READ_BYTES = 65536
@@ -55,6 +57,6 @@ READ_NOTE = (
 )
 
 # Own choices, not given values: objects are hashed and preserved in parts so that one large object
-# is spread over many tasks. At most 10,000 parts per object bound every per-object group.
+# is spread over many tasks. The digests of 10,000 parts are joined into one, and so on upwards.
 PART_BYTES = 8 * 1024 * 1024
-MAX_PARTS = 10_000
+BLOCK_PARTS = 10_000

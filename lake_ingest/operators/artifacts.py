@@ -118,8 +118,12 @@ def file_parts(root: str, part_bytes: int = PART_BYTES, tasks: int | None = None
                 names = ["ingestion_id", "source_key", "raw_location", "part", "start_byte"]
                 pending, held = [], 0
                 for row in batch.to_pylist():
-                    path = join(base, row["source_key"])
-                    _, content = read_range(store, path, row["start_byte"], row["length"])
+                    try:
+                        path = join(base, row["source_key"])
+                        _, content = read_range(store, path, row["start_byte"], row["length"])
+                    except OSError:
+                        # The save is found incomplete and not committed; the others go on.
+                        continue
                     pending.append({**{n: row[n] for n in names}, "content": content})
                     held += len(content)
                     if held >= _BATCH_BYTES:

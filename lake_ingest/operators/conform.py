@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,23 @@ _FORMS = (
 )
 
 
+def _resolved(df: DataFrame, fields: Sequence[T.StructField]) -> dict[str, tuple[str, T.DataType]]:
+    """Per declared field the SQL and type of the column that holds it, found as Spark finds names.
+
+    A column that is not there counts as NULL where the field may be; a field that may not is an error.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if exact else str.lower
+    there = {fold(f.name): f for f in reversed(df.schema.fields)}
+    found = {}
+    for field in fields:
+        column = there.get(fold(field.name))
+        if column is None and not field.nullable:
+            raise ValueError(f"required column is missing: {field.name}")
+        found[field.name] = ("NULL", field.dataType) if column is None else (quoted(column.name), column.dataType)
+    return found
+
+
 def _conversion(column: str, source: T.DataType, target: T.DataType) -> str:
     """SQL that converts a column, giving NULL where that fails."""
     if source == target:
@@ -50,14 +67,15 @@ def _conversion(column: str, source: T.DataType, target: T.DataType) -> str:
 
 def convert_types(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Exactly the columns of ``schema``; a value that does not convert becomes NULL."""
-    return df.select(
-        *[
-            F.expr(_conversion(quoted(f.name), df.schema[f.name].dataType, f.dataType)).alias(
-                f.name, metadata=f.metadata
-            )
-            for f in _struct(schema)
-        ]
-    )
+    fields = _struct(schema).fields
+    columns = _resolved(df, fields)
+    return df.select(*[_converted(columns[f.name], f).alias(f.name, metadata=f.metadata) for f in fields])
+
+
+def _converted(column: tuple[str, T.DataType], field: T.StructField) -> Column:
+    sql, kind = column
+    absent = f"CAST(NULL AS {field.dataType.simpleString()})"
+    return F.expr(absent if sql == "NULL" else _conversion(sql, kind, field.dataType))
 
 
 def missing_values(
@@ -68,22 +86,31 @@ def missing_values(
 ) -> DataFrame:
     """Null tokens in text columns and NaN in floating ones become NULL, then defaults apply.
 
-    Tokens match the trimmed text in any case; texts that are kept are not altered.
+    Tokens match the text in any case without the white space around it, that of ``has_text``; texts
+    that are kept are not altered. ``columns`` and ``defaults`` name columns in any case unless Spark
+    tells cases apart.
     """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if exact else str.lower
     tokens = [t.lower() for t in tokens]
+    wanted = None if columns is None else {fold(c) for c in columns}
+    defaults = {fold(name): value for name, value in (defaults or {}).items()}
     cleaned = {}
     for field in df.schema:
-        if columns is not None and field.name not in columns:
+        if wanted is not None and fold(field.name) not in wanted:
             continue
-        value = F.col(field.name)
+        value = F.col(quoted(field.name))
         if isinstance(field.dataType, T.StringType):
-            value = F.when(~F.lower(F.trim(value)).isin(tokens), value)
+            bare = F.regexp_replace(value, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+            value = F.when(~F.lower(bare).isin(tokens), value)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             value = F.when(~F.isnan(value), value)
-        if field.name in (defaults or {}):
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
+        if fold(field.name) in defaults:
+            value = F.coalesce(value, F.lit(defaults[fold(field.name)]).cast(field.dataType))
         cleaned[field.name] = value
-    return df.withColumns(cleaned)
+    return df.select(
+        *[cleaned.get(c, F.col(quoted(c))).alias(c, metadata=df.schema[c].metadata) for c in df.columns]
+    )
 
 
 class Conformed:
@@ -94,24 +121,26 @@ class Conformed:
 
     def __init__(self, df: DataFrame, schema: T.StructType | str):
         self.columns, self.fields = df.columns, _struct(schema).fields
-        converted = {
-            self._hidden(f): F.expr(_conversion(quoted(f.name), df.schema[f.name].dataType, f.dataType))
-            for f in self.fields
-        }
+        held = _resolved(df, self.fields)
+        converted = {self._hidden(f): _converted(held[f.name], f) for f in self.fields}
         failed = [
-            f"CASE WHEN {quoted(f.name)} IS NOT NULL AND {quoted(self._hidden(f))} IS NULL "
+            f"CASE WHEN {held[f.name][0]} IS NOT NULL AND {quoted(self._hidden(f))} IS NULL "
             f"THEN {text_literal(f.name)} END"
             for f in self.fields
         ]
         if CORRUPT_RECORD in df.columns:
             failed.append(f"CASE WHEN {CORRUPT_RECORD} IS NOT NULL THEN '{CORRUPT_RECORD}' END")
         rejected = F.expr(f"array_compact(array({', '.join(failed)}))")
-        self.rows = df.withColumns(converted).withColumn(REJECTED, rejected)
+        self.rows = df.select("*", *[c.alias(n) for n, c in converted.items()]).withColumn(REJECTED, rejected)
 
     @staticmethod
     def _hidden(field: T.StructField) -> str:
         return f"_converted_{field.name}"
 
+    def converted(self) -> list[Column]:
+        """The converted values by the names of the schema."""
+        return [F.col(quoted(self._hidden(f))).alias(f.name, metadata=f.metadata) for f in self.fields]
+
     def observe(self, observation: Observation) -> Conformed:
         """The same rows, counted as they pass: ``rows`` and, among them, ``rejected``."""
         self.rows = self.rows.observe(
@@ -124,7 +153,7 @@ class Conformed:
     def good(self) -> DataFrame:
         """Converted rows without a failure, in the columns of the schema."""
         return self.rows.where(f"size({REJECTED}) = 0").select(
-            *[F.col(quoted(self._hidden(f))).alias(f.name, metadata=f.metadata) for f in self.fields]
+            *self.converted()
         )
 
     def flagged(self) -> DataFrame:

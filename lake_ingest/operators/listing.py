@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lake_ingest.constants import MAX_PARTS, PART_BYTES
+from lake_ingest.constants import BLOCK_PARTS, PART_BYTES
 from lake_ingest.sources.datasources import register_sources
 from lake_ingest.sources.store import hash_range, join, open_store
 
@@ -55,17 +55,12 @@ def drop_markers(listing: DataFrame) -> DataFrame:
 
 
 def split_into_parts(objects: DataFrame, smallest: int = PART_BYTES) -> DataFrame:
-    """One row ``(…, part, start_byte, length)`` per part; an empty object has one empty part.
-
-    Parts have a fixed length, and a longer one only where that would give more than 10,000 parts.
-    """
-    step = f"greatest({smallest}L, CAST(ceil(size / {MAX_PARTS}) AS bigint))"
+    """One row ``(…, part, start_byte, length)`` per part of a fixed length; an empty object has one empty part."""
+    parts = f"explode_outer(sequence(0L, greatest(0L, (size - 1) DIV {smallest}))) AS part"
     return (
-        objects.withColumn("_step", F.expr(step))
-        .select("*", F.expr("explode_outer(sequence(0L, greatest(0L, (size - 1) DIV _step))) AS part"))
-        .withColumn("start_byte", F.expr("part * _step"))
-        .withColumn("length", F.expr("least(_step, size - start_byte)"))
-        .drop("_step")
+        objects.select("*", F.expr(parts))
+        .withColumn("start_byte", F.expr(f"part * {smallest}L"))
+        .withColumn("length", F.expr(f"least({smallest}L, size - start_byte)"))
     )
 
 
@@ -82,40 +77,84 @@ def spread(rows: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     return rows.repartition(tasks, *keys)
 
 
-def _multipart_etag(digests: str) -> str:
-    return f"""if(size({digests}) = 1, {digests}[0],
-        concat(md5(unhex(array_join({digests}, ''))), '-', size({digests})))"""
+def _tree_etag(digests: str, parts: str) -> str:
+    """SQL that joins an array of digests into one; ``parts`` is the number of parts of the object."""
+    return f"""if({parts} = 1, {digests}[0],
+        concat(if(size({digests}) = 1, {digests}[0], md5(unhex(array_join({digests}, '')))), '-', {parts}))"""
+
+
+def _block_digest(digests: str) -> str:
+    """SQL of the digest of a block of parts; that of a single part is the part's own."""
+    return f"if(size({digests}) = 1, {digests}[0], md5(unhex(array_join({digests}, ''))))"
 
 
-def content_etag(content: str, smallest: int = PART_BYTES) -> Column:
+def content_etag(content: str, smallest: int = PART_BYTES, block_parts: int = BLOCK_PARTS) -> Column:
     """Fingerprint of a binary column, the same as that of a file with this content.
 
-    Multipart ETag form. One part: its MD5. Several: the MD5 of the concatenated binary MD5s of the
-    parts, ``-``, their number.
+    One part: its MD5. Several: the MD5 of the binary MD5s of the parts on end, ``-``, their number. The
+    digests are joined by blocks of parts, and the blocks' digests in the same way where there are
+    several, so that no group grows with the object.
     """
-    digests = f"""transform(sequence(0, (octet_length({content}) - 1) DIV {smallest}),
-        i -> md5(substring({content}, CAST(i * {smallest} + 1 AS int), {smallest})))"""
+    parts = f"((octet_length({content}) - 1) DIV {smallest} + 1)"
+    # The names of the lambdas' variables must not be those of columns.
+    block = f"""transform(
+        sequence(_block * {block_parts}, least({parts}, (_block + 1) * {block_parts}) - 1),
+        _part -> md5(substring({content}, CAST(_part * {smallest} + 1 AS int), {smallest})))"""
+    blocks = f"""transform(sequence(0, ({parts} - 1) DIV {block_parts}), _block -> {_block_digest(block)})"""
     return F.expr(
-        f"if(octet_length({content}) <= {smallest}, md5({content}), {_multipart_etag(digests)})"
+        f"if(octet_length({content}) <= {smallest}, md5({content}), {_tree_etag(blocks, parts)})"
     )
 
 
-def combine_part_hashes(parts: DataFrame, keys: Sequence[str], *figures: Column) -> DataFrame:
-    """Fingerprint per object from ``(part, part_md5)`` rows; 10,000 parts bound each group.
+def combine_part_hashes(
+    parts: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, str] | None = None,
+    block_parts: int = BLOCK_PARTS,
+) -> DataFrame:
+    """Fingerprint per object from ``(part, part_md5)`` rows; a block of parts bounds each group.
 
-    ``figures`` are further aggregates to take along.
+    ``sums`` names columns to add up over the parts and take along. An object with a part that
+    could not be read has no fingerprint.
     """
-    ordered = "array_sort(collect_list(named_struct('part', part, 'md5', part_md5)))"
+
+    def ordered(position: str, digest: str) -> str:
+        return f"""transform(array_sort(collect_list(named_struct('at', {position}, 'md5', {digest}))), p -> p.md5)"""
+
+    sums = sums or {}
+    blocks = (
+        parts.groupBy(*keys, F.expr(f"part DIV {block_parts} AS _block"))
+        .agg(
+            F.expr(f"{ordered('part', 'part_md5')} AS _digests"),
+            F.expr("count(*) AS _n"),
+            F.expr("count(part_md5) = count(*) AS _whole"),
+            *[F.sum(column).alias(name) for name, column in sums.items()],
+        )
+        .withColumn("_digest", F.expr(_block_digest("_digests")))
+    )
     return (
-        parts.groupBy(*keys)
-        .agg(F.expr(f"transform({ordered}, p -> p.md5) AS _digests"), *figures)
-        .withColumn("etag", F.expr(_multipart_etag("_digests")))
-        .drop("_digests")
+        blocks.groupBy(*keys)
+        .agg(
+            F.expr(f"{ordered('_block', '_digest')} AS _digests"),
+            F.expr("sum(_n) AS _parts"),
+            F.expr("bool_and(_whole) AS _whole"),
+            *[F.sum(name).alias(name) for name in sums],
+        )
+        .withColumn("etag", F.expr(f"CASE WHEN _whole THEN {_tree_etag('_digests', '_parts')} END"))
+        .drop("_digests", "_parts", "_whole")
     )
 
 
+def _digest(store, base: str, key: str, start: int, length: int) -> str | None:
+    """MD5 of a part, None where it cannot be read."""
+    try:
+        return hash_range(store, join(base, key), start, length)
+    except OSError:
+        return None
+
+
 def _fingerprint(
-    listing: DataFrame, root: str, smallest: int, tasks: int | None
+    listing: DataFrame, root: str, smallest: int, tasks: int | None, block_parts: int = BLOCK_PARTS
 ) -> DataFrame:
     """Listing, with ``_known`` fingerprints where there is nothing to read, to listing with ``etag``.
 
@@ -127,7 +166,7 @@ def _fingerprint(
         store, base = open_store(root)
         for batch in batches:
             digests = [
-                known or hash_range(store, join(base, key), start, length)
+                known if known is not None else _digest(store, base, key, start, length)
                 for known, key, start, length in zip(
                     batch["_known"].to_pylist(),
                     batch["key"].to_pylist(),
@@ -149,15 +188,22 @@ def _fingerprint(
         [*parts.select(*carried).schema.fields, T.StructField("part_md5", T.StringType())]
     )
     hashes = spread(parts, tasks, "key", "part").mapInArrow(hash_parts, hashed_schema)
-    return combine_part_hashes(hashes, carried[:-1])
+    return combine_part_hashes(hashes, carried[:-1], block_parts=block_parts)
 
 
 def fingerprint(
-    listing: DataFrame, root: str, smallest: int = PART_BYTES, tasks: int | None = None
+    listing: DataFrame,
+    root: str,
+    smallest: int = PART_BYTES,
+    tasks: int | None = None,
+    block_parts: int = BLOCK_PARTS,
 ) -> DataFrame:
-    """Listing with the ``etag`` of each file's content, hashed in parts by many tasks."""
+    """Listing with the ``etag`` of each file's content, hashed in parts by many tasks.
+
+    A file that cannot be read any more has a NULL ``etag``.
+    """
     unknown = F.lit(None).cast("string")
-    return _fingerprint(listing.withColumn("_known", unknown), root, smallest, tasks)
+    return _fingerprint(listing.withColumn("_known", unknown), root, smallest, tasks, block_parts)
 
 
 def fingerprint_changed(
@@ -172,7 +218,7 @@ def fingerprint_changed(
     Only the other files are read. An edit that keeps the size within one tick of the file system's
     clock goes unnoticed, so ``fingerprint`` is the default elsewhere.
     """
-    known = state.where(F.col("etag").isNotNull()).select(
+    known = state.where(F.nullif(F.col("etag"), F.lit("")).isNotNull()).select(
         F.col("source_key").alias("key"),
         F.col("source_size").alias("size"),
         F.col("source_modified").alias("last_modified"),

@@ -74,7 +74,7 @@ def _sketched(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
         row = {"position": str(i), "rows": "rows", "non_null": f"non_null{i}"}
         if _is_ordered(field):
             aggregates += [
-                f"approx_count_distinct(v{i}) AS distinct{i}",
+                f"approx_count_distinct(v{i}, 0.02) AS distinct{i}",
                 f"CAST(min(v{i}) AS string) AS min{i}",
                 f"CAST(max(v{i}) AS string) AS max{i}",
             ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +33,13 @@ _SLICE_ROWS = 256
 def validate_reads(requests: DataFrame, buckets: Sequence[str], default_bucket: str) -> DataFrame:
     """Requests ``(bucket, key, start_byte, max_bytes, read_count)`` with ``error`` and defaults set.
 
-    The first failing test names the error; ``max_bytes`` is clamped, never an error.
+    The first failing test names the error; ``max_bytes`` is clamped, never an error. A refused bucket
+    is answered with the ``allowed_buckets``. A key may not climb out of its bucket.
     """
     allowed = ", ".join(text_literal(b) for b in buckets)
     error = f"""CASE
-        WHEN coalesce(key, '') = '' OR startswith(key, '/') THEN {text_literal(ERR_KEY)}
+        WHEN coalesce(key, '') = '' OR startswith(key, '/') OR key RLIKE r'(^|/)[.][.]?(/|$)'
+          THEN {text_literal(ERR_KEY)}
         WHEN start_byte < 0 THEN {text_literal(ERR_START)}
         WHEN read_count > {MAX_READS} THEN {text_literal(ERR_READS)}
         WHEN bucket NOT IN ({allowed}) THEN {text_literal(ERR_BUCKET)} END"""
@@ -49,7 +51,10 @@ def validate_reads(requests: DataFrame, buckets: Sequence[str], default_bucket:
             "max_bytes": F.expr(f"CAST(greatest(1, least({wanted}, {MAX_READ_BYTES})) AS bigint)"),
             "read_count": F.expr("coalesce(read_count, 0)"),
         }
-    ).withColumn("error", F.expr(error))
+    ).withColumn("error", F.expr(error)).withColumn(
+        "allowed_buckets",
+        F.expr(f"CASE WHEN error = {text_literal(ERR_BUCKET)} THEN array_sort(array({allowed})) END"),
+    )
 
 
 def with_offsets(reads: DataFrame) -> DataFrame:
@@ -86,9 +91,14 @@ def read_table_ranges(requests: DataFrame, body: str) -> DataFrame:
     return _with_continuation(with_offsets(read))
 
 
-def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+def read_ranges(
+    requests: DataFrame, root: str | Mapping[str, str], tasks: int | None = None
+) -> DataFrame:
     """Serve requests ``(key, start_byte, max_bytes, …)`` from files, by seek and read in the tasks.
 
+    ``root`` is one root for all, or the root of each bucket; then a request names its ``bucket``, and
+    one of a bucket without a root is refused.
+
     Adds ``file_size_bytes, content, bytes_read, next_start_byte, eof, note`` and, where requests are
     numbered, ``next_read_count``; a file that cannot be read gives a row with ``error``. Requests are
     spread evenly however the files lie in folders: each read is bounded, so equal numbers of requests
@@ -98,19 +108,25 @@ def read_ranges(requests: DataFrame, root: str, tasks: int | None = None) -> Dat
         "error", F.lit(None).cast("string")
     )
     names = requests.columns
+    mapped = not isinstance(root, str)
+    roots = dict(root) if mapped else {None: root}
 
     def serve(batches):
-        store, base = open_store(root)
+        stores = {bucket: open_store(path) for bucket, path in roots.items()}
         for batch in batches:
             for offset in range(0, batch.num_rows, _SLICE_ROWS):
                 part = batch.slice(offset, _SLICE_ROWS)
                 rows = part.to_pydict()
                 sizes, contents, errors = [], [], []
-                for key, start, length, error in zip(
-                    rows["key"], rows["start_byte"], rows["max_bytes"], rows["error"]
+                buckets = rows["bucket"] if mapped else [None] * part.num_rows
+                for bucket, key, start, length, error in zip(
+                    buckets, rows["key"], rows["start_byte"], rows["max_bytes"], rows["error"]
                 ):
                     size = content = None
+                    if error is None and bucket not in stores:
+                        error = ERR_BUCKET
                     if error is None:
+                        store, base = stores[bucket]
                         try:
                             size, content = read_range(store, join(base, key), start, length)
                         except OSError as exc:

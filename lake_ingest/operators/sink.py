@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lake_ingest.functions.keys import quoted, text_literal
 from lake_ingest.operators.validate import check_dataset
 
+LOAD_ID = "load_id"
 _SESSION_CATALOG = "spark_catalog"
 
 
@@ -41,6 +44,34 @@ def create_or_append(df: DataFrame, table: str, **options: str) -> None:
     df.writeTo(table).append()
 
 
+def replace_load(df: DataFrame, table: str, load_id: str, **options: str) -> None:
+    """Write the rows of one load, in place of those the same load wrote before.
+
+    Tables made here have a partition column ``load_id``; in any other catalog the rows of that value are
+    overwritten. To a table without the column rows are appended.
+    """
+    rows = check_dataset(df).withColumn(LOAD_ID, F.lit(load_id))
+    spark = df.sparkSession
+    v2 = in_v2_catalog(spark, table)
+    if not spark.catalog.tableExists(table):
+        if v2:
+            rows.limit(0).writeTo(table).partitionedBy(F.col(LOAD_ID)).create()
+        else:
+            writer = rows.limit(0).write.format("parquet").partitionBy(LOAD_ID)
+            writer.options(**options).saveAsTable(table)
+    columns = spark.table(table).columns
+    if LOAD_ID not in columns:
+        create_or_append(df, table, **options)
+    elif v2:
+        rows.writeTo(table).overwrite(F.col(LOAD_ID) == load_id)
+    else:
+        named = ", ".join(quoted(c) for c in columns if c != LOAD_ID)
+        partition = f"{quoted(LOAD_ID)} = {text_literal(load_id)}"
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT {named} FROM {{rows}}", rows=df
+        )
+
+
 def register_views(spark: SparkSession, tables: dict[str, str]) -> None:
     """Make Parquet folders, such as the control tables, visible to ``spark.sql`` by name."""
     for name, path in tables.items():

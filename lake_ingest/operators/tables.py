@@ -25,7 +25,12 @@ def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
     rows.write.mode("overwrite").parquet(_folder(table, batch_id))
 
 
-def read_batch(spark: SparkSession, table: str, batch_id: str, schema: str) -> DataFrame:
+def drop_batch(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Remove one batch's rows, if there are any."""
+    drop_folders(spark, [_folder(table, batch_id)])
+
+
+def read_batch(spark: SparkSession, table: str, batch_id: str, schema: str | T.StructType) -> DataFrame:
     """One batch's rows; the other batches' folders are not even listed."""
     return spark.read.schema(schema).parquet(_folder(table, batch_id))
 
@@ -47,6 +52,11 @@ def _files(spark: SparkSession, path: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, there = _files(spark, path)
+    return files.exists(there)
+
+
 def batch_folders(spark: SparkSession, table: str) -> list[str]:
     """Folders of the batches written so far, none when there is no table."""
     files, path = _files(spark, table)

@@ -29,6 +29,13 @@ def _package_verdict(names: str) -> str:
         ELSE 'OK' END"""
 
 
+# An escaped half of a character beyond the basic plane that stands alone: no text can hold it.
+_HALF_CHARACTER = (
+    r"regexp_replace(regexp_replace({0}, r'\\\\', ''), "
+    r"r'(?i)\\ud[89ab][0-9a-f]{{2}}\\ud[c-f][0-9a-f]{{2}}', '') RLIKE r'(?i)\\ud[89a-f][0-9a-f]{{2}}'"
+)
+
+
 def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame:
     """Rows with ``verdict`` and, where it is OK, the ``dependencies`` (empty when none are given).
 
@@ -49,6 +56,7 @@ def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame
                           v -> CASE WHEN {is_text('v')} THEN {text('v')} END)"""
     verdict = f"""CASE
         WHEN _document IS NULL THEN 'INVALID_JSON'
+        WHEN {_HALF_CHARACTER.format(profile)} THEN 'INVALID_TEXT'
         WHEN try_variant_get(_document, '$', 'map<string,variant>') IS NULL THEN 'NOT_OBJECT'
         WHEN NOT coalesce({is_text('_key')} AND {text('_key')} = {source_key}, false)
           THEN 'SOURCE_KEY_MISMATCH'
@@ -67,7 +75,7 @@ def _is_loader(scripts: pd.Series) -> pd.Series:
     def accepted(script):
         try:
             body = ast.parse(script or "").body
-        except (SyntaxError, ValueError, RecursionError):
+        except (SyntaxError, ValueError, RecursionError, MemoryError):
             return False
         signatures = []
         for node in body:

@@ -35,6 +35,10 @@ class Lake:
     def discovered(self) -> str:
         return self._table("discovered")
 
+    @property
+    def staged(self) -> str:
+        return self._table("staged")
+
     @property
     def rejects(self) -> str:
         return self._table("rejects")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lake_ingest import schemas
-from lake_ingest.constants import SUCCESS_STATUS
+from lake_ingest.constants import FAILED_STATUS, SUCCESS_STATUS
+from lake_ingest.functions.documents import with_document
 from lake_ingest.functions.keys import quoted
 from lake_ingest.functions.text import decode_lossy
 from lake_ingest.operators import runlog
@@ -21,12 +25,18 @@ from lake_ingest.operators.conform import (
     missing_values,
 )
 from lake_ingest.operators.discovery import discover
-from lake_ingest.operators.sink import create_or_append
+from lake_ingest.operators.sink import create_or_append, replace_load
 from lake_ingest.operators.state import load_state
-from lake_ingest.operators.tables import read_batch, read_table, write_batch
+from lake_ingest.operators.tables import (
+    drop_batch,
+    read_batch,
+    read_table,
+    write_batch,
+)
 from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
-from lake_ingest.sources.loaders import CORRUPT_RECORD, load_source
+from lake_ingest.sources.contents import Reader, table_contents
+from lake_ingest.sources.loaders import CORRUPT_RECORD, as_texts, load_source
 
 DISCOVERED = (
     "key string, bucket string, size bigint, etag string, last_modified timestamp, "
@@ -49,43 +59,66 @@ def already_done(spark: SparkSession, lake: Lake, run_id: str, target_table: str
     return not done.isEmpty()
 
 
-def write_conformed(
+def batch_name(kind: str, run_id: str, target_table: str) -> str:
+    """Folder name of a run's rows in the control tables: two tables of one run have two."""
+    name = f"{kind}-{run_id}-{target_table}"
+    plain = re.sub(r"[^A-Za-z0-9._-]", "_", name)
+    return plain if plain == name else f"{plain}-{hashlib.md5(name.encode()).hexdigest()[:8]}"
+
+
+def _staged(
     lake: Lake,
     rows: DataFrame,
-    target_table: str,
     batch: str,
-    schema: T.StructType | str | None,
-    null_tokens: Sequence[str] = NULL_TOKENS,
+    schema: T.StructType | None,
+    null_tokens: Sequence[str],
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """The rows converted and flagged, written once: ``carried``, ``good``, ``rejected_columns``, ``record``.
+
+    The source is read a single time, and good rows, rejects and counts are all of that reading. Without
+    a schema the rows' own columns are taken as they are.
+    """
+    own = [f for f in rows.schema if f.name not in (*carried, CORRUPT_RECORD)]
+    fields = schema or T.StructType(own)
+    cleaned = missing_values(rows, null_tokens, columns=fields.names) if schema else rows
+    conformed = Conformed(cleaned, fields)
+    record = ", ".join(quoted(c) for c in rows.columns if c not in carried)
+    staged = conformed.rows.select(
+        *carried,
+        F.struct(*conformed.converted()).alias("good"),
+        REJECTED,
+        F.expr(f"CASE WHEN size({REJECTED}) > 0 THEN to_json(struct({record})) END AS record"),
+    )
+    write_batch(staged, lake.staged, batch)
+    return read_batch(rows.sparkSession, lake.staged, batch, staged.schema)
+
+
+def _distribute(
+    lake: Lake,
+    staged: DataFrame,
+    batch: str,
+    append: Callable[[DataFrame], None],
     key: str | None = None,
-    **options: str,
+    is_row: str = "true",
 ) -> dict[str, int]:
-    """Convert, set rejects aside, create or append; the counts are taken while the rows pass by.
+    """Good rows to the target, rejects to their control table; the counts."""
+    counts = staged.where(is_row).agg(
+        F.expr("count(*) AS rows"), F.expr(f"count_if(size({REJECTED}) > 0) AS rejected")
+    ).first()
+    append(staged.where(f"{is_row} AND size({REJECTED}) = 0").select("good.*"))
+    source = "CAST(NULL AS string)" if key is None else quoted(key)
+    rejects = staged.where(f"size({REJECTED}) > 0").selectExpr(f"{source} AS source_key", REJECTED, "record")
+    write_batch(rejects, lake.rejects, batch)
+    return {
+        "rows_in": counts["rows"],
+        "rows_written": counts["rows"] - counts["rejected"],
+        "rows_rejected": counts["rejected"],
+    }
 
-    Without a schema the rows are written as they are. The rejects cost a second reading of the
-    source, and only when there are any.
-    """
-    counts = Observation()
-    if schema is None:
-        create_or_append(rows.observe(counts, F.count("*").alias("rows")), target_table, **options)
-        n = counts.get["rows"]
-        return {"rows_in": n, "rows_written": n, "rows_rejected": 0}
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    cleaned = missing_values(rows, null_tokens, columns=schema.names)
-    passing = Conformed(cleaned, schema).observe(counts).good()
-    create_or_append(passing, target_table, **options)
-    total, rejected = counts.get["rows"], counts.get["rejected"]
-    if rejected:
-        source = "CAST(NULL AS string)" if key is None else quoted(key)
-        record = f"to_json(struct({', '.join(map(quoted, rows.columns))})) AS record"
-        write_batch(
-            Conformed(cleaned, schema)
-            .rejected()
-            .selectExpr(f"{source} AS source_key", REJECTED, record),
-            lake.rejects,
-            batch,
-        )
-    return {"rows_in": total, "rows_written": total - rejected, "rows_rejected": rejected}
+
+def _schema(schema: T.StructType | str | None) -> T.StructType | None:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def run_ingestion(
@@ -104,15 +137,38 @@ def run_ingestion(
     """Load one source (a file, folder or glob), write it to the target table, log the run.
 
     Running again appends again, unless ``skip_if_done`` asks the run log first. Where a saved state
-    record exists for ``source_key``, a ``success`` record follows it.
+    record exists for ``source_key``, a ``success`` record follows it. The log row is written last.
     """
-    batch = f"run-{run_id}"
+    batch = batch_name("run", run_id, target_table)
     if skip_if_done and already_done(spark, lake, run_id, target_table):
         return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
-    started = _now()
+    started, fields = _now(), _schema(schema)
+
+    def append(good: DataFrame) -> None:
+        create_or_append(good, target_table, **options)
+
+    with _logged(spark, lake, batch, run_id, target_table, started, source_key):
+        rows = check_dataset(load_source(spark, source_path, loader, fields, keep_corrupt=True))
+        staged = _staged(lake, rows, batch, fields, NULL_TOKENS)
+        counts = _distribute(lake, staged, batch, append)
+        finished = _now()
+        if source_key is not None:
+            saved = load_state(spark, lake.state, batch).where(F.col("source_key") == source_key)
+            write_batch(_succeeded(saved, finished), lake.state, batch)
+    log = runlog.run_row(
+        spark, run_id, target_table, runlog.SUCCEEDED, started, finished,
+        source_key=source_key, **counts,
+    )
+    write_batch(log, lake.runs, batch)
+    drop_batch(spark, lake.staged, batch)
+    return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
+
+
+@contextmanager
+def _logged(spark, lake, batch, run_id, target_table, started, source_key=None):
+    """What fails within is logged as a failed run, and raised."""
     try:
-        rows = check_dataset(load_source(spark, source_path, loader))
-        counts = write_conformed(lake, rows, target_table, batch, schema, **options)
+        yield
     except Exception as exc:
         failure = runlog.run_row(
             spark, run_id, target_table, runlog.FAILED, started, _now(),
@@ -120,16 +176,6 @@ def run_ingestion(
         )
         write_batch(failure, lake.runs, batch)
         raise
-    finished = _now()
-    log = runlog.run_row(
-        spark, run_id, target_table, runlog.SUCCEEDED, started, finished,
-        source_key=source_key, **counts,
-    )
-    write_batch(log, lake.runs, batch)
-    if source_key is not None:
-        saved = load_state(spark, lake.state, batch).where(F.col("source_key") == source_key)
-        write_batch(_succeeded(saved, finished), lake.state, batch)
-    return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
 
 
 def _succeeded(state: DataFrame, finished: datetime) -> DataFrame:
@@ -143,24 +189,62 @@ def _succeeded(state: DataFrame, finished: datetime) -> DataFrame:
     )
 
 
-def _parse_json_object(fields: T.StructType) -> Column:
-    """Struct of the ``content``'s fields as text, so that a value that does not convert is set aside, not lost.
+def parse_objects(contents: DataFrame, fields: T.StructType) -> DataFrame:
+    """Rows of JSON objects ``(key, content, error)``: ``_source_key, _kind, _is_row`` and the fields as texts.
+
+    An object must hold one JSON document and nothing after it. A JSON object is one row, an array of
+    objects a row for each; anything else is ``malformed``, one row with its text in
+    ``_corrupt_record``. An unread object and an empty array give a row that is none, to be told of.
+    """
+    record = T.StructType([*as_texts(fields), T.StructField(CORRUPT_RECORD, T.StringType())])
+    one = record.simpleString()
+    elements = "try_variant_get(_document, '$', 'array<variant>')"
+    kind = f"""CASE
+        WHEN error IS NOT NULL OR content IS NULL THEN 'unread'
+        WHEN try_variant_get(_document, '$', 'map<string,variant>') IS NOT NULL THEN 'object'
+        WHEN forall({elements}, e -> try_variant_get(e, '$', 'map<string,variant>') IS NOT NULL) THEN 'array'
+        ELSE 'malformed' END"""
+    rows = F.expr("_kind = 'object'"), F.expr("_kind = 'array'"), F.expr("_kind = 'malformed'")
+    corrupt = F.struct(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in record.fields[:-1]), F.col("_text").alias(CORRUPT_RECORD)
+    ).cast(one)
+    parsed = (
+        F.when(rows[0], F.array(F.from_json("_text", record)))
+        .when(rows[1], F.from_json("_text", T.ArrayType(record)))
+        .when(rows[2], F.array(corrupt))
+    )
+    texts = contents.select("key", "error", "content", decode_lossy("content").alias("_text"))
+    return (
+        with_document(texts, "_text", "_document")
+        .withColumn("_kind", F.expr(kind))
+        .select(F.col("key").alias("_source_key"), "_kind", parsed.alias("_rows"))
+        .select("_source_key", "_kind", F.explode_outer("_rows").alias("_record"))
+        .select("_source_key", "_kind", F.col("_record").isNotNull().alias("_is_row"), "_record.*")
+    )
+
+
+def object_outcomes(staged: DataFrame) -> DataFrame:
+    """Per object ``(source_key, kind, rows_written, rows_rejected, status)``.
 
-    An object that is no JSON at all leaves its text in ``_corrupt_record``.
+    Success is an object whose document was read, even if all its rows were set aside as rejects, where
+    they wait for a decision; an unread or malformed one is failed, and discovery offers it again.
     """
-    texts = [
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.AtomicType) else f.dataType)
-        for f in fields
-    ]
-    schema = T.StructType([*texts, T.StructField(CORRUPT_RECORD, T.StringType())])
-    return F.from_json(decode_lossy("content"), schema)
+    counted = staged.groupBy(F.col("_source_key").alias("source_key")).agg(
+        F.first("_kind").alias("kind"),
+        F.expr(f"count_if(_is_row AND size({REJECTED}) = 0) AS rows_written"),
+        F.expr(f"count_if(_is_row AND size({REJECTED}) > 0) AS rows_rejected"),
+    )
+    done = "kind IN ('object', 'array')"
+    return counted.withColumn(
+        "status", F.when(F.expr(done), F.lit(SUCCESS_STATUS)).otherwise(F.lit(FAILED_STATUS))
+    )
 
 
 def ingest_objects(
     spark: SparkSession,
     lake: Lake,
     listing: DataFrame,
-    contents: DataFrame,
+    contents: DataFrame | Reader,
     target_table: str,
     run_id: str,
     schema: T.StructType | str,
@@ -171,43 +255,72 @@ def ingest_objects(
 ) -> DataFrame:
     """Ingest every new or changed JSON object in one job and return the run's log row.
 
-    ``contents`` is ``(key, content)``. What was discovered is written first: the state log that the
-    discovery read grows at the end of the run, and the run must not see that.
+    ``contents`` reads the found objects (``sources.contents``), or is a table ``(key, content)``. What
+    was discovered is written first: the state log that the discovery read grows at the end of the run,
+    and the run must not see that. Then come the staged rows, the target, the rejects, the state with
+    an outcome per object, and last the log. Each step replaces what the same run left there before, the
+    target's rows by their ``load_id``, so a run that was stopped anywhere is finished by repeating it.
     """
-    batch = f"ingest-{run_id}"
+    batch = batch_name("ingest", run_id, target_table)
     if skip_if_done and already_done(spark, lake, run_id, target_table):
         return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
-    started = _now()
-    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    found = discover(listing, load_state(spark, lake.state, batch)).withColumn(
-        "last_modified", F.col("last_modified").cast("timestamp")
-    )
-    write_batch(found, lake.discovered, batch)
-    found = read_batch(spark, lake.discovered, batch, DISCOVERED)
+    started, fields = _now(), _schema(schema)
+    read_contents = table_contents(contents) if isinstance(contents, DataFrame) else contents
 
-    rows = contents.join(found.select("key"), "key", "left_semi").select(
-        F.col("key").alias("_source_key"),
-        F.inline_outer(F.array(_parse_json_object(fields))),
-    )
-    counts = write_conformed(
-        lake, rows, target_table, batch, fields, null_tokens, key="_source_key", **options
-    )
-    finished = _now()
+    def append(good: DataFrame) -> None:
+        replace_load(good, target_table, batch, **options)
+
+    with _logged(spark, lake, batch, run_id, target_table, started):
+        earlier = load_state(spark, lake.state, batch)
+        found = discover(listing, earlier).withColumn(
+            "last_modified", F.col("last_modified").cast("timestamp")
+        )
+        write_batch(found, lake.discovered, batch)
+        found = read_batch(spark, lake.discovered, batch, DISCOVERED)
+        rows = parse_objects(read_contents(found), fields)
+        carried = ("_source_key", "_kind", "_is_row")
+        staged = _staged(lake, rows, batch, fields, null_tokens, carried)
+        counts = _distribute(lake, staged, batch, append, "_source_key", "_is_row")
+        finished = _now()
+        records = _object_records(found, object_outcomes(staged), earlier, target_table, run_id, finished)
+        write_batch(records, lake.state, batch)
     log = runlog.run_row(
         spark, run_id, target_table, runlog.SUCCEEDED, started, finished, **counts
     )
     write_batch(log, lake.runs, batch)
-    records = found.select(
-        F.col("key").alias("source_key"),
-        F.lit(SUCCESS_STATUS).alias("status"),
-        F.lit(run_id).alias("proposal_id"),
-        F.col("bucket").alias("source_bucket"),
-        "etag",
-        F.col("size").alias("source_size"),
-        F.col("last_modified").alias("source_modified"),
-        F.lit(finished).cast("timestamp").alias("processed_at"),
-        F.lit(target_table).alias("target_table"),
-        F.lit(True).alias("execution_performed"),
-    )
-    write_batch(records, lake.state, batch)
+    drop_batch(spark, lake.staged, batch)
     return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
+
+
+def _object_records(
+    found: DataFrame,
+    outcomes: DataFrame,
+    earlier: DataFrame,
+    target_table: str,
+    run_id: str,
+    finished: datetime,
+) -> DataFrame:
+    """State records of the found objects. What an earlier save of the same content noted is kept."""
+    kept = ("raw_bucket", "raw_location", "artifacts", "dependencies")
+    before = earlier.select(
+        "source_key", F.col("etag").alias("_etag"), *(F.col(c).alias(f"_{c}") for c in kept)
+    )
+    done = F.col("status") == SUCCESS_STATUS
+    return (
+        found.withColumnRenamed("key", "source_key")
+        .join(outcomes.select("source_key", "status"), "source_key", "left")
+        .join(before, "source_key", "left")
+        .select(
+            "source_key",
+            F.coalesce("status", F.lit(FAILED_STATUS)).alias("status"),
+            F.lit(run_id).alias("proposal_id"),
+            F.col("bucket").alias("source_bucket"),
+            "etag",
+            F.col("size").alias("source_size"),
+            F.col("last_modified").alias("source_modified"),
+            F.lit(finished).cast("timestamp").alias("processed_at"),
+            F.lit(target_table).alias("target_table"),
+            F.coalesce(done, F.lit(False)).alias("execution_performed"),
+            *(F.when(F.col("_etag") == F.col("etag"), F.col(f"_{c}")).alias(c) for c in kept),
+        )
+    )

@@ -56,6 +56,7 @@ def check_proposals(
     )
     sources = listing.select(
         F.col("key").alias("source_key"),
+        F.lit(True).alias("_listed"),
         "etag",
         "size",
         F.col("last_modified").cast("timestamp").alias("last_modified"),
@@ -69,7 +70,7 @@ def check_proposals(
         WHEN verdict <> 'OK' THEN verdict
         WHEN NOT _loader THEN 'INVALID_LOADER'
         WHEN NOT _complete THEN 'MISSING_TEXT'
-        WHEN etag IS NULL THEN 'SOURCE_MISSING'
+        WHEN _listed IS NULL THEN 'SOURCE_MISSING'
         WHEN _name = '' THEN 'NO_FILE_NAME' END"""
     return (
         checked.withColumns({"_complete": has_text(*REQUIRED), "_name": object_name("source_key")})
@@ -79,7 +80,7 @@ def check_proposals(
                 "raw_location": raw_location("source_key", "ingestion_id", prefix),
             }
         )
-        .drop("verdict", "_loader", "_complete", "_name")
+        .drop("verdict", "_loader", "_complete", "_name", "_listed")
     )
 
 
@@ -111,7 +112,7 @@ def verified_saves(spark: SparkSession, lake: Lake, batch: str, saves: DataFrame
         artifacts.select("key")
     )
     incomplete = missing_keys(expected_keys(saves, lake.raw_prefix), stored)
-    copies = combine_part_hashes(raw, ["ingestion_id"], F.sum("bytes").alias("_stored"))
+    copies = combine_part_hashes(raw, ["ingestion_id"], {"_stored": "bytes"})
     return (
         saves.drop("etag")
         .join(copies, "ingestion_id")

@@ -15,7 +15,7 @@ from lake_ingest.constants import (
     MAX_READ_BYTES,
     MAX_READS,
 )
-from lake_ingest.sources.store import join, open_store, read_range, walk
+from lake_ingest.sources.store import join, open_store, read_range, subfolders, walk
 
 _BATCH_ROWS = 10_000
 
@@ -64,12 +64,7 @@ class ObjectListingReader(DataSourceReader):
         level, flat = [join(base, self.prefix) if self.prefix else base], []
         for _ in range(self.depth):
             flat += level
-            level = [
-                info.path
-                for folder in level
-                for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-                if info.type == fs.FileType.Directory
-            ]
+            level = [path for folder in level for path in subfolders(store, folder)]
         tasks = max(1, min(self.tasks, len(flat) + len(level)))
         return [FolderPartition(i, flat[i::tasks], level[i::tasks]) for i in range(tasks)]
 

@@ -6,12 +6,16 @@ not build a session, write, or touch the catalog.
 
 from __future__ import annotations
 
+import csv
 import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lake_ingest.functions.keys import quoted
+
 Loader = Callable[[SparkSession, str], DataFrame]
 
 CORRUPT_RECORD = "_corrupt_record"
@@ -66,22 +70,93 @@ def format_loader(fmt: str, schema: T.StructType | str | None = None, **options)
     return load_data
 
 
-def load_source(spark: SparkSession, source_path: str, loader: str | None = None) -> DataFrame:
-    """Load by named loader, else by the ending of the path."""
+def load_csv(spark: SparkSession, source_path: str) -> DataFrame:
+    """CSV with a header, all columns texts; a malformed record is an error (see ``csv_records``)."""
+    records = csv_records(spark, source_path)
+    message = F.concat(F.lit("malformed CSV record: "), F.col(CORRUPT_RECORD))
+    sound = F.when(F.col(CORRUPT_RECORD).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return records.where(sound).drop(CORRUPT_RECORD)
+
+
+def csv_records(spark: SparkSession, source_path: str) -> DataFrame:
+    """CSV with a header, all columns texts, and the line of a malformed record in ``_corrupt_record``.
+
+    Malformed is a line with more or fewer fields than the header, or with a quote that does not end on
+    it. Files are read line by line, so large ones are split between tasks; a value with a line break in
+    it is therefore malformed, and set aside rather than cut in two. Columns get their types by
+    ``conform.convert_types``, without a pass to infer them.
+    """
+    lines = spark.read.text(source_path)
+    first = lines.where(F.length("value") > 0).first()
+    if first is None:
+        return spark.createDataFrame([], f"{CORRUPT_RECORD} string")
+    header = first.value.removeprefix("\ufeff")
+    names = next(csv.reader([header]))
+    fields = [T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)]
+    schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+    quotes = "length(value) - length(replace(value, '\"', ''))"
+    record = F.from_csv(
+        "value", _ddl(schema), {"columnNameOfCorruptRecord": CORRUPT_RECORD, "mode": "PERMISSIVE"}
+    )
+    parsed = (
+        lines.where(F.length("value") > 0)
+        .where(~F.col("value").isin(header, first.value))
+        .select("value", record.alias("_record"))
+        .withColumn("_bad", F.expr(f"_record.{CORRUPT_RECORD} IS NOT NULL OR ({quotes}) % 2 = 1"))
+    )
+    kept = [
+        F.when(~F.col("_bad"), F.col(f"_record.{quoted(f.name)}")).alias(f.name) for f in fields
+    ]
+    return parsed.select(*kept, F.when(F.col("_bad"), F.col("value")).alias(CORRUPT_RECORD))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+
+
+def as_texts(schema: T.StructType) -> T.StructType:
+    """The schema with plain values as texts, so that one that does not convert is set aside, not lost."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.AtomicType) else f.dataType)
+            for f in schema
+        ]
+    )
+
+
+def load_source(
+    spark: SparkSession,
+    source_path: str,
+    loader: str | None = None,
+    schema: T.StructType | None = None,
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    """Load by named loader, else by the ending of the path.
+
+    A declared ``schema`` goes to the JSON reader, as texts and with ``_corrupt_record``: then no pass
+    infers one, and no value is lost. With ``keep_corrupt`` CSV has that column too, in place of an
+    error.
+    """
     if loader is None:
         path = source_path.rstrip("/").lower()
         matches = [name for ending, name in EXTENSIONS.items() if path.endswith(ending)]
         if not matches:
             raise ValueError(f"no loader for {source_path}")
         loader = matches[0]
+    if schema is not None and _LOADERS.get(loader) in _JSON:
+        options = {"multiLine": True} if _LOADERS[loader] is _JSON[0] else {}
+        return format_loader("json", as_texts(schema), **options)(spark, source_path)
+    if keep_corrupt and _LOADERS.get(loader) is load_csv:
+        return csv_records(spark, source_path)
     return get_loader(loader)(spark, source_path)
 
 
 # A whole-file JSON document may be indented; JSON Lines files are split between tasks.
-register_loader("json", format_loader("json", multiLine=True))
-register_loader("jsonl", format_loader("json"))
-# CSV columns stay text: types are set by conform.convert_types, without a second pass to infer them.
-register_loader("csv", format_loader("csv", header=True, multiLine=False))
+_JSON = (
+    register_loader("json", format_loader("json", multiLine=True)),
+    register_loader("jsonl", format_loader("json")),
+)
+register_loader("csv", load_csv)
 register_loader("text", format_loader("text"))
 register_loader("parquet", format_loader("parquet"))
 register_loader("orc", format_loader("orc"))

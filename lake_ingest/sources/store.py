@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 from pyarrow import fs
@@ -23,15 +24,44 @@ def open_store(root: str) -> tuple[fs.FileSystem, str]:
 
 
 def join(base: str, key: str) -> str:
+    """Path of a key; one that leaves its root is refused, for a folder knows such segments."""
+    if any(segment in (".", "..") for segment in key.split("/")):
+        raise PermissionError(f"not a key below the root: {key!r}")
     return f"{base.rstrip('/')}/{key}"
 
 
+def _entries(store: fs.FileSystem, folder: str) -> Iterator[fs.FileInfo]:
+    """A folder's entries; those of a local one pass by and are never held as a list."""
+    if not isinstance(store, fs.LocalFileSystem):
+        yield from store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        return
+    try:
+        entries = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with entries:
+        for entry in entries:
+            try:
+                stat, is_folder = entry.stat(), entry.is_dir()
+            except FileNotFoundError:
+                continue
+            if is_folder:
+                yield fs.FileInfo(entry.path, type=fs.FileType.Directory)
+            else:
+                yield fs.FileInfo(
+                    entry.path, type=fs.FileType.File, size=stat.st_size, mtime_ns=stat.st_mtime_ns
+                )
+
+
+def subfolders(store: fs.FileSystem, folder: str) -> list[str]:
+    return [info.path for info in _entries(store, folder) if info.type == fs.FileType.Directory]
+
+
 def walk(store: fs.FileSystem, folder: str, recursive: bool = True) -> Iterator[fs.FileInfo]:
-    """Files under a folder, one folder's listing in memory at a time; hidden and empty ones too."""
+    """Files under a folder as they are found; hidden and empty ones too."""
     pending = [folder]
     while pending:
-        selector = fs.FileSelector(pending.pop(), allow_not_found=True)
-        for info in store.get_file_info(selector):
+        for info in _entries(store, pending.pop()):
             if info.type == fs.FileType.Directory:
                 if recursive:
                     pending.append(info.path)

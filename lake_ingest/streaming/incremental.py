@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from lake_ingest.operators.tables import write_batch
+from lake_ingest.operators.tables import BATCH, batch_folders, path_exists, write_batch
 from lake_ingest.plans.lake import Lake
 from lake_ingest.plans.save_batch import PROPOSAL_COLUMNS, save_batch
 
@@ -50,15 +50,21 @@ def ingest_new_files(
     checkpoint: str,
     conform: Callable[[DataFrame], DataFrame] | None = None,
     options: Mapping[str, str] | None = None,
+    stream_name: str = "stream",
 ) -> StreamingQuery:
-    """Write new files' rows to the Parquet table ``target``, exactly once.
+    """Write new files' rows to the Parquet table ``target``.
 
-    Each batch owns the folder ``batch_id=<n>`` and overwrites it, so a batch that is repeated after
-    a lost driver leaves its rows once.
+    Each batch owns the folder ``batch_id=<stream_name>-<n>`` and overwrites it, so a batch that is
+    repeated after a lost driver leaves its rows once, and streams of different names may share a
+    target. A checkpoint that does not exist yet would number its batches anew over those of an earlier
+    run of the stream, so it is refused where the stream's folders exist.
     """
+    prefix = f"/{BATCH}={stream_name}-"
+    if not path_exists(spark, checkpoint) and any(prefix in f for f in batch_folders(spark, target)):
+        raise ValueError(f"{target} has batches of stream {stream_name!r}, but {checkpoint} does not exist")
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_batch(conform(rows) if conform else rows, target, str(batch_id))
+        write_batch(conform(rows) if conform else rows, target, f"{stream_name}-{batch_id}")
 
     return stream_files(spark, source_dir, fmt, schema, checkpoint, write, options)
 
