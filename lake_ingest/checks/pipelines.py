@@ -34,7 +34,7 @@ from lake_ingest.operators.state import load_state
 from lake_ingest.operators.tables import read_batch, read_table, write_batch
 from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
-from lake_ingest.plans.run_ingestion import ingest_objects, run_ingestion
+from lake_ingest.plans.run_ingestion import ingest_objects, run_ingestion, run_saved
 from lake_ingest.plans.save_batch import save_batch
 from lake_ingest.sources.loaders import load_source, register_loader
 from lake_ingest.streaming.incremental import ingest_new_files
@@ -484,6 +484,54 @@ def ingest_outcomes(spark, sf_dir):
     )
 
 
+@query(
+    "run_saved",
+    """WITH sources AS (SELECT *, event_type IN ('view', 'signup') AS run, event_id % 5 = 0 AS spoilt FROM events)
+    SELECT event_type, CASE WHEN NOT run THEN 'artifacts_saved' WHEN spoilt THEN 'failed' ELSE 'success' END AS status,
+           count(*) AS sources, TRUE AS keeps_copy,
+           CAST(CASE WHEN max(run AND NOT spoilt) THEN sum(user_id) END AS BIGINT) AS users
+    FROM sources GROUP BY ALL""",
+)
+def run_saved_sources(spark, sf_dir):
+    """Events saved as reviewed sources; those of two target tables are then run from their preserved bytes."""
+    lake, run = Lake(scratch(spark)), {kind: _table_name(kind) for kind in ("view", "signup")}
+    key = F.concat("event_type", F.lit("/"), F.col("event_id").cast("string"), F.lit(".json"))
+    events = table(spark, sf_dir, "events").withColumn("key", key)
+    target = F.coalesce(
+        *(F.when(F.col("event_type") == kind, F.lit(name)) for kind, name in run.items()), F.lit("later")
+    )
+    body = F.to_json(F.struct("event_id", "user_id"))
+    spoilt = F.when(F.col("event_id") % 5 == 0, F.lit(" x")).otherwise("")
+    contents = events.select("key", F.concat(body, spoilt).alias("content"))
+    proposals = events.select(
+        F.col("key").alias("source_key"),
+        F.lit("Inspect").alias("prompt"),
+        F.lit("def load_data(spark, source_path):\n    return spark.read.json(source_path)\n").alias("source_loader"),
+        F.format_string('{"source_key": "%s"}', "key").alias("profile"),
+        F.lit("Ids.").alias("semantic_metadata"),
+        F.lit("Load as JSON.").alias("proposal"),
+        target.alias("target_table"),
+    )
+    listing = table_listing(contents, "key", "content")
+    save_batch(spark, lake, proposals, listing, artifacts.table_parts(contents), "check", WHEN)
+    written = []
+    for name in run.values():
+        run_saved(spark, lake, name, "r", "event_id bigint, user_id bigint", path=f"{lake.root}/{name}")
+        written.append(spark.table(name).select("event_id", "user_id"))
+    state = load_state(spark, lake.state).withColumn(
+        "event_id", F.regexp_extract("source_key", r"/(\d+)\.json\z", 1).cast("bigint")
+    )
+    return (
+        state.join(written[0].unionByName(written[1]), "event_id", "left")
+        .groupBy(F.split("source_key", "/")[0].alias("event_type"), "status")
+        .agg(
+            F.count("*").alias("sources"),
+            F.bool_and(F.startswith("raw_location", F.concat(F.lit("raw/"), "proposal_id"))).alias("keeps_copy"),
+            F.sum("user_id").alias("users"),
+        )
+    )
+
+
 @query(
     "quarantine_files",
     """WITH lines AS (SELECT *, o_orderkey % 10 AS form FROM orders)

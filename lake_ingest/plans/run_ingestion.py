@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lake_ingest import schemas
-from lake_ingest.constants import FAILED_STATUS, SUCCESS_STATUS
+from lake_ingest.constants import FAILED_STATUS, SAVED_STATUS, SUCCESS_STATUS
 from lake_ingest.functions.documents import with_document
 from lake_ingest.functions.keys import quoted
 from lake_ingest.functions.text import decode_lossy
@@ -35,7 +35,7 @@ from lake_ingest.operators.tables import (
 )
 from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
-from lake_ingest.sources.contents import Reader, table_contents
+from lake_ingest.sources.contents import Reader, raw_contents, table_contents
 from lake_ingest.sources.loaders import CORRUPT_RECORD, as_texts, load_source
 
 DISCOVERED = (
@@ -261,20 +261,75 @@ def ingest_objects(
     an outcome per object, and last the log. Each step replaces what the same run left there before, the
     target's rows by their ``load_id``, so a run that was stopped anywhere is finished by repeating it.
     """
-    batch = batch_name("ingest", run_id, target_table)
+    read_contents = table_contents(contents) if isinstance(contents, DataFrame) else contents
+    return _ingest(
+        spark, lake, "ingest", lambda earlier: discover(listing, earlier), read_contents, target_table, run_id,
+        _schema(schema), null_tokens, skip_if_done, options,
+    )
+
+
+def run_saved(
+    spark: SparkSession,
+    lake: Lake,
+    target_table: str,
+    run_id: str,
+    schema: T.StructType | str,
+    *,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+    skip_if_done: bool = False,
+    **options: str,
+) -> DataFrame:
+    """Ingest all sources saved for a target table from their preserved bytes, and return the run's log row.
+
+    These are the ``artifacts_saved`` records, which discovery passes over. All of them are one job; a
+    source becomes ``success`` or, where its copy is no JSON document or not the bytes noted, ``failed``.
+    """
+
+    def saved(earlier: DataFrame) -> DataFrame:
+        waiting = (F.col("status") == SAVED_STATUS) & (F.col("target_table") == target_table)
+        return earlier.where(waiting).select(
+            F.col("source_key").alias("key"),
+            F.col("source_bucket").alias("bucket"),
+            F.col("source_size").alias("size"),
+            "etag",
+            F.col("source_modified").alias("last_modified"),
+            F.lit(True).alias("previously_seen"),
+            F.col("status").alias("previous_status"),
+        )
+
+    batch = batch_name("saved", run_id, target_table)
+    reader = raw_contents(lambda: read_table(spark, lake.raw, schemas.RAW_PARTS), lambda: load_state(spark, lake.state, batch))
+    return _ingest(
+        spark, lake, "saved", saved, reader, target_table, run_id, _schema(schema), null_tokens, skip_if_done,
+        options,
+    )
+
+
+def _ingest(
+    spark: SparkSession,
+    lake: Lake,
+    kind: str,
+    find: Callable[[DataFrame], DataFrame],
+    read_contents: Reader,
+    target_table: str,
+    run_id: str,
+    fields: T.StructType,
+    null_tokens: Sequence[str],
+    skip_if_done: bool,
+    options: dict[str, str],
+) -> DataFrame:
+    """The steps of ``ingest_objects`` for the objects that ``find`` picks, given the state before the run."""
+    batch = batch_name(kind, run_id, target_table)
     if skip_if_done and already_done(spark, lake, run_id, target_table):
         return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
-    started, fields = _now(), _schema(schema)
-    read_contents = table_contents(contents) if isinstance(contents, DataFrame) else contents
+    started = _now()
 
     def append(good: DataFrame) -> None:
         replace_load(good, target_table, batch, **options)
 
     with _logged(spark, lake, batch, run_id, target_table, started):
         earlier = load_state(spark, lake.state, batch)
-        found = discover(listing, earlier).withColumn(
-            "last_modified", F.col("last_modified").cast("timestamp")
-        )
+        found = find(earlier).withColumn("last_modified", F.col("last_modified").cast("timestamp"))
         write_batch(found, lake.discovered, batch)
         found = read_batch(spark, lake.discovered, batch, DISCOVERED)
         rows = parse_objects(read_contents(found), fields)
@@ -303,8 +358,13 @@ def _object_records(
     """State records of the found objects. What an earlier save of the same content noted is kept."""
     kept = ("raw_bucket", "raw_location", "artifacts", "dependencies")
     before = earlier.select(
-        "source_key", F.col("etag").alias("_etag"), *(F.col(c).alias(f"_{c}") for c in kept)
+        "source_key",
+        F.col("etag").alias("_etag"),
+        F.col("proposal_id").alias("_proposal_id"),
+        *(F.col(c).alias(f"_{c}") for c in kept),
     )
+    # A record that points to a preserved copy keeps the name of the save that made it.
+    proposal = F.when((F.col("_etag") == F.col("etag")) & F.col("_raw_location").isNotNull(), F.col("_proposal_id"))
     done = F.col("status") == SUCCESS_STATUS
     return (
         found.withColumnRenamed("key", "source_key")
@@ -313,7 +373,7 @@ def _object_records(
         .select(
             "source_key",
             F.coalesce("status", F.lit(FAILED_STATUS)).alias("status"),
-            F.lit(run_id).alias("proposal_id"),
+            F.coalesce(proposal, F.lit(run_id)).alias("proposal_id"),
             F.col("bucket").alias("source_bucket"),
             "etag",
             F.col("size").alias("source_size"),

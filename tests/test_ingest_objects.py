@@ -1,17 +1,20 @@
 """Objects of every kind, stops between the writes of a run, and what earlier records keep."""
 
+import json
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from lake_ingest import schemas
+from lake_ingest.operators.artifacts import file_parts
 from lake_ingest.operators.discovery import discover
 from lake_ingest.operators.listing import fingerprint, list_objects
 from lake_ingest.operators.state import load_state
 from lake_ingest.operators.tables import read_table, write_batch
 from lake_ingest.plans import run_ingestion as plan
 from lake_ingest.plans.lake import Lake
+from lake_ingest.plans.save_batch import PROPOSAL_COLUMNS, save_batch
 from lake_ingest.sources.contents import file_contents
 from tests.conftest import rows
 
@@ -160,3 +163,31 @@ def test_contents_of_a_small_share_are_not_shuffled(spark, put, tmp_path):
     found = spark.createDataFrame([(k, 10) for k in KINDS], "key string, size bigint").where("key = 'one.json'")
     text = file_contents(root)(found)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in text and "content" not in text.split("Exchange", 1)[1]
+
+
+def test_saved_sources_run_from_their_copies(spark, put, tmp_path, table_name):
+    lake = Lake(str(tmp_path / "lake"))
+    bodies = {"a.json": json.dumps({"a": 1, "b": "x" * 50}), "b.json": '{"a": 2}', "c.json": '{"a": 3}', "d.json": "no"}
+    for key, body in bodies.items():
+        root = put(key, body)
+    listing = fingerprint(list_objects(spark, root), root, smallest=16)
+    proposals = [
+        (k, "p", "def load_data(spark, source_path): pass", json.dumps({"source_key": k}), "m", "q", table_name)
+        for k in bodies
+    ]
+    given = spark.createDataFrame(proposals, ", ".join(f"{c} string" for c in PROPOSAL_COLUMNS))
+    save_batch(spark, lake, given, listing, file_parts(root, 16), "s", datetime(2024, 1, 1, tzinfo=timezone.utc))
+    # The sources may go: the copies are what is run. One copy loses its bytes.
+    for key in bodies:
+        (tmp_path / "incoming" / key).unlink()
+    raw = read_table(spark, lake.raw, schemas.RAW_PARTS)
+    spoilt = F.when(F.col("source_key") == "c.json", F.lit(b'{"a": 4}')).otherwise(F.col("content"))
+    kept = spark.createDataFrame(raw.withColumn("content", spoilt).withColumn("part_md5", F.md5(spoilt)).drop("batch_id").collect(), schemas.RAW_PARTS)
+    write_batch(kept, lake.raw, "save-s")
+    log = plan.run_saved(spark, lake, table_name, "r", SCHEMA, path=f"{lake.root}/t").first()
+    assert log.status == "SUCCESS"
+    assert rows(spark.table(table_name), "a", "b") == [(1, "x" * 50), (2, None)]
+    state = dict(rows(load_state(spark, lake.state), "source_key", "status"))
+    assert state == {"a.json": "success", "b.json": "success", "c.json": "failed", "d.json": "failed"}
+    again = plan.run_saved(spark, lake, table_name, "r2", SCHEMA, path=f"{lake.root}/t").first()
+    assert again.rows_in == 0 and spark.table(table_name).count() == 2
