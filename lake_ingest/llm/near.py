@@ -36,6 +36,8 @@ SKETCHES = 12
 TILE = 512
 # Hash slots whose counts are multiplied at a time.
 SLOTS = 4096
+# So few pairs are aligned without more ado.
+FEW = 16
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 # One odd word per sketch.
@@ -179,18 +181,30 @@ def _common_at_most(windows: list[np.ndarray], ones: np.ndarray, twos: np.ndarra
 
     Windows are counted in hash slots; the product of two texts' counts is no less than what they share.
     """
-    slots = 1 << int(8 * max(map(len, windows)) - 1).bit_length()
-    rows = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
-    slot = np.concatenate(windows).astype(np.int64) % slots
+    used = np.union1d(ones, twos)
+    slots = 1 << int(8 * max(len(windows[x]) for x in used) - 1).bit_length()
+    rows = np.repeat(np.arange(len(used)), [len(windows[x]) for x in used])
+    slot = np.concatenate([windows[x] for x in used]).astype(np.int64) % slots
     bound = np.zeros((len(ones), len(twos)), np.float32)
     for low in range(0, slots, SLOTS):
         here = (slot >= low) & (slot < low + SLOTS)
-        counts = np.bincount(rows[here] * SLOTS + slot[here] - low, minlength=len(windows) * SLOTS)
-        counts = counts.reshape(len(windows), SLOTS).astype(np.float32)
-        bound += counts[ones] @ counts[twos].T
+        counts = np.bincount(rows[here] * SLOTS + slot[here] - low, minlength=len(used) * SLOTS)
+        counts = counts.reshape(len(used), SLOTS).astype(np.float32)
+        bound += counts[np.searchsorted(used, ones)] @ counts[np.searchsorted(used, twos)].T
     return bound
 
 
+def _prune(agree: np.ndarray, needed: np.ndarray, windows: list[np.ndarray], ones: np.ndarray, twos: np.ndarray) -> None:
+    """Drop pairs that share too few windows, texts of about the same length at a time."""
+    octave = np.array([len(windows[x]).bit_length() for x in ones])
+    for size in np.unique(octave[agree.any(axis=1)]):
+        rows = np.flatnonzero((octave == size) & agree.any(axis=1))
+        columns = np.flatnonzero(agree[rows].any(axis=0))
+        if len(rows) * len(columns) > FEW:
+            part = np.ix_(rows, columns)
+            agree[part] &= _common_at_most(windows, ones[rows], twos[columns]) >= needed[part] - 0.5
+
+
 def _tile_links(similarity: float):
     """Links of a pair of tiles that join different components, one at most for each two of them."""
 
@@ -208,9 +222,9 @@ def _tile_links(similarity: float):
         agree &= root[ones][:, None] != root[twos][None, :]
         if i == j:
             agree &= ones[:, None] < twos[None, :]
-        if agree.any():
-            needed = similarity * (sizes[ones][:, None] + sizes[twos][None, :]) / (1 + similarity)
-            agree &= _common_at_most(windows, ones, twos) >= needed - 0.5
+        needed = similarity * (sizes[ones][:, None] + sizes[twos][None, :]) / (1 + similarity)
+        agree &= np.minimum(sizes[ones][:, None], sizes[twos][None, :]) >= needed
+        _prune(agree, needed, windows, ones, twos)
         joined = list(range(len(rows) + 1))
 
         def find(x: int) -> int:
