@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from lake_ingest.llm.blocks import Rolling, as_blocks, batch, pieces, text_bytes, unpack
+from lake_ingest.llm.blocks import LEVEL, Rolling, as_blocks, batch, pieces, text_bytes, unpack
 from lake_ingest.llm.shared import saved
 
 DEFAULT = public_tokenizers.path("byte_bpe_50k.json")
@@ -109,7 +109,7 @@ def _spread(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
 def _squeezed(lengths: np.ndarray, values: np.ndarray) -> bytes:
     """Compressed lists: their number, their lengths, their values on end."""
     head = np.array([len(lengths)], np.int64).tobytes() + lengths.astype(np.uint32).tobytes()
-    return zstandard.compress(head + values.tobytes(), 3)
+    return zstandard.compress(head + values.tobytes(), LEVEL)
 
 
 def _lists(payload: bytes, kind: type) -> tuple[np.ndarray, np.ndarray]:
