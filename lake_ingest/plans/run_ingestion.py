@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from lake_ingest import schemas
 from lake_ingest.constants import FAILED_STATUS, SAVED_STATUS, SUCCESS_STATUS
-from lake_ingest.functions.documents import with_document
 from lake_ingest.functions.keys import quoted
 from lake_ingest.functions.text import decode_lossy
 from lake_ingest.operators import runlog
@@ -198,11 +197,15 @@ def parse_objects(contents: DataFrame, fields: T.StructType) -> DataFrame:
     """
     record = T.StructType([*as_texts(fields), T.StructField(CORRUPT_RECORD, T.StringType())])
     one = record.simpleString()
-    elements = "try_variant_get(_document, '$', 'array<variant>')"
+    # As the first of two elements, the second its own hash: anything left over displaces or breaks that.
+    pair = "from_json(concat('[', _text, ',\"', md5(_text), '\"]'), 'array<string>')"
+    whole = "size(_pair) = 2 AND _pair[1] = md5(_text)"
     kind = f"""CASE
         WHEN error IS NOT NULL OR content IS NULL THEN 'unread'
-        WHEN try_variant_get(_document, '$', 'map<string,variant>') IS NOT NULL THEN 'object'
-        WHEN forall({elements}, e -> try_variant_get(e, '$', 'map<string,variant>') IS NOT NULL) THEN 'array'
+        WHEN NOT coalesce({whole}, false) THEN 'malformed'
+        WHEN _text RLIKE r'\\A[ \\t\\r\\n]*[{{]' THEN 'object'
+        WHEN _text RLIKE r'\\A[ \\t\\r\\n]*\\['
+            AND forall(from_json(_pair[0], 'array<string>'), e -> coalesce(startswith(e, '{{'), false)) THEN 'array'
         ELSE 'malformed' END"""
     rows = F.expr("_kind = 'object'"), F.expr("_kind = 'array'"), F.expr("_kind = 'malformed'")
     corrupt = F.struct(
@@ -215,7 +218,7 @@ def parse_objects(contents: DataFrame, fields: T.StructType) -> DataFrame:
     )
     texts = contents.select("key", "error", "content", decode_lossy("content").alias("_text"))
     return (
-        with_document(texts, "_text", "_document")
+        texts.withColumn("_pair", F.expr(pair))
         .withColumn("_kind", F.expr(kind))
         .select(F.col("key").alias("_source_key"), "_kind", parsed.alias("_rows"))
         .select("_source_key", "_kind", F.explode_outer("_rows").alias("_record"))

@@ -26,6 +26,7 @@ KINDS = {
     "garbage.json": '{"a": 3} garbage',
     "text.json": "no document",
     "number.json": "7",
+    "string.json": '"{1}"',
     "mixed.json": '[{"a": 4}, 5]',
     "nothing.json": "",
     "unfit.json": '{"a": "many"}',
@@ -50,7 +51,7 @@ def _ingest(spark, lake, root, table, run="r1", **options):
 def test_every_kind_has_its_outcome(spark, put, tmp_path, table_name):
     root, lake = _root(put), Lake(str(tmp_path / "lake"))
     log = _ingest(spark, lake, root, table_name).first()
-    assert (log.rows_in, log.rows_written, log.rows_rejected) == (10, 3, 7)
+    assert (log.rows_in, log.rows_written, log.rows_rejected) == (11, 3, 8)
     assert rows(spark.table(table_name), "a", "b") == [(1, "x"), (2, None), (3, "1.50")]
     state = dict(rows(load_state(spark, lake.state), "source_key", "status"))
     assert state == {key: "success" if key in DONE else "failed" for key in KINDS}
@@ -107,7 +108,7 @@ def test_a_stopped_run_is_finished_by_repeating_it(spark, put, tmp_path, table_n
     assert (log.status, log.rows_written) == ("SUCCESS", 3)
     assert rows(spark.table(table_name), "a") == [(1,), (2,), (3,)]
     assert read_table(spark, lake.state, schemas.STATE).count() == len(KINDS)
-    assert read_table(spark, lake.rejects, plan.REJECTS).count() == 7
+    assert read_table(spark, lake.rejects, plan.REJECTS).count() == 8
     if skip:
         _ingest(spark, lake, root, table_name, skip_if_done=True)
         assert spark.table(table_name).count() == 3
