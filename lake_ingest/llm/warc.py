@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lake_ingest.llm.shared import sampled, saved
+from lake_ingest.llm.shared import frugal, sampled, saved
 from lake_ingest.sources.store import join, open_store
 
 DATE = "2024-01-01T00:00:00Z"
@@ -262,7 +262,8 @@ def write_archives(
         .repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("page_id", "digest", "url")
     )
-    dealt.mapInArrow(write, MANIFEST).write.json(join(root, "manifest"))
+    with frugal(spark):
+        dealt.mapInArrow(write, MANIFEST).write.json(join(root, "manifest"))
     return read_manifest(spark, root)
 
 
