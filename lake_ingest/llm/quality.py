@@ -6,10 +6,13 @@ counts, so that a text with a wrong or missing language loses nothing. A text is
 counts pass and neither distance is too large; a histogram of too few characters or words is no
 evidence, and is not compared.
 
-References are sums over all texts with a language; the common words are those with the highest share
-summed over the languages. Texts are read twice, once to count words and once for the counts of each
-text, which are written down; everything after that works on those small rows. Nothing but word
-counts is shuffled, and those are summed before the shuffle.
+References are sums over all texts with a language, and every language has one; a language of fewer than
+``MIN_LANGUAGE_WORDS`` words is blended with the whole corpus, so that a few texts with a label of their
+own are not their own measure. The common words are those with the highest share summed over the
+languages, and the most frequent ones of each language. References are as many shares as there are
+languages times common words, a row that all tasks read. Texts are read twice, once to count words and
+once for the counts of each text, which are written down; everything after that works on those small
+rows. Nothing but word counts is shuffled, and those are summed before the shuffle.
 
 Defined results: a null or empty text has no words, fails the base rules and is not kept; a null
 language adds to no reference; without any language nothing is compared; repeated rows are judged
@@ -30,6 +33,8 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
 COMMON_WORDS = 64
+# So many of its most frequent words each language has among the common ones.
+LANGUAGE_WORDS = 12
 # First of the code points that stand for the common words in a text's summary.
 FIRST_CODE = 0x30
 CLASSES = 6
@@ -37,11 +42,11 @@ MIN_CHARS = 200
 MIN_COMMON = 30
 MAX_CHAR_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.64
-# Slots of the table in which a word's code is looked up; tried until no two common words share one.
+# Least slots of the table in which a word's code is looked up; of the seeds the one with the fewest
+# common words in a slot is taken.
 SLOTS = 2048
 SEEDS = 128
-# Languages with references, those with the most words; texts of other languages are not compared.
-MAX_LANGUAGES = 64
+# The reference of a language with fewer words is blended with the corpus.
 MIN_LANGUAGE_WORDS = 5000
 
 COUNTS = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -131,62 +136,101 @@ def language_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, word, n)`` over all texts that have a language."""
     return (
         docs.where(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(words(text)).alias("word"))
+        .select(F.col(lang).cast("string").alias("lang"), F.explode(words(text)).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
 
 
-def common_words(counts: DataFrame, k: int = COMMON_WORDS) -> DataFrame:
-    """The ``k`` words with the highest share summed over the languages, ``(word, code)``."""
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("all"))
-    return (
+def common_words(counts: DataFrame, k: int = COMMON_WORDS, each: int = LANGUAGE_WORDS) -> DataFrame:
+    """The ``k`` words with the highest share summed over the languages and the first ``each`` of every one.
+
+    ``(word, code, total)``, with the word's number in all languages. A language of few words is filled up
+    with words of the corpus.
+    """
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("all")).withColumn(
+        "lack", F.greatest(F.lit(0.0), 1 - F.col("all") / MIN_LANGUAGE_WORDS)
+    )
+    whole = sums.agg(F.sum("all").alias("words"), F.sum("lack").alias("lack")).first()
+    held = F.greatest("all", F.lit(MIN_LANGUAGE_WORDS))
+    corpus = F.col("total") / (whole.words or 1)
+    per_word = saved(
         counts.join(sums, "lang")
         .groupBy("word")
-        .agg(F.sum(F.col("n") / F.col("all")).alias("share"))
-        .orderBy(F.round("share", 9).desc(), "word")
-        .limit(k)
-        .withColumn("code", F.row_number().over(Window.orderBy(F.round("share", 9).desc(), "word")) - 1)
-        .select("word", "code")
+        .agg(F.sum(F.col("n") / held).alias("share"), F.sum("n").alias("total"))
+        .withColumn("share", F.col("share") + corpus * (whole.lack or 0.0)),
+        "per-word",
+    )
+    frequent = per_word.orderBy(F.desc("total"), "word").limit(each).select("word")
+    filled = sums.where("lack > 0").select("lang").crossJoin(frequent).select("lang", "word", F.lit(0).alias("n"))
+    best = Window.partitionBy("lang").orderBy(F.round("own", 9).desc(), "word")
+    firsts = (
+        counts.unionByName(filled)
+        .groupBy("lang", "word")
+        .agg(F.sum("n").alias("n"))
+        .join(sums, "lang")
+        .join(per_word.select("word", "total"), "word")
+        .withColumn("own", F.col("n") / held + F.col("lack") * corpus)
+        .withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= each)
+        .select("word")
     )
+    order = [F.round("share", 9).desc(), "word"]
+    chosen = per_word.orderBy(*order).limit(k).select("word").unionByName(firsts).distinct()
+    return per_word.join(chosen, "word").select(
+        "word", (F.row_number().over(Window.orderBy(*order)) - 1).alias("code"), "total"
+    )
+
+
+def _character(code: int) -> str:
+    """The character of a common word; surrogates are left out."""
+    point = FIRST_CODE + code
+    return chr(point if point < 0xD800 else point + 0x800)
 
 
 def word_codes(common: DataFrame, words_column: str) -> Column:
     """Text with one character per common word of a text, in its order.
 
-    A word is looked up by its hash in a table in which each of the ``COMMON_WORDS`` words has a slot of
-    its own; the first seed that gives such a table is taken. The table is a literal of fixed size.
+    A word is looked up by its hash in a few tables of slots, as many as the fullest slot has common words.
     """
-    slot = F.pmod(F.xxhash64("word", "seed"), F.lit(SLOTS)).cast("int")
-    table = (
-        common.select("word", "code", F.explode(F.sequence(F.lit(0), F.lit(SEEDS - 1))).alias("seed"))
-        .withColumn("slot", slot)
+    slots = max(SLOTS, 4 * common.count())
+    placed = common.select(
+        "word", "code", F.explode(F.sequence(F.lit(0), F.lit(SEEDS - 1))).alias("seed")
+    ).withColumn("slot", F.pmod(F.xxhash64("word", "seed"), F.lit(slots)).cast("int"))
+    best = (
+        placed.groupBy("seed", "slot")
+        .agg(F.count("*").alias("n"))
         .groupBy("seed")
-        .agg(F.collect_list(F.struct("slot", "word", "code")).alias("entries"))
-        .where("size(array_distinct(entries.slot)) = size(entries)")
-        .orderBy("seed")
+        .agg(F.max("n").alias("tables"))
+        .orderBy("tables", "seed")
         .first()
     )
-    if table is None:
+    if best is None:
         return F.lit("")
-    held, named = [""] * SLOTS, [""] * SLOTS
-    for entry in table.entries:
-        held[entry.slot], named[entry.slot] = entry.word, chr(FIRST_CODE + entry.code)
+    tables = [([""] * slots, [""] * slots) for _ in range(best.tables)]
+    for entry in placed.where(F.col("seed") == best.seed).orderBy("code").collect():
+        held, named = next(t for t in tables if not t[0][entry.slot])
+        held[entry.slot], named[entry.slot] = entry.word, _character(entry.code)
+
+    def literal(values: list[str]) -> Column:
+        return F.split(F.lit(" ".join(values)), " ", -1)
 
     def code(word: Column) -> Column:
-        at = F.pmod(F.xxhash64(word, F.lit(table.seed)), F.lit(SLOTS)).cast("int")
-        return F.when(F.get(F.lit(held), at) == word, F.get(F.lit(named), at)).otherwise("")
+        at = F.pmod(F.xxhash64(word, F.lit(best.seed)), F.lit(slots)).cast("int")
+        found = F.lit("")
+        for held, named in reversed(tables):
+            found = F.when(F.get(literal(held), at) == word, F.get(literal(named), at)).otherwise(found)
+        return found
 
     return F.array_join(F.transform(words_column, code), "")
 
 
 def code_counts(codes: str) -> Column:
-    """Histogram of the common words from the text of their codes."""
-    return F.array(
-        *(
-            (F.length(codes) - F.length(F.replace(F.col(codes), F.lit(chr(FIRST_CODE + i)), F.lit("")))).cast("long")
-            for i in range(COMMON_WORDS)
-        )
+    """Number of each common word that occurs, ``(code, n)``, from the text of their codes."""
+    return F.expr(
+        f"""transform(array_distinct(split({codes}, '')), c -> struct(
+            ascii(c) - {FIRST_CODE} - if(ascii(c) < {0xD800}, 0, {0x800}) AS code,
+            CAST(length({codes}) - length(replace({codes}, c, '')) AS bigint) AS n))"""
     )
 
 
@@ -198,40 +242,55 @@ def distance(counts: str, total: str, reference: str) -> str:
         0D, (s, x) -> s + x) / 2))"""
 
 
-def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> list[tuple[str, list, list]]:
-    """Per language its histograms of character classes and common words."""
-    classes = features.where("lang IS NOT NULL").groupBy("lang").agg(
-        F.sum("n_words").alias("all"), *(F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(CLASSES))
-    )
-    used = counts.join(common, "word").groupBy("lang").pivot("code", list(range(COMMON_WORDS))).agg(F.sum("n"))
-    rows = (
-        classes.where(F.col("all") >= MIN_LANGUAGE_WORDS)
-        .join(used, "lang")
-        .orderBy(F.desc("all"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    )
-    return [
-        (r["lang"], [float(r[f"c{i}"]) for i in range(CLASSES)], [float(r[str(i)] or 0) for i in range(COMMON_WORDS)])
-        for r in rows
-    ]
+def word_distance(counts: str, total: str, reference: str) -> str:
+    """``distance`` of the counts ``(code, n)`` of the words that occur; others add their share."""
+    q = f"{reference}[x.code]"
+    return f"""sqrt(greatest(0D, aggregate({counts}, 1D, (s, x) -> s
+        + x.n / {total} * log2(2 * x.n / (x.n + {q} * {total}))
+        + if({q} > 0, {q} * log2(2 * {q} * {total} / (x.n + {q} * {total})) - {q}, 0D)) / 2))"""
 
 
-def _nearest(counts: str, total: str, histograms: list[list[float]]) -> Column:
-    """Least distance of a histogram to the references; null without any."""
-    literal = ", ".join(
-        f"array({', '.join(f'{x / sum(h)!r}D' for x in h)})" for h in histograms if sum(h)
+def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> DataFrame:
+    """One row: ``_references``, of every language with words its shares of character classes and common words.
+
+    A small language's shares are blended with the corpus's, the more so the fewer words it has.
+    """
+    classes = (
+        features.where("lang IS NOT NULL")
+        .groupBy("lang")
+        .agg(F.sum("n_words").alias("all"), F.array(*(F.sum(F.col("_classes")[i]) for i in range(CLASSES))).alias("own"))
+        .where(F.col("all") > 0)
+        .withColumn("weight", F.least(F.lit(1.0), F.sqrt(F.col("all") / MIN_LANGUAGE_WORDS)))
     )
-    if not literal:
-        return F.lit(None).cast("double")
-    return F.expr(f"array_min(transform(array({literal}), r -> {distance(counts, total, 'r')}))")
+    whole = classes.agg(F.array(*(F.sum(F.col("own")[i]) for i in range(CLASSES))).alias("whole"))
+    chars = classes.crossJoin(F.broadcast(whole)).select(
+        "lang",
+        "weight",
+        F.expr(
+            """zip_with(own, whole, (x, y) -> weight * x / aggregate(own, 0L, (s, z) -> s + z)
+                + (1 - weight) * y / aggregate(whole, 0L, (s, z) -> s + z))"""
+        ).alias("chars"),
+    )
+    used = counts.join(F.broadcast(common), "word").select("lang", "code", "n")
+    every = (
+        chars.select("lang", "weight")
+        .join(used.groupBy("lang").agg(F.sum("n").alias("mine")), "lang", "left")
+        .crossJoin(F.broadcast(common.crossJoin(common.agg(F.sum("total").alias("totals")))))
+        .join(used, ["lang", "code"], "left")
+    )
+    share = F.expr(
+        """if(mine IS NULL, total / totals,
+            weight * coalesce(n, 0L) / mine + (1 - weight) * total / totals)"""
+    )
+    shares = every.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("code", share.alias("share"))))["share"].alias("words"))
+    return chars.join(shares, "lang").agg(F.collect_list(F.struct("chars", "words")).alias("_references"))
 
 
 def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> DataFrame:
     """``carried`` with the counts, distances and verdict of each row.
 
-    The distances are null where they were not measured: for texts that fail the base rules, are too short
-    or have a language without references.
+    The distances are null where they were not measured: for texts that fail the base rules or are too
+    short, and without any language.
     """
     counts = saved(language_words(docs, text, lang), "words")
     common = saved(common_words(counts), "common")
@@ -249,22 +308,16 @@ def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> Dat
         ).select("*", F.length("_codes").cast("long").alias("_common"), code_counts("_codes").alias("_counts")).drop("_codes"),
         "features",
     )
-    known_languages = references(features, counts, common)
-    languages = [name for name, _, _ in known_languages]
-    compared = F.col("lang").isNull() | F.col("lang").isin(languages) if languages else F.lit(False)
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
 
-    def compare(enough: Column, counts: str, total: str, histograms: list[list[float]]) -> Column:
-        return F.when(compared & ~failed & enough, _nearest(counts, total, histograms))
+    def compare(enough: Column, distance_to: str) -> Column:
+        return F.when(~failed & enough, F.expr(f"array_min(transform(_references, r -> {distance_to}))"))
 
-    distances = features.withColumns(
+    nearest = saved(references(features, counts, common), "references")
+    distances = features.crossJoin(F.broadcast(nearest)).withColumns(
         {
-            "char_distance": compare(
-                F.col("_chars") >= MIN_CHARS, "_classes", "_chars", [c for _, c, _ in known_languages]
-            ),
-            "word_distance": compare(
-                F.col("_common") >= MIN_COMMON, "_counts", "_common", [w for _, _, w in known_languages]
-            ),
+            "char_distance": compare(F.col("_chars") >= MIN_CHARS, distance("_classes", "_chars", "r.chars")),
+            "word_distance": compare(F.col("_common") >= MIN_COMMON, word_distance("_counts", "_common", "r.words")),
         }
     )
     near = F.expr(

@@ -104,3 +104,45 @@ def test_kept_documents_and_empty(spark):
     kept = quality.kept_documents(docs)
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
     assert quality.judge(docs.limit(0)).count() == 0
+
+
+def _language(name, texts, rng, count=400):
+    """Texts in an invented language, whose words no other has."""
+    words = [f"{name}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)]
+    return [" ".join(rng.choices(words, [1 / (i + 1) for i in range(40)], k=count)) for _ in range(texts)]
+
+
+def test_rare_labels_are_compared(spark):
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choice("#$%&|<>;:!?0123456789ABCDEF") for _ in range(7)) for _ in range(120)) for _ in range(3)]
+    prose = [(t, "en") for t in _language("en", 30, rng)]
+    small = [(t, "nl") for t in _language("nl", 5, rng)]
+    rows = [*prose, (noise[0], "en"), (noise[1], "eng-misspelt"), (noise[2], None), *small, (prose[0][0], "xx")]
+    got = {r.doc_id: r for r in quality.judge(documents(spark, [(i, t, g, "s") for i, (t, g) in enumerate(rows)])).collect()}
+    assert all(r.char_distance is not None for r in got.values() if not r.base_failed)
+    assert [got[i].kept for i in (30, 31, 32)] == [False] * 3
+    assert all(got[i].kept for i in got if i not in (30, 31, 32))
+
+
+def test_no_language_is_large(spark):
+    rng = random.Random(4)
+    noise = " ".join("".join(rng.choice("#$%&|<>;:!?0123456789ABCDEF") for _ in range(7)) for _ in range(60))
+    rows = [(i, t, "en", "s") for i, t in enumerate(_language("en", 10, rng))] + [(10, noise, "zz", "s")]
+    assert [r.kept for r in sorted(quality.judge(documents(spark, rows)).collect())] == [True] * 10 + [False]
+
+
+def test_every_language_has_common_words(spark):
+    rng = random.Random(5)
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(70)]
+    texts = [(t, g) for g in names for t in _language(g, 13, rng)]
+    # The words of one language evenly: unlike any language in its word shares alone.
+    salad = sorted(set(texts[0][0].split())) * 8
+    rng.shuffle(salad)
+    rows = [(i, t, g, "s") for i, (t, g) in enumerate(texts)] + [(-1, " ".join(salad), "aa", "s")]
+    docs = documents(spark, rows)
+    common = quality.common_words(quality.language_words(docs, "text", "lang"))
+    assert common.count() >= 70 * quality.LANGUAGE_WORDS
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(r.word_distance is not None for r in got.values() if not r.base_failed)
+    assert all(r.kept for i, r in got.items() if i >= 0 and not r.base_failed)
+    assert not got[-1].base_failed and got[-1].word_distance > max(r.word_distance or 0 for i, r in got.items() if i >= 0)
