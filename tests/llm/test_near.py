@@ -99,6 +99,44 @@ def test_chain_is_the_longest_common_one(seed):
         assert near.chain(np.array(a, np.uint32), np.array(b, np.uint32)) == similar
 
 
+@pytest.mark.parametrize("total", [63, 126, 189, 207, 252, 81])
+def test_links_at_exactly_the_threshold(total):
+    n = 4 * total // 9
+    long, short = np.arange(total - n, dtype=np.uint32), np.arange(n, dtype=np.uint32)
+    assert near.chain(long, short) and near.chain(short, long)
+    spoilt = short.copy()
+    spoilt[0] = 10**6
+    assert not near.chain(long, spoilt)
+    rows = pa.table(
+        {
+            "key": pa.array([b"a", b"b"], pa.binary()),
+            "windows": pa.array([long.tobytes(), short.tobytes()], pa.binary()),
+            "tile": pa.array([0, 0], pa.int32()),
+            "i": pa.array([0, 0], pa.int32()),
+            "j": pa.array([0, 0], pa.int32()),
+            "root": pa.array([b"a", b"b"], pa.binary()),
+            "sketches": pa.array([[1] * near.SKETCHES] * 2, pa.list_(pa.int64())),
+        }
+    )
+    assert near._tile_links(near.SIMILARITY)(rows).num_rows == 1
+
+
+def test_least_chain_is_exact():
+    total = np.arange(200_000)
+    assert (near.least_chain(total) == -(-4 * total // 9)).all()
+
+
+@pytest.mark.parametrize("total", [63, 126])
+def test_groups_at_exactly_the_threshold(spark, total):
+    words = [f"w{i}" for i in range(total)]
+    n = 4 * total // 9
+    rows = [(1, " ".join(words[: total - n + 4]), None, None), (2, " ".join(words[: n + 4]), None, None)]
+    rows.append((3, " ".join(words[: n - 1 + 4]) + " other", None, None))
+    assert _similarity(rows[0][1], rows[1][1]) == 0.8
+    got = {r.doc_id: r.group_id for r in near.near_duplicates(documents(spark, rows)).collect()}
+    assert got[1] == got[2] == 1
+
+
 def test_bound_of_common_windows():
     rng = np.random.default_rng(0)
     windows = [rng.choice(900, size=rng.integers(1, 400), replace=False).astype(np.uint32) for _ in range(20)]
