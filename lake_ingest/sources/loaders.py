@@ -10,7 +10,7 @@ import csv
 import inspect
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,26 +83,51 @@ def csv_records(spark: SparkSession, source_path: str) -> DataFrame:
 
     Malformed is a line with more or fewer fields than the header, or with a quote that does not end on
     it. Files are read line by line, so large ones are split between tasks; a value with a line break in
-    it is therefore malformed, and set aside rather than cut in two. Columns get their types by
-    ``conform.convert_types``, without a pass to infer them.
+    it is therefore malformed, and set aside rather than cut in two. The first line of each file is its
+    header; the one of the first path counts, and a file with other names is set aside line by line, its
+    header included. Columns get their types by ``conform.convert_types``, without a pass to infer them.
     """
-    lines = spark.read.text(source_path)
-    first = lines.where(F.length("value") > 0).first()
+    lines = (
+        spark.read.text(source_path)
+        .select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_from"))
+        .where(F.length("value") > 0)
+    )
+    firsts = (
+        lines.withColumn("_at", F.monotonically_increasing_id())
+        .groupBy("_path")
+        .agg(F.min_by("value", F.struct("_from", "_at")).alias("_first"))
+    )
+    first = firsts.orderBy("_path").first()
     if first is None:
         return spark.createDataFrame([], f"{CORRUPT_RECORD} string")
-    header = first.value.removeprefix("\ufeff")
-    names = next(csv.reader([header]))
+    names = next(csv.reader([first["_first"].removeprefix("\ufeff")]))
     fields = [T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)]
     schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
-    quotes = "length(value) - length(replace(value, '\"', ''))"
-    record = F.from_csv(
-        "value", _ddl(schema), {"columnNameOfCorruptRecord": CORRUPT_RECORD, "mode": "PERMISSIVE"}
+
+    def record(text: Column | str) -> Column:
+        return F.from_csv(text, _ddl(schema), {"columnNameOfCorruptRecord": CORRUPT_RECORD, "mode": "PERMISSIVE"})
+
+    same = F.col(f"_header.{CORRUPT_RECORD}").isNull()
+    for field, name in zip(fields, names):
+        same &= F.coalesce(F.col(f"_header.{quoted(field.name)}"), F.lit("")) == name
+    headers = firsts.withColumn("_header", record(F.regexp_replace("_first", "^\ufeff", ""))).select(
+        "_path", "_first", (same | (F.col("_first") == first["_first"])).alias("_same")
+    )
+    headed = lines.join(headers, "_path")
+    # Lines equal to the header cannot be told apart: all but one of each file are records.
+    again = (
+        headed.where("_same AND value = _first")
+        .groupBy("_path", "_first")
+        .agg((F.count("*") - 1).alias("_n"))
+        .where("_n > 0")
+        .withColumn("_step", F.explode(F.expr("sequence(0L, (_n - 1) div 10000)")))
+        .select(F.col("_first").alias("value"), F.explode(F.expr("sequence(1L, least(10000, _n - 10000 * _step))")))
+        .select("value", F.lit(True).alias("_same"))
     )
-    parsed = (
-        lines.where(F.length("value") > 0)
-        .where(~F.col("value").isin(header, first.value))
-        .select("value", record.alias("_record"))
-        .withColumn("_bad", F.expr(f"_record.{CORRUPT_RECORD} IS NOT NULL OR ({quotes}) % 2 = 1"))
+    rows = headed.where("NOT _same OR value <> _first").select("value", "_same").unionByName(again)
+    quotes = "length(value) - length(replace(value, '\"', ''))"
+    parsed = rows.select("value", "_same", record("value").alias("_record")).withColumn(
+        "_bad", F.expr(f"NOT _same OR _record.{CORRUPT_RECORD} IS NOT NULL OR ({quotes}) % 2 = 1")
     )
     kept = [
         F.when(~F.col("_bad"), F.col(f"_record.{quoted(f.name)}")).alias(f.name) for f in fields

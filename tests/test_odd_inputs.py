@@ -170,3 +170,26 @@ def test_partitions_hold_no_files(tmp_path):
     (tmp_path / "sub").mkdir()
     partitions = ObjectListingReader({"path": str(tmp_path), "tasks": "4"}).partitions()
     assert sorted(path for p in partitions for path in (*p.flat, *p.whole)) == [str(tmp_path), str(tmp_path / "sub")]
+
+
+def test_records_equal_to_the_csv_header_stay(spark, put, tmp_path, table_name):
+    root = put("one.csv", "name\nx\nname\nname\n \n")
+    assert rows(loaders.csv_records(spark, f"{root}/one.csv"), "name") == [(" ",), ("name",), ("name",), ("x",)]
+    log = run_ingestion(spark, Lake(str(tmp_path / "lake")), f"{root}/one.csv", table_name, "r", schema="name string")
+    assert log.first().rows_in == 4
+
+
+def test_each_csv_file_has_a_header(spark, tmp_path):
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    for name, text in (
+        ("1.csv", "a,b\n1,2\na,b\n"),
+        ("2.csv", "\ufeffa,b\n3,4\n"),
+        ("3.csv", '"a","b"\n5,6\n'),
+        ("4.csv", "A,b\n" + "7,8\n" * 40),
+        ("5.csv", "\n"),
+    ):
+        (folder / name).write_text(text)
+    records = loaders.csv_records(spark, str(folder))
+    assert rows(records.where("_corrupt_record IS NULL"), "a", "b") == [("1", "2"), ("3", "4"), ("5", "6"), ("a", "b")]
+    assert rows(records.where("_corrupt_record IS NOT NULL"), "_corrupt_record") == [("7,8",)] * 40 + [("A,b",)]
