@@ -2,8 +2,9 @@
 
 The ordinary dictionary is trained by zstandard on windows of ordinary texts. The toxic one has the same
 content, followed by the strings within words that are typical of toxic texts: frequent there and rare
-elsewhere. Both have the same length, so that ordinary text compresses to the same size with either,
-and a window that is shorter with the toxic dictionary holds toxic strings. Bytes are doubled first: a
+elsewhere. At most ``STRINGS`` are taken, each in at least 1% (and 3) of the sampled toxic texts: toxic
+words beyond these score as ordinary. Both have the same length, so that ordinary text compresses to the
+same size with either, and a window that is shorter with the toxic dictionary holds toxic strings. Bytes are doubled first: a
 literal then costs twice as much and a match no more, which makes one word in a window tell. A text's
 windows give a few figures, which a logistic curve, fitted on labelled texts that the dictionaries have
 not seen, turns into a probability.
