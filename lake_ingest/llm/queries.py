@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lake_ingest.llm import bpe, embeddings, mixing, near, oracles, pii, quality, secrets, suffixes, toxicity, warc
+from lake_ingest.llm import alignment, bpe, embeddings, mixing, near, oracles, pii, quality, secrets, suffixes, toxicity, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
 
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    aligned = alignment.align(_table(spark, sf_dir, "documents"), ["doc_id"])
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return aligned.select(*columns, *(c.alias(n) for n, c in alignment.digest().items()))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_surrogates": op10_surrogates,
+    "op13_align_tokenizers": op13_align_tokenizers,
 }
 ORACLES: dict[str, str] = {
     "op1_warc": oracles.WARC,
