@@ -88,3 +88,40 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least ON least.u = vec_id LEFT JOIN degree ON degree.u = vec_id
 """
+
+# Every phrase of one to five words is listed and counted.
+COLLOCATIONS = r"""
+WITH w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), f AS (
+    SELECT lang, len, array_to_string(w[i : i + len - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, len, unnest(generate_series(1, len(w) - len + 1)) AS i
+        FROM w, (SELECT unnest(generate_series(1, 5)) AS len) WHERE len(w) >= len)
+    GROUP BY ALL
+), total AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang
+), c AS (
+    SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE len > 1 AND f >= 100
+), cut AS (
+    SELECT c.lang, c.len, c.phrase, a, n, k, x.f AS l, y.f AS r,
+        ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(generate_series(1, len - 1)) AS k FROM c) c
+        JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+        JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.len], ' ')
+        JOIN total ON total.lang = c.lang
+), low AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, max(a) AS whole
+    FROM (SELECT *, unnest(generate_series(1, len - size + 1)) AS i
+        FROM (SELECT *, unnest(generate_series(2, len - 1)) AS size FROM c WHERE len > 2)) GROUP BY ALL
+), kept AS (
+    SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase) WHERE whole IS NULL OR 100 * whole < 100 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+) WHERE rank <= 2000
+"""

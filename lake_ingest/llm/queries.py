@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lake_ingest.llm import alignment, bpe, embeddings, mixing, near, oracles, pii, quality, secrets, suffixes, toxicity, warc
+from lake_ingest.llm import alignment, bpe, collocations, embeddings, extraction, mixing, near, oracles, pii, quality, secrets, suffixes, toxicity, warc
 from lake_ingest.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,17 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    texts = extraction.main_texts(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language whose words keep together."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of every document under two tokenizers."""
     aligned = alignment.align(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -92,10 +104,13 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_surrogates": op10_surrogates,
+    "op11_main_text": op11_main_text,
+    "op12_collocations": op12_collocations,
     "op13_align_tokenizers": op13_align_tokenizers,
 }
 ORACLES: dict[str, str] = {
     "op1_warc": oracles.WARC,
     "op2_mix_sources": oracles.MIX_SOURCES,
     "op3_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
