@@ -6,8 +6,8 @@ partitions. A partition merges its blocks' counts into one Misra-Gries summary:
 counters than its capacity, the highest count beyond the capacity is subtracted from all. With a capacity
 above the partition's mass divided by the threshold, all subtractions together stay below the threshold, so
 that every phrase that reaches it survives, in memory that depends on the capacity and not on how many
-phrases there are. A second pass over the partition's counts tells the survivors' exact numbers; the frequent
-ones go back to the blocks that hold them, which write out their words, and Spark sums those.
+phrases there are. A second pass over the partition's counts tells the survivors' exact numbers. The frequent
+ones go back to the blocks that hold them, for the next round, and the first of these blocks names their words.
 
 Phrases come in three rounds: words, pairs of frequent words, and longer phrases all of whose pairs are
 frequent, as no part of a frequent phrase is rarer than it. Only fingerprints that are frequent travel back;
@@ -47,6 +47,7 @@ SPACES = b" \t"
 BLOCK_BYTES = 8 << 20
 # Blocks whose counts make up one hash partition, so that its lists take some tens of megabytes.
 BLOCKS_A_PARTITION = 8
+SALTS = 32
 ROUNDS = ((1,), (2,), (3, 4, 5))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = 3
@@ -133,19 +134,16 @@ def _values(content: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(content, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def squeezed(prints: np.ndarray, counts: np.ndarray | None = None) -> bytes:
+def squeezed(prints: np.ndarray, counts: np.ndarray) -> bytes:
     """Compressed ascending fingerprints, as differences, with their counts."""
     steps = np.diff(prints, prepend=np.uint64(0))
-    content = _planes(steps) + (_planes(counts.astype(np.uint32)) if counts is not None else b"")
-    return zstandard.compress(content, _LEVEL)
+    return zstandard.compress(_planes(steps) + _planes(counts.astype(np.int64)), _LEVEL)
 
 
-def opened(payload: bytes, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def opened(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     content = zstandard.decompress(payload)
-    n = len(content) // (12 if counted else 8)
-    prints = np.cumsum(_values(content[: 8 * n], np.uint64), dtype=np.uint64)
-    counts = _values(content[8 * n :], np.uint32) if counted else np.zeros(0, np.uint32)
-    return prints, counts.astype(np.int64)
+    half = len(content) // 2
+    return np.cumsum(_values(content[:half], np.uint64), dtype=np.uint64), _values(content[half:], np.int64)
 
 
 def _summed(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +175,8 @@ class Summary:
             self.prints, self.counts = self.prints[kept], self.counts[kept] - least
 
 
-def survivors(lists: list[bytes], min_count: int) -> np.ndarray:
-    """Fingerprints that come ``min_count`` times or more in all lists together, ascending."""
+def survivors(lists: list[bytes], min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints that come ``min_count`` times or more in all lists together, ascending, and how often."""
     mass = sum(int(opened(p)[1].sum()) for p in lists)
     summary = Summary(mass // min_count + 1)
     waiting, held = [], 0
@@ -195,10 +193,12 @@ def survivors(lists: list[bytes], min_count: int) -> np.ndarray:
             at = np.minimum(np.searchsorted(summary.prints, prints), len(exact) - 1)
             hit = summary.prints[at] == prints
             exact[at[hit]] += counts[hit]
-    return summary.prints[exact >= min_count]
+    frequent = exact >= min_count
+    return summary.prints[frequent], exact[frequent]
 
 
 LISTS = "partition long, block long, payload binary"
+ANSWERS = "block long, frequent binary, named binary"
 
 
 def _dealt(block: int, prints: np.ndarray, partitions: int) -> pa.RecordBatch:
@@ -216,16 +216,33 @@ def _dealt(block: int, prints: np.ndarray, partitions: int) -> pa.RecordBatch:
     )
 
 
-def _frequent(told: pa.Table) -> np.ndarray:
-    """All fingerprints that a block was told, ascending."""
-    found = [opened(p, False)[0] for p in told["payload"].to_pylist()]
-    return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
+def answers(lists: list[bytes], min_count: int) -> tuple[list[bytes], list[bytes]]:
+    """Of a partition's lists the frequent fingerprints, and those among them that the list has to name.
+
+    The latter come with the exact count of all lists; each frequent one is named by the first list that holds it.
+    """
+    frequent, exact = survivors(lists, min_count)
+    waiting, told, named = np.ones(len(frequent), bool), [], []
+    for payload in lists:
+        prints, _ = opened(payload)
+        here = np.searchsorted(frequent, prints[_among(prints, frequent)])
+        told.append(squeezed(frequent[here], np.zeros(len(here))))
+        first = here[waiting[here]]
+        waiting[first] = False
+        named.append(squeezed(frequent[first], exact[first]))
+    return told, named
+
+
+def _told(rows: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """All fingerprints that a block was told, ascending, and their counts."""
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)), *map(opened, rows[column].to_pylist())]
+    return _summed(*(np.concatenate(parts) for parts in zip(*found)))
 
 
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``(lang, length, phrase, n)`` of all frequent words and phrases; of length 0 the number of all words."""
+    """``(lang, length, phrase, n)`` of all frequent words and phrases; of length 0 numbers of words to be added up."""
     chosen = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         F.col(text).cast("string").alias("text"),
@@ -236,50 +253,53 @@ def phrase_counts(
     def lists(lengths):
         def of(block: pa.Table, told: pa.Table) -> pa.Table:
             words = Words(unpack(block["payload"][0].as_buffer()))
-            found = [prints for _, _, prints in candidates(words, lengths, _frequent(told))]
+            found = [prints for _, _, prints in candidates(words, lengths, _told(told, "frequent")[0])]
             return pa.Table.from_batches([_dealt(block["block"][0].as_py(), np.concatenate(found), partitions)])
 
         return of
 
     def answer(rows: pa.Table) -> pa.Table:
-        payloads = rows["payload"].to_pylist()
-        frequent, out = survivors(payloads, min_count), []
-        for payload in payloads:
-            prints, _ = opened(payload)
-            out.append(squeezed(prints[_among(prints, frequent)]))
-        return pa.table({"partition": rows["partition"], "block": rows["block"], "payload": pa.array(out, pa.binary())})
+        frequent, named = answers(rows["payload"].to_pylist(), min_count)
+        columns = (pa.array(frequent, pa.binary()), pa.array(named, pa.binary()))
+        return pa.table([rows["block"], *columns], names=["block", "frequent", "named"])
 
     def written(block: pa.Table, told: pa.Table) -> pa.Table:
-        words, frequent = Words(unpack(block["payload"][0].as_buffer())), _frequent(told)
+        words, (wanted, counts) = Words(unpack(block["payload"][0].as_buffer())), _told(told, "named")
         names = words.langs.dictionary.to_pylist()
         rows = [(name, 0, "", n) for name, n in words.totals().items()]
         for length in range(1, LONGEST + 1):
             prints, whole = words.prints(length)
-            at = np.flatnonzero(whole & _among(prints, frequent))
-            _, first, counts = np.unique(prints[at], return_index=True, return_counts=True)
-            rows += [
-                (names[words.lang[i]], length, words.phrase(i, length), int(n)) for i, n in zip(at[first], counts)
-            ]
+            at = np.flatnonzero(whole & _among(prints, wanted))
+            found, first = np.unique(prints[at], return_index=True)
+            n = counts[np.searchsorted(wanted, found)]
+            rows += [(names[words.lang[i]], length, words.phrase(i, length), int(m)) for i, m in zip(at[first], n)]
         columns = list(zip(*rows)) or [[], [], [], []]
         types = (pa.string(), pa.int32(), pa.string(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "length", "phrase", "n"])
 
-    def met(answers: list[DataFrame], step, schema: str) -> DataFrame:
-        told = reduce(DataFrame.unionByName, answers) if answers else docs.sparkSession.createDataFrame([], LISTS)
-        return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(step, schema)
+    def met(told: DataFrame, column: str, step, schema: str) -> DataFrame:
+        wanted = told.select("block", column)
+        return blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(step, schema)
 
-    answers: list[DataFrame] = []
+    # A round needs the frequent phrases of the round before it, the naming what it has to name of all.
+    rounds = [docs.sparkSession.createDataFrame([], ANSWERS)]
     for lengths in ROUNDS:
-        counted = met(answers, lists(lengths), LISTS)
-        answers.append(saved(counted.groupBy("partition").applyInArrow(answer, LISTS), "frequent"))
-    rows = met(answers, written, "lang string, length int, phrase string, n long")
-    return saved(rows.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")), "phrases")
+        counted = met(rounds[-1], "frequent", lists(lengths), LISTS)
+        rounds.append(saved(counted.groupBy("partition").applyInArrow(answer, ANSWERS), "frequent"))
+    told = reduce(DataFrame.unionByName, rounds)
+    return saved(met(told, "named", written, "lang string, length int, phrase string, n long"), "phrases")
 
 
 def scored(counts: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``(lang, phrase, length, a, l, r, n, score)`` of every candidate, by its lowest-scoring cut."""
     parts = counts.where("length > 0").select("lang", "phrase", F.col("n").alias("f"))
-    totals = counts.where("length = 0").select("lang", "n")
+    # A language may hold most phrases, so its total is dealt out with them.
+    totals = (
+        counts.where("length = 0")
+        .groupBy("lang")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
     cuts = (
         counts.where((F.col("length") > 1) & (F.col("n") >= min_count))
         .select("lang", "phrase", "length", F.col("n").alias("a"), F.split("phrase", " ").alias("_w"))
@@ -295,7 +315,8 @@ def scored(counts: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     lefts = parts.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     rights = parts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     exact = "(1000 * CAST(a AS decimal(19,0)) * CAST(n AS decimal(19,0))) div (CAST(l AS decimal(19,0)) * CAST(r AS decimal(19,0)))"
-    valued = cuts.join(lefts, ["lang", "first"]).join(rights, ["lang", "rest"]).join(totals, "lang")
+    valued = cuts.join(lefts, ["lang", "first"]).join(rights, ["lang", "rest"])
+    valued = valued.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")).join(totals, ["lang", "_salt"])
     return (
         valued.withColumn("score", F.expr(exact))
         .groupBy("lang", "phrase", "length", "a", "n")

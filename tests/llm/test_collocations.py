@@ -78,7 +78,11 @@ def test_summaries_keep_what_reaches_the_threshold():
             prints, counts = np.unique(part, return_counts=True)
             lists.append(C.squeezed(prints, counts))
         prints, counts = np.unique(values, return_counts=True)
-        assert np.array_equal(C.survivors(lists, min_count), prints[counts >= min_count])
+        found, exact = C.survivors(lists, min_count)
+        assert np.array_equal(found, prints[counts >= min_count]) and np.array_equal(exact, counts[counts >= min_count])
+        told, named = C.answers(lists, min_count)
+        once = np.sort(np.concatenate([C.opened(p)[0] for p in named]))
+        assert np.array_equal(once, found) and len(told) == len(lists)
         summary = C.Summary(len(values) // min_count + 1)
         for payload in lists:
             summary.merge(*C.opened(payload))
@@ -87,10 +91,10 @@ def test_summaries_keep_what_reaches_the_threshold():
 
 
 def test_lists_are_read_back():
-    prints, counts = np.array([1, 2, 2**64 - 1], np.uint64), np.array([3, 2**32 - 1, 1])
+    prints, counts = np.array([1, 2, 2**64 - 1], np.uint64), np.array([3, 2**40, 1])
     back = C.opened(C.squeezed(prints, counts))
     assert np.array_equal(back[0], prints) and np.array_equal(back[1], counts)
-    assert len(C.opened(C.squeezed(prints[:0]), False)[0]) == 0
+    assert len(C.opened(C.squeezed(prints[:0], counts[:0]))[0]) == 0
 
 
 def test_words_end_with_documents_and_pieces():
