@@ -41,7 +41,7 @@ from tokenizers import Tokenizer
 
 from lake_ingest.llm.blocks import BLOCKS, batch, bucketed, pack, slices_of, text_bytes, unpack
 from lake_ingest.llm.bpe import load, piece_table
-from lake_ingest.llm.shared import frugal
+from lake_ingest.llm.shared import frugal, saved
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -49,6 +49,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SLICE_BYTES = 4 << 20
 # Steps from a link to the next one, and the last link of a document.
 NEXT_A, NEXT_B, NEXT_BOTH = 1, 2, 3
+_LEVEL = 3
 
 
 class ByteLevel:
@@ -149,9 +150,11 @@ def links(doc_a: np.ndarray, starts_a: np.ndarray, doc_b: np.ndarray, starts_b:
     covered_b = pd.merge_asof(b, a, on="at", by="doc", direction="backward")
     # Both directions find the pairs that start together: these are taken from the first one.
     later = covered_b[starts_a[covered_b["a"].to_numpy()] < covered_b["at"].to_numpy()] if len(b) else covered_b
-    left = np.concatenate([covered_a["a"].to_numpy(), later["a"].to_numpy()]).astype(np.int64)
-    right = np.concatenate([covered_a["b"].to_numpy(), later["b"].to_numpy()]).astype(np.int64)
-    order = np.lexsort((right, left))
+    left, right, at = (
+        np.concatenate([covered_a[c].to_numpy(), later[c].to_numpy()]).astype(np.int64) for c in ("a", "b", "at")
+    )
+    # Two ascending runs, which a stable sort merges; a link lies where the later one of its tokens starts.
+    order = np.argsort(at, kind="stable")
     return left[order], right[order]
 
 
@@ -217,11 +220,14 @@ def _per_document(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[at[1:]] - sums[at[:-1]]
 
 
-def _group_texts(block: Linked, signs: pa.Array, n_ids: int) -> pa.Array:
-    """``a1,a2|b1;a3|b2,b3`` of each document: the decimal ids of its groups, in order.
+@lru_cache(1)
+def _signs(n_ids: int) -> pa.Array:
+    """All ids as texts, followed by each of the signs that may come after one, and by none."""
+    return pa.array([f"{i}{s}" for s in (",", "|", ";", "") for i in range(n_ids)], pa.large_string())
 
-    ``signs`` are all ids as texts, followed by each of the signs that may come after one.
-    """
+
+def _group_texts(block: Linked, n_ids: int) -> pa.Array:
+    """``a1,a2|b1;a3|b2,b3`` of each document: the decimal ids of its groups, in order."""
     last_a, last_b = block.groups()
     n = len(block.a) + len(block.b)
     group_a = np.searchsorted(last_a, np.arange(len(block.a)))
@@ -235,7 +241,7 @@ def _group_texts(block: Linked, signs: pa.Array, n_ids: int) -> pa.Array:
     code[place_b[last_b]] += 2 * n_ids
     ends = block.at_a + block.at_b
     code[ends[1:][np.diff(ends) > 0] - 1] += n_ids
-    texts = signs.take(pa.array(code))
+    texts = _signs(n_ids).take(pa.array(code))
     if not n:
         return pa.array([""] * (len(ends) - 1), pa.large_string())
     places = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1][ends]
@@ -254,7 +260,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         table_b = pa.array(model_pieces(model), pa.large_binary())
         for rows in batches:
             for part in slices_of(rows, "text", SLICE_BYTES):
-                payload = pack(_aligned(part, tokenizer, pieces_b, table_a, table_b))
+                payload = pack(_aligned(part, tokenizer, pieces_b, table_a, table_b), _LEVEL)
                 yield batch(
                     block=pa.array([(partition << 32) + block], pa.int64()), payload=pa.array([payload], pa.binary())
                 )
@@ -315,7 +321,6 @@ def align(
         at = order[np.searchsorted(known[order], held.pairs())] if len(known) else np.zeros(0, np.int64)
         n = np.asarray(answers["n"])[at]
         best = np.asarray(answers["best"])[at].astype(bool)
-        signs = [f"{i}{s}" for s in ",|;" for i in range(n_ids)] + [str(i) for i in range(n_ids)]
         columns = {name: rows[name] for name in names}
         columns |= {
             "n_a": pa.array(np.diff(held.at_a)),
@@ -324,7 +329,7 @@ def align(
             "n_links": pa.array(np.diff(held.at)),
             "n_best": pa.array(_per_document(best, held.at)),
             "count_sum": pa.array(_per_document(n, held.at)),
-            "groups": _group_texts(held, pa.array(signs, pa.large_string()), n_ids),
+            "groups": _group_texts(held, n_ids),
         }
         if detail:
             first_a, first_b = np.repeat(held.at_a[:-1], np.diff(held.at)), np.repeat(held.at_b[:-1], np.diff(held.at))
@@ -349,7 +354,7 @@ def align(
         for name in ("a_ids", "b_ids", "link_a", "link_b"):
             schema = schema.add(name, T.ArrayType(T.IntegerType()))
         schema = schema.add("link_count", T.ArrayType(T.LongType())).add("link_best", T.ArrayType(T.BooleanType()))
-    answers = told(pair_counts(blocks))
+    answers = told(saved(pair_counts(blocks), "pairs"))
     joined = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(summed, schema)
     return joined.select(*(F.col(n).alias(k) for n, k in zip(names, keys)), *schema.names[len(names) :])
 

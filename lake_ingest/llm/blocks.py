@@ -22,10 +22,10 @@ BLOCKS = "block long, payload binary"
 LEVEL = 7
 
 
-def pack(table: pa.Table | pa.RecordBatch) -> bytes:
+def pack(table: pa.Table | pa.RecordBatch, level: int = LEVEL) -> bytes:
     """Compressed bytes of an Arrow table."""
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))
     with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
         writer.write(table)
     return sink.getvalue().to_pybytes()
