@@ -548,11 +548,11 @@ def quarantine_files(spark, sf_dir):
     fields = ["o_orderkey", F.when(form == 3, F.lit("lost")).otherwise(F.col("o_custkey").cast("string")), said]
     line = F.concat_ws(",", *(F.col(f) if isinstance(f, str) else f for f in fields))
     line = F.when(form == 0, F.concat(line, F.lit(",more"))).when(form == 1, F.col("o_orderkey").cast("string")).otherwise(line)
-    lines = table(spark, sf_dir, "orders").select(F.concat(F.lit("part"), F.col("o_orderkey") % 8, F.lit(".csv")).alias("key"), line.alias("line"))
-    files = lines.groupBy("key").agg(
-        F.concat_ws("\n", F.lit("o_orderkey,o_custkey,o_orderpriority"), F.collect_list("line")).alias("content")
-    )
-    write_objects(files, f"{lake.root}/incoming/orders.csv")
+    file = (F.col("o_orderkey") % 8).alias("file")
+    lines = table(spark, sf_dir, "orders").select(file, F.lit(1).alias("order"), line.alias("line"))
+    headers = lines.select("file", F.lit(0), F.lit("o_orderkey,o_custkey,o_orderpriority")).distinct()
+    ordered = lines.union(headers).repartition("file").sortWithinPartitions("file", "order")
+    ordered.select("file", "line").write.partitionBy("file").text(f"{lake.root}/incoming/orders.csv")
     schema = "o_orderkey bigint, o_custkey bigint, o_orderpriority string"
     run_ingestion(
         spark, lake, f"{lake.root}/incoming/orders.csv", name, "r", schema=schema, path=f"{lake.root}/{name}"
@@ -571,6 +571,32 @@ def quarantine_files(spark, sf_dir):
     )
 
 
+# Texts with line breaks, blank lines, quotes and commas, in both dialects.
+_NOTE = """CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority || chr(10) || o_orderstatus
+    WHEN 1 THEN '"' || o_orderpriority || '",' || chr(10) || chr(10) || '"' || o_orderkey
+    WHEN 2 THEN o_orderpriority ELSE 'a, "b' || chr(10) || '7,x,"y' || chr(10) || o_orderstatus || '"' END"""
+
+
+@query(
+    "csv_line_breaks",
+    f"SELECT o_orderkey, o_custkey, o_totalprice, {_NOTE} AS note FROM orders",
+)
+def csv_line_breaks(spark, sf_dir):
+    """CSV whose values hold line breaks, in splits small enough to be cut inside quotes many times."""
+    lake, name = Lake(scratch(spark)), _table_name("notes")
+    path = f"{lake.root}/incoming/notes.csv"
+    notes = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", "o_totalprice", f"{_NOTE} AS note")
+    notes.write.options(header=True, escape='"').csv(path)
+    # The size of splits is a session's setting; that of the caller stays as it is.
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", 64 * 1024)
+    run_ingestion(
+        small, lake, path, name, "r", loader="csv_multiline", path=f"{lake.root}/{name}",
+        schema="o_orderkey bigint, o_custkey bigint, o_totalprice double, note string",
+    )
+    return spark.read.parquet(f"{lake.root}/{name}")
+
+
 @query(
     "custom_loader",
     """SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS price FROM orders""",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lake_ingest.functions.keys import quoted
+from lake_ingest.sources.csv_lines import QUOTE, first_lines, plain_lines, quoted_records
 
 Loader = Callable[[SparkSession, str], DataFrame]
 
@@ -72,62 +73,70 @@ def format_loader(fmt: str, schema: T.StructType | str | None = None, **options)
 
 def load_csv(spark: SparkSession, source_path: str) -> DataFrame:
     """CSV with a header, all columns texts; a malformed record is an error (see ``csv_records``)."""
-    records = csv_records(spark, source_path)
+    return _sound(csv_records(spark, source_path))
+
+
+def load_csv_multiline(spark: SparkSession, source_path: str) -> DataFrame:
+    """As ``load_csv``, for files whose values may hold line breaks and doubled quotes."""
+    return _sound(csv_records(spark, source_path, multiline=True, escape=QUOTE))
+
+
+def _sound(records: DataFrame) -> DataFrame:
+    """The records, an error if one is malformed.
+
+    The test is no function of the row alone, or it would be moved to where records are not yet told from
+    those that a quote opened earlier rules out.
+    """
     message = F.concat(F.lit("malformed CSV record: "), F.col(CORRUPT_RECORD))
-    sound = F.when(F.col(CORRUPT_RECORD).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    sound = F.when(F.col(CORRUPT_RECORD).isNull() | (F.spark_partition_id() < 0), True).otherwise(F.raise_error(message).cast("boolean"))
     return records.where(sound).drop(CORRUPT_RECORD)
 
 
-def csv_records(spark: SparkSession, source_path: str) -> DataFrame:
-    """CSV with a header, all columns texts, and the line of a malformed record in ``_corrupt_record``.
+def csv_records(
+    spark: SparkSession, source_path: str, multiline: bool = False, escape: str = "\\"
+) -> DataFrame:
+    """CSV with a header, all columns texts, and the text of a malformed record in ``_corrupt_record``.
 
-    Malformed is a line with more or fewer fields than the header, or with a quote that does not end on
-    it. Files are read line by line, so large ones are split between tasks; a value with a line break in
-    it is therefore malformed, and set aside rather than cut in two. The first line of each file is its
-    header; the one of the first path counts, and a file with other names is set aside line by line, its
-    header included. Columns get their types by ``conform.convert_types``, without a pass to infer them.
+    Malformed is a record with more or fewer fields than the header, or with a quote that does not end. The
+    first line of each file is its header; that of the first path counts, and a file with other names is set
+    aside record by record, its header included. Columns get their types by ``conform.convert_types``, without
+    a pass to infer them.
+
+    Files are split between tasks. Without ``multiline`` a record is a line, and a value with a line break is
+    set aside rather than cut in two; the lines are read once. With it a quoted value may hold line breaks,
+    which come back as line feeds; the lines are read twice, once to find out where quotes are open. The
+    headers are read from the files' first bytes.
     """
-    lines = (
-        spark.read.text(source_path)
-        .select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_from"))
-        .where(F.length("value") > 0)
-    )
-    firsts = (
-        lines.withColumn("_at", F.monotonically_increasing_id())
-        .groupBy("_path")
-        .agg(F.min_by("value", F.struct("_from", "_at")).alias("_first"))
-    )
-    first = firsts.orderBy("_path").first()
-    if first is None:
+    headers = first_lines(spark, source_path)
+    told = headers.agg(F.min(F.struct("name", "line")).alias("first"), F.count_distinct("line").alias("n")).first()
+    if not told["n"]:
         return spark.createDataFrame([], f"{CORRUPT_RECORD} string")
-    names = next(csv.reader([first["_first"].removeprefix("\ufeff")]))
+    header = told["first"]["line"]
+    names = next(csv.reader([header]))
     fields = [T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)]
     schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+    options = {"columnNameOfCorruptRecord": CORRUPT_RECORD, "mode": "PERMISSIVE", "escape": escape}
 
     def record(text: Column | str) -> Column:
-        return F.from_csv(text, _ddl(schema), {"columnNameOfCorruptRecord": CORRUPT_RECORD, "mode": "PERMISSIVE"})
-
-    same = F.col(f"_header.{CORRUPT_RECORD}").isNull()
-    for field, name in zip(fields, names):
-        same &= F.coalesce(F.col(f"_header.{quoted(field.name)}"), F.lit("")) == name
-    headers = firsts.withColumn("_header", record(F.regexp_replace("_first", "^\ufeff", ""))).select(
-        "_path", "_first", (same | (F.col("_first") == first["_first"])).alias("_same")
-    )
-    headed = lines.join(headers, "_path")
-    # Lines equal to the header cannot be told apart: all but one of each file are records.
-    again = (
-        headed.where("_same AND value = _first")
-        .groupBy("_path", "_first")
-        .agg((F.count("*") - 1).alias("_n"))
-        .where("_n > 0")
-        .withColumn("_step", F.explode(F.expr("sequence(0L, (_n - 1) div 10000)")))
-        .select(F.col("_first").alias("value"), F.explode(F.expr("sequence(1L, least(10000, _n - 10000 * _step))")))
-        .select("value", F.lit(True).alias("_same"))
-    )
-    rows = headed.where("NOT _same OR value <> _first").select("value", "_same").unionByName(again)
-    quotes = "length(value) - length(replace(value, '\"', ''))"
-    parsed = rows.select("value", "_same", record("value").alias("_record")).withColumn(
-        "_bad", F.expr(f"NOT _same OR _record.{CORRUPT_RECORD} IS NOT NULL OR ({quotes}) % 2 = 1")
+        return F.from_csv(text, _ddl(schema), options | {"multiLine": str(multiline).lower()})
+
+    if multiline:
+        lines = quoted_records(spark, source_path, escape).withColumn("_odd", ~F.col("whole"))
+    else:
+        quotes = "length(value) - length(replace(value, '\"', ''))"
+        lines = plain_lines(spark, source_path).withColumn("_odd", F.expr(f"({quotes}) % 2 = 1"))
+    if told["n"] == 1:
+        rows = lines.where("NOT first").withColumn("_same", F.lit(True))
+    else:
+        same = F.col(f"_header.{CORRUPT_RECORD}").isNull()
+        for field, name in zip(fields, names):
+            same &= F.coalesce(F.col(f"_header.{quoted(field.name)}"), F.lit("")) == name
+        agree = headers.withColumn("_header", record("line")).select(
+            "path", (same | (F.col("line") == header)).alias("_same")
+        )
+        rows = lines.join(agree, "path").where("NOT (first AND _same)")
+    parsed = rows.select("value", "_odd", "_same", record("value").alias("_record")).withColumn(
+        "_bad", F.expr(f"NOT _same OR _record.{CORRUPT_RECORD} IS NOT NULL OR _odd")
     )
     kept = [
         F.when(~F.col("_bad"), F.col(f"_record.{quoted(f.name)}")).alias(f.name) for f in fields
@@ -173,6 +182,8 @@ def load_source(
         return format_loader("json", as_texts(schema), **options)(spark, source_path)
     if keep_corrupt and _LOADERS.get(loader) is load_csv:
         return csv_records(spark, source_path)
+    if keep_corrupt and _LOADERS.get(loader) is load_csv_multiline:
+        return csv_records(spark, source_path, multiline=True, escape=QUOTE)
     return get_loader(loader)(spark, source_path)
 
 
@@ -182,6 +193,7 @@ _JSON = (
     register_loader("jsonl", format_loader("json")),
 )
 register_loader("csv", load_csv)
+register_loader("csv_multiline", load_csv_multiline)
 register_loader("text", format_loader("text"))
 register_loader("parquet", format_loader("parquet"))
 register_loader("orc", format_loader("orc"))
