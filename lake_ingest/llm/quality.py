@@ -1,21 +1,23 @@
 """Quality rules: base counts, and the divergence of a text's histograms from those of its language.
 
 Two histograms describe a text: of character classes, and of the words that are common in the corpus.
-Both are compared with those of every language by Jensen-Shannon distance, and the nearest language
-counts, so that a text with a wrong or missing language loses nothing. A text is kept if its base
-counts pass and neither distance is too large; a histogram of too few characters or words is no
+Both are compared by Jensen-Shannon distance with those of its own language and of every major one, and the
+nearest language counts, so that a text with a wrong or missing language loses nothing. A text is kept if its
+base counts pass and neither distance is too large; a histogram of too few characters or words is no
 evidence, and is not compared.
 
-References are sums over all texts with a language, and every language has one; a language of fewer than
-``MIN_LANGUAGE_WORDS`` words is blended with the whole corpus, so that a few texts with a label of their
-own are not their own measure. The common words are those with the highest share summed over the
-languages, and the most frequent ones of each language. References are as many shares as there are
-languages times common words, a row that all tasks read. Texts are read twice, once to count words and
-once for the counts of each text, which are written down; everything after that works on those small
-rows. Nothing but word counts is shuffled, and those are summed before the shuffle.
+Major is a language with a hundredth of all words; there are at most a hundred. Every language has a
+reference, the sums over its texts; that of a language of fewer than ``MIN_LANGUAGE_WORDS`` words is blended with
+the whole corpus, so that a few texts with a label of their own are not their own measure. The common words are
+those with the highest share summed over the major languages, and the most frequent ones of each of these, at
+most 1,264. The major languages' references are thus bounded, and a value that all tasks read; the others are
+joined to the texts of their language, which are few: less than a hundredth of all words each. Texts are read
+twice, once to count words and once for the counts of each text, which are written down; everything after that
+works on those small rows. Nothing but word counts is shuffled, and those are summed before the shuffle.
 
 Defined results: a null or empty text has no words, fails the base rules and is not kept; a null
-language adds to no reference; without any language nothing is compared; repeated rows are judged
+language adds to no reference; without any language nothing is compared, and with many languages of which
+none is major the corpus is compared with all; repeated rows are judged
 alike; an empty table gives an empty result.
 """
 
@@ -48,6 +50,9 @@ SLOTS = 2048
 SEEDS = 128
 # The reference of a language with fewer words is blended with the corpus.
 MIN_LANGUAGE_WORDS = 5000
+# A language is major if it holds one in so many of all words.
+MAJOR_PART = 100
+PARTS = 64
 
 COUNTS = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -142,41 +147,57 @@ def language_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
+def major_languages(counts: DataFrame) -> tuple[dict[str, int], int]:
+    """Languages with a hundredth of all words, which are at most a hundred, with their words; and all words."""
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("words"))
+    whole = sums.agg(F.sum("words").alias("words")).first().words or 0
+    return {r.lang: r.words for r in sums.where(F.col("words") * MAJOR_PART >= whole).collect()}, whole
+
+
 def common_words(counts: DataFrame, k: int = COMMON_WORDS, each: int = LANGUAGE_WORDS) -> DataFrame:
-    """The ``k`` words with the highest share summed over the languages and the first ``each`` of every one.
+    """The ``k`` words with the highest share summed over the major languages and the first ``each`` of each.
 
     ``(word, code, total)``, with the word's number in all languages. A language of few words is filled up
     with words of the corpus.
     """
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("all")).withColumn(
-        "lack", F.greatest(F.lit(0.0), 1 - F.col("all") / MIN_LANGUAGE_WORDS)
-    )
-    whole = sums.agg(F.sum("all").alias("words"), F.sum("lack").alias("lack")).first()
-    held = F.greatest("all", F.lit(MIN_LANGUAGE_WORDS))
-    corpus = F.col("total") / (whole.words or 1)
+    spark = counts.sparkSession
+    majors, whole = major_languages(counts)
+    lacks = {lang: max(0.0, 1 - n / MIN_LANGUAGE_WORDS) for lang, n in majors.items()}
+
+    def of_language(values: dict) -> Column:
+        return F.create_map(*(F.lit(x) for item in values.items() for x in item))[F.col("lang")]
+
+    ours = counts.where(F.col("lang").isin(*majors))
+    held = of_language({lang: max(n, MIN_LANGUAGE_WORDS) for lang, n in majors.items()}) if majors else F.lit(1)
+    corpus = F.col("total") / (whole or 1)
     per_word = saved(
-        counts.join(sums, "lang")
+        counts.withColumn("_held", F.when(F.col("lang").isin(*majors), held))
         .groupBy("word")
-        .agg(F.sum(F.col("n") / held).alias("share"), F.sum("n").alias("total"))
-        .withColumn("share", F.col("share") + corpus * (whole.lack or 0.0)),
+        .agg(F.coalesce(F.sum(F.col("n") / F.col("_held")), F.lit(0.0)).alias("share"), F.sum("n").alias("total"))
+        .withColumn("share", F.col("share") + corpus * (sum(lacks.values()) if majors else 1.0)),
         "per-word",
     )
-    frequent = per_word.orderBy(F.desc("total"), "word").limit(each).select("word")
-    filled = sums.where("lack > 0").select("lang").crossJoin(frequent).select("lang", "word", F.lit(0).alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.round("own", 9).desc(), "word")
-    firsts = (
-        counts.unionByName(filled)
-        .groupBy("lang", "word")
-        .agg(F.sum("n").alias("n"))
-        .join(sums, "lang")
-        .join(per_word.select("word", "total"), "word")
-        .withColumn("own", F.col("n") / held + F.col("lack") * corpus)
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= each)
-        .select("word")
-    )
+    own = ours.withColumn("own", F.col("n") / held)
+    if any(lacks.values()):
+        frequent = per_word.orderBy(F.desc("total"), "word").limit(each).collect()
+        filled = spark.createDataFrame(
+            [(lang, r.word, 0) for lang, lack in lacks.items() if lack for r in frequent], "lang string, word string, n long"
+        )
+        own = (
+            ours.unionByName(filled)
+            .groupBy("lang", "word")
+            .agg(F.sum("n").alias("n"))
+            .join(per_word.select("word", "total"), "word")
+            .withColumn("own", F.col("n") / held + of_language(lacks) * corpus)
+        )
+    # A language may hold most words: its first ones are found among those of each of its parts.
+    order = [F.round("own", 9).desc(), "word"]
+    firsts = own.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(PARTS)))
+    for keys in (["lang", "_part"], ["lang"]):
+        firsts = firsts.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        firsts = firsts.where(F.col("_place") <= each)
     order = [F.round("share", 9).desc(), "word"]
-    chosen = per_word.orderBy(*order).limit(k).select("word").unionByName(firsts).distinct()
+    chosen = per_word.orderBy(*order).limit(k).select("word").unionByName(firsts.select("word")).distinct()
     return per_word.join(chosen, "word").select(
         "word", (F.row_number().over(Window.orderBy(*order)) - 1).alias("code"), "total"
     )
@@ -251,39 +272,45 @@ def word_distance(counts: str, total: str, reference: str) -> str:
 
 
 def references(features: DataFrame, counts: DataFrame, common: DataFrame) -> DataFrame:
-    """One row: ``_references``, of every language with words its shares of character classes and common words.
+    """``(lang, chars, words)``: of every language with words its shares of character classes and common words.
 
-    A small language's shares are blended with the corpus's, the more so the fewer words it has.
+    A small language's shares are blended with the corpus's, the more so the fewer words it has. The row with
+    a null language is the corpus.
     """
     classes = (
         features.where("lang IS NOT NULL")
         .groupBy("lang")
         .agg(F.sum("n_words").alias("all"), F.array(*(F.sum(F.col("_classes")[i]) for i in range(CLASSES))).alias("own"))
         .where(F.col("all") > 0)
-        .withColumn("weight", F.least(F.lit(1.0), F.sqrt(F.col("all") / MIN_LANGUAGE_WORDS)))
     )
-    whole = classes.agg(F.array(*(F.sum(F.col("own")[i]) for i in range(CLASSES))).alias("whole"))
-    chars = classes.crossJoin(F.broadcast(whole)).select(
-        "lang",
-        "weight",
-        F.expr(
-            """zip_with(own, whole, (x, y) -> weight * x / aggregate(own, 0L, (s, z) -> s + z)
-                + (1 - weight) * y / aggregate(whole, 0L, (s, z) -> s + z))"""
-        ).alias("chars"),
-    )
-    used = counts.join(F.broadcast(common), "word").select("lang", "code", "n")
-    every = (
-        chars.select("lang", "weight")
-        .join(used.groupBy("lang").agg(F.sum("n").alias("mine")), "lang", "left")
-        .crossJoin(F.broadcast(common.crossJoin(common.agg(F.sum("total").alias("totals")))))
-        .join(used, ["lang", "code"], "left")
+    # A language's counts of the common words, of which there are at most some thousand.
+    found = (
+        counts.join(common, "word")
+        .groupBy("lang")
+        .agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias("found"), F.sum("n").alias("mine"))
     )
-    share = F.expr(
-        """if(mine IS NULL, total / totals,
-            weight * coalesce(n, 0L) / mine + (1 - weight) * total / totals)"""
+    whole = classes.agg(F.array(*(F.sum(F.col("own")[i]) for i in range(CLASSES))).alias("whole"))
+    totals = common.agg(F.array_sort(F.collect_list(F.struct("code", "total")))["total"].alias("totals"))
+    corpus = totals.select(F.lit(None).cast("string").alias("lang"), F.lit(0).cast("long").alias("all"))
+    shares = "transform({0}, x -> x / aggregate({0}, 0L, (s, z) -> s + z))"
+    return (
+        classes.unionByName(corpus, allowMissingColumns=True)
+        .join(found, "lang", "left")
+        .withColumns({"_whole": whole.scalar(), "_totals": totals.scalar()})
+        .withColumns({"_whole": F.expr(shares.format("_whole")), "_totals": F.expr(shares.format("_totals"))})
+        .withColumn("weight", F.least(F.lit(1.0), F.sqrt(F.col("all") / MIN_LANGUAGE_WORDS)))
+        .select(
+            "lang",
+            F.expr(
+                """transform(_whole, (y, i) -> if(lang IS NULL, y,
+                    weight * own[i] / aggregate(own, 0L, (s, z) -> s + z) + (1 - weight) * y))"""
+            ).alias("chars"),
+            F.expr(
+                """transform(_totals, (y, i) -> if(mine IS NULL, y,
+                    weight * coalesce(try_element_at(found, i), 0L) / mine + (1 - weight) * y))"""
+            ).alias("words"),
+        )
     )
-    shares = every.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("code", share.alias("share"))))["share"].alias("words"))
-    return chars.join(shares, "lang").agg(F.collect_list(F.struct("chars", "words")).alias("_references"))
 
 
 def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> DataFrame:
@@ -310,14 +337,27 @@ def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> Dat
     )
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
 
-    def compare(enough: Column, distance_to: str) -> Column:
-        return F.when(~failed & enough, F.expr(f"array_min(transform(_references, r -> {distance_to}))"))
-
-    nearest = saved(references(features, counts, common), "references")
-    distances = features.crossJoin(F.broadcast(nearest)).withColumns(
+    enough = {"char": F.col("_chars") >= MIN_CHARS, "word": F.col("_common") >= MIN_COMMON}
+    majors, _ = major_languages(counts)
+    known_languages = saved(references(features, counts, common), "references")
+    # The major languages, at most a hundred, or else the corpus: a value that all tasks read.
+    compared = F.col("lang").isin(*majors) if majors else F.col("lang").isNull()
+    nearest = known_languages.where(compared & F.col("chars").isNotNull()).agg(F.collect_list(F.struct("chars", "words")).alias("_references"))
+    # A text of another language is compared with its own too. These are few beside the texts of all.
+    other = F.col("lang").isNotNull() & ~F.col("lang").isin(*majors) & ~failed & (enough["char"] | enough["word"])
+    own = known_languages.where("lang IS NOT NULL").select("lang", F.struct("chars", "words").alias("_own"))
+    other = F.coalesce(other, F.lit(False))
+    beside = features.where(other).join(own, "lang", "left")
+    rows = features.where(~other).withColumn("_own", F.lit(None).cast(own.schema["_own"].dataType)).unionByName(beside)
+
+    def compare(kind: str, of_text) -> Column:
+        every = F.expr(f"array_min(transform(_references, r -> {of_text('r')}))")
+        return F.when(~failed & enough[kind], F.least(every, F.when(F.col("_own").isNotNull(), F.expr(of_text("_own")))))
+
+    distances = rows.withColumn("_references", nearest.scalar()).withColumns(
         {
-            "char_distance": compare(F.col("_chars") >= MIN_CHARS, distance("_classes", "_chars", "r.chars")),
-            "word_distance": compare(F.col("_common") >= MIN_COMMON, word_distance("_counts", "_common", "r.words")),
+            "char_distance": compare("char", lambda r: distance("_classes", "_chars", f"{r}.chars")),
+            "word_distance": compare("word", lambda r: word_distance("_counts", "_common", f"{r}.words")),
         }
     )
     near = F.expr(

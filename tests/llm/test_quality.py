@@ -146,3 +146,21 @@ def test_every_language_has_common_words(spark):
     assert all(r.word_distance is not None for r in got.values() if not r.base_failed)
     assert all(r.kept for i, r in got.items() if i >= 0 and not r.base_failed)
     assert not got[-1].base_failed and got[-1].word_distance > max(r.word_distance or 0 for i, r in got.items() if i >= 0)
+
+
+def test_two_thousand_labels(spark):
+    """No label is major: each text is compared with its own label's reference and with the corpus."""
+    rng = random.Random(6)
+    prose = _language("en", 2000, rng, count=60)
+    noise = " ".join("".join(rng.choice("#$%&|<>;:!?0123456789ABCDEF") for _ in range(7)) for _ in range(60))
+    rows = [(i, t, f"label {i}", "s") for i, t in enumerate(prose)] + [(-1, noise, "label -1", "s"), (-2, noise, None, "s")]
+    got = {r.doc_id: r for r in quality.judge(documents(spark, rows)).collect()}
+    assert all(r.char_distance is not None and r.word_distance is not None for i, r in got.items() if i >= 0 and not r.base_failed)
+    assert all(r.kept for i, r in got.items() if i >= 0 and not r.base_failed)
+    assert [got[i].kept for i in (-1, -2)] == [False] * 2
+
+
+def test_no_text_has_a_language(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    (row,) = quality.judge(documents(spark, [(1, text, None, "s")])).collect()
+    assert (row.char_distance, row.word_distance, row.kept) == (None, None, True)
