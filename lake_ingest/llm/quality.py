@@ -342,7 +342,7 @@ def _judged(docs: DataFrame, carried: list[Column], text: str, lang: str) -> Dat
     known_languages = saved(references(features, counts, common), "references")
     # The major languages, at most a hundred, or else the corpus: a value that all tasks read.
     compared = F.col("lang").isin(*majors) if majors else F.col("lang").isNull()
-    nearest = known_languages.where(compared & F.col("chars").isNotNull()).agg(F.collect_list(F.struct("chars", "words")).alias("_references"))
+    nearest = known_languages.where(compared & F.expr("chars[0] IS NOT NULL")).agg(F.collect_list(F.struct("chars", "words")).alias("_references"))
     # A text of another language is compared with its own too. These are few beside the texts of all.
     other = F.col("lang").isNotNull() & ~F.col("lang").isin(*majors) & ~failed & (enough["char"] | enough["word"])
     own = known_languages.where("lang IS NOT NULL").select("lang", F.struct("chars", "words").alias("_own"))
