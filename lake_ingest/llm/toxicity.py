@@ -10,8 +10,10 @@ windows give a few figures, which a logistic curve, fitted on labelled texts tha
 not seen, turns into a probability.
 
 Only labelled rows outside the held-out fifth are learned from, a bounded sample of them: about
-``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary texts, those with the least hashes of the id. The fit
-is one task; scoring reads every text whole, in tasks of its own, and shuffles nothing.
+``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary texts, those with the least hashes of the id. Spark counts
+their strings and measures the calibrating texts; one task trains the ordinary dictionary, on ``TRAIN_BYTES``
+of windows however long the texts are, and the driver fits the curve to nine figures of each calibrating text.
+Scoring reads every text whole, in tasks of its own, and shuffles nothing.
 
 Defined results: a null or empty text has no windows and the score of a text without toxic strings;
 without labels of both kinds the score is the share of toxic labels, or 0 without any; a text labelled
@@ -22,7 +24,7 @@ result.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lake_ingest.llm.blocks import batch, slices_of, text_bytes
-from lake_ingest.llm.shared import sampled, saved
+from lake_ingest.llm.blocks import Rolling, batch, slices_of, text_bytes
+from lake_ingest.llm.shared import WORD, saved
 
 FIT_TOXIC = 2000
 FIT_ORDINARY = 4000
@@ -48,7 +50,11 @@ SHORTEST, LONGEST = 4, 12
 # A window is a hit of a size if the toxic dictionary saves so many bytes.
 HITS = (2, 3, 4, 6, 8)
 FIGURES = 3 + len(HITS)
-MODEL = "ordinary binary, toxic binary, weights array<double>"
+# Bytes of windows that the ordinary dictionary is trained on.
+TRAIN_BYTES = 4 << 20
+# Strings among which the typical ones are picked, and characters of a word that are looked at together.
+CANDIDATES = 8192
+PIECE = 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -121,45 +127,93 @@ def figures(saved_bytes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(out)), out])
 
 
-def typical_strings(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Strings within words that are frequent in toxic texts and rare in ordinary ones, best first."""
-    counts = (Counter(), Counter())
-    for side, texts in zip(counts, (toxic, ordinary)):
-        words = Counter(w for t in texts for w in set(t.lower().split()))
-        for word, n in words.items():
-            held = b" " + word.encode()
-            found = {
-                held[i : i + size]
-                for size in range(SHORTEST, min(len(held), LONGEST) + 1)
-                for i in range(len(held) - size + 1)
-            }
-            for string in found:
-                side[string] += n
-    least = max(3, len(toxic) // 100)
-    scores = {}
-    for string, n in counts[0].items():
-        odds = math.log((n + 0.5) / len(toxic)) - math.log((counts[1][string] + 0.5) / len(ordinary))
-        if n >= least and odds > 3:
-            scores[string] = n * odds * math.sqrt(len(string))
+def typical_strings(texts: DataFrame, n_toxic: int, n_ordinary: int) -> list[bytes]:
+    """Strings within words that are frequent in toxic texts and rare in ordinary ones, best first.
+
+    ``texts`` are ``(text, toxic)``. Words and strings are counted by Spark; the best ``CANDIDATES`` strings
+    leave it, of which those go that hold or lie in a better one.
+    """
+    pieces = F.regexp_extract_all(F.lower("text"), F.lit(WORD[:-1] + f"{{1,{PIECE}}}"), F.lit(0))
+    words = (
+        texts.select("toxic", F.explode(F.array_distinct(pieces)).alias("word"))
+        .groupBy("word")
+        .agg(F.sum("toxic").alias("n"), F.sum(1 - F.col("toxic")).alias("other"))
+        .select(F.concat(F.lit(" "), "word").alias("word"), "n", "other")
+        .where(F.length("word") >= SHORTEST)
+    )
+    inside = f"""array_distinct(flatten(transform(sequence({SHORTEST}, least(length(word), {LONGEST})),
+        size -> transform(sequence(1, length(word) - size + 1), i -> substring(word, i, size)))))"""
+    odds = F.log((F.col("n") + 0.5) / n_toxic) - F.log((F.col("other") + 0.5) / n_ordinary)
+    found = (
+        words.select("n", "other", F.explode(F.expr(inside)).alias("string"))
+        .groupBy("string")
+        .agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+        .where((F.col("n") >= max(3, n_toxic // 100)) & (odds > 3))
+        .orderBy(F.desc(F.col("n") * odds * F.sqrt(F.octet_length("string"))), "string")
+        .limit(CANDIDATES)
+    )
     chosen: list[bytes] = []
-    for string in sorted(scores, key=lambda s: (-scores[s], s)):
+    for string in (r.string.encode() for r in found.collect()):
         if len(chosen) < STRINGS and not any(string in other or other in string for other in chosen):
             chosen.append(string)
     return chosen
 
 
-def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """Contents of the ordinary and the toxic dictionary, of equal length."""
-    data, starts, ends, _ = windows_of(pa.array(ordinary))
-    samples = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+def _windows(texts: DataFrame, least: int) -> DataFrame:
+    """Windows of the texts whose fingerprint is at most ``least``."""
+
+    def cut(batches):
+        for rows in batches:
+            for some in slices_of(rows, "text", 1 << 20):
+                data, starts, ends, _ = windows_of(some["text"])
+                kept = Rolling(3).of(data, starts, ends) <= np.uint64(least)
+                held = [data[a:b].tobytes() for a, b in zip(starts[kept].tolist(), ends[kept].tolist())]
+                yield batch(window=pa.array(held, pa.binary()))
+
+    return texts.select("text").mapInArrow(cut, "window binary").distinct()
+
+
+def _train(rows: pa.Table) -> pa.Table:
+    samples = sorted(rows["window"].to_pylist())
     try:
         content = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
         content = b"".join(samples)[-DICTIONARY_BYTES:]
-    strings = b"".join(reversed(typical_strings(toxic, ordinary)))
+    return pa.table({"content": pa.array([content], pa.binary())})
+
+
+def dictionaries(texts: DataFrame, n_toxic: int, n_ordinary: int, ordinary_bytes: int) -> tuple[bytes, bytes]:
+    """Contents of the ordinary and the toxic dictionary, of equal length.
+
+    The ordinary one is trained on about ``TRAIN_BYTES`` of distinct windows, those with the least fingerprints.
+    """
+    least = min((1 << 64) - 1, (1 << 64) * TRAIN_BYTES // max(1, ordinary_bytes))
+    samples = _windows(texts.where("toxic = 0"), least).select(F.lit(0).alias("all"), "window")
+    content = samples.groupBy("all").applyInArrow(_train, "content binary").first()
+    content = bytes(content.content) if content else b" "
+    strings = b"".join(reversed(typical_strings(texts, n_toxic, n_ordinary)))
     return content + b" " * len(strings), content + strings
 
 
+def measured(rows: DataFrame, carried: str, contents: tuple[bytes, bytes]) -> DataFrame:
+    """``(carried, x)``: the figures of every row's text."""
+
+    def of(batches):
+        pair = tuple(map(_compressor, contents))
+        for held in batches:
+            for some in slices_of(held, "text", 1 << 20):
+                data, starts, ends, first = windows_of(some["text"])
+                x = figures(savings(data, starts, ends, pair), first)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())
+                )
+                yield pa.RecordBatch.from_arrays([some[carried], lists], names=[carried, "x"])
+
+    plain = rows.select(carried, "text")
+    schema = T.StructType([plain.schema[carried], T.StructField("x", T.ArrayType(T.DoubleType()))])
+    return plain.mapInArrow(of, schema)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights of a logistic regression by Newton's steps."""
     w = np.zeros(x.shape[1])
@@ -174,58 +228,54 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return w
 
 
-def _fit(share: float):
-    """The model from the sampled rows; ``share`` is the share of toxic labels among all."""
-
-    def fit(rows: pa.Table) -> pa.Table:
-        texts, toxic = rows["text"].to_pylist(), np.asarray(rows["toxic"]).astype(bool)
-        place = np.asarray(rows["place"])
-        order = np.lexsort((texts, place))
-        seen: set = set()
-        order = [i for i in order if not ((texts[i], toxic[i]) in seen or seen.add((texts[i], toxic[i])))]
-        build = [i for n, i in enumerate(order) if n % 3]
-        check = [i for n, i in enumerate(order) if n % 3 == 0]
-        sides = [[texts[i] for i in build if toxic[i] == kind] for kind in (True, False)]
-        y = toxic[check]
-        if not (sides[0] and sides[1] and y.any() and not y.all()):
-            prior = min(max(share, 1e-6), 1 - 1e-6)
-            weights = [math.log(prior / (1 - prior)) if len(toxic) else -30.0] + [0.0] * FIGURES
-            contents = (b" ", b" ")
-        else:
-            contents = _dictionaries(*sides)
-            pair = tuple(map(_compressor, contents))
-            data, starts, ends, first = windows_of(pa.array([texts[i] for i in check]))
-            x = figures(savings(data, starts, ends, pair), first)
-            weight = np.where(y, TOXIC_WEIGHT * share / y.mean(), (1 - share) / (1 - y.mean()))
-            weights = logistic(x, y.astype(float), weight).tolist()
-        return pa.table(
-            {
-                "ordinary": pa.array([contents[0]], pa.binary()),
-                "toxic": pa.array([contents[1]], pa.binary()),
-                "weights": pa.array([weights], pa.list_(pa.float64())),
-            }
-        )
-
-    return fit
-
-
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"):
-    """The model, one row ``MODEL``, from a bounded sample of the labelled rows outside the held-out fold."""
-    usable = labels.select(F.col(doc_id).alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).where(
-        ~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)
+class Model(NamedTuple):
+    """Contents of the dictionaries, and weights of the figures."""
+
+    contents: tuple[bytes, bytes]
+    weights: list[float]
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"
+) -> Model:
+    """The model, from a bounded sample of the labelled rows outside the held-out fold.
+
+    A third of the sampled texts, by their hash, calibrates what the others taught.
+    """
+    usable = (
+        labels.select(F.col(doc_id).alias("doc_id"), F.col(toxic).cast("int").alias("toxic"))
+        .where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
+        .distinct()
     )
     total = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    picked = [
-        sampled(usable.where(F.col("toxic") == kind), ["doc_id"], total.get(kind, 0), size)
+    share = total.get(1, 0) / max(1, sum(total.values()))
+    least = {
+        kind: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * size // max(1, total.get(kind, 0)))
         for kind, size in ((1, FIT_TOXIC), (0, FIT_ORDINARY))
-    ]
-    some = saved(picked[0].unionByName(picked[1]), "labels")
+    }
+    some = usable.where(F.xxhash64("doc_id") <= F.when(F.col("toxic") == 1, least[1]).otherwise(least[0]))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = texts.join(some, "doc_id").select(
-        F.lit(0).alias("all"), F.xxhash64("doc_id").alias("place"), "text", "toxic"
+    held = saved(
+        texts.join(some, "doc_id")
+        .withColumn("print", F.md5("text"))
+        .dropDuplicates(["print", "toxic"])
+        .select("text", "toxic", (F.pmod(F.xxhash64("print"), F.lit(3)) == 0).alias("checks")),
+        "labelled",
     )
-    share = total.get(1, 0) / max(1, sum(total.values()))
-    return rows.groupBy("all").applyInArrow(_fit(share), MODEL).first()
+    sizes = held.groupBy("toxic", "checks").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")
+    )
+    n = {(r.toxic, r.checks): (r.n, r.bytes) for r in sizes.collect()}
+    if len(n) < 4:
+        prior = min(max(share, 1e-6), 1 - 1e-6)
+        return Model((b" ", b" "), [math.log(prior / (1 - prior)) if total else -30.0] + [0.0] * FIGURES)
+    contents = dictionaries(held.where("NOT checks"), n[1, False][0], *n[0, False])
+    rows = measured(held.where("checks"), "toxic", contents).collect()
+    # In one order, so that reruns add up alike.
+    rows = sorted((r.toxic, r.x) for r in rows)
+    x, y = np.array([x for _, x in rows]), np.array([t for t, _ in rows], bool)
+    weight = np.where(y, TOXIC_WEIGHT * share / y.mean(), (1 - share) / (1 - y.mean()))
+    return Model(contents, logistic(x, y.astype(float), weight).tolist())
 
 
 def score(
@@ -233,22 +283,13 @@ def score(
 ) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every row."""
     model = fit(docs, labels, doc_id, text, toxic)
-    contents = (bytes(model.ordinary), bytes(model.toxic)) if model else (b" ", b" ")
-    weights = np.array(model.weights if model else [-30.0] + [0.0] * FIGURES)
-
-    def scored(batches):
-        pair = tuple(map(_compressor, contents))
-        for rows in batches:
-            for some in slices_of(rows, "text", 1 << 20):
-                data, starts, ends, first = windows_of(some["text"])
-                x = figures(savings(data, starts, ends, pair), first) @ weights
-                yield batch(doc_id=some["doc_id"], score=pa.array(1 / (1 + np.exp(-np.clip(x, -30, 30)))))
-
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = T.StructType([plain.schema["doc_id"], T.StructField("score", T.DoubleType())])
-    return plain.mapInArrow(scored, schema).select(
+    z = "aggregate(zip_with(x, weights, (a, b) -> a * b), 0D, (s, v) -> s + v)"
+    weighed = measured(plain, "doc_id", model.contents).withColumn("weights", F.array(*map(F.lit, model.weights)))
+    score_ = F.expr(f"1 / (1 + exp(-least(30D, greatest(-30D, {z}))))")
+    return weighed.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        score_.alias("score"),
+        (score_ >= 0.5).cast("int").alias("predicted"),
     )

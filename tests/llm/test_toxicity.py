@@ -68,3 +68,60 @@ def test_without_labels_of_both_kinds(spark, labels):
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     assert [r.predicted for r in toxicity.score(docs, table).collect()] == [0, 0]
     assert toxicity.score(docs.limit(0), table.withColumn("text", F.lit(1))).count() == 0
+
+
+def test_figures_by_brute_force():
+    """Savings are differences of single compressed windows; figures are what a plain loop finds in them."""
+    import math
+
+    import pyarrow as pa
+
+    contents = (b" and the other of" + b" " * 9, b" and the other of blockhead"[:26])
+    pair = tuple(map(toxicity._compressor, contents))
+    texts = ["the other of all and the end of a blockhead said he", "plain words", None, "blockhead " * 30]
+    data, starts, ends, first = toxicity.windows_of(pa.array(texts))
+    gains = toxicity.savings(data, starts, ends, pair)
+    doubled = [bytes(b for c in data[a:z].tobytes() for b in (c, c)) for a, z in zip(starts, ends)]
+    assert gains.tolist() == [len(pair[0].compress(w)) - len(pair[1].compress(w)) for w in doubled]
+    got = toxicity.figures(gains, first)
+    for i in range(len(texts)):
+        mine = gains[first[i] : first[i + 1]].tolist()
+        top = sorted((max(g, 0) for g in mine), reverse=True)
+        want = [1, top[0] if top else 0, sum(top[:3]) / 3]
+        want += [math.log1p(sum(g >= least for g in mine)) for least in toxicity.HITS] + [math.log1p(len(mine))]
+        assert got[i].tolist() == pytest.approx(want)
+
+
+def test_typical_strings_by_brute_force(spark):
+    import math
+    from collections import Counter
+
+    rows, labels = _corpus(300)
+    sides = [[t for (_, t, _, _), (_, _, x) in zip(rows, labels) if x == kind] for kind in (1, 0)]
+    counts = [Counter(), Counter()]
+    for count, texts in zip(counts, sides):
+        for text in texts:
+            for word in set(text.split()):
+                held = " " + word
+                count.update({held[i : i + n] for n in range(4, 13) for i in range(len(held) - n + 1)})
+    scores = {}
+    for string, n in counts[0].items():
+        odds = math.log((n + 0.5) / len(sides[0])) - math.log((counts[1][string] + 0.5) / len(sides[1]))
+        if n >= max(3, len(sides[0]) // 100) and odds > 3:
+            scores[string] = n * odds * math.sqrt(len(string))
+    best = min(scores, key=lambda s: (-scores[s], s))
+    table = spark.createDataFrame([(t, k) for k, side in ((1, sides[0]), (0, sides[1])) for t in side], "text string, toxic int")
+    found = toxicity.typical_strings(table, len(sides[0]), len(sides[1]))
+    assert found[0] == best.encode() and len(found) <= toxicity.STRINGS
+    assert {s.decode() for s in found} <= set(scores)
+    assert all(any(s.decode() in f" {w}" for s in found) for w in RUDE)
+
+
+def test_very_long_labelled_texts(spark):
+    """A few labelled texts of megabytes, one of them a single word, and one repeated many times."""
+    rows, labels = _corpus(300)
+    rows += [(900, "w" * 2_000_000, "en", "s"), (901, "some words here " * 100_000, "en", "s")] + [rows[0]] * 50
+    labels += [(900, 1, 1), (901, 1, 0)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.score(documents(spark, rows), table).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
