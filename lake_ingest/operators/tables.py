@@ -16,13 +16,13 @@ def _folder(table: str, batch_id: str) -> str:
     return f"{table}/{BATCH}={batch_id}"
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
+def write_batch(rows: DataFrame, table: str, batch_id: str, **options: object) -> None:
     """Write one batch's rows to ``table/batch_id=…``.
 
     A batch that is repeated after a failure replaces its own rows and nobody else's, so a retry adds
     no duplicates and an interrupted batch is repaired by running it again.
     """
-    rows.write.mode("overwrite").parquet(_folder(table, batch_id))
+    rows.write.mode("overwrite").options(**options).parquet(_folder(table, batch_id))
 
 
 def drop_batch(spark: SparkSession, table: str, batch_id: str) -> None:
@@ -66,6 +66,21 @@ def batch_folders(spark: SparkSession, table: str) -> list[str]:
     return [str(p.toString()) for p in found if p.getName().startswith(f"{BATCH}=")]
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder but hidden ones, none where it is missing."""
+    files, there = _files(spark, path)
+    if not files.exists(there):
+        return []
+    found = [s.getPath().getName() for s in files.listStatus(there) if s.isDirectory()]
+    return sorted(name for name in found if name[0] not in "_.")
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder."""
+    files, there = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(there) if s.isFile())
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         files, path = _files(spark, folder)

@@ -39,6 +39,10 @@ class Lake:
     def staged(self) -> str:
         return self._table("staged")
 
+    @property
+    def restored(self) -> str:
+        return self._table("restored")
+
     @property
     def rejects(self) -> str:
         return self._table("rejects")

@@ -7,8 +7,10 @@ import re
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +29,20 @@ from lake_ingest.operators.discovery import discover
 from lake_ingest.operators.sink import create_or_append, replace_load
 from lake_ingest.operators.state import load_state
 from lake_ingest.operators.tables import (
+    batch_folders,
     drop_batch,
+    drop_folders,
+    file_names,
     read_batch,
     read_table,
+    subfolders,
     write_batch,
 )
 from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
-from lake_ingest.sources.contents import Reader, raw_contents, table_contents
-from lake_ingest.sources.loaders import CORRUPT_RECORD, as_texts, load_source
+from lake_ingest.sources.contents import Reader, table_contents
+from lake_ingest.sources.loaders import CORRUPT_RECORD, as_texts, load_files, load_source
+from lake_ingest.sources.restored import RESTORED, loader_of, preserved_contents, restore
 
 DISCOVERED = (
     "key string, bucket string, size bigint, etag string, last_modified timestamp, "
@@ -44,6 +51,22 @@ DISCOVERED = (
 REJECTS = "source_key string, rejected_columns array<string>, record string"
 
 
+CARRIED = ("_source_key", "_kind", "_is_row")
+# Loaders that read many files at a time.
+BUILT_IN = ("csv", "csv_multiline", "jsonl", "text", "parquet", "orc")
+
+
+class Staged(NamedTuple):
+    """Staged rows, ``(source_key, status)`` of the sources, and what is to be removed after the run."""
+
+    rows: DataFrame
+    outcomes: DataFrame
+    batches: list[str]
+    # ``(ingestion_id, source_key)`` where the rows are of ingestions.
+    names: DataFrame | None = None
+    folders: list[str] = []
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -100,14 +123,21 @@ def _distribute(
     append: Callable[[DataFrame], None],
     key: str | None = None,
     is_row: str = "true",
+    names: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Good rows to the target, rejects to their control table; the counts."""
+    """Good rows to the target, rejects to their control table; the counts.
+
+    ``names`` are ``(ingestion_id, source_key)`` where the rows' key is the former.
+    """
     counts = staged.where(is_row).agg(
         F.expr("count(*) AS rows"), F.expr(f"count_if(size({REJECTED}) > 0) AS rejected")
     ).first()
     append(staged.where(f"{is_row} AND size({REJECTED}) = 0").select("good.*"))
     source = "CAST(NULL AS string)" if key is None else quoted(key)
     rejects = staged.where(f"size({REJECTED}) > 0").selectExpr(f"{source} AS source_key", REJECTED, "record")
+    if names is not None:
+        rejects = rejects.withColumnRenamed("source_key", "ingestion_id").join(names, "ingestion_id")
+        rejects = rejects.select("source_key", REJECTED, "record")
     write_batch(rejects, lake.rejects, batch)
     return {
         "rows_in": counts["rows"],
@@ -237,7 +267,7 @@ def object_outcomes(staged: DataFrame) -> DataFrame:
         F.expr(f"count_if(_is_row AND size({REJECTED}) = 0) AS rows_written"),
         F.expr(f"count_if(_is_row AND size({REJECTED}) > 0) AS rows_rejected"),
     )
-    done = "kind IN ('object', 'array')"
+    done = "kind IN ('object', 'array', 'rows')"
     return counted.withColumn(
         "status", F.when(F.expr(done), F.lit(SUCCESS_STATUS)).otherwise(F.lit(FAILED_STATUS))
     )
@@ -265,9 +295,15 @@ def ingest_objects(
     target's rows by their ``load_id``, so a run that was stopped anywhere is finished by repeating it.
     """
     read_contents = table_contents(contents) if isinstance(contents, DataFrame) else contents
+
+    def stage(found: DataFrame, earlier: DataFrame, batch: str, fields: T.StructType) -> Staged:
+        rows = parse_objects(read_contents(found), fields)
+        staged = _staged(lake, rows, batch, fields, null_tokens, CARRIED)
+        return Staged(staged, object_outcomes(staged), [batch])
+
     return _ingest(
-        spark, lake, "ingest", lambda earlier: discover(listing, earlier), read_contents, target_table, run_id,
-        _schema(schema), null_tokens, skip_if_done, options,
+        spark, lake, "ingest", lambda earlier: discover(listing, earlier), stage, target_table, run_id,
+        _schema(schema), skip_if_done, options,
     )
 
 
@@ -280,12 +316,16 @@ def run_saved(
     *,
     null_tokens: Sequence[str] = NULL_TOKENS,
     skip_if_done: bool = False,
+    loader: Column | None = None,
     **options: str,
 ) -> DataFrame:
     """Ingest all sources saved for a target table from their preserved bytes, and return the run's log row.
 
-    These are the ``artifacts_saved`` records, which discovery passes over. All of them are one job; a
-    source becomes ``success`` or, where its copy is no JSON document or not the bytes noted, ``failed``.
+    These are the ``artifacts_saved`` records, which discovery passes over. A source's loader goes by the ending
+    of its key, JSON without a known one, or is told by ``loader``, a column over ``source_key``. JSON documents
+    are one load, and so are all sources of another built-in loader that look alike; those of a loader of
+    one's own are loaded one by one, for that takes one path. A source becomes ``success`` or, where its
+    copy cannot be loaded or is not the bytes noted, ``failed``; the others go on.
     """
 
     def saved(earlier: DataFrame) -> DataFrame:
@@ -300,11 +340,90 @@ def run_saved(
             F.col("status").alias("previous_status"),
         )
 
-    batch = batch_name("saved", run_id, target_table)
-    reader = raw_contents(lambda: read_table(spark, lake.raw, schemas.RAW_PARTS), lambda: load_state(spark, lake.state, batch))
+    def stage(found: DataFrame, earlier: DataFrame, batch: str, fields: T.StructType) -> Staged:
+        return _stage_saved(lake, found, earlier, batch, fields, null_tokens, loader)
+
     return _ingest(
-        spark, lake, "saved", saved, reader, target_table, run_id, _schema(schema), null_tokens, skip_if_done,
-        options,
+        spark, lake, "saved", saved, stage, target_table, run_id, _schema(schema), skip_if_done, options
+    )
+
+
+def _stage_saved(
+    lake: Lake,
+    found: DataFrame,
+    earlier: DataFrame,
+    batch: str,
+    fields: T.StructType,
+    null_tokens: Sequence[str],
+    loader: Column | None,
+) -> Staged:
+    """Stage the preserved copies of the found sources, a batch of rows per load."""
+    spark, folder = found.sparkSession, f"{lake.restored}/files/{batch}"
+    told = loader if loader is not None else loader_of("source_key")
+    ids = earlier.select("source_key", F.col("proposal_id").alias("ingestion_id"))
+    waiting = found.select(F.col("key").alias("source_key"), "etag", "size").join(ids, "source_key")
+    waiting = waiting.select("ingestion_id", "source_key", told.alias("loader"), "etag", "size")
+    batches: list[str] = []
+    staged: list[DataFrame] = []
+    failed = []
+
+    def stage(rows: DataFrame) -> None:
+        name = f"{batch}.{len(batches)}"
+        batches.append(name)
+        staged.append(_staged(lake, rows, name, fields, null_tokens, CARRIED))
+
+    def load(of_loader: str, layout: str, source: str, rows: Callable[[], DataFrame]) -> None:
+        """Stage the rows of one load; what fails is noted, for its sources alone."""
+        try:
+            stage(check_dataset(rows()))
+        except Exception as exc:
+            batches.pop()
+            failed.append((of_loader, layout, source, str(exc)[:1000]))
+
+    if batch_folders(spark, lake.raw):
+        raw = read_table(spark, lake.raw, schemas.RAW_PARTS)
+        documents = preserved_contents(raw, waiting.where("loader = 'json'"))
+        stage(parse_objects(documents, fields))
+        drop_folders(spark, [folder])
+        write_batch(restore(raw, waiting.where("loader <> 'json'"), folder), lake.restored, batch)
+        for name in subfolders(spark, folder):
+            for layout in subfolders(spark, f"{folder}/{name}"):
+                place = f"{folder}/{name}/{layout}"
+                rows = F.col("_source_key"), F.lit("rows").alias("_kind"), F.lit(True).alias("_is_row"), F.col("*")
+
+                def alike(place=place, name=name, rows=rows):
+                    read = load_files(spark, place, name, fields, "_source_key")
+                    return read.select(*rows[:3], *(quoted(c) for c in read.columns if c != "_source_key"))
+
+                def single(source, place=place, name=name, rows=rows):
+                    read = load_source(spark, f"{place}/{source}", name, fields, keep_corrupt=True)
+                    return read.select(F.lit(source).alias("_source_key"), *rows[1:])
+
+                if name in BUILT_IN:
+                    load(name, layout, "", alike)
+                else:
+                    for source in file_names(spark, place):
+                        load(name, layout, source, lambda source=source: single(source))
+        restored = read_batch(spark, lake.restored, batch, RESTORED)
+    else:
+        restored = spark.createDataFrame([], RESTORED)
+        stage(parse_objects(spark.createDataFrame([], "key string, content binary, error string"), fields))
+    rows = reduce(DataFrame.unionByName, staged)
+    broken = spark.createDataFrame(failed, "loader string, layout string, source string, message string")
+    alike = broken.where("source = ''").select("loader", "layout", "message")
+    single = broken.where("source <> ''").select(F.col("source").alias("ingestion_id"), F.col("message").alias("_own"))
+    # A file that was written and loaded, and has no row, is done as well.
+    loaded = (
+        restored.join(alike, ["loader", "layout"], "left")
+        .join(single, "ingestion_id", "left")
+        .select("ingestion_id", F.coalesce("error", "message", "_own").isNull().alias("_loaded"))
+    )
+    outcomes = object_outcomes(rows).withColumnRenamed("source_key", "ingestion_id")
+    status = F.coalesce("status", F.when(F.col("_loaded"), F.lit(SUCCESS_STATUS)).otherwise(F.lit(FAILED_STATUS)))
+    outcomes = waiting.join(loaded, "ingestion_id", "left").join(outcomes, "ingestion_id", "left")
+    return Staged(
+        rows, outcomes.select("source_key", status.alias("status")), batches,
+        waiting.select("ingestion_id", "source_key"), [folder],
     )
 
 
@@ -313,11 +432,10 @@ def _ingest(
     lake: Lake,
     kind: str,
     find: Callable[[DataFrame], DataFrame],
-    read_contents: Reader,
+    stage: Callable[[DataFrame, DataFrame, str, T.StructType], Staged],
     target_table: str,
     run_id: str,
     fields: T.StructType,
-    null_tokens: Sequence[str],
     skip_if_done: bool,
     options: dict[str, str],
 ) -> DataFrame:
@@ -335,18 +453,18 @@ def _ingest(
         found = find(earlier).withColumn("last_modified", F.col("last_modified").cast("timestamp"))
         write_batch(found, lake.discovered, batch)
         found = read_batch(spark, lake.discovered, batch, DISCOVERED)
-        rows = parse_objects(read_contents(found), fields)
-        carried = ("_source_key", "_kind", "_is_row")
-        staged = _staged(lake, rows, batch, fields, null_tokens, carried)
-        counts = _distribute(lake, staged, batch, append, "_source_key", "_is_row")
+        staged = stage(found, earlier, batch, fields)
+        counts = _distribute(lake, staged.rows, batch, append, "_source_key", "_is_row", staged.names)
         finished = _now()
-        records = _object_records(found, object_outcomes(staged), earlier, target_table, run_id, finished)
+        records = _object_records(found, staged.outcomes, earlier, target_table, run_id, finished)
         write_batch(records, lake.state, batch)
     log = runlog.run_row(
         spark, run_id, target_table, runlog.SUCCEEDED, started, finished, **counts
     )
     write_batch(log, lake.runs, batch)
-    drop_batch(spark, lake.staged, batch)
+    for name in staged.batches:
+        drop_batch(spark, lake.staged, name)
+    drop_folders(spark, staged.folders)
     return read_batch(spark, lake.runs, batch, schemas.RUN_LOG)
 
 

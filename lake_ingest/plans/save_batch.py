@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lake_ingest import schemas
-from lake_ingest.constants import RAW_PREFIX, SAVED_STATUS
+from lake_ingest.constants import PART_BYTES, RAW_PREFIX, SAVED_STATUS
 from lake_ingest.functions.keys import artifact_map, object_name, raw_location, text_literal
 from lake_ingest.functions.text import has_text
 from lake_ingest.operators.artifacts import artifact_rows, expected_keys, ingestion_id
@@ -146,6 +146,8 @@ def save_batch(
         read_parts(saves.select("ingestion_id", "source_key", "raw_location", "size")),
         lake.raw,
         batch,
+        # A row group is read whole, so it holds little more than a part.
+        **{"parquet.block.size": PART_BYTES},
     )
     write_batch(artifact_rows(saves, lake.raw_prefix), lake.artifacts, batch)
     write_batch(not_executed_rows(saves, processed_at), lake.runs, batch)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lake_ingest.constants import ERR_UNREADABLE
-from lake_ingest.operators.listing import combine_part_hashes, spread
+from lake_ingest.operators.listing import spread
 from lake_ingest.sources.store import join, open_store
 
 Reader = Callable[[DataFrame], DataFrame]
@@ -22,7 +22,10 @@ Reader = Callable[[DataFrame], DataFrame]
 CONTENTS = "key string, content binary, error string"
 # Bytes read by one task, and handed back in one Arrow batch.
 TASK_BYTES = 128 * 1024 * 1024
-_BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 16 * 1024 * 1024
+# The most that a row, and an Arrow batch of one, can hold.
+MAX_CONTENT = (1 << 31) - (1 << 20)
+TOO_LARGE = f"{ERR_UNREADABLE}: too large for one row"
 
 
 def file_contents(root: str, tasks: int | None = None) -> Reader:
@@ -35,13 +38,15 @@ def file_contents(root: str, tasks: int | None = None) -> Reader:
             for key in batch["key"].to_pylist():
                 content = error = None
                 try:
-                    with store.open_input_stream(join(base, key)) as file:
+                    with store.open_input_file(join(base, key)) as file:
+                        if file.size() > MAX_CONTENT:
+                            raise OSError(TOO_LARGE)
                         content = file.read()
                 except OSError as exc:
-                    error = f"{ERR_UNREADABLE}: {exc}"
+                    error = str(exc) if str(exc) == TOO_LARGE else f"{ERR_UNREADABLE}: {exc}"
                 rows.append({"key": key, "content": content, "error": error})
                 held += len(content or b"")
-                if held >= _BATCH_BYTES:
+                if held >= BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows, held = [], 0
             if rows:
@@ -58,42 +63,6 @@ def file_contents(root: str, tasks: int | None = None) -> Reader:
     return contents
 
 
-def raw_contents(raw: Callable[[], DataFrame], state: Callable[[], DataFrame]) -> Reader:
-    """Reader of preserved copies: the parts that the state's record points to, put together.
-
-    The bytes must have the record's fingerprint; what differs, or lacks a part, is an error.
-    """
-
-    def read(found: DataFrame) -> DataFrame:
-        kept = state().select("source_key", F.col("proposal_id").alias("ingestion_id"), "etag", "source_size")
-        wanted = found.select(F.col("key").alias("source_key")).join(kept, "source_key")
-        parts = raw().drop("source_key").join(wanted, "ingestion_id")
-        prints = combine_part_hashes(parts, ["source_key"]).select("source_key", F.col("etag").alias("_stored"))
-        ordered = "transform(array_sort(collect_list(named_struct('at', part, 'of', content))), p -> p.of)"
-        whole = (
-            parts.groupBy("source_key", "etag", "source_size")
-            .agg(F.expr(ordered).alias("_parts"))
-            .join(prints, "source_key")
-            .withColumn(
-                "content",
-                F.expr("if(size(_parts) = 1, _parts[0], aggregate(_parts, CAST('' AS binary), (s, p) -> concat(s, p)))"),
-            )
-            .withColumn(
-                "intact",
-                F.expr("octet_length(content) = source_size AND coalesce(_stored = etag, false)"),
-            )
-        )
-        spoilt = F.lit(f"{ERR_UNREADABLE}: the preserved bytes are not those of the source")
-        intact = F.coalesce("intact", F.lit(False))
-        return (
-            found.select(F.col("key"))
-            .join(whole.withColumnRenamed("source_key", "key"), "key", "left")
-            .select("key", F.when(intact, F.col("content")).alias("content"), F.when(~intact, spoilt).alias("error"))
-        )
-
-    return read
-
-
 def table_contents(contents: DataFrame) -> Reader:
     """Reader of objects whose content is a column of a table ``(key, content)``.
 

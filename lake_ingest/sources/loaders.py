@@ -93,7 +93,7 @@ def _sound(records: DataFrame) -> DataFrame:
 
 
 def csv_records(
-    spark: SparkSession, source_path: str, multiline: bool = False, escape: str = "\\"
+    spark: SparkSession, source_path: str, multiline: bool = False, escape: str = "\\", file_name: str | None = None
 ) -> DataFrame:
     """CSV with a header, all columns texts, and the text of a malformed record in ``_corrupt_record``.
 
@@ -105,7 +105,7 @@ def csv_records(
     Files are split between tasks. Without ``multiline`` a record is a line, and a value with a line break is
     set aside rather than cut in two; the lines are read once. With it a quoted value may hold line breaks,
     which come back as line feeds; the lines are read twice, once to find out where quotes are open. The
-    headers are read from the files' first bytes.
+    headers are read from the files' first bytes. ``file_name`` names a column for the name of a record's file.
     """
     headers = first_lines(spark, source_path)
     told = headers.agg(F.min(F.struct("name", "line")).alias("first"), F.count_distinct("line").alias("n")).first()
@@ -135,15 +135,41 @@ def csv_records(
             "path", (same | (F.col("line") == header)).alias("_same")
         )
         rows = lines.join(agree, "path").where("NOT (first AND _same)")
-    parsed = rows.select("value", "_odd", "_same", record("value").alias("_record")).withColumn(
+    of_file = []
+    if file_name is not None:
+        named = headers.select("path", F.element_at(F.split("name", "/"), -1).alias("_name"))
+        rows, of_file = rows.join(named, "path"), [F.col("_name").alias(file_name)]
+    parsed = rows.select("value", "_odd", "_same", *of_file, record("value").alias("_record")).withColumn(
         "_bad", F.expr(f"NOT _same OR _record.{CORRUPT_RECORD} IS NOT NULL OR _odd")
     )
     kept = [
         F.when(~F.col("_bad"), F.col(f"_record.{quoted(f.name)}")).alias(f.name) for f in fields
     ]
+    kept += [F.col(file_name)] if file_name is not None else []
     return parsed.select(*kept, F.when(F.col("_bad"), F.col("value")).alias(CORRUPT_RECORD))
 
 
+def load_files(
+    spark: SparkSession, folder: str, loader: str, schema: T.StructType, file_name: str
+) -> DataFrame | None:
+    """All files of a folder, which look alike, by one of the built-in loaders; a column says which file a row is of.
+
+    None for other loaders, which read one source at a time.
+    """
+    known = _LOADERS.get(loader)
+    if known in (load_csv, load_csv_multiline):
+        multiline = {"multiline": True, "escape": QUOTE} if known is load_csv_multiline else {}
+        return csv_records(spark, folder, file_name=file_name, **multiline)
+    if known is _JSON[1]:
+        record = T.StructType([*as_texts(schema), T.StructField(CORRUPT_RECORD, T.StringType())])
+        read = spark.read.schema(record).json(folder)
+    elif known in _FILES:
+        read = spark.read.format(_FILES[known]).load(folder)
+    else:
+        return None
+    return read.select("*", F.col("_metadata.file_name").alias(file_name))
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
 
@@ -194,6 +220,4 @@ _JSON = (
 )
 register_loader("csv", load_csv)
 register_loader("csv_multiline", load_csv_multiline)
-register_loader("text", format_loader("text"))
-register_loader("parquet", format_loader("parquet"))
-register_loader("orc", format_loader("orc"))
+_FILES = {register_loader(name, format_loader(name)): name for name in ("text", "parquet", "orc")}
