@@ -253,7 +253,10 @@ def fit(
         kind: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * size // max(1, total.get(kind, 0)))
         for kind, size in ((1, FIT_TOXIC), (0, FIT_ORDINARY))
     }
-    some = usable.where(F.xxhash64("doc_id") <= F.when(F.col("toxic") == 1, least[1]).otherwise(least[0]))
+    # Written first: Spark then sees how few they are, and does not shuffle the texts to find theirs.
+    some = saved(
+        usable.where(F.xxhash64("doc_id") <= F.when(F.col("toxic") == 1, least[1]).otherwise(least[0])), "labels"
+    )
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     held = saved(
         texts.join(some, "doc_id")
