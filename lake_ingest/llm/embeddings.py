@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lake_ingest.llm.blocks import batch, pack, unpack
@@ -31,6 +31,8 @@ from lake_ingest.llm.shared import saved
 
 THRESHOLD = 0.93
 TILE = 2048
+# Slices of the second axis along which tiles are filled.
+BINS = 4096
 # Axes accumulated in each step before the exact cosine.
 STEPS = (8, 24)
 # Leading axes whose extents are compared between tiles.
@@ -111,18 +113,24 @@ def axes(classes: DataFrame) -> dict[int, np.ndarray]:
 def tiles_of(classes: DataFrame, rotations: dict[int, np.ndarray], threshold: float, tile: int) -> DataFrame:
     """``(tile, label, dim, cell, low, high, payload)``: packed neighbours with their extents.
 
-    Cells are slices of the leading axis so wide that only neighbouring ones can hold a link.
+    Cells are slices of the leading axis so wide that only neighbouring ones can hold a link. Within a cell
+    tiles follow the second axis, so that those far apart on it are ruled out by their extents.
     """
     width = float(np.sqrt(2 - 2 * threshold)) + MARGIN
 
     def places(batches):
         for rows in batches:
             dims, cells = np.asarray(rows["dim"]), np.zeros(len(rows), np.int32)
+            bins = np.zeros(len(rows), np.int32)
             for dim in np.unique(dims).tolist():
                 here = dims == dim
                 x = unit(_vectors(rows["vector"].filter(pa.array(here)), dim))
                 cells[here] = np.floor(x @ rotations[dim][:, 0] / width)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cells)], names=[*rows.schema.names, "cell"])
+                if dim > 1:
+                    bins[here] = np.floor((x @ rotations[dim][:, 1] + 1) / 2 * BINS)
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(cells), pa.array(bins)], names=[*rows.schema.names, "cell", "bin"]
+            )
 
     def packed(rows: pa.Table) -> pa.Table:
         dim = rows["dim"][0].as_py()
@@ -144,12 +152,26 @@ def tiles_of(classes: DataFrame, rotations: dict[int, np.ndarray], threshold: fl
 
     placed = saved(
         classes.select("id", "copies", "label", "dim", "vector").mapInArrow(
-            places, "id long, copies long, label string, dim int, vector array<double>, cell int"
+            places, "id long, copies long, label string, dim int, vector array<double>, cell int, bin int"
         ),
         "placed",
     )
-    parts = placed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / tile).alias("parts"))
-    dealt = placed.join(parts, ["label", "dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    # Bins along the second axis in order fill the cell's tiles; one that fills several is dealt among them.
+    cell = ["label", "dim", "cell"]
+    upto = F.sum("n").over(Window.partitionBy(*cell).orderBy("bin"))
+    parts = (
+        placed.groupBy(*cell, "bin")
+        .agg(F.count("*").alias("n"))
+        .withColumn("_upto", upto)
+        .select(
+            *cell,
+            "bin",
+            F.floor((F.col("_upto") - F.col("n")) / tile).alias("_first"),
+            F.floor((F.col("_upto") - 1) / tile).alias("_last"),
+        )
+    )
+    among = F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_last") - F.col("_first") + 1)
+    dealt = placed.join(parts, [*cell, "bin"]).withColumn("part", among).drop("_first", "_last", "bin")
     grouped = dealt.groupBy("label", "dim", "cell", "part").applyInArrow(
         packed,
         "label string, dim int, cell int, part long, low array<double>, high array<double>, payload binary",
