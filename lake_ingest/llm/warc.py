@@ -38,6 +38,8 @@ from lake_ingest.sources.store import join, open_store
 
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 256 << 20
+# Payload bytes of a shard.
+SHARD_BYTES = 32 << 20
 # About so many rows give the shards' bounds, whatever the size of the table.
 BOUND_ROWS = 20_000
 LEVEL = 6
@@ -209,13 +211,17 @@ class ShardFiles:
             (self.shard, len(self.done), self.name, self.records, self.bytes, self.hash.hexdigest())
         )
 
+    def _sha256(self, path: str) -> str:
+        with self.store.open_input_stream(path, compression=None) as file:
+            return hashlib.file_digest(file, "sha256").hexdigest()
+
     def commit(self) -> list[tuple]:
         if self.file is not None:
             self._close()
-        for _, _, name, _, size, _ in self.done:
+        for _, _, name, _, size, sha256 in self.done:
             final = join(self.base, name)
             there = self.store.get_file_info(final)
-            if there.type == fs.FileType.File and there.size == size:
+            if there.type == fs.FileType.File and there.size == size and self._sha256(final) == sha256:
                 self.store.delete_file(self._temporary(name))
             else:
                 self.store.move(self._temporary(name), final)
@@ -227,10 +233,13 @@ def write_archives(
 ) -> DataFrame:
     """Write the rows of ``records`` below ``root``; the committed manifest.
 
-    ``shards`` defaults to the session's number of shuffle partitions.
+    ``shards`` defaults to one for every ``SHARD_BYTES`` of payloads, so that the archives are the same on any
+    cluster.
     """
     spark = rows.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        total = rows.agg(F.sum("payload_bytes")).first()[0] or 0
+        shards = max(1, -(-total // SHARD_BYTES))
     bounds = shard_bounds(rows, shards)
     store, base = open_store(root)
     store.create_dir(base, recursive=True)
@@ -309,6 +318,19 @@ def parse(stream) -> Iterator[dict]:
         }
 
 
+class Told:
+    """A stream that notes the number and the hash of the bytes read from it."""
+
+    def __init__(self, raw):
+        self.raw, self.bytes, self.hash = raw, 0, hashlib.sha256()
+
+    def read(self, n: int = -1) -> bytes:
+        content = self.raw.read(None if n < 0 else n)
+        self.bytes += len(content)
+        self.hash.update(content)
+        return content
+
+
 def read_archives(spark: SparkSession, root: str, batch_bytes: int = 8 << 20) -> DataFrame:
     """One row per page record of the archives in the committed manifest; see ``RECORDS``."""
     names = [f.split()[0] for f in RECORDS.split(", ")]
@@ -322,18 +344,21 @@ def read_archives(spark: SparkSession, root: str, batch_bytes: int = 8 << 20) ->
     def read(batches):
         store, base = open_store(root)
         for batch in batches:
-            for name in batch["file"].to_pylist():
+            for name, n_bytes, sha256 in zip(*(batch[c].to_pylist() for c in ("file", "bytes", "sha256"))):
                 rows, size = [], 0
-                with store.open_input_stream(join(base, name), compression=None) as raw, gzip.open(raw) as stream:
-                    for record in parse(stream):
+                with store.open_input_stream(join(base, name), compression=None) as raw:
+                    told = Told(raw)
+                    for record in parse(gzip.open(told)):
                         rows.append(record | {"file": name})
                         size += len(record["payload"] or b"") + 200
                         if size >= batch_bytes:
                             yield batch_of(rows)
                             rows, size = [], 0
+                if (told.bytes, told.hash.hexdigest()) != (n_bytes, sha256):
+                    raise ValueError(f"{name}: not the file that the manifest names")
                 if rows:
                     yield batch_of(rows)
 
     manifest = read_manifest(spark, root)
     tasks = max(1, manifest.count())
-    return manifest.select("file").repartitionByRange(tasks, "file").mapInArrow(read, RECORDS)
+    return manifest.select("file", "bytes", "sha256").repartitionByRange(tasks, "file").mapInArrow(read, RECORDS)
