@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lake_ingest.llm import bpe, mixing, near, pii, quality
+from lake_ingest.llm.queries import CHECK_KEY
 from lake_ingest.llm.shared import saved
 
 
@@ -31,7 +32,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their personal data replaced by surrogates."""
-    return _documents(pii.surrogates(_documents(docs)))
+    return _documents(pii.surrogates(_documents(docs), key=CHECK_KEY))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

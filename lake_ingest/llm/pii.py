@@ -31,9 +31,10 @@ from pyspark.sql import types as T
 from lake_ingest.llm.blocks import batch
 from lake_ingest.llm.shared import saved
 
-DEFAULT_KEY = b"replace this key"
-# Draws after which letters are added to make room where too few values have the format.
+# Draws after which letters are added to make room where too few values have the format, and after which the
+# formats that take no letters are exhausted.
 PATIENCE = 6
+MOST_DRAWS = 60
 DIGITS = "0123456789"
 
 # Titles by the gender they tell, and given names by gender and script.
@@ -209,7 +210,10 @@ def _found(batches):
 
 
 def assigned(values: DataFrame, key: bytes) -> DataFrame:
-    """``(kind, value, surrogate)`` for different ``(kind, value)``: no two alike, and none a real value."""
+    """``(kind, value, surrogate)`` for different ``(kind, value)``: no two alike, and none a real value.
+
+    An error after ``MOST_DRAWS`` draws: then the values of a kind are about as many as its format has.
+    """
 
     def draw(attempt: int):
         def drawn(batches):
@@ -232,8 +236,11 @@ def assigned(values: DataFrame, key: bytes) -> DataFrame:
         done = good if done is None else done.unionByName(good)
         todo = made.select("kind", "value").join(good.select("kind", "value"), ["kind", "value"], "left_anti")
         attempt += 1
-        if todo.isEmpty():
+        left = todo.first()
+        if left is None:
             return done
+        if attempt == MOST_DRAWS:
+            raise ValueError(f"too many values of kind {left.kind!r} for surrogates of their format")
 
 
 def _replaced(batches):
@@ -251,8 +258,11 @@ def _replaced(batches):
         yield batch(_row=row, _new=pa.array(texts, pa.string()), n_entities=pa.array(counts, pa.int64()))
 
 
-def surrogates(docs: DataFrame, text: str = "text", key: bytes = DEFAULT_KEY) -> DataFrame:
-    """The rows of ``docs`` with the text replaced, and ``n_entities``, the number of replacements."""
+def surrogates(docs: DataFrame, text: str = "text", *, key: bytes) -> DataFrame:
+    """The rows of ``docs`` with the text replaced, and ``n_entities``, the number of replacements.
+
+    Whoever has ``key`` can find values by trial, so it is the caller's to choose and keep.
+    """
     columns = docs.columns
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"), F.col(text).alias("_text"))
     may = F.coalesce(F.col("_text").rlike(MAY_HOLD), F.lit(False))
