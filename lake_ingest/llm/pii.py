@@ -22,6 +22,7 @@ import hashlib
 import hmac
 import re
 from collections.abc import Iterator
+from secrets import token_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -258,11 +259,13 @@ def _replaced(batches):
         yield batch(_row=row, _new=pa.array(texts, pa.string()), n_entities=pa.array(counts, pa.int64()))
 
 
-def surrogates(docs: DataFrame, text: str = "text", *, key: bytes) -> DataFrame:
+def surrogates(docs: DataFrame, text: str = "text", *, key: bytes | None = None) -> DataFrame:
     """The rows of ``docs`` with the text replaced, and ``n_entities``, the number of replacements.
 
-    Whoever has ``key`` can find values by trial, so it is the caller's to choose and keep.
+    Whoever has ``key`` can find values by trial, so it is the caller's to choose and keep; without one a key
+    is drawn for this call alone, and the same value gets another surrogate in the next.
     """
+    key = key or token_bytes(32)
     columns = docs.columns
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"), F.col(text).alias("_text"))
     may = F.coalesce(F.col("_text").rlike(MAY_HOLD), F.lit(False))
