@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lake_ingest.checks.registry import query, table
-from lake_ingest.operators import conform, profiling
+from lake_ingest.checks.registry import query, scratch, table
+from lake_ingest.operators import conform, profiling, sketches
 
 LINEITEM = (
     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
@@ -238,3 +238,61 @@ def expectations(spark, sf_dir):
         profiling.Expectation("tax", "nullif(l_tax, 0) > 0.02"),
     ]
     return profiling.check_expectations(table(spark, sf_dir, "lineitem"), rules)
+
+
+# Columns of order lines whose profile is merged from batches.
+_MERGED = ("l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+@query(
+    "merged_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS rows, count({c}) AS non_null,
+            {f"strftime(min({c}), '%Y-%m-%d %H:%M:%S')" if c == "l_shipdate" else f"CAST(min({c}) AS DOUBLE)::VARCHAR" if c != "l_returnflag" else f"min({c})"} AS min_value,
+            TRUE AS distinct_within, TRUE AS quartiles_within, TRUE AS frequent_within FROM lineitem"""
+        for c in _MERGED
+    ),
+)
+def merged_profile(spark, sf_dir):
+    """Profile of order lines from the sketches of seven batches, within the sketches' bounds of the exact figures."""
+    lines, place = table(spark, sf_dir, "lineitem").select("l_orderkey", *_MERGED), f"{scratch(spark)}/sketches"
+    for batch in range(7):
+        sketches.store_sketches(lines.where(F.col("l_orderkey") % 7 == batch), place, f"b{batch}", _MERGED)
+    found = sketches.table_profile(spark, place, 1)
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"), (F.col(c).cast("double") if c[2:] in ("partkey", "quantity", "extendedprice") else F.lit(None).cast("double")).alias("x")) for c in _MERGED)))
+    values = lines.select(cells.alias("c")).select("c.*").groupBy("column_name", "v", "x").agg(F.count("*").alias("n"))
+    # Of every value how many rows lie below it: where an estimated quartile belongs.
+    compared = values.join(found.select("column_name", F.posexplode_outer("quantiles").alias("at", "q")), "column_name")
+    ranks = compared.groupBy("column_name", "at").agg(
+        F.sum(F.when(F.col("x") < F.col("q"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("x") <= F.col("q"), F.col("n")).otherwise(0)).alias("upto"),
+        F.sum("n").alias("n"),
+    )
+    want = (F.col("at") + 1) * 0.25 * F.col("n")
+    quartiles = ranks.groupBy("column_name").agg(
+        F.bool_and(
+            F.col("at").isNull() | ((F.col("below") <= want + 0.03 * F.col("n")) & (F.col("upto") >= want - 0.03 * F.col("n")))
+        ).alias("quartiles_within")
+    )
+    exact = values.groupBy("column_name").agg(F.count("v").alias("distinct"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    item = F.get("frequent", F.lit(0))
+    top = values.select("column_name", F.col("v").alias("_v"), F.col("n").alias("_n"))
+    return (
+        found.withColumns({"_v": item["item"], "_count": item["count"]})
+        .join(exact, "column_name")
+        .join(quartiles, "column_name")
+        .join(top, ["column_name", "_v"], "left")
+        .select(
+            "column_name",
+            "rows",
+            "non_null",
+            "min_value",
+            (F.abs(F.col("distinct_count") - F.col("distinct")) <= F.lit(0.06) * F.col("distinct")).alias("distinct_within"),
+            "quartiles_within",
+            # A tracked value's count is at most a share of the rows off, and none is more frequent by more.
+            F.coalesce(
+                (F.col("_n") >= F.col("most") - 0.01 * F.col("n")) & (F.abs(F.col("_count") - F.col("_n")) <= 0.01 * F.col("n")),
+                F.col("most") <= 0.01 * F.col("n"),
+            ).alias("frequent_within"),
+        )
+    )

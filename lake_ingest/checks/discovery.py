@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lake_ingest.checks.fixtures import (
@@ -13,7 +15,7 @@ from lake_ingest.checks.fixtures import (
     document_state,
     page_listing,
 )
-from lake_ingest.checks.registry import query, table
+from lake_ingest.checks.registry import query, scratch, table
 from lake_ingest.functions.keys import iso_utc, normalize_etag
 from lake_ingest.operators.discovery import (
     discover,
@@ -21,6 +23,7 @@ from lake_ingest.operators.discovery import (
     discovery_summary,
     pick_pending,
 )
+from lake_ingest.operators.keyed import KeyedLog
 from lake_ingest.operators.listing import drop_markers, under_prefix
 from lake_ingest.operators.state import import_documents, latest, status_groups
 
@@ -151,6 +154,23 @@ def state_latest(spark, sf_dir):
     return latest(table(spark, sf_dir, "conversations"), "conv_id", "turn")
 
 
+@query(
+    "state_base_deltas",
+    """SELECT conv_id, turn, role, text FROM conversations
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
+)
+def state_base_deltas(spark, sf_dir):
+    """Turns as records that come in three batches, with a fold after the first and the second one."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    log = KeyedLog(spark, f"turns_{uuid.uuid4().hex}", scratch(spark), schema, "conv_id", ["turn"])
+    for batch in range(3):
+        log.append(turns.where(F.pmod(F.col("turn") + F.col("conv_id"), F.lit(3)) == batch), f"b{batch}")
+        if batch < 2:
+            log.fold()
+    return log.read()
+
+
 @query(
     "state_status",
     f"""WITH {SQL_DOCUMENT_LISTING}, {SQL_DOCUMENT_STATE}
