@@ -19,7 +19,7 @@ from lake_ingest.constants import (
 )
 from lake_ingest.functions.keys import destination_keys, raw_prefix, text_literal
 from lake_ingest.operators.listing import split_into_parts, spread
-from lake_ingest.sources.store import join, open_store, read_range
+from lake_ingest.sources.store import join, open_store, read_range, store_options
 
 # Content handed back per Arrow batch by a task that copies files.
 _BATCH_BYTES = 32 * 1024 * 1024
@@ -111,9 +111,10 @@ def file_parts(root: str, part_bytes: int = PART_BYTES, tasks: int | None = None
 
     def read_parts(saves: DataFrame) -> DataFrame:
         wanted = saves.select("ingestion_id", "source_key", "raw_location", "size")
+        options = store_options(saves.sparkSession)
 
         def copy(batches):
-            store, base = open_store(root)
+            store, base = open_store(root, options)
             for batch in batches:
                 names = ["ingestion_id", "source_key", "raw_location", "part", "start_byte"]
                 pending, held = [], 0

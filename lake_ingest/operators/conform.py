@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -78,6 +79,11 @@ def _converted(column: tuple[str, T.DataType], field: T.StructField) -> Column:
     return F.expr(absent if sql == "NULL" else _conversion(sql, kind, field.dataType))
 
 
+def _literal(text: str) -> str:
+    """Java regular expression of a text."""
+    return re.sub(r"([^\w ])", r"\\\1", text)
+
+
 def missing_values(
     df: DataFrame,
     tokens: Sequence[str] = NULL_TOKENS,
@@ -93,6 +99,8 @@ def missing_values(
     exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     fold = str if exact else str.lower
     tokens = [t.lower() for t in tokens]
+    blanks = r"[\s\x1c-\x1f]*"
+    absent = rf"(?iuU)\A{blanks}(?:{'|'.join(map(_literal, tokens)) or '(?!)'}){blanks}\z"
     wanted = None if columns is None else {fold(c) for c in columns}
     defaults = {fold(name): value for name, value in (defaults or {}).items()}
     cleaned = {}
@@ -101,8 +109,7 @@ def missing_values(
             continue
         value = F.col(quoted(field.name))
         if isinstance(field.dataType, T.StringType):
-            bare = F.regexp_replace(value, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
-            value = F.when(~F.lower(bare).isin(tokens), value)
+            value = F.when(~F.rlike(value, F.lit(absent)), value)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             value = F.when(~F.isnan(value), value)
         if fold(field.name) in defaults:

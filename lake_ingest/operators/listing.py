@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lake_ingest.constants import BLOCK_PARTS, PART_BYTES
 from lake_ingest.sources.datasources import register_sources
-from lake_ingest.sources.store import hash_range, join, open_store
+from lake_ingest.sources.store import hash_range, join, open_store, store_options
 
 
 def list_objects(
@@ -23,6 +23,7 @@ def list_objects(
     return (
         spark.read.format("object_listing")
         .options(path=root, bucket=bucket, prefix=prefix, depth=str(depth), tasks=tasks)
+        .options(**store_options(spark).as_option())
         .load()
     )
 
@@ -162,8 +163,10 @@ def _fingerprint(
     """
     carried = [*(c for c in listing.columns if c != "_known"), "part"]
 
+    options = store_options(listing.sparkSession)
+
     def hash_parts(batches):
-        store, base = open_store(root)
+        store, base = open_store(root, options)
         for batch in batches:
             digests = [
                 known if known is not None else _digest(store, base, key, start, length)

@@ -24,7 +24,7 @@ from lake_ingest.constants import (
 from lake_ingest.functions.keys import text_literal
 from lake_ingest.functions.text import decode_lossy
 from lake_ingest.operators.listing import spread
-from lake_ingest.sources.store import join, open_store, read_range
+from lake_ingest.sources.store import join, open_store, read_range, store_options
 
 # Files read per Arrow batch handed back: bounds a Python worker's memory to 16 MiB of content.
 _SLICE_ROWS = 256
@@ -110,9 +110,10 @@ def read_ranges(
     names = requests.columns
     mapped = not isinstance(root, str)
     roots = dict(root) if mapped else {None: root}
+    options = store_options(requests.sparkSession)
 
     def serve(batches):
-        stores = {bucket: open_store(path) for bucket, path in roots.items()}
+        stores = {bucket: open_store(path, options) for bucket, path in roots.items()}
         for batch in batches:
             for offset in range(0, batch.num_rows, _SLICE_ROWS):
                 part = batch.slice(offset, _SLICE_ROWS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lake_ingest.constants import ERR_UNREADABLE
 from lake_ingest.operators.listing import spread
-from lake_ingest.sources.store import join, open_store
+from lake_ingest.sources.store import join, open_store, store_options
 
 Reader = Callable[[DataFrame], DataFrame]
 
@@ -31,30 +31,32 @@ TOO_LARGE = f"{ERR_UNREADABLE}: too large for one row"
 def file_contents(root: str, tasks: int | None = None) -> Reader:
     """Reader of files below a root: only the found ones are opened, by tasks of about equal bytes."""
 
-    def read(batches):
-        store, base = open_store(root)
-        for batch in batches:
-            rows, held = [], 0
-            for key in batch["key"].to_pylist():
-                content = error = None
-                try:
-                    with store.open_input_file(join(base, key)) as file:
-                        if file.size() > MAX_CONTENT:
-                            raise OSError(TOO_LARGE)
-                        content = file.read()
-                except OSError as exc:
-                    error = str(exc) if str(exc) == TOO_LARGE else f"{ERR_UNREADABLE}: {exc}"
-                rows.append({"key": key, "content": content, "error": error})
-                held += len(content or b"")
-                if held >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
     schema = pa.schema([("key", pa.string()), ("content", pa.binary()), ("error", pa.string())])
 
     def contents(found: DataFrame) -> DataFrame:
+        options = store_options(found.sparkSession)
+
+        def read(batches):
+            store, base = open_store(root, options)
+            for batch in batches:
+                rows, held = [], 0
+                for key in batch["key"].to_pylist():
+                    content = error = None
+                    try:
+                        with store.open_input_file(join(base, key)) as file:
+                            if file.size() > MAX_CONTENT:
+                                raise OSError(TOO_LARGE)
+                            content = file.read()
+                    except OSError as exc:
+                        error = str(exc) if str(exc) == TOO_LARGE else f"{ERR_UNREADABLE}: {exc}"
+                    rows.append({"key": key, "content": content, "error": error})
+                    held += len(content or b"")
+                    if held >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+
         total = found.agg(F.sum("size")).first()[0] or 0
         least = found.sparkSession.sparkContext.defaultParallelism
         work = spread(found.select("key"), tasks or max(least, ceil(total / TASK_BYTES)), "key")

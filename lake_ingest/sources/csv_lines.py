@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lake_ingest.session import shared_dir
-from lake_ingest.sources.store import open_store
+from lake_ingest.sources.store import open_store, store_options
 
 QUOTE = '"'
 # A record in more bytes than this is set aside in the pieces it was cut in.
@@ -37,10 +37,12 @@ def first_lines(spark: SparkSession, source_path: str) -> DataFrame:
     Tasks read the files' first bytes only; Spark lists the files.
     """
 
+    options = store_options(spark)
+
     def read(batches):
         for batch in batches:
             for path, name in zip(batch["path"].to_pylist(), batch["name"].to_pylist()):
-                store, place = open_store(name)
+                store, place = open_store(name, options)
                 with store.open_input_stream(place, compression="detect") as file:
                     line = _first_line(file)
                 if line is not None:

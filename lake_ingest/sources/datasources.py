@@ -15,7 +15,7 @@ from lake_ingest.constants import (
     MAX_READ_BYTES,
     MAX_READS,
 )
-from lake_ingest.sources.store import join, open_store, read_range, subfolders, walk
+from lake_ingest.sources.store import StoreOptions, join, open_store, read_range, subfolders, walk
 
 _BATCH_ROWS = 10_000
 
@@ -56,9 +56,10 @@ class ObjectListingReader(DataSourceReader):
         self.bucket = options.get("bucket", "incoming")
         self.depth = int(options.get("depth", "1"))
         self.tasks = int(options.get("tasks", "32"))
+        self.store = StoreOptions.of_option(options)
 
     def partitions(self):
-        store, base = open_store(self.root)
+        store, base = open_store(self.root, self.store)
         if store.get_file_info(base).type != fs.FileType.Directory:
             raise FileNotFoundError(f"no such folder: {self.root}")
         level, flat = [join(base, self.prefix) if self.prefix else base], []
@@ -69,7 +70,7 @@ class ObjectListingReader(DataSourceReader):
         return [FolderPartition(i, flat[i::tasks], level[i::tasks]) for i in range(tasks)]
 
     def read(self, partition):
-        store, base = open_store(self.root)
+        store, base = open_store(self.root, self.store)
         strip = len(base.rstrip("/")) + 1
         rows = []
         files = chain(
@@ -130,6 +131,7 @@ class ByteRange(DataSource):
 class ByteRangeReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
+        self.store = StoreOptions.of_option(options)
         self.start = int(options.get("start_byte", "0"))
         self.max_bytes = max(
             1, min(int(options.get("max_bytes", str(FIRST_READ_BYTES))), MAX_READ_BYTES)
@@ -142,7 +144,7 @@ class ByteRangeReader(DataSourceReader):
         return [RangePartition(i, self.start + i * self.max_bytes) for i in range(self.reads)]
 
     def read(self, partition):
-        store, path = open_store(self.path)
+        store, path = open_store(self.path, self.store)
         size, content = read_range(store, path, partition.start, self.max_bytes)
         if not content and partition.read_count:
             return

@@ -26,7 +26,7 @@ from lake_ingest.constants import BLOCK_PARTS, ERR_UNREADABLE
 from lake_ingest.operators.listing import spread
 from lake_ingest.sources.contents import BATCH_BYTES, CONTENTS, MAX_CONTENT, TOO_LARGE
 from lake_ingest.sources.loaders import EXTENSIONS
-from lake_ingest.sources.store import open_store
+from lake_ingest.sources.store import StoreOptions, open_store, open_uri, store_options
 
 RESTORED = "ingestion_id string, source_key string, loader string, layout string, error string"
 SPOILT = f"{ERR_UNREADABLE}: the preserved bytes are not those of the source"
@@ -76,14 +76,15 @@ def _one(digests: list[bytes]) -> bytes:
 class RawFiles:
     """Parts by identifier out of raw files; a few files stay open, and the row group read last."""
 
-    def __init__(self):
+    def __init__(self, options: StoreOptions):
+        self.options = options
         self.open: OrderedDict[str, tuple[pq.ParquetFile, dict]] = OrderedDict()
         self.group: tuple[str, int] | None = None
         self.content: pa.ChunkedArray | None = None
 
     def part(self, path: str, ingestion_id: str, part: int) -> bytes:
         if path not in self.open:
-            store, place = fs.FileSystem.from_uri(path)
+            store, place = open_uri(path, self.options)
             file, rows = pq.ParquetFile(store.open_input_file(place)), {}
             for group in range(file.num_row_groups):
                 held = file.read_row_group(group, ["ingestion_id", "part"])
@@ -149,8 +150,10 @@ def preserved_contents(raw: DataFrame, waiting: DataFrame, tasks: int | None = N
     The key is the ingestion's identifier. A source too large for a row is an error.
     """
 
+    options = store_options(raw.sparkSession)
+
     def read(batches):
-        files = RawFiles()
+        files = RawFiles(options)
         for batch in batches:
             rows, held = [], 0
             for row in batch.to_pylist():
@@ -182,9 +185,11 @@ def restore(raw: DataFrame, waiting: DataFrame, folder: str, tasks: int | None =
     is missing, the bytes do not have the source's fingerprint, or the file has no layout its loader could read.
     """
 
+    options = store_options(raw.sparkSession)
+
     def write(batches):
-        store, base = open_store(folder)
-        files = RawFiles()
+        store, base = open_store(folder, options)
+        files = RawFiles(options)
         for batch in batches:
             for row in batch.to_pylist():
                 layout = error = None

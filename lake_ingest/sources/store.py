@@ -3,18 +3,83 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
+# Its name says "secret", so that Spark shows no value.
+SECRET_OPTION = "store_secret"
+# Ends of the names of settings that may be shown.
+_SHOWN = ("endpoint", "region", "access", "enabled", "provider")
 _READ_BUFFER = 1024 * 1024
 
 
-def open_store(root: str) -> tuple[fs.FileSystem, str]:
+@dataclass(frozen=True, repr=False)
+class StoreOptions:
+    """How tasks reach an S3-compatible store: settings ``fs.s3a.*`` of the session.
+
+    They travel with a task's function, or as an option whose name Spark redacts in plans and logs. Where no
+    keys are set, the process's own credentials count, as for Spark's reader.
+    """
+
+    settings: tuple[tuple[str, str], ...] = ()
+
+    def __repr__(self) -> str:
+        shown = ", ".join(f"{n}={v if n.endswith(_SHOWN) else '***'}" for n, v in self.settings)
+        return f"StoreOptions({shown})"
+
+    def __reduce__(self):
+        return StoreOptions, (self.settings,)
+
+    def as_option(self) -> dict[str, str]:
+        """The settings as one option of a data source."""
+        return {SECRET_OPTION: json.dumps(self.settings)} if self.settings else {}
+
+    @staticmethod
+    def of_option(options: Mapping[str, str]) -> StoreOptions:
+        held = json.loads(options.get(SECRET_OPTION, "[]"))
+        return StoreOptions(tuple((name, value) for name, value in held))
+
+    def arguments(self, bucket: str) -> dict[str, object]:
+        """Arguments of the file system for a bucket, whose own settings go before those of all."""
+        held = dict(self.settings)
+
+        def get(name: str) -> str | None:
+            return held.get(f"bucket.{bucket}.{name}", held.get(name))
+
+        out: dict[str, object] = {"region": get("endpoint.region")}
+        if endpoint := get("endpoint"):
+            scheme, _, host = endpoint.rpartition("://")
+            tls = (get("connection.ssl.enabled") or "true").lower() != "false"
+            out |= {"endpoint_override": host, "scheme": scheme or ("https" if tls else "http")}
+            out["force_virtual_addressing"] = (get("path.style.access") or "false").lower() != "true"
+        if "AnonymousAWSCredentialsProvider" in (get("aws.credentials.provider") or ""):
+            out["anonymous"] = True
+        elif get("access.key"):
+            out |= {"access_key": get("access.key"), "secret_key": get("secret.key")}
+            out["session_token"] = get("session.token")
+        return {name: value for name, value in out.items() if value is not None}
+
+
+def store_options(spark: SparkSession) -> StoreOptions:
+    """The session's settings for S3-compatible stores, as ``session.rest_catalog_conf`` and launchers set them."""
+    prefix = "spark.hadoop.fs.s3a."
+    found = {name: value for name, value in spark.conf.getAll.items() if name.startswith(prefix)}
+    return StoreOptions(tuple(sorted((name[len(prefix) :], value) for name, value in found.items())))
+
+
+def open_store(root: str, options: StoreOptions | None = None) -> tuple[fs.FileSystem, str]:
     """File system and base path of a root such as ``/data``, ``file:/data`` or ``s3a://bucket/in``."""
     if root.startswith("s3a://"):
         root = "s3://" + root[len("s3a://") :]
+    if root.startswith("s3://") and options is not None and options.settings:
+        path = root[len("s3://") :].rstrip("/")
+        return fs.S3FileSystem(**options.arguments(path.split("/")[0])), path
     if "://" not in root and root.startswith("file:"):
         root = root[len("file:") :]
     if "://" not in root:
@@ -23,6 +88,13 @@ def open_store(root: str) -> tuple[fs.FileSystem, str]:
     return store, base.rstrip("/") or "/"
 
 
+def open_uri(uri: str, options: StoreOptions | None = None) -> tuple[fs.FileSystem, str]:
+    """File system and path of a file as Spark's metadata column names it, with its odd signs escaped."""
+    if uri.startswith(("s3a://", "s3://")):
+        return open_store(unquote(uri), options)
+    return fs.FileSystem.from_uri(uri)
+
+
 def join(base: str, key: str) -> str:
     """Path of a key; one that leaves its root is refused, for a folder knows such segments."""
     if any(segment in (".", "..") for segment in key.split("/")):
