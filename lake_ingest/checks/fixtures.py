@@ -93,3 +93,16 @@ def write_objects(objects: DataFrame, root: str) -> None:
 
     rows = objects.select("key", F.col("content").cast("binary").alias("content"))
     rows.mapInArrow(write, "written bigint").agg(F.sum("written")).collect()
+
+
+def remove_objects(objects: DataFrame, root: str) -> None:
+    """Remove the files of rows ``key`` below a folder the executors share."""
+
+    def remove(batches):
+        store, base = open_store(root)
+        for batch in batches:
+            for key in batch["key"].to_pylist():
+                store.delete_file(join(base, key))
+            yield pa.RecordBatch.from_pydict({"removed": [batch.num_rows]})
+
+    objects.select("key").mapInArrow(remove, "removed bigint").agg(F.sum("removed")).collect()

@@ -13,6 +13,7 @@ from lake_ingest.checks.fixtures import (
     DOCUMENT_KEY,
     SQL_DOCUMENT_LISTING,
     document_listing,
+    remove_objects,
     write_objects,
 )
 from lake_ingest.checks.registry import query, scratch, table
@@ -37,6 +38,7 @@ from lake_ingest.plans.lake import Lake
 from lake_ingest.plans.run_ingestion import ingest_objects, run_ingestion, run_saved
 from lake_ingest.plans.save_batch import save_batch
 from lake_ingest.sources.loaders import load_source, register_loader
+from lake_ingest.streaming.changes import CHANGES, stream_changes
 from lake_ingest.streaming.incremental import ingest_new_files
 
 WHEN = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -532,6 +534,53 @@ def run_saved_sources(spark, sf_dir):
     )
 
 
+@query(
+    "run_saved_formats",
+    """WITH sources AS (
+      SELECT *, event_id % 24 AS file, ['csv', 'jsonl', 'parquet'][event_id % 3 + 1] AS format FROM events)
+    SELECT format, CAST(file AS BIGINT) AS file, 'success' AS status, count(*) AS rows_written,
+           CAST(sum(user_id) AS BIGINT) AS users FROM sources GROUP BY ALL
+    UNION ALL SELECT 'parquet', 100 + r_regionkey, 'failed', 0, NULL FROM region""",
+)
+def run_saved_formats(spark, sf_dir):
+    """Events saved as CSV, JSON Lines and Parquet files, and files that are no Parquet: all are one run."""
+    lake, name = Lake(scratch(spark)), _table_name("events")
+    root = f"{lake.root}/incoming"
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", (F.col("event_id") % 24).alias("file")
+    )
+    for kind, fmt in enumerate(("csv", "json", "parquet")):
+        some = events.where(F.col("event_id") % 3 == kind).repartition("file")
+        writer = some.write.partitionBy("file").format(fmt)
+        (writer.option("header", True) if fmt == "csv" else writer).save(f"{root}/{fmt if fmt != 'json' else 'jsonl'}")
+    broken = F.format_string("parquet/file=%s/broken.parquet", F.lit(100) + F.col("r_regionkey"))
+    write_objects(table(spark, sf_dir, "region").select(broken.alias("key"), F.col("r_name").alias("content")), root)
+    listing = fingerprint(list_objects(spark, root).where(F.rlike("key", F.lit(r"\.(csv|json|parquet)\z"))), root)
+    proposals = listing.select(
+        F.col("key").alias("source_key"),
+        F.lit("Inspect").alias("prompt"),
+        F.lit("def load_data(spark, source_path):\n    return spark.read.load(source_path)\n").alias("source_loader"),
+        F.to_json(F.struct(F.col("key").alias("source_key"))).alias("profile"),
+        F.lit("Ids.").alias("semantic_metadata"),
+        F.lit("Load.").alias("proposal"),
+        F.lit(name).alias("target_table"),
+    )
+    save_batch(spark, lake, proposals, listing, artifacts.file_parts(root), "check", WHEN)
+    kind = F.split("source_key", "/")[0]
+    run_saved(
+        spark, lake, name, "r", "event_id bigint, user_id bigint, event_type string", loader=kind, path=f"{lake.root}/{name}"
+    )
+    written = spark.table(name).groupBy((F.col("event_id") % 24).alias("file")).agg(
+        F.count("*").alias("rows_written"), F.sum("user_id").alias("users")
+    )
+    state = load_state(spark, lake.state).select(
+        kind.alias("format"), F.regexp_extract("source_key", r"file=(\d+)", 1).cast("bigint").alias("file"), "status"
+    )
+    return state.join(written, "file", "left").select(
+        "format", "file", "status", F.coalesce("rows_written", F.lit(0).cast("bigint")).alias("rows_written"), "users"
+    )
+
+
 @query(
     "quarantine_files",
     """WITH lines AS (SELECT *, o_orderkey % 10 AS form FROM orders)
@@ -636,6 +685,42 @@ def incremental_streams(spark, sf_dir):
     )
 
 
+@query(
+    "changed_objects_stream",
+    """WITH p AS (SELECT page_id, page_id % 5 AS form, md5(html) AS etag, md5(html || ' ') AS edited FROM pages)
+    SELECT 0 AS batch, page_id, 'added' AS change, etag FROM p
+    UNION ALL SELECT 1, page_id, 'changed', edited FROM p WHERE form = 1
+    UNION ALL SELECT 1, page_id, 'removed', NULL FROM p WHERE form = 2
+    UNION ALL SELECT 1, -1 - page_id, 'added', etag FROM p WHERE form = 3""",
+)
+def changed_objects_stream(spark, sf_dir):
+    """Pages as files, some then edited, removed and added: a stream that is started again sees just that."""
+    root = scratch(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"))
+    key = F.concat(F.col("page_id") % 7, F.lit("/"), "page_id", F.lit(".html"))
+    form = F.col("page_id") % 5
+
+    def put(rows):
+        write_objects(rows.select(key.alias("key"), "content"), f"{root}/incoming")
+
+    def keep(changes, batch_id):
+        write_batch(changes, f"{root}/changes", f"{batch_id}")
+
+    def run():
+        stream_changes(spark, f"{root}/incoming", f"{root}/progress", keep).awaitTermination()
+
+    put(pages)
+    run()
+    put(pages.where(form == 1).withColumn("content", F.concat("content", F.lit(" "))))
+    remove_objects(pages.where(form == 2).select(key.alias("key")), f"{root}/incoming")
+    put(pages.where(form == 3).withColumn("page_id", -1 - F.col("page_id")))
+    run()
+    run()
+    changes = read_table(spark, f"{root}/changes", CHANGES)
+    number = F.regexp_extract("key", r"(-?\d+)\.html", 1).cast("bigint")
+    return changes.select(F.col("batch_id").cast("int").alias("batch"), number.alias("page_id"), "change", "etag")
+
+
 @query(
     "run_source",
     """SELECT count(*) AS rows_in, count(*) FILTER (WHERE l_returnflag <> 'R') AS rows_written,

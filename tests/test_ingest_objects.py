@@ -166,6 +166,99 @@ def test_contents_of_a_small_share_are_not_shuffled(spark, put, tmp_path):
     assert "Exchange" in text and "content" not in text.split("Exchange", 1)[1]
 
 
+def _save(spark, lake, put, bodies, table_name, part=16):
+    for key, body in bodies.items():
+        root = put(key, body)
+    listing = fingerprint(list_objects(spark, root), root, smallest=part)
+    proposals = [
+        (k, "p", "def load_data(spark, source_path): pass", json.dumps({"source_key": k}), "m", "q", table_name)
+        for k in bodies
+    ]
+    given = spark.createDataFrame(proposals, ", ".join(f"{c} string" for c in PROPOSAL_COLUMNS))
+    save_batch(spark, lake, given, listing, file_parts(root, part), "s", datetime(2024, 1, 1, tzinfo=timezone.utc))
+
+
+def test_saved_sources_of_every_format(spark, put, tmp_path, table_name):
+    """One outcome per source; what one loader cannot read costs its own sources only."""
+    import io
+
+    import pyarrow as pa
+    import pyarrow.orc as orc
+    import pyarrow.parquet as pq
+
+    from lake_ingest.sources.loaders import register_loader
+
+    def columnar(write, **columns):
+        held = io.BytesIO()
+        write(pa.table(columns), held)
+        return held.getvalue()
+
+    def load_data(spark, source_path):
+        if spark.read.text(source_path).where("value = 'break'").count():
+            raise RuntimeError("own loader failed")
+        return spark.read.text(source_path).selectExpr("split(value, ';')[0] AS a", "split(value, ';')[1] AS b")
+
+    register_loader("pairs", load_data)
+    lake = Lake(str(tmp_path / "lake"))
+    bodies = {
+        "a.json": '{"a": 1, "b": "json"}',
+        "b.jsonl": '{"a": 2, "b": "lines"}\n{"a": "x"}\n{oops\n',
+        "c.csv": "a,b\n3,csv\n4,more\nspoilt,x\n",
+        "d.csv": "b,a\nturned,5\n",
+        "e.csv": "a,b\n",
+        "f.csv": "",
+        "g.parquet": columnar(pq.write_table, a=[6], b=["parquet"]),
+        "h.parquet": columnar(pq.write_table, A=[7.0]),
+        "i.parquet": "no parquet",
+        "j.orc": columnar(orc.write_table, a=[8], b=["orc"]),
+        "k.pairs": "9;own\n",
+        "l.pairs": "break\n",
+        "m.txt": "text\n",
+        "n.csv.unknown": "10,x",
+    }
+    _save(spark, lake, put, bodies, table_name)
+    loader = F.when(F.col("source_key").endswith(".pairs"), "pairs").otherwise(plan.loader_of("source_key"))
+    log = plan.run_saved(spark, lake, table_name, "r", SCHEMA, loader=loader, path=f"{lake.root}/t").first()
+    assert log.status == "SUCCESS"
+    state = dict(rows(load_state(spark, lake.state), "source_key", "status"))
+    assert {k for k, s in state.items() if s != "success"} == {"f.csv", "i.parquet", "l.pairs", "n.csv.unknown"}
+    assert set(state) == set(bodies)
+    got = rows(spark.table(table_name), "a", "b")
+    assert got == sorted(
+        [(1, "json"), (2, "lines"), (3, "csv"), (4, "more"), (5, "turned"), (6, "parquet"), (7, None), (8, "orc"), (9, "own"), (None, None)],
+        key=repr,
+    )
+    rejects = read_table(spark, lake.rejects, plan.REJECTS)
+    assert sorted(r.source_key for r in rejects.collect()) == ["b.jsonl", "b.jsonl", "c.csv", "n.csv.unknown"]
+    assert not (tmp_path / "lake" / "restored" / "files").exists() or not any((tmp_path / "lake" / "restored" / "files").iterdir())
+
+
+def test_a_run_opens_the_row_groups_of_its_sources(spark, put, tmp_path, table_name):
+    """No content in an exchange, and of the raw table's contents only what the waiting sources have."""
+    from lake_ingest.sources import restored
+
+    lake = Lake(str(tmp_path / "lake"))
+    _save(spark, lake, put, {f"{i}.json": json.dumps({"a": i}) for i in range(30)}, table_name)
+    raw = read_table(spark, lake.raw, schemas.RAW_PARTS)
+    state = load_state(spark, lake.state).where("source_key = '7.json'")
+    waiting = state.selectExpr("proposal_id AS ingestion_id", "source_key", "'json' AS loader", "etag", "source_size AS size")
+    found = restored.preserved_contents(raw, waiting)
+    assert [bytes(r.content) for r in found.collect()] == [b'{"a": 7}']
+    text = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line and "part" in line.split("ReadSchema")[-1]]
+    assert scans and not any("content" in line.split("ReadSchema")[-1] for line in scans)
+
+
+def test_a_large_document_is_an_outcome_of_its_own(spark, put, tmp_path, monkeypatch):
+    from lake_ingest.sources import contents
+
+    root = put("big.json", "[" + "1," * 50 + "1]")
+    put("small.json", "{}")
+    monkeypatch.setattr(contents, "MAX_CONTENT", 20)
+    found = spark.createDataFrame([("big.json", 102), ("small.json", 2)], "key string, size bigint")
+    assert rows(file_contents(root)(found), "key", "error") == [("big.json", contents.TOO_LARGE), ("small.json", None)]
+
+
 def test_saved_sources_run_from_their_copies(spark, put, tmp_path, table_name):
     lake = Lake(str(tmp_path / "lake"))
     bodies = {"a.json": json.dumps({"a": 1, "b": "x" * 50}), "b.json": '{"a": 2}', "c.json": '{"a": 3}', "d.json": "no"}
