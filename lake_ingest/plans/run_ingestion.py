@@ -377,7 +377,6 @@ def _stage_saved(
         try:
             stage(check_dataset(rows()))
         except Exception as exc:
-            batches.pop()
             failed.append((of_loader, layout, source, str(exc)[:1000]))
 
     if batch_folders(spark, lake.raw):
