@@ -46,7 +46,7 @@ from lake_ingest.llm.shared import frugal, saved
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 # Bytes of text that are encoded and aligned at a time, and make a block.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Steps from a link to the next one, and the last link of a document.
 NEXT_A, NEXT_B, NEXT_BOTH = 1, 2, 3
 _LEVEL = 3
