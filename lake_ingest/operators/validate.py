@@ -101,9 +101,9 @@ def is_loader_script(script: str) -> Column:
 def check_dataset(df) -> DataFrame:
     """The DataFrame itself, if it is one and has a column. Runs nothing; no rows is fine."""
     if not isinstance(df, DataFrame):
-        raise TypeError("load_data() did not return a Spark DataFrame")
+        raise TypeError(f"a loader gives a DataFrame, not {type(df).__name__}")
     if not df.columns:
-        raise ValueError("The returned DataFrame has no columns")
+        raise ValueError("a loader's rows need a column at least")
     return df
 
 
