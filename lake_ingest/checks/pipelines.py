@@ -27,6 +27,8 @@ from lake_ingest.operators.listing import (
     fingerprint,
     fingerprint_changed,
     list_objects,
+    split_into_parts,
+    spread,
     table_listing,
 )
 from lake_ingest.operators.sampling import read_ranges, sample_files, validate_reads
@@ -37,7 +39,9 @@ from lake_ingest.operators.validate import check_dataset
 from lake_ingest.plans.lake import Lake
 from lake_ingest.plans.run_ingestion import ingest_objects, run_ingestion, run_saved
 from lake_ingest.plans.save_batch import save_batch
+from lake_ingest.sources.json_arrays import array_elements
 from lake_ingest.sources.loaders import load_source, register_loader
+from lake_ingest.sources.store import join, open_store, read_range, store_options
 from lake_ingest.streaming.changes import CHANGES, stream_changes
 from lake_ingest.streaming.incremental import ingest_new_files
 
@@ -646,6 +650,35 @@ def csv_line_breaks(spark, sf_dir):
     return spark.read.parquet(f"{lake.root}/{name}")
 
 
+@query(
+    "json_array_parts",
+    """SELECT event_id, user_id, event_type, 'a "quoted\\" [' || event_type || '], {' AS note FROM events""",
+)
+def json_array_parts(spark, sf_dir):
+    """All events as one JSON array in a file, split into its elements from parts of 4 KB."""
+    root, part = scratch(spark), 4096
+    note = F.concat(F.lit('a "quoted\\" ['), "event_type", F.lit("], {"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", note.alias("note"))
+    # One file, the first element a null, so that every event follows a comma.
+    lines = events.select(F.lit(1).alias("order"), F.concat(F.lit(", "), F.to_json(F.struct("*"))).alias("value"))
+    ends = spark.createDataFrame([(0, "[null"), (2, "]")], "order int, value string")
+    ordered = lines.union(ends).repartitionByRange(1, "order").sortWithinPartitions("order")
+    ordered.select("value").write.text(f"{root}/incoming")
+    listed = list_objects(spark, f"{root}/incoming").where("key LIKE '%.txt' AND key NOT LIKE '.%'")
+    options, folder = store_options(spark), f"{root}/incoming"
+
+    def read(row):
+        store, base = open_store(folder, options)
+        return read_range(store, join(base, row["key"]), row["start_byte"], row["length"])[1]
+
+    parts = spread(split_into_parts(listed.select("key", "size"), part), None, "key", "part")
+    elements = array_elements(parts.select("key", "part", "start_byte", "length"), read)
+    sound = elements.where("error IS NULL AND element <> 'null'").select(
+        F.from_json("element", "event_id bigint, user_id bigint, event_type string, note string").alias("e")
+    )
+    return sound.select("e.*")
+
+
 @query(
     "custom_loader",
     """SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS price FROM orders""",
