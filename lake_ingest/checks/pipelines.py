@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lake_ingest import schemas
@@ -659,11 +660,16 @@ def json_array_parts(spark, sf_dir):
     root, part = scratch(spark), 4096
     note = F.concat(F.lit('a "quoted\\" ['), "event_type", F.lit("], {"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", note.alias("note"))
-    # One file, the first element a null, so that every event follows a comma.
-    lines = events.select(F.lit(1).alias("order"), F.concat(F.lit(", "), F.to_json(F.struct("*"))).alias("value"))
-    ends = spark.createDataFrame([(0, "[null"), (2, "]")], "order int, value string")
-    ordered = lines.union(ends).repartitionByRange(1, "order").sortWithinPartitions("order")
-    ordered.select("value").write.text(f"{root}/incoming")
+    lines = events.select(F.concat(F.lit(", "), F.to_json(F.struct("*"))).alias("value"))
+
+    def bracketed(batches):
+        # The first element is a null, so that every event follows a comma.
+        yield pa.RecordBatch.from_pydict({"value": ["[null"]})
+        yield from batches
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    # One file is one task's to write; the lines pass through it, it neither sorts nor holds them.
+    lines.repartition(1).mapInArrow(bracketed, "value string").write.text(f"{root}/incoming")
     listed = list_objects(spark, f"{root}/incoming").where("key LIKE '%.txt' AND key NOT LIKE '.%'")
     options, folder = store_options(spark), f"{root}/incoming"
 

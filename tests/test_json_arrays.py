@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 
@@ -73,3 +74,51 @@ def test_documents_that_are_no_array(spark):
     assert sorted(r.element for r in found if r.key == "array") == ["1", '{"a": "x,]"}']
     assert not [r for r in found if r.key in ("empty", "nothing")]
     assert rows(J.array_elements(parts.limit(0), lambda row: b"")) == []
+
+
+def test_no_task_has_all_parts_of_a_document(spark, monkeypatch):
+    """Functions and open pieces are dealt by blocks of parts, and blocks of any number give the same elements."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    documents = {
+        "many": [{"n": i, "text": 'a "quoted\\" [,' * (i % 5)} for i in range(60)],
+        "long": ["x" * 300, "], [", ["y" * 200, 1], None],
+        "one": [1],
+    }
+    size, table = 16, []
+    for key, document in documents.items():
+        content = json.dumps(document).encode()
+        table += [(key, i, content[i * size : (i + 1) * size]) for i in range(-(-len(content) // size))]
+    parts = spark.createDataFrame(table, "key string, part bigint, content binary")
+    found = J.array_elements(parts, lambda row: bytes(row["content"])).collect()
+    assert not [r for r in found if r.error]
+    for key, document in documents.items():
+        got = [json.loads(r.element) for r in found if r.key == key]
+        assert sorted(map(repr, got)) == sorted(map(repr, document))
+
+    functions = [(k, p, *map(list, zip(*J.part_function(c)))) for k, p, c in table]
+    starts = J.part_begins(spark.createDataFrame(functions, J.FUNCTIONS))
+    expected = []
+    for key in documents:
+        state, depth = J.OUTSIDE, 0
+        for _, part, content in (t for t in table if t[0] == key):
+            expected.append((key, part, state, depth))
+            after, change = J.part_function(content)[state]
+            state, depth = after, depth + change
+    assert rows(starts) == sorted(expected, key=repr)
+    pieces = J.element_numbers(spark.createDataFrame([("d", 0, 0, J.TAIL, b"")], J.PIECES))
+    for dealt, block in ((starts, "block"), (pieces, "_block")):
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\(key#\d+, {block}#\d+", plan)
+
+
+def test_the_array_file_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """The one task that writes the query's file passes the lines on; it does not sort them."""
+    from lake_ingest.checks import pipelines
+    from tests.conftest import SF_DIR
+
+    written = []
+    kind = type(spark.range(0).write)
+    monkeypatch.setattr(kind, "text", lambda self, path, text=kind.text: (written.append(self._df), text(self, path))[1])
+    assert pipelines.json_array_parts(spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    assert len(written) == 1
+    assert "Sort " not in written[0]._jdf.queryExecution().executedPlan().toString()
