@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from math import ceil
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,12 +28,14 @@ from lake_ingest.sources.store import open_store, store_options
 QUOTE = '"'
 # A record in more bytes than this is set aside in the pieces it was cut in.
 MAX_RECORD = 256 * 1024 * 1024
+# Bytes of lines for one task, which takes several splits where they are smaller.
+TASK_BYTES = 32 * 1024 * 1024
 _ROWS = 8192
 _BOM = "﻿"
 
 
 def first_lines(spark: SparkSession, source_path: str) -> DataFrame:
-    """``(path, name, line)``: the first line with text in it of each file, ``path`` as a number for joins.
+    """``(path, name, line, size)``: the first line with text in it of each file, ``path`` as a number for joins.
 
     Tasks read the files' first bytes only; Spark lists the files.
     """
@@ -41,17 +44,19 @@ def first_lines(spark: SparkSession, source_path: str) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            for path, name in zip(batch["path"].to_pylist(), batch["name"].to_pylist()):
+            for path, name, size in zip(*(batch[n].to_pylist() for n in ("path", "name", "size"))):
                 store, place = open_store(name, options)
                 with store.open_input_stream(place, compression="detect") as file:
                     line = _first_line(file)
                 if line is not None:
-                    yield pa.RecordBatch.from_pylist([{"path": path, "name": name, "line": line}], schema)
+                    yield pa.RecordBatch.from_pylist([{"path": path, "name": name, "line": line, "size": size}], schema)
 
-    schema = pa.schema([("path", pa.int64()), ("name", pa.string()), ("line", pa.string())])
+    schema = pa.schema([("path", pa.int64()), ("name", pa.string()), ("line", pa.string()), ("size", pa.int64())])
     files = spark.read.format("binaryFile").load(source_path)
-    named = files.select(F.xxhash64("_metadata.file_path").alias("path"), F.col("path").alias("name"))
-    return named.mapInArrow(read, "path bigint, name string, line string")
+    named = files.select(
+        F.xxhash64("_metadata.file_path").alias("path"), F.col("path").alias("name"), F.col("length").alias("size")
+    )
+    return named.mapInArrow(read, "path bigint, name string, line string, size bigint")
 
 
 def _first_line(file) -> str | None:
@@ -64,14 +69,20 @@ def _first_line(file) -> str | None:
     return held.decode("utf-8", "replace").removeprefix(_BOM) or None
 
 
-def _split_lines(spark: SparkSession, source_path: str) -> DataFrame:
-    """``(value, path, start)`` of all lines; those of a split are together and in order."""
-    return spark.read.text(source_path).select(
+def _split_lines(spark: SparkSession, source_path: str, size: int) -> DataFrame:
+    """``(value, path, start)`` of all lines; those of a split are together and in order.
+
+    The number of tasks goes by the ``size`` of all files in bytes. That of the splits is the session's to choose,
+    and a task for each would cost more to start than a small split takes to read.
+    """
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    lines = spark.read.text(source_path).select(
         "value", F.xxhash64("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
     )
+    return lines.coalesce(max(least, ceil(size / TASK_BYTES)))
 
 
-def plain_lines(spark: SparkSession, source_path: str) -> DataFrame:
+def plain_lines(spark: SparkSession, source_path: str, size: int) -> DataFrame:
     """``(value, path, first)`` of all lines with text, ``first`` for the first one of each file."""
 
     def mark(batches):
@@ -97,7 +108,7 @@ def plain_lines(spark: SparkSession, source_path: str) -> DataFrame:
                 [kept["value"], path, pa.array(first, pa.bool_())], names=["value", "path", "first"]
             )
 
-    return _split_lines(spark, source_path).mapInArrow(mark, "value string, path bigint, first boolean")
+    return _split_lines(spark, source_path, size).mapInArrow(mark, "value string, path bigint, first boolean")
 
 
 class Lines:
@@ -171,7 +182,7 @@ def split_pieces(lines: Iterator[tuple[str, int, int]], rules: Lines) -> Iterato
         yield from finish()
 
 
-def quoted_records(spark: SparkSession, source_path: str, escape: str) -> DataFrame:
+def quoted_records(spark: SparkSession, source_path: str, size: int, escape: str) -> DataFrame:
     """``(value, path, first, whole)`` of all records, which may hold line breaks in quotes.
 
     A record whose quote is never closed, and one longer than ``MAX_RECORD``, are not ``whole``; the latter
@@ -198,7 +209,7 @@ def quoted_records(spark: SparkSession, source_path: str, escape: str) -> DataFr
         [("path", pa.int64()), ("start", pa.int64()), ("at", pa.int64()), ("kind", pa.int32()), ("opened", pa.bool_()),
          ("value", pa.string()), ("first", pa.bool_()), ("closed_to", pa.bool_()), ("open_to", pa.bool_())]
     )
-    rows = _split_lines(spark, source_path).mapInArrow(cut, PIECES)
+    rows = _split_lines(spark, source_path, size).mapInArrow(cut, PIECES)
     sure = rows.where(f"kind = {RECORD} AND opened IS NULL").select("value", "path", "first", F.lit(True).alias("whole"))
     # What is not sure is little; it is written once, so that the files are read twice in all.
     place = f"{shared_dir(spark)}/csv-pieces-{uuid.uuid4().hex}"

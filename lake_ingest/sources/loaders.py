@@ -108,7 +108,9 @@ def csv_records(
     headers are read from the files' first bytes. ``file_name`` names a column for the name of a record's file.
     """
     headers = first_lines(spark, source_path)
-    told = headers.agg(F.min(F.struct("name", "line")).alias("first"), F.count_distinct("line").alias("n")).first()
+    told = headers.agg(
+        F.min(F.struct("name", "line")).alias("first"), F.count_distinct("line").alias("n"), F.sum("size").alias("size")
+    ).first()
     if not told["n"]:
         return spark.createDataFrame([], f"{CORRUPT_RECORD} string")
     header = told["first"]["line"]
@@ -121,10 +123,10 @@ def csv_records(
         return F.from_csv(text, _ddl(schema), options | {"multiLine": str(multiline).lower()})
 
     if multiline:
-        lines = quoted_records(spark, source_path, escape).withColumn("_odd", ~F.col("whole"))
+        lines = quoted_records(spark, source_path, told["size"], escape).withColumn("_odd", ~F.col("whole"))
     else:
         quotes = "length(value) - length(replace(value, '\"', ''))"
-        lines = plain_lines(spark, source_path).withColumn("_odd", F.expr(f"({quotes}) % 2 = 1"))
+        lines = plain_lines(spark, source_path, told["size"]).withColumn("_odd", F.expr(f"({quotes}) % 2 = 1"))
     if told["n"] == 1:
         rows = lines.where("NOT first").withColumn("_same", F.lit(True))
     else:

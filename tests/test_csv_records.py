@@ -148,3 +148,18 @@ def test_lines_are_read_once_or_twice(spark, put):
     assert _scans(spark, loaders.csv_records(spark, path)) == 1
     # The first reading, for what is not sure, is done by then.
     assert _scans(spark, loaders.csv_records(spark, path, multiline=True)) == 1
+
+
+@pytest.mark.parametrize("loader", ["csv", "csv_multiline"])
+def test_small_splits_share_tasks(spark, put, small_splits, loader):
+    """The number of tasks goes by the bytes and the cluster, not by the size of splits; the rows are the same."""
+    root = put("a.csv", "a,b\n" + "".join(f"{i},{i} text\n" for i in range(3000)))
+    path = f"{root}/a.csv"
+    splits = spark.read.text(path).rdd.getNumPartitions()
+    size = spark.read.format("binaryFile").load(path).first().length
+    lines = csv_lines._split_lines(spark, path, size)
+    assert lines.rdd.getNumPartitions() <= 4 < splits
+    starts = {r.start for r in lines.select("start").distinct().collect()}
+    assert len(starts) > 4
+    found = loaders.load_source(spark, path, loader)
+    assert rows(found) == sorted([(str(i), f"{i} text") for i in range(3000)], key=repr)
