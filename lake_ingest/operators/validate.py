@@ -70,6 +70,11 @@ def validate_profiles(df: DataFrame, profile: str, source_key: str) -> DataFrame
     )
 
 
+def _has_loader_arguments(given: ast.arguments) -> bool:
+    others = given.posonlyargs or given.vararg or given.kwonlyargs or given.kwarg
+    return not others and [argument.arg for argument in given.args] == ["spark", "source_path"]
+
+
 @F.pandas_udf(T.BooleanType())
 def _is_loader(scripts: pd.Series) -> pd.Series:
     def accepted(script):
@@ -77,15 +82,9 @@ def _is_loader(scripts: pd.Series) -> pd.Series:
             body = ast.parse(script or "").body
         except (SyntaxError, ValueError, RecursionError, MemoryError):
             return False
-        signatures = []
-        for node in body:
-            if isinstance(node, ast.FunctionDef) and node.name == "load_data":
-                # Annotations and defaults are free.
-                for argument in node.args.args:
-                    argument.annotation = None
-                node.args.defaults = []
-                signatures.append(ast.unparse(node.args))
-        return signatures == ["spark, source_path"]
+        loaders = [node.args for node in body if isinstance(node, ast.FunctionDef) and node.name == "load_data"]
+        # Annotations and defaults are free.
+        return len(loaders) == 1 and _has_loader_arguments(loaders[0])
 
     return scripts.map(accepted)
 

@@ -1,7 +1,8 @@
 """Preserved copies, read by the tasks that need them or laid out as files again, so that any loader can read them.
 
 What was saved is rows of parts in the raw table. For a run the waiting sources' parts are looked up by their
-identifiers alone; tasks then open just the raw files and row groups that hold them. JSON documents become rows
+identifiers alone; tasks then open just the raw files and row groups that hold them, and go through a file in the
+order of its rows, so that a group is read once, not once for each source in it. JSON documents become rows
 there; other sources are written as one file each below the run's folder, a part at a time. No content passes
 through a join or an exchange, and what a run reads of the raw table is the row groups of its own sources.
 
@@ -13,8 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -35,6 +38,8 @@ DRAFTS = "_drafts"
 # Raw files a task holds open, and bytes of a file's start in which a header is looked for.
 _OPEN = 16
 _HEADER_BYTES = 1 << 20
+# Rows of a raw file that stay together in a task, for a file may hold very many small sources.
+_TASK_ROWS = 1 << 16
 
 
 def loader_of(key: str, default: str = "json") -> Column:
@@ -74,31 +79,29 @@ def _one(digests: list[bytes]) -> bytes:
 
 
 class RawFiles:
-    """Parts by identifier out of raw files; a few files stay open, and the row group read last."""
+    """Parts by their row out of raw files; a few files stay open, and the row group read last."""
 
     def __init__(self, options: StoreOptions):
         self.options = options
-        self.open: OrderedDict[str, tuple[pq.ParquetFile, dict]] = OrderedDict()
+        # With a file the numbers of the rows its row groups begin with.
+        self.open: OrderedDict[str, tuple[pq.ParquetFile, list[int]]] = OrderedDict()
         self.group: tuple[str, int] | None = None
         self.content: pa.ChunkedArray | None = None
 
-    def part(self, path: str, ingestion_id: str, part: int) -> bytes:
+    def part(self, path: str, row: int) -> bytes:
         if path not in self.open:
             store, place = open_uri(path, self.options)
-            file, rows = pq.ParquetFile(store.open_input_file(place)), {}
-            for group in range(file.num_row_groups):
-                held = file.read_row_group(group, ["ingestion_id", "part"])
-                for row, key in enumerate(zip(*(held[c].to_pylist() for c in ("ingestion_id", "part")))):
-                    rows[key] = (group, row)
-            self.open[path] = (file, rows)
+            file = pq.ParquetFile(store.open_input_file(place))
+            sizes = (file.metadata.row_group(group).num_rows for group in range(file.num_row_groups))
+            self.open[path] = (file, [0, *accumulate(sizes)])
             if len(self.open) > _OPEN:
                 self.open.popitem(last=False)
-        file, rows = self.open[path]
-        group, row = rows[ingestion_id, part]
+        file, starts = self.open[path]
+        group = bisect_right(starts, row) - 1
         if self.group != (path, group):
             self.content = file.read_row_group(group, ["content"])["content"]
             self.group = (path, group)
-        return self.content[row].as_py()
+        return self.content[row - starts[group]].as_py()
 
 
 def _layout(loader: str, store: fs.FileSystem, path: str) -> str:
@@ -118,16 +121,20 @@ def _layout(loader: str, store: fs.FileSystem, path: str) -> str:
 
 
 def _work(raw: DataFrame, waiting: DataFrame, tasks: int | None) -> DataFrame:
-    """The waiting sources with the places of their parts, those in one raw file together."""
+    """The waiting sources with the places of their parts, those in one raw file together and in its order."""
     # Identifiers and places only: the content is not among the columns that are read here.
-    places = raw.select("ingestion_id", F.struct("part", F.col("_metadata.file_path").alias("path")).alias("_at"))
+    place = F.struct("part", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"))
+    first = F.try_element_at("parts", F.lit(1))
     work = (
-        waiting.join(places, "ingestion_id", "left")
+        waiting.join(raw.select("ingestion_id", place.alias("_at")), "ingestion_id", "left")
         .groupBy("ingestion_id", "source_key", "loader", "etag", "size")
         .agg(F.array_sort(F.collect_list("_at")).alias("parts"))
-        .withColumn("_first", F.coalesce(F.try_element_at("parts", F.lit(1))["path"], F.col("ingestion_id")))
+        .withColumn("_first", F.coalesce(first["path"], F.col("ingestion_id")))
+        .withColumn("_row", first["row"])
+        .withColumn("_rows", F.expr(f"_row DIV {_TASK_ROWS}"))
     )
-    return spread(work, tasks, "_first").sortWithinPartitions("_first", "ingestion_id").drop("_first")
+    order = ("_first", "_row", "ingestion_id")
+    return spread(work, tasks, "_first", "_rows").sortWithinPartitions(*order).drop("_first", "_row", "_rows")
 
 
 def _parts(files: RawFiles, row: dict) -> Iterator[bytes]:
@@ -136,7 +143,7 @@ def _parts(files: RawFiles, row: dict) -> Iterator[bytes]:
     if not parts or [p["part"] for p in parts] != list(range(len(parts))):
         raise ValueError(SPOILT)
     for part in parts:
-        content = files.part(part["path"], row["ingestion_id"], part["part"])
+        content = files.part(part["path"], part["row"])
         found.add(content)
         size += len(content)
         yield content

@@ -285,3 +285,37 @@ def test_saved_sources_run_from_their_copies(spark, put, tmp_path, table_name):
     assert state == {"a.json": "success", "b.json": "success", "c.json": "failed", "d.json": "failed"}
     again = plan.run_saved(spark, lake, table_name, "r2", SCHEMA, path=f"{lake.root}/t").first()
     assert again.rows_in == 0 and spark.table(table_name).count() == 2
+
+
+def test_a_row_group_is_read_once_for_all_its_sources(spark, tmp_path, monkeypatch):
+    """Small sources lie in a raw file in any order of their identifiers; a task goes through it by its rows."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from lake_ingest.sources import restored
+    from lake_ingest.sources.store import store_options
+
+    bodies = {f"{i * 7919 % 1000:04}": f'{{"a": {i}}}'.encode() for i in range(200)}
+    ids, contents = list(bodies), list(bodies.values())
+    # The last source has two parts, in the first row group and in the last one.
+    ids, contents, part = [ids[-1], *ids], [b"[", *contents], [0] * 200 + [1]
+    (tmp_path / "raw").mkdir()
+    pq.write_table(
+        pa.table({"ingestion_id": ids, "part": pa.array(part, pa.int64()), "content": pa.array([b"[", *bodies.values()], pa.binary())}),
+        tmp_path / "raw" / "a.parquet", row_group_size=20,
+    )
+    raw = spark.read.schema(schemas.RAW_PARTS).parquet(str(tmp_path / "raw"))
+    given = [(i, i, "json", None, 0) for i in bodies]
+    waiting = spark.createDataFrame(given, "ingestion_id string, source_key string, loader string, etag string, size bigint")
+    work = restored._work(raw, waiting, 1).collect()
+    reads = []
+    read = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(
+        pq.ParquetFile, "read_row_group", lambda self, group, columns: reads.append((group, columns)) or read(self, group, columns)
+    )
+    files = restored.RawFiles(store_options(spark))
+    got = {r.ingestion_id: [files.part(p.path, p.row) for p in r.parts] for r in work}
+    last = ids[-1]
+    assert got == {i: [b"[", b] if i == last else [b] for i, b in bodies.items()}
+    # Eleven groups; two more reads go to the last one and back to the first.
+    assert len(reads) <= 13 and {columns[0] for _, columns in reads} == {"content"}
