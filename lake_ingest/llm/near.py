@@ -8,9 +8,11 @@ the band that the threshold leaves, is at least ``SIMILARITY`` of all windows of
 Equal texts form a class, and all work is done on classes. In each bucket of a sketch the class that
 shares the most buckets leads, and all others are compared with it. Texts connected by buckets form a
 cluster; where links have not joined a cluster into one component, all its pairs from different
-components that share a bucket are compared, tile by tile. Pairs that share too few windows to be a
-link are ruled out by a matrix product of window counts, the others are aligned. Only links leave a
-task, and only those that join components, so that a large group costs rows in proportion to its size.
+components that share a bucket are compared, tile by tile. Clusters of many tiles, as passages that
+many texts quote make them, are sieved first: a text has no link to another component if too few of
+its windows are in the texts of other components. Pairs that share too few windows to be a link are ruled
+out by a matrix product of window counts, the others are aligned. Only links leave a task, and only those
+that join components, so that a large group costs rows in proportion to its size.
 
 Defined results: a null text is alone in its group; texts without words are grouped only with equal
 texts; a text of fewer than five words has one window; a null document orders last; repeated rows are
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import bisect
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,10 @@ TILE = 512
 SLOTS = 4096
 # So few pairs are aligned without more ado.
 FEW = 16
+# Tiles of a cluster's text on average beyond which large clusters are sieved.
+REPEATS = 4
+# Bytes of a cluster's windows that a task sieves at once.
+SIEVE_BYTES = 8 << 20
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 # One odd word per sketch.
@@ -129,10 +136,14 @@ def least_chain(total, similarity: float = SIMILARITY):
 
     In whole numbers: at 0.8 a total of 63 needs 28, where floats give a little more.
     """
-    part = Fraction(similarity).limit_denominator(10**6)
+    part = _part(similarity)
     return -(-part.numerator * total // (part.numerator + part.denominator))
 
 
+def _part(similarity: float) -> Fraction:
+    return Fraction(similarity).limit_denominator(10**6)
+
+
 def chain(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether two texts' windows are similar: their longest common chain within the band.
 
@@ -254,26 +265,104 @@ def _tile_links(similarity: float):
     return links
 
 
+SHARES = "cluster binary, share int, key binary, root binary, n long, windows binary"
+FOUND = "cluster binary, key binary, root binary, n long, found long"
+
+
+def _window_shares(batches):
+    """The texts' windows dealt by their hashes into as many shares as the cluster has."""
+    for rows in batches:
+        out = []
+        for cluster, key, root, shares, windows in zip(
+            *(rows[name].to_pylist() for name in ("cluster", "key", "root", "shares", "windows"))
+        ):
+            values = np.frombuffer(windows, np.uint32)
+            share = values % np.uint32(shares)
+            order = np.argsort(share, kind="stable")
+            held, first = np.unique(share[order], return_index=True)
+            for at, part in zip(held.tolist(), np.split(values[order], first[1:])):
+                out.append((cluster, at, key, root, len(values), part.tobytes()))
+        types = (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
+        names = ("cluster", "share", "key", "root", "n", "windows")
+        columns = list(zip(*out)) or [()] * len(names)
+        yield batch(**{name: pa.array(c, t) for name, c, t in zip(names, columns, types)})
+
+
+def _foreign(rows: pa.Table) -> pa.Table:
+    """Of a share of a cluster's windows, how many of each text's are in a text of another component too."""
+    column = pa.concat_arrays([c.cast(pa.large_binary()) for c in rows["windows"].chunks])
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(data, np.uint8)[places[0] : places[-1]].view(np.uint32)
+    text = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(places) // 4)
+    root = np.asarray(rows["root"].combine_chunks().dictionary_encode().indices)
+    order = np.argsort(values, kind="stable")
+    values, text = values[order], text[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    roots = root[text]
+    both = np.minimum.reduceat(roots, first) != np.maximum.reduceat(roots, first)
+    found = np.bincount(text[np.repeat(both, np.diff(first, append=len(values)))], minlength=len(rows))
+    return rows.select(["cluster", "key", "root", "n"]).append_column("found", pa.array(found, pa.int64()))
+
+
+def _sieved(rooted: DataFrame, windows: DataFrame, similarity: float) -> DataFrame:
+    """``(cluster, key, root)`` of the texts that may have a link to another component of their cluster.
+
+    A chain of ``c`` windows is at least ``similarity`` of all windows of two texts only if it is so of those of either
+    one, and each of its windows is in a text of another component.
+    """
+    size = F.sum(F.octet_length("windows"))
+    shares = rooted.join(windows, "key").groupBy("cluster").agg(F.ceil(size / F.lit(SIEVE_BYTES)).cast("int").alias("shares"))
+    # The windows come last, so that they are not dealt by the cluster.
+    dealt = rooted.join(shares, "cluster").join(windows, "key").select("cluster", "key", "root", "shares", "windows")
+    found = dealt.mapInArrow(_window_shares, SHARES).groupBy("cluster", "share").applyInArrow(_foreign, FOUND)
+    part = _part(similarity)
+    return (
+        found.groupBy("cluster", "key", "root", "n")
+        .agg(F.sum("found").alias("found"))
+        .where(F.col("found") * part.denominator >= F.col("n") * part.numerator)
+        .select("cluster", "key", "root")
+    )
+
+
+def _of_several(rooted: DataFrame) -> DataFrame:
+    """The texts of clusters of several components, with the number of the cluster's tiles."""
+    sizes = (
+        rooted.groupBy("cluster")
+        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
+        .where("r0 <> r1")
+        .select("cluster", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    )
+    return rooted.join(sizes, "cluster").select("cluster", "key", "root", "tiles")
+
+
+def _repeated(rooted: DataFrame) -> tuple[int, int]:
+    """Number of texts, and of their rows once each is repeated for every tile of its cluster."""
+    return tuple(rooted.agg(F.count("*"), F.coalesce(F.sum("tiles"), F.lit(0))).first())
+
+
 def _rest_links(
     members: DataFrame, stars: DataFrame, roots: DataFrame, windows: DataFrame, similarity: float
 ) -> DataFrame:
     """Links between different components among texts that buckets connect.
 
     Each text is in one cluster of texts connected by buckets. A cluster of several components is cut
-    into tiles, and each pair of tiles is one task's work.
+    into tiles, and each pair of tiles is one task's work. As this repeats a text for every tile of its cluster, large
+    clusters are sieved before, until that is a few times the texts or a sieve leaves more than half of it.
     """
     clusters = components(stars).select(F.col("u").alias("key"), F.col("root").alias("cluster"))
     rooted = clusters.join(roots.withColumnRenamed("u", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")
     )
-    sizes = (
-        rooted.groupBy("cluster")
-        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
-        .where("r0 <> r1")
-        .select("cluster", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    )
+    rooted, ready, before = saved(_of_several(rooted), "rooted"), [], None
+    texts, repeated = _repeated(rooted)
+    while repeated > REPEATS * texts and (before is None or 2 * repeated <= before):
+        ready.append(rooted.where("tiles = 1"))
+        left = saved(_sieved(rooted.where("tiles > 1"), windows, similarity), "sieved")
+        rooted, before = saved(_of_several(left), "rooted"), repeated
+        repeated = _repeated(rooted)[1]
     tiled = (
-        rooted.join(sizes, "cluster")
+        reduce(DataFrame.unionByName, ready, rooted)
         .join(members.select("key", "sketches").dropDuplicates(["key"]), "key")
         .join(windows, "key")
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))

@@ -82,6 +82,57 @@ def test_large_clusters_go_by_tiles(spark, monkeypatch):
     assert sorted((r.doc_id, r.group_id) for r in near.near_duplicates(docs).collect()) == sorted(want)
 
 
+def test_texts_that_share_a_passage_are_not_repeated_for_every_tile(spark, monkeypatch, tmp_path):
+    random.seed(3)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [[f"{n}.{i}" for i in range(10)] + passage + [f"{n}.{i}" for i in range(10, 25)] for n in range(40)]
+    # Most of the windows of these are in each other, with and without links.
+    texts += [passage + [f"end{n}.{i}" for i in range(4 + 2 * n)] for n in range(4)]
+    texts += [passage[:20] + [f"mid{n}"] + passage[20:40] + [f"mid{n}"] * (n % 2) + passage[40:] for n in range(4)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    links = near._tile_links
+
+    def counted(similarity):
+        found = links(similarity)
+
+        def of(part):
+            (tmp_path / f"{random.getrandbits(64)}-{part['key'][0].as_py().hex()}").write_text(str(part.num_rows))
+            return found(part)
+
+        return of
+
+    monkeypatch.setattr(near, "TILE", 8)
+    monkeypatch.setattr(near, "_tile_links", counted)
+    got = near.near_duplicates(documents(spark, [(i, t, None, None) for i, t in rows])).collect()
+    want = [(rows[m][0], min(rows[x][0] for x in g)) for g in _expected(rows) for m in g]
+    assert sorted((r.doc_id, r.group_id) for r in got) == sorted(want)
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("size", [64, 1 << 20])
+def test_sieve_keeps_what_may_have_a_link(spark, monkeypatch, size):
+    monkeypatch.setattr(near, "SIEVE_BYTES", size)
+    # Of 63 windows in all at 0.8 a chain has 28: 28 and 35 windows, all of the one and 28 of the other.
+    texts = {
+        "a": (range(35), "r"),
+        "b": (range(28), "s"),
+        "c": (range(100, 140), "t"),
+        "d": ([*range(100, 131), *range(200, 209)], "u"),
+        "e": (range(300, 340), "v"),
+        "f": (range(300, 340), "v"),
+        "g": ([], "w"),
+    }
+    rooted = [("x", k, r) for k, (_, r) in texts.items()] + [("y", "h", "z"), ("y", "i", "q")]
+    texts |= {"h": (range(35), ""), "i": ([*range(27), *range(500, 508)], "")}
+    windows = [(k, bytearray(np.array(w, np.uint32).tobytes())) for k, (w, _) in texts.items()]
+    schema = "cluster binary, key binary, root binary"
+    rooted = spark.createDataFrame([tuple(bytearray(v.encode()) for v in r) for r in rooted], schema)
+    windows = [(bytearray(k.encode()), w) for k, w in windows]
+    windows = spark.createDataFrame(windows, "key binary, windows binary")
+    left = near._sieved(rooted, windows, 0.8).collect()
+    assert sorted((bytes(r.cluster), bytes(r.key), bytes(r.root)) for r in left) == [(b"x", b"a", b"r"), (b"x", b"b", b"s")]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_chain_is_the_longest_common_one(seed):
     random.seed(seed)
